@@ -13,7 +13,8 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+import pyarrow.compute as pc
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 SEED = 20240607
@@ -258,10 +259,6 @@ def bucket_bits(n_keys: int, per_bucket: int, least: int = 9) -> int:
     return min(24, max(least, math.ceil(math.log2(max(1, n_keys / per_bucket)))))
 
 
-def as_arrow(rows: DataFrame) -> DataFrame:
-    return rows
-
-
 # ---------------------------------------------------------------- components
 
 
@@ -294,5 +291,24 @@ def components(links: DataFrame, a: str, b: str, rounds: int = 60) -> DataFrame:
     raise RuntimeError(f"components did not settle in {rounds} rounds")
 
 
-def hex_of(raw: Column) -> Column:
-    return F.sha2(raw, 256)
+# ---------------------------------------------------------------- batches
+
+
+def bounded(df: DataFrame, megabytes: int = 16) -> DataFrame:
+    """Sees to it that Python workers get record batches of bounded bytes, whatever the texts' lengths."""
+    conf = df.sparkSession.conf
+    if conf.get("spark.sql.execution.arrow.maxBytesPerBatch", None) in (None, str(2**31 - 1), str(2**63 - 1)):
+        conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(megabytes << 20))
+    return df
+
+
+def parts(batch: pa.RecordBatch, text: str, size: int = 2 << 20) -> Iterator[pa.RecordBatch]:
+    """The batch in runs of rows whose text column has about `size` bytes; a longer text stands alone."""
+    lengths = pc.binary_length(batch.column(batch.schema.get_field_index(text))).fill_null(0)
+    ends = np.cumsum(lengths.to_numpy(zero_copy_only=False).astype(np.int64))
+    start = 0
+    while start < batch.num_rows:
+        before = ends[start - 1] if start else 0
+        stop = max(start + 1, int(np.searchsorted(ends, before + size, "right")))
+        yield batch.slice(start, stop - start)
+        start = stop

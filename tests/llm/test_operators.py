@@ -1,0 +1,447 @@
+"""The other operators against brute force, round trips and held-out rows, on small tables."""
+
+import hashlib
+import json
+import random
+import re
+import zlib
+from collections import Counter, defaultdict
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from chronicle.llm import chat, common, decontam, minhash, packing, pii, queries, rp_forest, token_counts, toxicity
+
+
+class Sets:
+    def __init__(self):
+        self.up = {}
+
+    def top(self, x):
+        self.up.setdefault(x, x)
+        while self.up[x] != x:
+            x = self.up[x]
+        return x
+
+    def join(self, a, b):
+        a, b = self.top(a), self.top(b)
+        self.up[max(a, b)] = min(a, b)
+
+
+# ---------------------------------------------------------------- components
+
+
+def test_components(spark):
+    r = random.Random(5)
+    links = [(r.randint(0, 60), r.randint(0, 60)) for _ in range(45)] + [(100, i) for i in range(101, 160)] + [(200 + i, 201 + i) for i in range(40)]
+    sets = Sets()
+    for a, b in links:
+        sets.join(a, b)
+    got = dict(common.components(spark.createDataFrame(links, "x long, y long"), "x", "y").collect())
+    want = {x: sets.top(x) for a, b in links if a != b for x in (a, b)}
+    assert got == want
+    assert common.components(spark.createDataFrame([], "x long, y long"), "x", "y").count() == 0
+
+
+# ---------------------------------------------------------------- near duplicates
+
+
+def shingles(text, n):
+    w = re.findall(r"[^\x20\x09-\x0D]+", "".join(x.lower() if x.isascii() else x for x in text or ""))
+    return {tuple(w[i : i + n]) for i in range(len(w) - n + 1)} if len(w) >= n else {tuple(w)} if w else set()
+
+
+def brute_near(docs, n):
+    own = [(i, shingles(t, n)) for i, t in docs]
+    sets = Sets()
+    for k in range(len(own)):
+        for j in range(k):
+            a, b = own[k][1], own[j][1]
+            if a and b and 100 * len(a & b) >= 80 * len(a | b):
+                sets.join(k, j)
+    least = {}
+    for k, (i, _) in enumerate(own):
+        t = sets.top(k)
+        least[t] = min(least.get(t, i), i)
+    return sorted((i, len(s), least[sets.top(k)], i == least[sets.top(k)]) for k, (i, s) in enumerate(own))
+
+
+def near_corpus(seed, copies=60):
+    r = random.Random(seed)
+    vocab = [f"w{i}" for i in range(400)]
+    base = [r.choice(vocab) for _ in range(120)]
+    docs = [" ".join(base)]
+    for _ in range(copies):  # around the threshold: some copies only reach others through third ones
+        w = list(base)
+        for _ in range(r.randint(0, 5)):
+            w[r.randrange(len(w))] = r.choice(vocab)
+        docs.append(" ".join(w))
+    docs += [" ".join(r.choice(vocab) for _ in range(r.randint(1, 60))) for _ in range(30)]
+    docs += ["", None, "one", "One", "two words", "TWO\twords", docs[3], docs[3].upper(), "a b c d", "a b c d e", "ÄÖ ä", "äÖ ä"]
+    r.shuffle(docs)
+    return list(enumerate(docs))
+
+
+@pytest.mark.parametrize("seed,n,block", [(1, 4, 2048), (2, 4, 7), (3, 5, 16)])
+def test_near_duplicates(spark, seed, n, block):
+    docs = near_corpus(seed)
+    df = spark.createDataFrame([(i, t, "x", 5) for i, t in docs], "doc_id long, text string, node string, n int")
+    got = sorted(map(tuple, minhash.near_duplicates(df, n, block=block).collect()))
+    assert got == brute_near(docs, n)
+
+
+def test_near_duplicates_edges(spark):
+    empty = spark.createDataFrame([], "doc_id long, text string")
+    assert minhash.near_duplicates(empty).count() == 0 and minhash.kept_documents(empty).count() == 0
+    df = spark.createDataFrame([(2, "a b c d e f"), (1, "a b c d e f"), (1, "a b c d e f"), (3, None), (4, "z"), (1, "q r s t u v")], "doc_id long, text string")
+    got = sorted(map(tuple, minhash.near_duplicates(df).collect()))
+    assert got == [(1, 2, 1, True), (1, 2, 1, True), (1, 2, 1, True), (2, 2, 1, False), (3, 0, 3, True), (4, 1, 4, True)]
+    assert sorted(r[0] for r in minhash.kept_documents(df).collect()) == [1, 1, 3, 4]
+    many = spark.createDataFrame([(i, t, 1) for i, t in near_corpus(4)], "doc_id long, text string, comp int")
+    want = [i for i, n, _, kept in brute_near(near_corpus(4), 5) if kept]
+    assert sorted(r[0] for r in minhash.kept_documents(many).collect()) == sorted(want) and minhash.kept_documents(many).columns == many.columns
+
+
+# ---------------------------------------------------------------- decontamination
+
+WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
+
+
+def brute_contamination(docs, items, n=13):
+    low = lambda t: WORD.findall("".join(x.lower() if x.isascii() else x for x in t or ""))
+    wins = defaultdict(set)
+    for i, t in items:
+        w = low(t)
+        for k in range(max(1, len(w) - n + 1) if w else 0):
+            wins[tuple(w[k : k + n])].add(str(i))
+    out = []
+    for d, t in docs:
+        w, hit, found = low(t), set(), set()
+        for size in {len(x) for x in wins}:
+            for k in range(len(w) - size + 1):
+                if (x := tuple(w[k : k + size])) in wins:
+                    hit |= set(range(k, k + size))
+                    found |= wins[x]
+        out.append((d, len(w), len(hit), len(found), hashlib.sha256(",".join(sorted(found)).encode()).hexdigest(), bool(hit) and 20 * len(hit) >= len(w)))
+    return sorted(out, key=repr)
+
+
+def test_contamination(spark, monkeypatch):
+    r = random.Random(9)
+    vocab = ["Ab", "b", "É", "c3", "d", "e"]
+    text = lambda n: "".join(r.choice(vocab) + r.choice([" ", ", ", "-", "\n"]) for _ in range(n))
+    items = [(i, text(r.choice([1, 3, 5, 14, 30]) if i > 3 else 20)) for i in range(12)] + [(12, None), (13, " . "), (3, text(15)), (14, "zz9 unknown")]
+    docs = [(i, text(r.randint(0, 300)) + (items[r.randrange(4)][1][5:] if i % 3 else "")) for i in range(40)] + [(40, None), (41, ""), (42, "..."), (40, items[2][1])]
+    items[4:9] = [(i, text(30)) for i in range(4, 9)]
+    df = spark.createDataFrame([(i, t, 7) for i, t in docs], "doc_id long, text string, n_hit int")
+    it = spark.createDataFrame(items, "item_id long, text string")
+    whole = decontam.contamination(df, it)
+    assert sorted(map(lambda x: tuple(x)[:6], whole.collect()), key=repr) == brute_contamination(docs, items)
+    small = decontam.contamination(df, it, block_bytes=40)
+    assert sorted(map(lambda x: tuple(x)[:6], small.collect()), key=repr) == brute_contamination(docs, items)
+    bad = {x[0] for x in brute_contamination(docs, items) if x[5]}
+    clean = decontam.clean_documents(df, it)
+    assert clean.columns == df.columns and len(bad) and clean.count() == len(docs) - sum(x[5] for x in brute_contamination(docs, items))
+    assert decontam.contamination(df, it.limit(0)).where("n_hit > 0").count() == 0
+    assert decontam.contamination(df.limit(0), it).count() == 0
+    with pytest.raises(ValueError):
+        decontam.contamination(df, it, most_bytes=10)
+
+
+def test_suffix_array():
+    r = np.random.default_rng(3)
+    words = np.concatenate((r.integers(1, 4, 300), [0], np.tile([1, 2], 80), [0]))
+    for depth in (1, 5, 13, 40):
+        a = decontam.SuffixArray(words, depth)
+        keys = [tuple(a.words[i : i + depth]) for i in a.order]
+        assert keys == sorted(keys)
+
+
+# ---------------------------------------------------------------- packing
+
+
+def plain_best_fit(lengths, capacity):
+    gaps = []
+    for n in sorted(lengths, reverse=True):
+        fits = [k for k, g in enumerate(gaps) if g >= n]
+        if fits:
+            gaps[min(fits, key=gaps.__getitem__)] -= n
+        else:
+            gaps.append(capacity - n)
+    return len(gaps)
+
+
+def test_packing(spark):
+    from tokenizers import Tokenizer
+
+    r = random.Random(4)
+    text = lambda n: " ".join(r.choice(["alpha", "bêta", "gamma's", "<x>", "12345", "\n\n", "  "]) for _ in range(n))
+    docs = [(i, text(r.choice([0, 3, 20, 60, 300, 1500]))) for i in range(120)] + [(500, None), (501, "a <|endoftext|> b"), (1, "again"), (502, "x")]
+    df = spark.createDataFrame([(i, t, 3) for i, t in docs], "doc_id long, text string, length int")
+    exact = Tokenizer.from_file(packing.default_vocabulary())
+    got = [r.asDict() for r in packing.pack(df).collect()]
+    want = []
+    for i, t in docs:
+        ids = exact.encode(t or "", add_special_tokens=False).ids + [2]
+        n = -(-len(ids) // 1024)
+        cut = len(ids) - (n - 1) * 1024
+        bounds = [0, *range(cut, len(ids) + 1, 1024)]
+        want += [(i, k, a, b - a, zlib.crc32(np.array(ids[a:b], "<u4").tobytes())) for k, (a, b) in enumerate(zip(bounds, bounds[1:], strict=False))]
+    assert sorted((x["doc_id"], x["piece"], x["start"], x["length"], x["ids_crc32"]) for x in got) == sorted(want)
+    by = defaultdict(list)
+    for x in got:
+        by[x["sequence_id"]].append((x["offset"], x["length"]))
+    for rows in by.values():
+        at = 0
+        for offset, length in sorted(rows):
+            assert offset == at
+            at += length
+        assert at <= 1024
+    assert len(by) <= plain_best_fit([x["length"] for x in got], 1024)
+    assert packing.pack(df.limit(0)).count() == 0
+
+
+def test_plan():
+    for seed in range(20):
+        r = random.Random(seed)
+        counts = {r.randint(1, 100): r.randint(1, 300) for _ in range(r.randint(1, 40))}
+        place, first, offset = packing.plan(counts, 100)
+        lengths = [n for n in sorted(counts, reverse=True) for _ in range(counts[n])]
+        fill = defaultdict(int)
+        for i, n in enumerate(lengths):
+            k = np.searchsorted(place, i, "right") - 1
+            s = first[k] + i - place[k]
+            assert fill[s] == offset[k]
+            fill[s] += n
+        assert max(fill.values()) <= 100
+        assert len(fill) <= plain_best_fit(lengths, 100)
+
+
+# ---------------------------------------------------------------- embeddings
+
+
+def test_embeddings(spark):
+    r = np.random.default_rng(2)
+    centre = r.standard_normal((40, 16))
+    rows = []
+    for i in range(700):
+        v = centre[i % 40] + r.standard_normal(16) * r.choice([0.05, 0.25, 0.6])
+        rows.append((i, [float(x) for x in v.astype(np.float32)], int(i % 40 % 3)))
+    rows += [(1000 + i, rows[7][1], rows[7][2]) for i in range(50)] + [(7, rows[7][1], 99), (2000, [2 * x for x in rows[7][1]], rows[7][2])]
+    rows += [(3000, None, 1), (3001, [], 1), (3002, [0.0] * 16, 1), (3003, [1.0, None] + [0.0] * 14, 1), (3004, [float("nan")] * 16, 1), (3005, rows[7][1], None), (3006, rows[7][1][:8], rows[7][2]), (3007, [float("inf")] * 16, 0)]
+    df = spark.createDataFrame([(*x, "n") for x in rows], "vec_id long, embedding array<float>, label int, node string")
+    good = [k for k, (_, v, lab) in enumerate(rows) if lab is not None and v and None not in v and np.isfinite(v).all() and any(v)]
+    sets, links = Sets(), Counter()
+    for a in good:
+        for b in good:
+            if a < b and rows[a][2] == rows[b][2] and len(rows[a][1]) == len(rows[b][1]):
+                x, y = np.float64(np.float32(rows[a][1])), np.float64(np.float32(rows[b][1]))
+                if x @ y / np.sqrt((x @ x) * (y @ y)) >= 0.93:
+                    sets.join(a, b)
+                    links[a] += 1
+                    links[b] += 1
+    least = defaultdict(lambda: 10**9)
+    for k, x in enumerate(rows):
+        least[sets.top(k)] = min(least[sets.top(k)], x[0])
+    want = sorted((x[0], links[k], least[sets.top(k)], x[0] == least[sets.top(k)]) for k, x in enumerate(rows))
+    flat = sorted(map(tuple, rp_forest.near_duplicates(df, leaf=10_000).collect()))
+    assert flat == want
+    got = rp_forest.near_duplicates(df, leaf=40).collect()
+    found, all_links = sum(x["n_links"] for x in got), sum(links.values())
+    assert 0.95 * all_links <= found <= all_links
+    assert rp_forest.near_duplicates(df.limit(0)).count() == 0
+
+
+# ---------------------------------------------------------------- chat
+
+
+def test_chat_round_trip(spark):
+    r = random.Random(8)
+    bits = ["<|im_end|>", "<|im_start|>assistant ok", "\\", "\\|", "<", "|", "\n", "n", "é😀", "<\\|", "\\n", "user"]
+    turns = [(c, t, r.choice(["user", "assistant", "system", "a\nb", "<|", None]), "".join(r.choices(bits, k=r.randint(0, 9))) or None) for c in range(30) for t in range(r.randint(1, 6))]
+    turns += [(None, 1, "user", "x"), (5, None, "assistant", "first"), (5, 0, "user", "tie"), (5, 0, "user", "tie")]
+    df = spark.createDataFrame([(*t, 1) for t in turns], "conv_id long, turn long, role string, text string, piece int")
+    by = defaultdict(list)
+    for c, t, role, text in turns:
+        by[c].append((t is not None, t or 0, role or "", text or ""))
+    want = []
+    for c, rows in by.items():
+        rows.sort()
+        said = "".join(f"{a}\n{b}\n" for *_, a, b in rows)
+        loss = "".join(b for *_, a, b in rows if a == "assistant")
+        want.append((c, len(rows), hashlib.sha256(said.encode()).hexdigest(), len(loss), hashlib.sha256(loss.encode()).hexdigest()))
+    got = chat.digests(chat.canonical_rows(df)).collect()
+    assert sorted((tuple(x)[:5] for x in got), key=repr) == sorted(want, key=repr)
+    for x in chat.formatted(chat.canonical_rows(df)).collect():
+        assert list(chat.read(x["piece"])) == [(x["role"], x["text"])]
+        assert chat.unescaped(x["piece"][x["loss_start"] : x["loss_end"]]) == (x["text"] if x["role"] == "assistant" else "")
+    assert chat.digests(chat.canonical_rows(df.limit(0))).count() == 0
+
+
+def test_chat_layouts(spark):
+    records = [
+        {"messages": [{"role": "user", "content": "a"}, {"role": "assistant", "content": "b"}]},
+        {"conversations": [{"from": "human", "value": "a"}, {"from": "gpt", "value": "b"}]},
+        {"prompt": "a", "completion": "b"},
+        {"instruction": "a", "input": "", "output": "b"},
+        {"system": "s", "messages": [{"role": "user", "content": "a"}, {"role": "assistant", "content": "b"}]},
+        {"odd": 1},
+    ]
+    rows = [(i, json.dumps(x)) for i, x in enumerate(records)] + [(9, None), (10, "{")]
+    got = chat.canonical(spark.createDataFrame(rows, "id long, record string"), "id", "record").collect()
+    by = defaultdict(list)
+    for x in got:
+        by[x["conv_id"]].append((x["role"], x["text"]))
+    pair = [("user", "a"), ("assistant", "b")]
+    assert by[0] == by[1] == by[2] == by[3] == pair and by[4] == [("system", "s"), *pair]
+    assert by[5] == by[9] == by[10] == [(None, None)]
+    assert len({chat.fingerprint(chat.paths(x)) for x in records}) == 6
+
+
+# ---------------------------------------------------------------- personal data
+
+
+def plain_spans(text):
+    """The contract's words, with plain regular expressions."""
+    out = [("email", *m.span()) for m in re.finditer(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", text)]
+    out += [("ip", *m.span()) for m in re.finditer(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", text) if all(int(p) <= 255 for p in m[0].split("."))]
+    for m in re.finditer(r"[0-9]([\x20-]?[0-9])+", text):
+        d = re.sub("[^0-9]", "", m[0])
+        if 13 <= len(d) <= 19 and pii._luhn(d):
+            out.append(("card", *m.span()))
+    out += [("phone", *m.span()) for m in re.finditer(r"\+[0-9][\x20().0-9-]+[0-9]", text) if 9 <= len(re.sub("[^0-9]", "", m[0])) <= 15]
+    return out
+
+
+def test_base_spans():
+    r = random.Random(6)
+    bits = ["a", "b.c", "@", ".", "-", "+", "1", "255", "256", "0", "4111 1111 1111 1111", " ", "%", "_", "é", "+49 (30) 123-4567", "mail@x.org", "10.0.0.1", "٣", "0000255"]
+    for _ in range(20000):
+        t = "".join(r.choices(bits, k=r.randint(0, 12)))
+        assert pii.base_spans(t) == plain_spans(t), t
+
+
+@pytest.mark.parametrize(
+    "text,kind,said",
+    [
+        ("write to john (at) example (dot) com now", "email", "john (at) example (dot) com"),
+        ("write to john.doe at example dot com now", "email", "john.doe at example dot com"),
+        ("write to john[at]example[dot]co[dot]uk.", "email", "john[at]example[dot]co[dot]uk"),
+        ("jоhn＠examplе.com", "email", "jоhn＠examplе.com"),
+        ("jo​hn@exa­mple.com", "email", "jo​hn@exa­mple.com"),
+        ("call plus four nine three zero one two three four five six seven today", "phone", "plus four nine three zero one two three four five six seven"),
+        ("host one nine two dot one six eight dot zero dot one up", "ip", "one nine two dot one six eight dot zero dot one"),
+        ("card ４１１１ １１１１ １１１１ １１１１.", "card", "４１１１ １１１１ １１１１ １１１１"),
+        ("card four one one one one one one one one one one one one one one one.", "card", "four one one one one one one one one one one one one one one one"),
+        ("ip 10[.]0[.]0[.]1", "ip", "10[.]0[.]0[.]1"),
+        ("to ann@ example.org please", "email", "ann@ example.org"),
+    ],
+)
+def test_disguises(text, kind, said):
+    assert plain_spans(text) != [(kind, text.index(said), text.index(said) + len(said))]
+    assert (kind, text.index(said), text.index(said) + len(said)) in pii.all_spans(text, pii.base_spans(text))
+
+
+def test_pii_keeps_base_and_plain_text(spark):
+    for text in ("meet me at noon dot dot dot", "one two three and four", "un deux trois", "he was at home. the dot", "look at example.org", "ask @user.name", "a@b c", "", "x" * 300000, "1" * 100000, "a." * 50000 + "@"):
+        assert pii.all_spans(text, pii.base_spans(text)) == plain_spans(text) if len(text) < 1000 else pii.all_spans(text, pii.base_spans(text)) == []
+    rows = [(1, "mail a@b.org or c (at) d (dot) net", 5), (2, None, 0), (3, "", 0), (1, "clean", 5)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, n_chars long")
+    got = sorted(map(tuple, pii.find(df).collect()), key=repr)
+    assert ("email:5:12,email:16:34", 1) in {(x[6], x[1]) for x in got} and len(got) == 4
+    masked = {(r[0], r[1], r[2]) for r in pii.masked_documents(df).collect()}
+    assert masked == {(1, "mail [EMAIL] or [EMAIL]", 23), (2, None, 0), (3, "", 0), (1, "clean", 5)}
+    assert pii.find(df.limit(0)).count() == 0
+
+
+# ---------------------------------------------------------------- token counts
+
+
+def test_token_tree():
+    encode = packing.encoder(packing.default_vocabulary())
+    size = lambda t: len(encode(t))
+    r = random.Random(11)
+    bits = ["word", " word", "'s", "'", " ", "  ", "\n", "12", "é", "中文", "!!", "don't", "\t", " a", "x"]
+    for _ in range(150):
+        text = "".join(r.choices(bits, k=r.randint(0, 120)))
+        tree = token_counts.TokenTree(text, size, leaf=8)
+        assert tree.tokens == size(text) and tree.text() == text
+        for _ in range(8):
+            a = r.randint(0, len(text) + 1)
+            b = a + r.choice([0, 0, 1, 3, 40])
+            new = "".join(r.choices(bits, k=r.choice([0, 0, 1, 2, 30])))
+            text = text[:a] + new + text[b:]
+            tree.edit(a, b, new)
+            assert tree.text() == text and tree.chars == len(text)
+            assert tree.tokens == size(text), (text, a, b, new)
+    long = token_counts.TokenTree("some words here " * 4000, size)
+    long.encoded = 0
+    long.edit(30000, 30001, "y")
+    assert long.encoded < 2000
+
+
+def test_count_with_edits(spark):
+    rows = [(1, "hello there my friend " * 100), (2, None), (3, ""), (1, "a")]
+    df = spark.createDataFrame([(*x, 1) for x in rows], "doc_id long, text string, n_tokens int")
+    encode = packing.encoder(packing.default_vocabulary())
+    want = []
+    for i, t in rows:
+        t = t or ""
+        new = t
+        for a, b, x in token_counts.revision(t):
+            new = new[:a] + x + new[b:]
+        want.append((i, len(encode(t)), len(encode(new)), len(new)))
+    got = [(x["doc_id"], x["n_tokens"], x["n_tokens_edited"], x["n_chars_edited"]) for x in token_counts.count_with_edits(df, token_counts.revision).collect()]
+    assert sorted(got) == sorted(want)
+
+
+# ---------------------------------------------------------------- toxicity
+
+
+def test_toxicity_held_out(spark):
+    docs, labels = common.table(spark, "/root/testdata/sf0.1", "documents"), common.table(spark, "/root/testdata/sf0.1", "labels")
+    got = toxicity.scored(docs, toxicity.train(docs, labels)).join(labels, "doc_id").where("held_out").select("score", "predicted", "toxic").collect()
+    hit = sum(x["predicted"] and x["toxic"] for x in got)
+    toxic, told = sum(x["toxic"] for x in got), sum(x["predicted"] for x in got)
+    assert toxic > 50 and hit / toxic > 0.85 and hit / told > 0.95
+    assert all(0 <= x["score"] <= 1 for x in got)
+
+
+def test_toxicity_grammar():
+    g = toxicity.Grammar({}, toxicity.FIXED)
+    names = ("plain", "targeted", "negated", "reported", "threat")
+    kind = lambda t: [n for n, x in zip(names, g.features(t), strict=False) if x > 0]
+    assert kind("You are an idiot.") == ["targeted"] and kind("a stupid table.") == ["plain"]
+    assert kind("This is not stupid.") == ["negated"] and kind("he said: idiot") != ["reported"]
+    assert kind("She called it a stupid idea") == ["reported"] and kind("they will kill us") == ["threat"]
+    assert kind("kill the process") == [] and kind("You are here. idiot") == ["plain"]
+    assert not g.features(None).any() and not g.features("").any()
+
+
+def test_toxicity_edges(spark):
+    docs = spark.createDataFrame([(1, "you idiot", "a"), (2, None, "b"), (None, "x", "c"), (1, "", "d")], "doc_id long, text string, toxic string")
+    none = spark.createDataFrame([], "doc_id long, quality int, toxic int")
+    got = toxicity.scored(docs, toxicity.train(docs, none))
+    assert got.count() == 4 and got.where("score is null or held_out is null").count() == 0
+    assert toxicity.scored(docs.limit(0), toxicity.train(docs.limit(0), none)).count() == 0
+    assert toxicity.clean_documents(docs, none).columns == docs.columns
+    some = spark.createDataFrame([(1, 0, None), (None, 0, 1), (1, 0, 1), (1, 0, 0)], "doc_id long, quality int, toxic int")
+    assert toxicity.scored(docs, toxicity.train(docs, some)).count() == 4
+
+
+# ---------------------------------------------------------------- queries
+
+
+def test_queries_run(spark, sf_dir):
+    n = {t: common.table(spark, sf_dir, t).count() for t in ("documents", "embeddings")}
+    for name, query in queries.queries().items():
+        rows = query(spark, sf_dir).count()
+        if name == "op6_embedding_dedup":
+            assert rows == n["embeddings"]
+        elif name == "op9_chat":
+            assert rows == common.table(spark, sf_dir, "conversations").select(F.countDistinct("conv_id")).first()[0] + 1
+        elif name == "op7_packing":
+            assert rows >= n["documents"]
+        else:
+            assert rows == n["documents"], name
