@@ -1,15 +1,733 @@
-"""The queries of the engine's own operators, and their SQL."""
+"""The queries of the engine's own operators over the star-schema tables, each with its SQL.
+
+Arrays are joined to texts, counts are BIGINT and shares rounded, so that both engines say the
+same bytes. Every query holds both outcomes that it tells apart.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from chronicle.functions import arrays, text, timeops
+from chronicle.operators import analytics, codelists, contract, history, linkage, sampling, segment, shape
+
+Query = Callable[[SparkSession, str], DataFrame]
+QUERIES: dict[str, Query] = {}
+SQL: dict[str, str] = {}
+
 
+def query(sql: str | None = None) -> Callable[[Query], Query]:
+    def keep(f: Query) -> Query:
+        QUERIES[f.__name__] = f
+        if sql is not None:
+            SQL[f.__name__] = sql
+        return f
 
-def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {}
+    return keep
+
+
+def queries() -> dict[str, Query]:
+    return dict(QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return dict(SQL)
+
+
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+
+
+def bag(x, sep: str = "|"):
+    return F.array_join(F.array_sort(x), sep)
+
+
+def stamp(x):
+    return F.date_format(x, "yyyy-MM-dd HH:mm:ss")
+
+
+# ---------------------------------------------------------------- history
+
+EVENTS_SQL = "SELECT user_id, event_type, ts FROM events"
+VERSIONS_SQL = """
+ev AS ({events}),
+marked AS (SELECT *, lag(event_type) OVER (PARTITION BY user_id ORDER BY ts) AS prev FROM ev),
+starts AS (SELECT user_id, event_type, ts FROM marked WHERE prev IS DISTINCT FROM event_type OR prev IS NULL),
+versions AS (SELECT user_id, event_type, ts AS f, lead(ts) OVER (PARTITION BY user_id ORDER BY ts) AS t FROM starts)"""
+#: Users of one in seven leave: no events from the middle of the month on, the last window closes a day after it opened.
+RETIRED_EVENTS_SQL = "SELECT user_id, event_type, ts FROM events WHERE NOT (user_id % 7 = 0 AND ts >= TIMESTAMP '2024-01-16')"
+RETIRED_SQL = VERSIONS_SQL.format(events=RETIRED_EVENTS_SQL).replace("versions AS", "raw_versions AS") + """,
+versions AS (SELECT user_id, event_type, f, CASE WHEN t IS NULL AND user_id % 7 = 0 THEN f + INTERVAL 1 DAY ELSE t END AS t FROM raw_versions)"""
+GRID_SQL = """
+times AS (SELECT DISTINCT a FROM (SELECT f AS a FROM versions UNION ALL SELECT t FROM versions) WHERE a IS NOT NULL),
+grid AS (SELECT strftime(a, '%G-W%V') AS week, coalesce(max(a) FILTER (isodow(a) = 1 AND abs(hour(a) - 3) <= 1), max(a)) AS c,
+  max(a) FILTER (isodow(a) = 1 AND abs(hour(a) - 3) <= 1) IS NULL AS fallback FROM times GROUP BY 1),
+prevs AS (SELECT c, coalesce(lag(c) OVER (ORDER BY c), c) AS p FROM grid),
+seen AS (SELECT v.user_id, v.f, g.c, g.p FROM versions v JOIN prevs g ON v.f <= g.c AND (v.t IS NULL OR g.c < v.t)),
+flagged AS (SELECT *, coalesce(f <> lag(f) OVER (PARTITION BY user_id ORDER BY c), false) AS ch FROM seen),
+hist AS (SELECT user_id, strftime(min(p), '%G-W%V') AS on_website_from,
+  CASE WHEN max(c) < (SELECT max(c) FROM grid) THEN strftime(max(c), '%G-W%V') END AS on_website_to,
+  coalesce(string_agg(strftime(p, '%G-W%V'), '|' ORDER BY p) FILTER (ch), '') AS previous_update_dates,
+  strftime(max(p) FILTER (ch), '%G-W%V') AS last_updated,
+  max(c) < (SELECT max(c) FROM grid) AS absent FROM flagged GROUP BY user_id),
+latest AS (SELECT user_id, event_type FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY t DESC NULLS FIRST, f DESC) AS rn FROM versions) WHERE rn = 1),
+folded AS (SELECT l.user_id, l.event_type, h.on_website_from, h.on_website_to, h.previous_update_dates, h.last_updated, h.absent FROM latest l JOIN hist h USING (user_id))"""
+
+
+def _versions(spark: SparkSession, sf_dir: str, retired: bool = False) -> DataFrame:
+    ev = table(spark, sf_dir, "events").select("user_id", "event_type", F.col("ts").cast("timestamp").alias("ts"))
+    if retired:
+        ev = ev.where(~((F.col("user_id") % 7 == 0) & (F.col("ts") >= F.lit("2024-01-16").cast("timestamp"))))
+    v = history.islands(ev, "user_id", "event_type", "ts")
+    if retired:
+        gone = F.col(history.TO).isNull() & (F.col("user_id") % 7 == 0)
+        v = v.withColumn(history.TO, F.when(gone, F.col(history.FROM) + F.expr("interval 1 day")).otherwise(F.col(history.TO)))
+    return v
+
+
+def _folded(spark: SparkSession, sf_dir: str, retired: bool = False) -> DataFrame:
+    return history.fold(_versions(spark, sf_dir, retired), "user_id")
+
+
+def _flat(folded: DataFrame) -> DataFrame:
+    return folded.withColumn("previous_update_dates", F.array_join("previous_update_dates", "|"))
+
+
+@query(f"WITH {VERSIONS_SQL.format(events=EVENTS_SQL)} SELECT user_id, event_type, strftime(f, '%Y-%m-%d %H:%M:%S') AS valid_from, strftime(t, '%Y-%m-%d %H:%M:%S') AS valid_to FROM versions")
+def scd2_versions(spark, sf_dir):
+    v = _versions(spark, sf_dir)
+    return v.select("user_id", "event_type", stamp(history.FROM).alias("valid_from"), stamp(history.TO).alias("valid_to"))
+
+
+@query("""
+WITH e1 AS (SELECT p_partkey AS k, p_brand AS b, p_size AS s FROM part WHERE p_partkey % 5 <> 0),
+e2 AS (SELECT p_partkey AS k, CASE WHEN p_partkey % 3 = 0 THEN 'x' ELSE p_brand END AS b, p_size AS s FROM part WHERE p_partkey % 7 <> 0),
+e3 AS (SELECT p_partkey AS k, p_brand AS b, p_size AS s FROM part),
+v AS (SELECT coalesce(a.k, b.k) AS k, a.k IS NOT NULL AS i1, b.k IS NOT NULL AS i2, coalesce(a.b, b.b) AS b FROM e1 a FULL JOIN e2 b ON a.k = b.k AND a.b = b.b AND a.s = b.s),
+w AS (SELECT coalesce(v.k, c.k) AS k, coalesce(v.b, c.b) AS b, i1, i2, c.k IS NOT NULL AS i3 FROM v FULL JOIN e3 c ON v.k = c.k AND v.b = c.b),
+u AS (
+  SELECT k, b, '2024-01-01' AS f, CASE WHEN NOT i2 THEN '2024-01-08' WHEN NOT i3 THEN '2024-01-15' END AS t FROM w WHERE i1
+  UNION ALL SELECT k, b, '2024-01-08', CASE WHEN NOT i3 THEN '2024-01-15' END FROM w WHERE i2 AND NOT i1
+  UNION ALL SELECT k, b, '2024-01-15', NULL FROM w WHERE i3 AND NOT coalesce(i2, false))
+SELECT k AS p_partkey, b AS p_brand, f AS valid_from, t AS valid_to FROM u""")
+def scd2_apply(spark, sf_dir):
+    """Three extracts after one another: rows that stay, change, vanish and return."""
+    part = table(spark, sf_dir, "part").select("p_partkey", "p_brand", "p_size")
+    changed = part.withColumn("p_brand", F.when(F.col("p_partkey") % 3 == 0, "x").otherwise(F.col("p_brand")))
+    steps = [("2024-01-01", part.where("p_partkey % 5 <> 0")), ("2024-01-08", changed.where("p_partkey % 7 <> 0")), ("2024-01-15", part)]
+    versions = part.limit(0).selectExpr("*", "cast(null as string) row_hash", f"cast(null as timestamp) {history.FROM}", f"cast(null as timestamp) {history.TO}")
+    for day, extract in steps:
+        versions = history.apply_extract(versions, extract, F.lit(day).cast("timestamp"), "p_partkey")
+    day = lambda c: F.date_format(c, "yyyy-MM-dd")
+    return versions.select("p_partkey", "p_brand", day(history.FROM).alias("valid_from"), day(history.TO).alias("valid_to"))
+
+
+@query(f"WITH {VERSIONS_SQL.format(events=EVENTS_SQL)} SELECT DISTINCT strftime(a, '%Y-%m-%d %H:%M:%S') AS load_time FROM (SELECT f AS a FROM versions UNION ALL SELECT t FROM versions) WHERE a IS NOT NULL")
+def load_times(spark, sf_dir):
+    return history.load_times(_versions(spark, sf_dir)).select(stamp("at").alias("load_time")).distinct()
+
+
+@query("""
+WITH l AS (SELECT epoch_us(ts) // 1000000 AS load_id, CASE WHEN event_id % 4 = 0 THEN 1 ELSE 0 END AS status, CASE WHEN event_id % 5 = 0 THEN 'segments' ELSE 'extract' END AS kind FROM events),
+f AS (SELECT min(ts) AS a FROM events WHERE ts >= TIMESTAMP '2024-01-03')
+SELECT DISTINCT strftime(to_timestamp(load_id) AT TIME ZONE 'UTC', '%Y-%m-%d %H:%M:%S') AS load_time FROM l, f
+WHERE status = 0 AND kind = 'extract' AND to_timestamp(load_id) AT TIME ZONE 'UTC' >= f.a""")
+def ledger_times(spark, sf_dir):
+    ev = table(spark, sf_dir, "events").withColumn("ts", F.col("ts").cast("timestamp"))
+    ledger = ev.select(F.unix_timestamp("ts").alias("load_id"), F.when(F.col("event_id") % 4 == 0, 1).otherwise(0).alias("status"), F.when(F.col("event_id") % 5 == 0, "segments").otherwise("extract").alias("kind"))
+    first = ev.where("ts >= timestamp'2024-01-03'").select(F.col("ts").alias("at"))
+    return history.ledger_times(ledger, first).select(stamp("at").alias("load_time"))
+
+
+@query("""
+SELECT strftime(ts, '%G-W%V') AS week, strftime(coalesce(max(ts) FILTER (isodow(ts) = 1 AND abs(hour(ts) - 3) <= 1), max(ts)), '%Y-%m-%d %H:%M:%S') AS checkpoint,
+max(ts) FILTER (isodow(ts) = 1 AND abs(hour(ts) - 3) <= 1) IS NULL AS fallback FROM events WHERE NOT (isodow(ts) = 1 AND day(ts) > 20) GROUP BY 1""")
+def weekly_checkpoints(spark, sf_dir):
+    """Weeks with a load on the slot, and weeks that fall back."""
+    times = table(spark, sf_dir, "events").select(F.col("ts").cast("timestamp").alias("at")).where("not (weekday(at) = 0 and day(at) > 20)")
+    return history.weekly_checkpoints(times).select("week", stamp("checkpoint").alias("checkpoint"), "fallback")
+
+
+@query(f"WITH {VERSIONS_SQL.format(events=EVENTS_SQL)}, {GRID_SQL} SELECT * FROM folded")
+def history_fold(spark, sf_dir):
+    return _flat(_folded(spark, sf_dir))
+
+
+@query(f"WITH {RETIRED_SQL}, {GRID_SQL} SELECT * FROM folded")
+def history_absent(spark, sf_dir):
+    """The same with users who leave, so that some are absent."""
+    return _flat(_folded(spark, sf_dir, retired=True))
+
+
+@query(f"""WITH {RETIRED_SQL}, {GRID_SQL},
+ch AS (SELECT unnest(string_split(previous_update_dates, '|')) AS week FROM folded WHERE previous_update_dates <> ''),
+c AS (SELECT week, count(*) AS n FROM ch GROUP BY 1), d AS (SELECT on_website_to AS week, count(*) AS n FROM folded WHERE absent GROUP BY 1),
+w AS (SELECT week FROM c UNION SELECT week FROM d)
+SELECT w.week, coalesce(c.n, 0)::BIGINT AS changes, coalesce(d.n, 0)::BIGINT AS departures FROM w LEFT JOIN c USING (week) LEFT JOIN d USING (week)""")
+def changes_per_week(spark, sf_dir):
+    return history.changes_per_week(_folded(spark, sf_dir, retired=True))
+
+
+@query(f"WITH {RETIRED_SQL}, {GRID_SQL} SELECT CASE WHEN absent THEN 'absent' ELSE 'active' END AS state, count(*)::BIGINT AS n, count(*) FILTER (absent = (on_website_to IS NOT NULL))::BIGINT AS n_consistent FROM folded GROUP BY 1")
+def activity(spark, sf_dir):
+    return analytics.activity(_folded(spark, sf_dir, retired=True))
+
+
+@query(f"WITH {RETIRED_SQL} SELECT user_id, event_type, strftime(f, '%Y-%m-%d %H:%M:%S') AS valid_from, t IS NULL AS is_open FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY t DESC NULLS FIRST, f DESC) AS rn FROM versions) WHERE rn = 1")
+def last_version(spark, sf_dir):
+    return history.latest(_versions(spark, sf_dir, retired=True), "user_id").select("user_id", "event_type", stamp(history.FROM).alias("valid_from"), F.col(history.TO).isNull().alias("is_open"))
+
+
+@query(f"WITH {RETIRED_SQL} SELECT count(*) FILTER (t IS NULL)::BIGINT AS n_live FROM versions")
+def count_live(spark, sf_dir):
+    return history.count_live(_versions(spark, sf_dir, retired=True))
+
+
+@query("SELECT md5(text) AS text_md5, count(*)::BIGINT AS n FROM documents GROUP BY 1 HAVING count(*) > 1")
+def duplicate_keys(spark, sf_dir):
+    return analytics.duplicate_groups(table(spark, sf_dir, "documents").select(F.md5("text").alias("text_md5")), ["text_md5"])
+
+
+@query("""
+WITH a AS (SELECT p_name AS k, min(p_brand) AS v, 1 AS loaded FROM part WHERE p_partkey % 2 = 0 GROUP BY 1), b AS (SELECT p_name AS k, max(p_type) AS v, 2 AS loaded FROM part WHERE p_partkey % 3 = 0 GROUP BY 1)
+SELECT k, v, loaded FROM (SELECT *, row_number() OVER (PARTITION BY k ORDER BY loaded DESC) AS rn FROM (SELECT * FROM a UNION ALL SELECT * FROM b)) WHERE rn = 1""")
+def segments_upsert(spark, sf_dir):
+    part = table(spark, sf_dir, "part")
+    a = part.where("p_partkey % 2 = 0").groupBy(F.col("p_name").alias("k")).agg(F.min("p_brand").alias("v")).withColumn("loaded", F.lit(1))
+    b = part.where("p_partkey % 3 = 0").groupBy(F.col("p_name").alias("k")).agg(F.max("p_type").alias("v")).withColumn("loaded", F.lit(2))
+    return history.upsert(a, b, "k", "loaded")
+
+
+@query("""
+WITH p AS (SELECT DISTINCT p_name FROM part), s AS (SELECT p_name, CASE WHEN length(p_name) % 3 = 0 THEN NULL WHEN length(p_name) % 3 = 1 THEN 'r1' ELSE 'r2' END AS revision FROM p WHERE md5(p_name) < '8')
+SELECT p.p_name, md5(p.p_name) AS key FROM p LEFT JOIN s USING (p_name) WHERE s.revision IS DISTINCT FROM 'r2'""")
+def stale_segments(spark, sf_dir):
+    part = table(spark, sf_dir, "part").select("p_name")
+    n = F.length("p_name") % 3
+    stored = part.distinct().where(F.md5("p_name") < "8").withColumn("revision", F.when(n == 0, None).when(n == 1, "r1").otherwise("r2"))
+    return segment.stale(part, stored, "p_name", "r2").withColumn("key", F.md5("p_name"))
+
+
+@query("SELECT strftime(date_trunc('week', ts), '%G-W%V') AS week, event_type, count(*)::BIGINT AS n, round(sum(value), 2) AS total FROM events GROUP BY 1, 2")
+def weekly_tumbling(spark, sf_dir):
+    from chronicle.streaming import streams
+
+    ev = table(spark, sf_dir, "events").withColumn("ts", F.col("ts").cast("timestamp"))
+    return streams.weekly(ev, "ts", F.count("*").alias("n"), F.round(F.sum("value"), 2).alias("total"), by=("event_type",)).select("week", "event_type", "n", "total")
+
+
+@query("""
+WITH g AS (SELECT user_id, ts, CASE WHEN ts - lag(ts) OVER (PARTITION BY user_id ORDER BY ts) >= INTERVAL 6 HOUR THEN 1 ELSE 0 END AS new FROM events),
+s AS (SELECT *, sum(new) OVER (PARTITION BY user_id ORDER BY ts) AS k FROM g)
+SELECT user_id, strftime(min(ts), '%Y-%m-%d %H:%M:%S') AS start, count(*)::BIGINT AS n FROM s GROUP BY user_id, k""")
+def session_windows(spark, sf_dir):
+    from chronicle.streaming import streams
+
+    ev = table(spark, sf_dir, "events").withColumn("ts", F.col("ts").cast("timestamp"))
+    return streams.sessions(ev, "ts", "user_id", "6 hours", F.count("*").alias("n")).select("user_id", stamp("start").alias("start"), "n")
+
+
+@query("SELECT strftime(o_orderdate, '%G-W%V') AS week, count(*)::BIGINT AS n FROM orders GROUP BY 1")
+def iso_week_counts(spark, sf_dir):
+    return table(spark, sf_dir, "orders").groupBy(timeops.iso_week(F.col("o_orderdate")).alias("week")).agg(F.count("*").alias("n"))
+
+
+# ---------------------------------------------------------------- text and shape
+
+INVISIBLE_SQL = r"[\x{00ad}\x00-\x08\x0b\x0c\x0e-\x1f\x7f-\x{009f}]"
+CLEAN_SQL = f"nullif(trim(regexp_replace(regexp_replace({{x}}, '{INVISIBLE_SQL}', '', 'g'), '[\\s\\x{{{{00a0}}}}]+', ' ', 'g')), '')".replace("{{", "{").replace("}}", "}")
+
+
+@query(f"""
+WITH d AS (SELECT doc_id, CASE doc_id % 4 WHEN 0 THEN chr(173) || text WHEN 1 THEN replace(text, ' ', chr(160) || chr(9)) WHEN 2 THEN replace(text, 'e', 'e' || chr(144)) ELSE CASE WHEN doc_id % 8 = 3 THEN '  ' || chr(160) ELSE text END END AS x FROM documents)
+SELECT doc_id, md5({CLEAN_SQL.replace('{x}', 'x')}) AS cleaned_md5, {CLEAN_SQL.replace('{x}', 'x')} IS NULL AS emptied FROM d""")
+def clean_text(spark, sf_dir):
+    k, x = F.col("doc_id") % 4, F.col("text")
+    soiled = (
+        F.when(k == 0, F.concat(F.lit("­"), x))
+        .when(k == 1, F.replace(x, F.lit(" "), F.lit(" \t")))
+        .when(k == 2, F.replace(x, F.lit("e"), F.lit("e\u0090")))
+        .when(F.col("doc_id") % 8 == 3, F.lit("   "))
+        .otherwise(x)
+    )
+    cleaned = table(spark, sf_dir, "documents").select("doc_id", text.clean(soiled).alias("c"))
+    return cleaned.select("doc_id", F.md5("c").alias("cleaned_md5"), F.col("c").isNull().alias("emptied"))
+
+
+HTML_SQL = "html"
+for _ref, _char in [*text.COMMON_ENTITIES.items(), ("&amp;", "&")]:
+    HTML_SQL = f"replace({HTML_SQL}, '{_ref}', '{_char.replace(chr(39), chr(39) * 2)}')"
+STRIP_SQL = CLEAN_SQL.replace("{x}", f"regexp_replace(replace(replace({HTML_SQL}, '<![CDATA[', ''), ']]>', ''), '<[^>]+>', ' ', 'g')")
+
+
+@query(f"SELECT page_id, md5({STRIP_SQL}) AS text_md5, length({STRIP_SQL})::BIGINT AS n_chars FROM pages")
+def strip_html(spark, sf_dir):
+    return table(spark, sf_dir, "pages").select("page_id", text.strip_html(F.col("html")).alias("t")).select("page_id", F.md5("t").alias("text_md5"), F.length("t").cast("long").alias("n_chars"))
+
+
+@query("""
+WITH s AS (SELECT page_id, CASE WHEN strpos(url, '//') > 0 THEN substr(url, strpos(url, '//') + 2) ELSE '' END AS rest FROM pages)
+SELECT page_id, lower(replace(regexp_replace(rest, '\\.html$', ''), '/', '-')) AS slug, md5(lower(replace(regexp_replace(rest, '\\.html$', ''), '/', '-'))) AS id_hash FROM s""")
+def url_keys(spark, sf_dir):
+    slug = text.id_slug(F.col("url"), "//")
+    return table(spark, sf_dir, "pages").select("page_id", slug.alias("slug"), text.id_hash(slug).alias("id_hash"))
+
+
+@query("SELECT page_id, nullif(regexp_extract(url, '([^/]+)$', 1), '') AS leaf, nullif(regexp_extract(url || '/', '([^/]+)$', 1), '') AS none FROM pages")
+def leaf_label(spark, sf_dir):
+    return table(spark, sf_dir, "pages").select("page_id", text.leaf(F.col("url")).alias("leaf"), text.leaf(F.concat("url", F.lit("/"))).alias("none"))
+
+
+@query("""
+SELECT c_nationkey, string_agg(DISTINCT CASE c_mktsegment WHEN 'BUILDING' THEN 'CONSTRUCTION' WHEN 'MACHINERY' THEN 'CONSTRUCTION' ELSE c_mktsegment END, '|' ORDER BY CASE c_mktsegment WHEN 'BUILDING' THEN 'CONSTRUCTION' WHEN 'MACHINERY' THEN 'CONSTRUCTION' ELSE c_mktsegment END) AS segments
+FROM customer GROUP BY 1""")
+def alias_decode(spark, sf_dir):
+    lists = table(spark, sf_dir, "customer").groupBy("c_nationkey").agg(F.collect_set("c_mktsegment").alias("s"))
+    return lists.select("c_nationkey", bag(arrays.aliased(F.col("s"), {"BUILDING": "CONSTRUCTION", "MACHINERY": "CONSTRUCTION"})).alias("segments"))
+
+
+@query("""
+WITH g AS (SELECT p_size, CASE WHEN p_partkey % 3 = 0 THEN 'a' ELSE 'b' END AS parent, p_brand FROM part),
+d AS (SELECT DISTINCT p_size, parent || '.' || p_brand AS path FROM g)
+SELECT p_size, string_agg(path, '|' ORDER BY path) AS paths, count(*)::BIGINT AS n FROM d GROUP BY 1""")
+def collapse_pivots(spark, sf_dir):
+    part = table(spark, sf_dir, "part")
+    third = F.col("p_partkey") % 3 == 0
+    lists = part.groupBy("p_size").agg(F.collect_set(F.when(third, F.col("p_brand"))).alias("a"), F.collect_set(F.when(~third, F.col("p_brand"))).alias("b"))
+    lists = lists.withColumn("a", F.when(F.size("a") > 0, F.col("a")))  # a null list adds nothing
+    out = shape.collapsed(lists, {"paths": [("a", "a"), ("b", "b")]})
+    return out.select("p_size", bag("paths").alias("paths"), F.size("paths").cast("long").alias("n"))
+
+
+@query("""
+WITH r AS (SELECT p_size, list(DISTINCT p_brand) FILTER (p_partkey % 2 = 0) AS parents, list(DISTINCT p_brand || '.' || p_type) AS paths FROM part GROUP BY 1),
+e AS (SELECT p_size, parents, unnest(paths) AS path FROM r)
+SELECT p_size, path FROM e WHERE NOT coalesce(list_contains(parents, split_part(path, '.', 1)), false)""")
+def pivot_orphans(spark, sf_dir):
+    part = table(spark, sf_dir, "part")
+    rows = part.groupBy("p_size").agg(F.collect_set(F.when(F.col("p_partkey") % 2 == 0, F.col("p_brand"))).alias("parents"), F.collect_set(F.concat("p_brand", F.lit("."), "p_type")).alias("paths"))
+    return analytics.orphans(rows, "parents", "paths", "p_size")
+
+
+@query("SELECT p_type AS child, count(DISTINCT p_brand)::BIGINT AS n_parents FROM part GROUP BY 1 HAVING count(DISTINCT p_brand) > 1")
+def shared_children(spark, sf_dir):
+    rows = table(spark, sf_dir, "part").groupBy("p_size").agg(F.collect_set(F.concat("p_brand", F.lit("."), "p_type")).alias("paths"))
+    return analytics.shared_children(rows, "paths")
+
+
+@query("SELECT o.o_orderkey, coalesce(CASE WHEN o.o_orderkey % 5 <> 0 THEN c.c_name END, 'order-' || o.o_orderkey) || ' von P, L, https://x/' || o.o_orderkey AS line FROM orders o LEFT JOIN customer c ON o.o_custkey = c.c_custkey")
+def attribution_line(spark, sf_dir):
+    o, c = table(spark, sf_dir, "orders"), table(spark, sf_dir, "customer")
+    key = F.col("o_orderkey").cast("string")
+    title = F.when(F.col("o_orderkey") % 5 != 0, F.col("c_name"))
+    line = shape.attribution(title, F.concat(F.lit("order-"), key), F.concat(F.lit("https://x/"), key), "P", "L")
+    return o.join(c, o.o_custkey == c.c_custkey, "left").select("o_orderkey", line.alias("line"))
+
+
+@query("""
+WITH s AS (SELECT o_orderkey, CASE o_orderkey % 5 WHEN 0 THEN strftime(o_orderdate, '%Y-%m-%d') WHEN 1 THEN strftime(o_orderdate, '%Y-%m-%dT%H:%M:%S') WHEN 2 THEN strftime(o_orderdate, '%Y-%m') WHEN 3 THEN '2024-02-31' ELSE 'never' END AS x FROM orders)
+SELECT o_orderkey, strftime(CASE WHEN regexp_matches(x, '^\\d{4}-\\d{2}-\\d{2}([T ]\\d{2}:\\d{2}:\\d{2})?$') THEN try_cast(x AS TIMESTAMP) END, '%Y-%m-%d %H:%M:%S') AS parsed FROM s""")
+def try_parse_iso(spark, sf_dir):
+    k, d = F.col("o_orderkey") % 5, F.col("o_orderdate")
+    x = F.when(k == 0, F.date_format(d, "yyyy-MM-dd")).when(k == 1, F.date_format(d, "yyyy-MM-dd'T'HH:mm:ss")).when(k == 2, F.date_format(d, "yyyy-MM")).when(k == 3, "2024-02-31").otherwise("never")
+    return table(spark, sf_dir, "orders").select("o_orderkey", stamp(timeops.parse_iso(x)).alias("parsed"))
+
+
+@query("SELECT c_custkey, '[' || string_agg('\"' || o_orderpriority || '\"', ',' ORDER BY o_orderkey) || ']' AS cell, count(*)::BIGINT AS n FROM customer JOIN orders ON c_custkey = o_custkey GROUP BY 1")
+def json_cells(spark, sf_dir):
+    from chronicle.sinks import tables
+
+    c, o = table(spark, sf_dir, "customer"), table(spark, sf_dir, "orders")
+    lists = c.join(o, c.c_custkey == o.o_custkey).groupBy("c_custkey").agg(F.array_sort(F.collect_list(F.struct("o_orderkey", "o_orderpriority"))).alias("x"))
+    flat = tables.cells(lists.select("c_custkey", F.transform("x", lambda e: e["o_orderpriority"]).alias("cell")))
+    return flat.withColumn("n", F.size(F.from_json("cell", "array<string>")).cast("long"))
+
+
+# ---------------------------------------------------------------- links
+
+FIRST_SUPPLIER_SQL = "SELECT l_orderkey, l_suppkey FROM (SELECT *, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_suppkey) AS rn FROM lineitem) WHERE rn = 1"
+
+
+def _supplier_links(spark, sf_dir) -> DataFrame:
+    """Orders with their suppliers as links, in line order."""
+    lines = table(spark, sf_dir, "lineitem").groupBy("l_orderkey").agg(F.array_sort(F.collect_list(F.struct("l_linenumber", "l_suppkey"))).alias("x"))
+    return lines.select("l_orderkey", F.transform("x", lambda e: F.concat(F.lit("target:"), e["l_suppkey"].cast("string"))).alias("links"))
+
+
+def _supplier_index(spark, sf_dir) -> DataFrame:
+    """Two suppliers in three have a document."""
+    s = table(spark, sf_dir, "supplier").where("s_suppkey % 3 <> 0")
+    return s.select(F.col("s_suppkey").cast("string").alias("href"), F.concat(F.lit("https://s/"), F.col("s_suppkey").cast("string")).alias("url"), F.col("s_name").alias("title"), F.col("s_nationkey").alias("nation"))
+
+
+@query(f"SELECT f.l_orderkey, s.s_name AS contact_title, s.s_nationkey AS contact_nation FROM ({FIRST_SUPPLIER_SQL}) f LEFT JOIN (SELECT * FROM supplier WHERE s_suppkey % 3 <> 0) s ON f.l_suppkey = s.s_suppkey")
+def contact_first_link(spark, sf_dir):
+    out = linkage.first_link(_supplier_links(spark, sf_dir), "links", _supplier_index(spark, sf_dir), ["title", "nation"], "contact_")
+    return out.select("l_orderkey", "contact_title", "contact_nation")
+
+
+@query("""
+SELECT l_orderkey, coalesce(string_agg('https://s/' || s_suppkey || ' ' || s_name, '|' ORDER BY l_linenumber, s_suppkey), '') AS links, count(s_suppkey)::BIGINT AS n_links
+FROM lineitem LEFT JOIN (SELECT * FROM supplier WHERE s_suppkey % 3 <> 0) ON l_suppkey = s_suppkey GROUP BY 1""")
+def resolve_links(spark, sf_dir):
+    out = linkage.resolved(_supplier_links(spark, sf_dir), "l_orderkey", "links", _supplier_index(spark, sf_dir), "found")
+    said = F.transform("found", lambda x: F.concat(x["url"], F.lit(" "), x["title"]))
+    return out.select("l_orderkey", F.array_join(said, "|").alias("links"), F.size("found").cast("long").alias("n_links"))
+
+
+@query("""
+WITH n AS (SELECT n_nationkey, (n_nationkey + 1) % 25 AS address, CASE WHEN n_nationkey % 3 = 0 THEN NULL ELSE n_name END AS city, n_nationkey % 3 <> 0 OR n_nationkey % 2 = 0 AS has_city, (n_nationkey * 2) % 30 AS site, CASE n_nationkey % 4 WHEN 0 THEN '' WHEN 1 THEN NULL ELSE 'https://n/' || n_nationkey END AS url FROM nation)
+SELECT n.n_nationkey::VARCHAR AS href, CASE WHEN n.has_city THEN n.city ELSE a.city END AS city, coalesce(nullif(w.url, ''), 'https://base/' || n.site || '.html') AS website_url
+FROM n LEFT JOIN n a ON n.address = a.n_nationkey LEFT JOIN n w ON n.site = w.n_nationkey""")
+def self_address_join(spark, sf_dir):
+    k = F.col("n_nationkey")
+    link = lambda x: F.concat(F.lit("target:"), x.cast("string"))
+    index = table(spark, sf_dir, "nation").select(
+        k.cast("string").alias("href"), link((k + 1) % 25).alias("address"), F.when(k % 3 != 0, F.col("n_name")).alias("city"), ((k % 3 != 0) | (k % 2 == 0)).alias("has_city"),
+        link((k * 2) % 30).alias("website"), F.when(k % 4 == 0, "").when(k % 4 != 1, F.concat(F.lit("https://n/"), k.cast("string"))).alias("url"),
+    )
+    return linkage.with_website(linkage.with_address(index, ["city"]), "https://base/").select("href", "city", "website_url")
+
+
+@query("SELECT p.p_partkey, s.n AS n_terms FROM part p LEFT JOIN (SELECT p_name, length(p_name)::BIGINT AS n FROM (SELECT DISTINCT p_name FROM part) WHERE md5(p_name) < '8') s ON CASE WHEN p.p_partkey % 10 <> 0 THEN p.p_name END = s.p_name")
+def keyword_lookup(spark, sf_dir):
+    part = table(spark, sf_dir, "part").select("p_partkey", F.when(F.col("p_partkey") % 10 != 0, F.col("p_name")).alias("keywords"))
+    known = table(spark, sf_dir, "part").select(F.col("p_name").alias("keywords")).distinct().where(F.md5("keywords") < "8").withColumn("terms", F.length("keywords").cast("long"))
+    return shape.with_terms(part, known, out="n_terms").select("p_partkey", "n_terms")
+
+
+# ---------------------------------------------------------------- contract
+
+
+@query("""
+SELECT 'o_orderstatus' AS column_name, 'vocabulary' AS check_name, count(*)::BIGINT AS n_rows, count(*) FILTER (o_orderstatus NOT IN ('F', 'O'))::BIGINT AS n_failed FROM orders
+UNION ALL SELECT 'o_orderpriority', 'vocabulary', count(*), count(*) FILTER (o_orderpriority NOT IN ('1-URGENT', '2-HIGH', '3-MEDIUM', '4-NOT SPECIFIED', '5-LOW')) FROM orders""")
+def closed_vocab_check(spark, sf_dir):
+    checks = [contract.in_vocabulary("o_orderstatus", ["F", "O"]), contract.in_vocabulary("o_orderpriority", ["1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW"])]
+    return contract.report(table(spark, sf_dir, "orders"), checks)
+
+
+@query("""
+WITH l AS (SELECT l_orderkey, list(CASE WHEN l_linenumber % 5 = 0 THEN NULL ELSE l_returnflag END) AS x FROM lineitem GROUP BY 1)
+SELECT 'x' AS column_name, 'elements' AS check_name, count(*)::BIGINT AS n_rows, count(*) FILTER (NOT list_bool_and(list_transform(x, lambda e: coalesce(e IN ('A', 'N', 'R'), false))))::BIGINT AS n_failed FROM l""")
+def list_element_check(spark, sf_dir):
+    """A null element fails."""
+    line = table(spark, sf_dir, "lineitem")
+    flag = F.array(F.when(F.col("l_linenumber") % 5 != 0, F.col("l_returnflag")))  # collect_list alone would drop the null
+    lists = line.groupBy("l_orderkey").agg(F.flatten(F.collect_list(flag)).alias("x"))
+    return contract.report(lists, [contract.elements("x", lambda e: e.isin("A", "N", "R"))])
+
+
+@query("""
+WITH n AS (SELECT count(*)::BIGINT AS n FROM orders)
+SELECT 'o_orderkey' AS column_name, 'not_null' AS check_name, n AS n_rows, 0::BIGINT AS n_failed FROM n
+UNION ALL SELECT 'o_orderpriority', 'pattern', n, (SELECT count(*) FROM orders WHERE NOT regexp_matches(o_orderpriority, '^[1-4]-')) FROM n
+UNION ALL SELECT 'o_orderpriority', 'contains', n, (SELECT count(*) FROM orders WHERE NOT contains(o_orderpriority, 'I')) FROM n
+UNION ALL SELECT 'o_totalprice', 'range', n, (SELECT count(*) FROM orders WHERE NOT (o_totalprice BETWEEN 10000.0 AND 200000.0)) FROM n
+UNION ALL SELECT 'o_orderpriority', 'cleaned', n, 0 FROM n
+UNION ALL SELECT 'o_custkey', 'unique', n, (SELECT coalesce(sum(k), 0)::BIGINT FROM (SELECT count(*) AS k FROM orders GROUP BY o_custkey HAVING count(*) > 1)) FROM n
+UNION ALL SELECT 'o_orderkey', 'unique', n, (SELECT coalesce(sum(k), 0)::BIGINT FROM (SELECT count(*) AS k FROM orders GROUP BY o_orderkey HAVING count(*) > 1)) FROM n""")
+def contract_report(spark, sf_dir):
+    checks = [contract.not_null("o_orderkey"), contract.matches("o_orderpriority", "^[1-4]-"), contract.holds("o_orderpriority", "I"), contract.between("o_totalprice", 10000.0, 200000.0), contract.cleaned("o_orderpriority")]
+    return contract.report(table(spark, sf_dir, "orders"), checks, unique=["o_custkey", "o_orderkey"])
+
+
+@query("SELECT 'l_shipdate' AS column_name, 'range' AS check_name, count(*)::BIGINT AS n_rows, count(*) FILTER (NOT l_shipdate BETWEEN TIMESTAMP '1996-01-01' AND TIMESTAMP '1998-12-31')::BIGINT AS n_failed FROM lineitem")
+def range_check(spark, sf_dir):
+    day = lambda d: F.to_timestamp_ntz(F.lit(d))
+    check = contract.Check("range", "l_shipdate", F.col("l_shipdate").between(day("1996-01-01"), day("1998-12-31")))
+    return contract.report(table(spark, sf_dir, "lineitem"), [check])
+
+
+VIOLATION_SQL = "SELECT 'status ' || o_orderstatus || ' with priority ' || o_orderpriority AS message, o_orderkey::VARCHAR AS file FROM orders WHERE o_totalprice > 250000"
+
+
+@query(f"SELECT message, n, array_to_string(list_sort(l)[1:3], '|') AS examples FROM (SELECT message, count(*)::BIGINT AS n, list(file) AS l FROM ({VIOLATION_SQL}) GROUP BY 1) ORDER BY n DESC, message LIMIT 5")
+def topk_violations(spark, sf_dir):
+    o = table(spark, sf_dir, "orders").where("o_totalprice > 250000")
+    rows = o.select(F.concat(F.lit("status "), "o_orderstatus", F.lit(" with priority "), "o_orderpriority").alias("message"), F.col("o_orderkey").cast("string").alias("file"))
+    return contract.most_common(rows).limit(5).select("message", "n", F.array_join("examples", "|").alias("examples"))
+
+
+# ---------------------------------------------------------------- segmentation
+
+#: Words of a part's name, doubled with a function word and punctuation, so that every rule has work.
+KEYWORDS_SQL = "SELECT p_partkey, replace(p_name, ' ', CASE p_partkey % 4 WHEN 0 THEN ' und ' WHEN 1 THEN ', für ' WHEN 2 THEN '  ' ELSE ' kleine (Dinge) ' END) || CASE WHEN p_partkey % 3 = 0 THEN ' Test' ELSE '' END AS kw FROM part"
+TOKENS_SQL = f"""
+k AS ({KEYWORDS_SQL}),
+tok AS (SELECT p_partkey, kw, list_filter(string_split_regex(trim(kw), '\\s+'), lambda t: t <> '') AS w FROM k),
+gap AS (SELECT p_partkey, kw, w, list_transform(range(1, len(w)), lambda i: (ascii(w[i]) + i + p_partkey) % 10 / 10.0) AS probs FROM tok)"""
+FUNCTION_SQL = "(" + ", ".join(f"'{w}'" for w in segment.FUNCTION_WORDS) + ")"
+EDGE_SQL = "' ,;.:()[]\"'''"
+SEGMENT_SQL = f"""{TOKENS_SQL},
+glue AS (SELECT p_partkey, kw, w, probs, list_transform(range(1, len(w)), lambda i: probs[i] >= 0.5 OR (NOT regexp_matches(rtrim(w[i], ' "'')]'), '[,;]$')
+  AND (lower(trim(w[i], {EDGE_SQL})) IN {FUNCTION_SQL} OR lower(trim(w[i + 1], {EDGE_SQL})) IN {FUNCTION_SQL}))) AS joins FROM gap),
+words AS (SELECT p_partkey, i, w[i] AS word, CASE WHEN i = 1 THEN 1 WHEN joins[i - 1] THEN 0 ELSE 1 END AS new FROM glue, unnest(range(1, len(w) + 1)) AS t(i)),
+grp AS (SELECT *, sum(new) OVER (PARTITION BY p_partkey ORDER BY i) AS g FROM words),
+term AS (SELECT p_partkey, g, min(i) - 1 AS lo, max(i) AS hi, trim(string_agg(word, ' ' ORDER BY i), {EDGE_SQL}) AS term FROM grp GROUP BY 1, 2)"""
+
+
+def _keywords(spark, sf_dir) -> DataFrame:
+    k = F.col("p_partkey")
+    sep = F.when(k % 4 == 0, " und ").when(k % 4 == 1, ", für ").when(k % 4 == 2, "  ").otherwise(" kleine (Dinge) ")
+    kw = F.concat(F.replace("p_name", F.lit(" "), sep), F.when(k % 3 == 0, " Test").otherwise(""))
+    rows = table(spark, sf_dir, "part").select("p_partkey", kw.alias("kw")).withColumn("w", text.tokens(F.col("kw")))
+    places = F.sequence(F.lit(1), F.size("w") - 1)
+    prob = lambda i: (F.ascii(F.element_at("w", i)) + i + k) % 10 / F.lit(10.0)
+    return rows.withColumn("probs", F.when(F.size("w") > 1, F.transform(places, prob)).otherwise(F.array().cast("array<double>")))
+
+
+@query(f"WITH {SEGMENT_SQL} SELECT p_partkey, string_agg(term, '|' ORDER BY g) FILTER (term <> '') AS terms, string_agg((hi - lo)::VARCHAR, ',' ORDER BY g) AS sizes FROM term GROUP BY 1")
+def tokenize_terms(spark, sf_dir):
+    out = _keywords(spark, sf_dir).withColumn("d", segment.decoded(F.col("w"), F.col("probs")))
+    return out.select("p_partkey", F.array_join("d.terms", "|").alias("terms"), F.array_join(F.transform("d.sizes", lambda n: n.cast("string")), ",").alias("sizes"))
+
+
+@query(f"""WITH {SEGMENT_SQL},
+said AS (SELECT p_partkey, CASE WHEN p_partkey % 6 = 5 THEN string_agg(term, ' ' ORDER BY g DESC) ELSE string_agg(term, ' ' ORDER BY g) END AS s FROM term GROUP BY 1),
+a AS (SELECT p_partkey, list_filter(list_transform(w, lambda x: trim(x, {EDGE_SQL})), lambda x: x <> '') AS l FROM tok),
+b AS (SELECT p_partkey, list_filter(list_transform(list_filter(string_split_regex(trim(s), '\\s+'), lambda t: t <> ''), lambda x: trim(x, {EDGE_SQL})), lambda x: x <> '') AS l FROM said)
+SELECT a.l = b.l AS holds, count(*)::BIGINT AS n FROM a JOIN b USING (p_partkey) GROUP BY 1""")
+def span_partition(spark, sf_dir):
+    """Terms in order keep the invariant, turned round they mostly don't."""
+    out = _keywords(spark, sf_dir).select("p_partkey", "kw", segment.decoded(F.col("w"), F.col("probs"))["terms"].alias("terms"))
+    said = F.when(F.col("p_partkey") % 6 == 5, F.reverse("terms")).otherwise(F.col("terms"))
+    return out.groupBy(contract.partition_holds(F.col("kw"), said).alias("holds")).agg(F.count("*").alias("n"))
+
+
+PAIR_SQL = f"""{TOKENS_SQL},
+two AS (SELECT p_partkey, len(w) AS n, list_transform(probs, lambda p: p >= 0.5) AS jg, list_transform(probs, lambda p: p >= {{tau}}) AS jp FROM gap {{grid}}),
+cuts AS (SELECT {{key}} p_partkey, n, list_concat([0], list_filter(range(1, n), lambda i: NOT jg[i]), [n]) AS cg, list_concat([0], list_filter(range(1, n), lambda i: NOT jp[i]), [n]) AS cp FROM two),
+sp AS (SELECT {{key}} p_partkey, list_transform(range(1, len(cg)), lambda i: [cg[i], cg[i + 1]]) AS sg, list_transform(range(1, len(cp)), lambda i: [cp[i], cp[i + 1]]) AS sq FROM cuts),
+sc AS (SELECT {{key}} p_partkey, len(list_intersect(sg, sq)) AS hits, len(sq) AS np, len(sg) AS ng FROM sp),
+pool AS (SELECT {{key}} sum(hits)::BIGINT AS hits, sum(ng)::BIGINT AS support, CASE WHEN coalesce(sum(np) FILTER (hits > 0), 0) > 0 THEN sum(hits) / sum(np) FILTER (hits > 0) ELSE 0.0 END AS p, sum(hits) / sum(np) AS ps, sum(hits) / sum(ng) AS r FROM sc {{by}})
+SELECT {{key}} hits, support, round(p, 6) AS precision, round(ps, 6) AS precision_strict, round(r, 6) AS recall, round(CASE WHEN hits > 0 THEN 2 * p * r / (p + r) ELSE 0.0 END, 6) AS f1 FROM pool"""
+
+
+def _rounded(df: DataFrame) -> DataFrame:
+    return df.withColumns({c: F.round(c, 6) for c in ("precision", "precision_strict", "recall", "f1")} | {"hits": F.col("hits").cast("long"), "support": F.col("support").cast("long")})
+
+
+@query("WITH " + PAIR_SQL.format(tau="0.7", grid="", key="", by=""))
+def span_f1(spark, sf_dir):
+    k = _keywords(spark, sf_dir)
+    sizes = lambda t: segment.joins_to_sizes(F.transform("probs", lambda p: p >= t))
+    return _rounded(segment.pooled(k.select(segment.score(sizes(0.7), sizes(0.5)).alias("score")), []))
+
+
+@query("WITH " + PAIR_SQL.format(tau="threshold", grid=", (SELECT unnest(range(1, 20)) / 20.0 AS threshold)", key="threshold,", by="GROUP BY threshold").replace("two AS (SELECT p_partkey", "two AS (SELECT threshold, p_partkey"))
+def threshold_sweep(spark, sf_dir):
+    k = _keywords(spark, sf_dir)
+    gold = segment.joins_to_sizes(F.transform("probs", lambda p: p >= 0.5))
+    return _rounded(segment.sweep(k.select("probs", gold.alias("gold")), "probs", "gold"))
+
+
+@query(f"WITH {TOKENS_SQL}, n AS (SELECT len(w) AS n, len(list_filter(probs, lambda p: p >= 0.5)) AS k FROM gap) SELECT count(*)::BIGINT AS n_rows, sum(n)::BIGINT AS n_words, sum(k)::BIGINT AS n_inside, round(sum(k) / sum(n), 4) AS inside_rate FROM n")
+def bio_stats(spark, sf_dir):
+    sizes = segment.joins_to_sizes(F.transform("probs", lambda p: p >= 0.5))
+    return segment.label_stats(_keywords(spark, sf_dir).select(segment.bio(sizes).alias("labels")))
+
+
+@query(f"WITH {TOKENS_SQL} SELECT round(avg(CASE WHEN (p >= 0.5) = (p >= 0.7) THEN 1.0 ELSE 0.0 END), 6) AS accuracy FROM (SELECT unnest(probs) AS p FROM gap)")
+def gap_accuracy(spark, sf_dir):
+    k = _keywords(spark, sf_dir).select(F.transform("probs", lambda p: p >= 0.7).alias("a"), F.transform("probs", lambda p: p >= 0.5).alias("b"))
+    return segment.gap_accuracy(k, "a", "b").select(F.round("accuracy", 6).alias("accuracy"))
+
+
+FIELDS_SQL = """
+s AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM documents),
+v AS (SELECT DISTINCT regexp_replace(line, '\\.', ',', 'g') AS value FROM s WHERE regexp_matches(line, '[;,]')),
+f AS (SELECT value, list_filter(list_transform(string_split_regex(value, '[;,]'), lambda x: trim(x)), lambda x: x <> '') AS fs FROM v),
+t AS (SELECT value, list_transform(fs, lambda x: list_filter(string_split_regex(x, '\\s+'), lambda y: y <> '')) AS ws FROM f WHERE len(fs) > 1),
+u AS (SELECT * FROM t WHERE len(list_filter(ws, lambda w: len(w) > 3)) = 0)"""
+
+
+@query(f"""WITH {FIELDS_SQL},
+e AS (SELECT value, i, ws[i] AS w FROM u, unnest(range(1, len(ws) + 1)) AS x(i)),
+g AS (SELECT value, i, w, len(w) > 1 AND (ends_with(w[1], '-') OR starts_with(w[-1], '(') OR (regexp_matches(w[1], '^\\p{{L}}+$') AND regexp_matches(lower(w[1]), '(e|er|es|em)$'))) AS one FROM e)
+SELECT md5(value) AS value_md5, sum(len(w))::BIGINT AS n_tokens, sum(CASE WHEN one THEN len(w) - 1 ELSE 0 END)::BIGINT AS n_inside FROM g GROUP BY value HAVING sum(len(w)) > 1""")
+def distant_fields(spark, sf_dir):
+    lines = table(spark, sf_dir, "documents").select(F.explode(F.split("text", "\n")).alias("line"))
+    values = lines.where(F.col("line").rlike("[;,]")).select(F.replace("line", F.lit("."), F.lit(",")).alias("value")).distinct()
+    return segment.distant(values, "value").select(F.md5("value").alias("value_md5"), F.size("tokens").cast("long").alias("n_tokens"), segment.total(F.col("labels")).cast("long").alias("n_inside"))
+
+
+@query(f"""
+WITH f AS (SELECT doc_id, unnest(string_split_regex(text, '[;,]')) AS field FROM documents),
+n AS (SELECT doc_id, len(list_filter(string_split_regex(trim(field), '\\s+'), lambda w: lower(trim(w, {EDGE_SQL})) IN {FUNCTION_SQL})) AS n FROM f)
+SELECT doc_id, max(n) >= 3 AS prose FROM n GROUP BY 1""")
+def prose_flag(spark, sf_dir):
+    return table(spark, sf_dir, "documents").select("doc_id", F.coalesce(segment.is_prose(F.col("text")), F.lit(False)).alias("prose"))
+
+
+@query(f"""WITH {TOKENS_SQL}
+SELECT p_partkey, coalesce(array_to_string(list_filter(range(0, len(probs)), lambda i: probs[i + 1] BETWEEN 0.2 AND 0.8), ','), '') AS gaps FROM gap""")
+def uncertain_gaps(spark, sf_dir):
+    return _keywords(spark, sf_dir).select("p_partkey", F.array_join(F.transform(segment.uncertain_gaps(F.col("probs")), lambda i: i.cast("string")), ",").alias("gaps"))
+
+
+# ---------------------------------------------------------------- code lists
+
+CODELIST = [("geo", "10", "Africa"), ("geo", "2", "AFRICA"), ("geo", "3", "Asia & Pacific"), ("geo", "4", "Middle-East"), ("geo", "5", "Europe")]
+MANUAL = [("region", "ASIA", "3"), ("region", "ASIA", "99")]
+NO_MATCH = [("region", "AMERICA")]
+LABEL_SQL = "trim(regexp_replace(regexp_replace(replace(replace(replace(lower({x}), '&', ' und '), '-', ' '), '/', ' '), '[^0-9a-zäöüß ]', ' ', 'g'), ' +', ' ', 'g'))"
+ALIGNED_SQL = f"""
+cl(code, label) AS (VALUES {', '.join(f"('{c}', '{x}')" for _, c, x in CODELIST)}),
+cf AS (SELECT code, n FROM (SELECT code, {LABEL_SQL.format(x='label')} AS n, row_number() OVER (PARTITION BY {LABEL_SQL.format(x='label')} ORDER BY length(code), code) AS rn FROM cl) WHERE rn = 1),
+hand(c, m) AS (VALUES ('ASIA', '3'), ('ASIA', '99')),
+al AS (SELECT r_name AS code, coalesce(h.m, cf.code) AS "match", CASE WHEN h.m IS NOT NULL THEN 'manual' WHEN cf.code IS NOT NULL THEN 'label' WHEN r_name = 'AMERICA' THEN 'no match' END AS source
+  FROM region LEFT JOIN hand h ON r_name = h.c LEFT JOIN cf ON cf.n = {LABEL_SQL.format(x='r_name')})"""
+
+
+def _aligned(spark, sf_dir) -> DataFrame:
+    lists = spark.createDataFrame(CODELIST, "codelist string, code string, label string")
+    manual = spark.createDataFrame(MANUAL, "column string, code string, match string")
+    none = spark.createDataFrame(NO_MATCH, "column string, code string")
+    cats = table(spark, sf_dir, "region").select(F.lit("region").alias("column"), F.lit("geo").alias("codelist"), F.col("r_name").alias("code"), F.col("r_name").alias("label"))
+    return codelists.align(cats, lists, manual, none)
+
+
+@query(f"""WITH {ALIGNED_SQL} SELECT 'region' AS "column", code, "match", source, 'https://c/' || "match" AS uri FROM al""")
+def codelist_match(spark, sf_dir):
+    found = codelists.matches(codelists.decided(_aligned(spark, sf_dir)))
+    return found.select("column", "code", "match", "source", codelists.code_uri("https://c/{code}", F.col("match")).alias("uri"))
+
+
+@query(f"""WITH {ALIGNED_SQL} SELECT 'region' AS "column", code, (SELECT count(*) FROM nation JOIN region r ON n_regionkey = r_regionkey WHERE r.r_name = al.code)::BIGINT AS n FROM al WHERE "match" IS NULL""")
+def codelist_unmatched(spark, sf_dir):
+    n, r = table(spark, sf_dir, "nation"), table(spark, sf_dir, "region")
+    rows = n.join(r, n.n_regionkey == r.r_regionkey).select(F.array("r_name").alias("regions"))
+    return codelists.unmatched(_aligned(spark, sf_dir), rows, {"region": "regions"}).select("column", "code", "n")
+
+
+# ---------------------------------------------------------------- reports
+
+#: Customers with holes: null balances below zero, and lists that may be empty.
+HOLES_SQL = "SELECT c_custkey, CASE WHEN c_acctbal > 0 THEN c_acctbal END AS bal, CASE WHEN c_custkey % 3 = 0 THEN '[]' WHEN c_custkey % 3 = 1 THEN '[\"' || c_mktsegment || '\"]' END AS tags, NULL::VARCHAR AS note FROM customer"
+
+
+def _holes(spark, sf_dir) -> DataFrame:
+    k = F.col("c_custkey")
+    tags = F.when(k % 3 == 0, F.lit("[]")).when(k % 3 == 1, F.concat(F.lit('["'), "c_mktsegment", F.lit('"]')))
+    return table(spark, sf_dir, "customer").select("c_custkey", F.when(F.col("c_acctbal") > 0, F.col("c_acctbal")).alias("bal"), tags.alias("tags"), F.lit(None).cast("string").alias("note"))
+
+
+@query(f"""WITH h AS ({HOLES_SQL}), x AS (SELECT 'c_custkey' AS "column", count(c_custkey)::BIGINT AS f FROM h UNION ALL SELECT 'bal', count(bal) FROM h UNION ALL SELECT 'tags', count(*) FILTER (tags <> '[]') FROM h UNION ALL SELECT 'note', count(note) FROM h)
+SELECT "column", (SELECT count(*) FROM h)::BIGINT AS n_rows, f AS n_filled, round(f / (SELECT count(*) FROM h), 4) AS rate FROM x""")
+def fill_rates(spark, sf_dir):
+    rows = _holes(spark, sf_dir).withColumn("tags", F.from_json("tags", "array<string>"))
+    return analytics.fill_rates(rows)
+
+
+@query(f"""WITH h AS ({HOLES_SQL}), x AS (SELECT 'c_custkey' AS "column", count(*) FILTER (c_custkey IS NULL)::BIGINT AS m FROM h UNION ALL SELECT 'bal', count(*) FILTER (bal IS NULL) FROM h UNION ALL SELECT 'tags', count(*) FILTER (tags IS NULL OR tags = '[]') FROM h UNION ALL SELECT 'note', count(*) FROM h)
+SELECT "column", (SELECT count(*) FROM h)::BIGINT AS n_rows, m AS n_missing, round(100 * m / (SELECT count(*) FROM h), 1) AS pct FROM x""")
+def missing_report(spark, sf_dir):
+    return analytics.missing_report(_holes(spark, sf_dir))
+
+
+@query(f"""WITH h AS ({HOLES_SQL}) SELECT value, count(*)::BIGINT AS n FROM (SELECT unnest(from_json(tags, '["VARCHAR"]')) AS value FROM h) GROUP BY 1""")
+def category_frequency(spark, sf_dir):
+    return analytics.list_counts(_holes(spark, sf_dir), "tags", json=True)
+
+
+@query("SELECT json_extract_string(props, '$.k') AS value, count(*)::BIGINT AS n FROM events GROUP BY 1")
+def value_counts(spark, sf_dir):
+    return analytics.value_counts(table(spark, sf_dir, "events").withColumn("k", F.get_json_object("props", "$.k")), "k")
+
+
+@query("""
+SELECT 'order' AS candidate, count(*)::BIGINT AS n_rows, count(DISTINCT l_orderkey)::BIGINT AS n_distinct, count(*) = count(DISTINCT l_orderkey) AS is_key FROM lineitem
+UNION ALL SELECT 'order_line', count(*), count(DISTINCT (l_orderkey, l_linenumber)), count(*) = count(DISTINCT (l_orderkey, l_linenumber)) FROM lineitem""")
+def key_candidates(spark, sf_dir):
+    return analytics.key_candidates(table(spark, sf_dir, "lineitem"), {"order": ["l_orderkey"], "order_line": ["l_orderkey", "l_linenumber"]})
+
+
+@query("SELECT p_partkey, p_name, p_brand FROM part WHERE (p_name, p_brand) IN (SELECT (p_name, p_brand) FROM part GROUP BY p_name, p_brand HAVING count(*) > 1)")
+def duplicate_titles(spark, sf_dir):
+    return analytics.in_duplicates(table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_brand"), ["p_name", "p_brand"]).select("p_partkey", "p_name", "p_brand")
+
+
+@query("""
+WITH a AS (SELECT DISTINCT doc_id FROM documents), b AS (SELECT DISTINCT doc_id FROM labels)
+SELECT x AS only_a, y AS only_b, x = 0 AND y = 0 AS equal FROM (SELECT (SELECT count(*) FROM a ANTI JOIN b USING (doc_id))::BIGINT AS x, (SELECT count(*) FROM b ANTI JOIN a USING (doc_id))::BIGINT AS y)""")
+def set_equality(spark, sf_dir):
+    return analytics.same_keys(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), "doc_id")
+
+
+@query("SELECT r_name AS parent FROM region WHERE r_regionkey NOT IN (SELECT n_regionkey FROM nation WHERE n_nationkey % 5 <> 3)")
+def childless_parents(spark, sf_dir):
+    n = table(spark, sf_dir, "nation").where("n_nationkey % 5 <> 3").select(F.col("n_regionkey").alias("parent"))
+    return analytics.childless(table(spark, sf_dir, "region").select(F.col("r_regionkey").alias("parent"), "r_name"), n).select(F.col("r_name").alias("parent"))
+
+
+@query("SELECT o_orderpriority AS value, count(*)::BIGINT AS n, round(avg(CASE WHEN o_totalprice > 150000 THEN 1.0 ELSE 0.0 END), 4) AS share FROM orders GROUP BY 1")
+def conditional_coverage(spark, sf_dir):
+    return analytics.conditional_coverage(table(spark, sf_dir, "orders"), F.col("o_orderpriority"), F.col("o_totalprice") > 150000)
+
+
+CENSUS = {"mail": "[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+", "digits": "[0-9]{4}", "licence": "(?i)licen[cs]e", "table": " \\| "}
+
+
+@query(" UNION ALL ".join(f"SELECT '{k}' AS pattern, count(*) FILTER (regexp_matches(text, '{v}'))::BIGINT AS n FROM documents" for k, v in CENSUS.items()))
+def regex_census(spark, sf_dir):
+    return analytics.census(table(spark, sf_dir, "documents"), "text", CENSUS)
+
+
+@query("""
+SELECT CASE WHEN s IS NULL THEN 'missing' WHEN regexp_matches(s, '^(purchase|add)') THEN 'active' WHEN regexp_matches(s, 'view|click') THEN 'passive' ELSE 'other' END AS status, count(*)::BIGINT AS n
+FROM (SELECT lower(trim(CASE WHEN event_id % 11 <> 0 THEN upper(event_type) || ' ' END)) AS s FROM events) GROUP BY 1""")
+def status_normalise(spark, sf_dir):
+    rows = table(spark, sf_dir, "events").select(F.when(F.col("event_id") % 11 != 0, F.concat(F.upper("event_type"), F.lit(" "))).alias("s"))
+    return analytics.statuses(rows, "s", {"active": "^(purchase|add)", "passive": "view|click"})
+
+
+@query("""
+WITH o AS (SELECT l_orderkey, list(l_linenumber) FILTER (l_returnflag <> 'A') AS x FROM lineitem GROUP BY 1), y AS (SELECT * FROM o WHERE len(x) > 0)
+SELECT count(*)::BIGINT AS n, count(*) FILTER (len(list_distinct(x)) = 1)::BIGINT AS n_single, count(*) FILTER (list_max(x) - list_min(x) + 1 = len(list_distinct(x)))::BIGINT AS n_contiguous FROM y""")
+def contiguous_runs(spark, sf_dir):
+    lists = table(spark, sf_dir, "lineitem").groupBy("l_orderkey").agg(F.collect_list(F.when(F.col("l_returnflag") != "A", F.col("l_linenumber"))).alias("x"))
+    return analytics.placeholders(lists, "x")
+
+
+@query("SELECT min(n)::BIGINT AS least, max(n)::BIGINT AS most, median(n)::DOUBLE AS middle FROM (SELECT count(*) AS n FROM lineitem GROUP BY l_orderkey)")
+def median_len(spark, sf_dir):
+    n = table(spark, sf_dir, "lineitem").groupBy("l_orderkey").agg(F.count("*").alias("n"))
+    return n.agg(F.min("n").alias("least"), F.max("n").alias("most"), F.median("n").alias("middle"))
+
+
+@query("SELECT count(o_orderdate)::BIGINT AS n, count(*) FILTER (year(o_orderdate) NOT BETWEEN 1996 AND 2000)::BIGINT AS n_implausible, min(year(o_orderdate))::INTEGER AS first_year, max(year(o_orderdate))::INTEGER AS last_year, round(avg(CASE WHEN year(o_orderdate) NOT BETWEEN 1996 AND 2000 THEN 1.0 ELSE 0.0 END), 4) AS share FROM orders")
+def implausible_dates(spark, sf_dir):
+    return analytics.implausible_dates(table(spark, sf_dir, "orders"), "o_orderdate", 1996, 2000)
+
+
+@query(f"WITH h AS ({HOLES_SQL}) SELECT c_custkey FROM h WHERE bal IS NULL AND (tags IS NULL OR tags = '[]') AND note IS NULL")
+def stub_rows(spark, sf_dir):
+    rows = _holes(spark, sf_dir).withColumn("tags", F.from_json("tags", "array<string>"))
+    return analytics.stubs(rows, ["bal", "tags", "note"]).select("c_custkey")
+
+
+@query("SELECT count(*)::BIGINT AS n, count(*) FILTER (n_chars IS NOT DISTINCT FROM length(text))::BIGINT AS n_equal FROM documents")
+def redundancy(spark, sf_dir):
+    return analytics.redundant(table(spark, sf_dir, "documents"), "n_chars", F.length("text").cast("long"))
+
+
+# ---------------------------------------------------------------- samples
+
+DRAW_SQL = "md5('7:' || {k}::VARCHAR)"
+
+
+@query(f"""
+WITH s AS (SELECT doc_id, CASE WHEN n_chars < 500 THEN 'short' WHEN n_chars < 3000 THEN 'middle' ELSE 'long' END AS stratum, {DRAW_SQL.format(k='doc_id')} AS d FROM documents)
+SELECT doc_id, stratum, rank FROM (SELECT *, row_number() OVER (PARTITION BY stratum ORDER BY d, doc_id)::INTEGER AS rank FROM s) WHERE rank <= 25""")
+def hash_sample(spark, sf_dir):
+    stratum = F.when(F.col("n_chars") < 500, "short").when(F.col("n_chars") < 3000, "middle").otherwise("long")
+    return sampling.stratified(table(spark, sf_dir, "documents"), "doc_id", stratum, 25, 7).select("doc_id", "stratum", "rank")
+
+
+@query(f"SELECT o_orderkey, draw, CASE WHEN draw < 20 THEN 'test' ELSE 'train' END AS split FROM (SELECT o_orderkey, row_number() OVER (ORDER BY {DRAW_SQL.format(k='o_orderkey')}, o_orderkey)::INTEGER - 1 AS draw FROM orders) WHERE draw < 100")
+def train_test_split(spark, sf_dir):
+    return sampling.split(sampling.sample(table(spark, sf_dir, "orders"), "o_orderkey", 100, 7), 20).select("o_orderkey", "draw", "split")

@@ -32,8 +32,11 @@ def aliased(x: Column, aliases: Mapping[str, str]) -> Column:
 
 def collapsed(columns: Sequence[tuple[str, Column]]) -> Column:
     """Lists of several columns as one list of `parent.child`, in the columns' order; nulls drop out."""
-    parts = [F.transform(or_empty(c), lambda e, p=parent: F.concat(F.lit(f"{p}."), e)) for parent, c in columns]
-    return F.array_compact(F.concat(*parts))
+
+    def below(parent: str) -> Callable[[Column], Column]:
+        return lambda e: F.concat(F.lit(f"{parent}."), e)
+
+    return F.array_compact(F.concat(*(F.transform(or_empty(c), below(parent)) for parent, c in columns)))
 
 
 def contains(x: Column, value) -> Column:

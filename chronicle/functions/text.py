@@ -7,6 +7,7 @@ import re
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # Characters that never reach a cleaned text, and those that XML forbids.
 INVISIBLE = "[­\\x00-\\x08\\x0b\\x0c\\x0e-\\x1f\\x7f-\\x9f]"
@@ -47,7 +48,7 @@ def unescape(x: Column) -> Column:
     return F.replace(x, F.lit("&amp;"), F.lit("&"))
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def _unescape_batch(x):
     return x.map(html.unescape, na_action="ignore")
 
