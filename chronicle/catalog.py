@@ -247,10 +247,10 @@ SELECT doc_id, md5({CLEAN_SQL.replace('{x}', 'x')}) AS cleaned_md5, {CLEAN_SQL.r
 def clean_text(spark, sf_dir):
     k, x = F.col("doc_id") % 4, F.col("text")
     soiled = (
-        F.when(k == 0, F.concat(F.lit("­"), x))
-        .when(k == 1, F.replace(x, F.lit(" "), F.lit(" \t")))
+        F.when(k == 0, F.concat(F.lit("\u00ad"), x))
+        .when(k == 1, F.replace(x, F.lit(" "), F.lit("\u00a0\t")))
         .when(k == 2, F.replace(x, F.lit("e"), F.lit("e\u0090")))
-        .when(F.col("doc_id") % 8 == 3, F.lit("   "))
+        .when(F.col("doc_id") % 8 == 3, F.lit("  \u00a0"))
         .otherwise(x)
     )
     cleaned = table(spark, sf_dir, "documents").select("doc_id", text.clean(soiled).alias("c"))

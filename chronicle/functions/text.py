@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 # Characters that never reach a cleaned text, and those that XML forbids.
-INVISIBLE = "[­\\x00-\\x08\\x0b\\x0c\\x0e-\\x1f\\x7f-\\x9f]"
+INVISIBLE = "[\u00ad\\x00-\\x08\\x0b\\x0c\\x0e-\\x1f\\x7f-\\x9f]"
 FORBIDDEN_IN_XML = "[\\x00-\\x08\\x0b\\x0c\\x0e-\\x1f]"
 #: Characters stripped from both ends of a term.
 EDGE = " ,;.:()[]\"'"
@@ -38,7 +38,7 @@ def entities() -> dict[str, str]:
 
 
 #: References that texts commonly hold; `unescape_all` knows the rest.
-COMMON_ENTITIES = {"&lt;": "<", "&gt;": ">", "&quot;": '"', "&#39;": "'", "&apos;": "'", "&nbsp;": " ", "&copy;": "©", "&middot;": "·"}
+COMMON_ENTITIES = {"&lt;": "<", "&gt;": ">", "&quot;": '"', "&#39;": "'", "&apos;": "'", "&nbsp;": "\u00a0", "&copy;": "©", "&middot;": "·"}
 
 
 def unescape(x: Column) -> Column:

@@ -71,7 +71,7 @@ class Plans:
         return f"{self.folder}/{name}"
 
     def _versions(self, name: str, schema: T.StructType) -> DataFrame:
-        ddl = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields), "row_hash string", f"{history.FROM} timestamp", f"{history.TO} timestamp", "is_open boolean"])
+        ddl = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields), "row_hash string", f"{history.FROM} timestamp", f"{history.TO} timestamp", "is_open int"])
         return files.read_or_empty(self.spark, self._path(name), ddl)
 
     def versions(self) -> DataFrame:
@@ -79,13 +79,13 @@ class Plans:
 
     def live(self) -> DataFrame:
         """Open windows only: one partition is read."""
-        return self._versions("versions", self.model.raw_schema()).where("is_open").drop("is_open")
+        return self._versions("versions", self.model.raw_schema()).where("is_open = 1").drop("is_open")
 
     def _merge(self, name: str, extract: DataFrame, key: str, now: float) -> None:
         have = self._versions(name, extract.schema).drop("is_open")
         history.refuse_drift(extract, [c for c in have.columns if c not in ("row_hash", history.FROM, history.TO)])
         merged = history.apply_extract(have, extract, from_unix(F.lit(now)), key)
-        tables.swap(merged.withColumn("is_open", F.col(history.TO).isNull()), self._path(name), "is_open")
+        tables.swap(merged.withColumn("is_open", F.col(history.TO).isNull().cast("int")), self._path(name), "is_open")
 
     def load(self, root: str, now: float | None = None, scorer: segment.Scorer | None = None, revision: str = "") -> None:
         """One run: refused as a whole, before anything is written, if the extract can't be trusted."""
