@@ -1,6 +1,7 @@
 """Every query against its SQL on DuckDB, row for row."""
 
 import math
+import os
 from pathlib import Path
 
 import duckdb
@@ -8,7 +9,7 @@ import pytest
 
 import __spark_entry__ as entry
 
-DATA = "/root/testdata/sf0.001"
+DATA = os.environ.get("CATALOG_DATA", "/root/testdata/sf0.001")
 QUERIES, SQL = entry.queries(), entry.oracle_sql()
 
 
