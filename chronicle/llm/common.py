@@ -291,6 +291,25 @@ def components(links: DataFrame, a: str, b: str, rounds: int = 60) -> DataFrame:
     raise RuntimeError(f"components did not settle in {rounds} rounds")
 
 
+# ---------------------------------------------------------------- joins by key
+
+#: Keys that may be broadcast: at two longs a row some 32 MB as a hash table. More are shuffled.
+BROADCAST_KEYS = 500_000
+
+
+def by_keys(rows: DataFrame, keys: DataFrame, on: list[tuple[str, str]], how: str = "left_semi") -> DataFrame:
+    """Semi or anti join with distinct keys, null equal to null. Broadcasts them only if they are few,
+    so that the rows' texts need not be shuffled."""
+    keys = checkpointed(keys.distinct())
+    if keys.count() <= BROADCAST_KEYS:
+        keys = F.broadcast(keys)
+    condition = None
+    for a, b in on:
+        same = rows[a].eqNullSafe(keys[b])
+        condition = same if condition is None else condition & same
+    return rows.join(keys, condition, how)
+
+
 # ---------------------------------------------------------------- batches
 
 

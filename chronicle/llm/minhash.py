@@ -8,10 +8,11 @@ contiguous stretch of CIRCLE and a signature is a column-wise minimum of such st
 1. Documents with equal sets form a class (a node); only nodes are compared.
 2. Each band's bucket is compared by its smallest and its largest node (two stars, not all pairs);
    pairs are verified on the full sets and connected.
-3. Where a bucket still holds different components, nodes outside its largest component are
-   held against all of the bucket's nodes of other components, in blocks of bounded size, by
-   signature; pairs that may reach the threshold are verified too. So no bucket is capped, and
-   every pair that shares a bucket is compared unless it is connected already.
+3. Where a bucket still holds different components, its nodes gather with those of other such
+   buckets around the component that is largest in them; each node outside that component is
+   compared with all nodes gathered there, on the full sets, in blocks of about `block`
+   shingles. So no bucket is capped, and every pair that shares a bucket is compared unless it
+   is connected already. A block puts out no more links than join its components.
 4. Components of the verified links.
 
 At the threshold of 0.8 a pair misses all 40 bands of 5 with a probability of about 1e-7.
@@ -93,10 +94,9 @@ def _sketches(size: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Recor
                 sigs.append(signature(s) if len(s) else np.zeros(BANDS * ROWS, np.uint32))
             sig = np.stack(sigs)
             keys = c.mix((sig.reshape(-1, BANDS, ROWS).astype(np.uint64) * rolled).sum(2, dtype=np.uint64) + band * c.MULTIPLIER)
-            short = (sig & 0xFF).astype(np.uint8)
             yield pa.RecordBatch.from_arrays(
-                [part.column(0), part.column(2), pa.array(nodes, pa.int64()), pa.array(counts, pa.int64()), pa.array([x.tobytes() for x in keys], pa.binary()), pa.array([x.tobytes() for x in short], pa.binary())],
-                ["doc_id", "text_key", "node", "n_shingles", "bands", "sig"],
+                [part.column(0), part.column(2), pa.array(nodes, pa.int64()), pa.array(counts, pa.int64()), pa.array([x.tobytes() for x in keys], pa.binary())],
+                ["doc_id", "text_key", "node", "n_shingles", "bands"],
             )
 
 
@@ -132,64 +132,87 @@ def _verify(percent: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Reco
         yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], ["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
 
-def _held(least: float, rows: pa.Table) -> pa.Table:
-    """In one block: pairs of a probing and a standing node of different components whose signatures agree enough."""
+def _linked(percent: int, rows: pa.Table) -> pa.Table:
+    """One block: each probing node against all others on the full sets. Puts out links between
+    components, and of these only such as join what is not joined yet."""
     node, comp = rows["node"].to_numpy(), rows["comp"].to_numpy()
     probe = rows["probe"].to_numpy(zero_copy_only=False)
-    major = rows["major"].to_numpy(zero_copy_only=False)
-    sig = np.frombuffer(b"".join(rows["sig"].to_pylist()), np.uint8).reshape(len(node), -1)
-    stand = np.flatnonzero(~probe)
+    flat, offsets = c.joined(rows["shingles"])
+    flat, offsets = flat.view(np.uint64), offsets // 8
+    sizes = np.diff(offsets)
+    order = np.argsort(flat)
+    heads = c.group_starts(flat[order])
+    word = np.empty(len(flat), np.int64)
+    word[order] = np.repeat(np.arange(len(heads)), np.diff(np.append(heads, len(flat))))
+    own = np.unique(comp)
+    up = np.arange(len(own))
+    of = np.searchsorted(own, comp)
+
+    def top(i: int) -> int:
+        while up[i] != i:
+            up[i] = up[up[i]]
+            i = up[i]
+        return i
+
     a, b = [], []
+    seen = np.zeros(len(heads), bool)
     for i in np.flatnonzero(probe):
-        other = stand[(comp[stand] != comp[i]) & (major[stand] | (node[stand] > node[i]))]
-        for k in range(0, len(other), 4096):
-            o = other[k : k + 4096]
-            hit = o[(sig[o] == sig[i]).mean(1) >= least]
-            a.append(np.full(len(hit), node[i]))
-            b.append(node[hit])
-    return pa.table({"a": np.concatenate(a) if a else np.zeros(0, np.int64), "b": np.concatenate(b) if b else np.zeros(0, np.int64)})
+        mine = word[offsets[i] : offsets[i + 1]]
+        seen[mine] = True
+        both = np.add.reduceat(seen[word], offsets[:-1], dtype=np.int64)
+        seen[mine] = False
+        hit = np.flatnonzero((100 * both >= percent * (sizes + sizes[i] - both)) & (node != node[i]))
+        for j in hit.tolist():
+            x, y = top(of[i]), top(of[j])
+            if x != y:
+                up[max(x, y)] = min(x, y)
+                a.append(node[i])
+                b.append(node[j])
+    return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
 
 
 def grouped(docs: DataFrame, shingle: int, percent: int, id_col: str, text_col: str, block: int) -> DataFrame:
     """One row for each row of docs: doc_id, text_key, n_shingles, component_id, comp (one value for each component; null for an empty set)."""
     rows = c.bounded(docs).select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     keyed_rows = rows.withColumn("text_key", F.xxhash64("text"))
-    sketch = c.checkpointed(keyed_rows.mapInArrow(lambda b: _sketches(shingle, b), "doc_id long, text_key long, node long, n_shingles long, bands binary, sig binary"))
-    nodes = sketch.where("n_shingles > 0").groupBy("node").agg(F.min("doc_id").alias("first"), F.any_value("bands").alias("bands"), F.any_value("sig").alias("sig"))
+    sketch = c.checkpointed(keyed_rows.mapInArrow(lambda b: _sketches(shingle, b), "doc_id long, text_key long, node long, n_shingles long, bands binary"))
+    nodes = sketch.where("n_shingles > 0").groupBy("node").agg(F.min("doc_id").alias("first"), F.any_value("bands").alias("bands"), F.any_value("n_shingles").alias("n_shingles"))
     keyed = nodes.select("node", "bands").mapInArrow(_bands, "key long, node long")
     buckets = keyed.groupBy("key").agg(F.count("*").alias("n"), F.min("node").alias("lo"), F.max("node").alias("hi")).where("n > 1")
     members = c.checkpointed(keyed.join(buckets, "key"))
     star = F.array(F.struct(F.col("lo").alias("hub")), F.struct(F.col("hi").alias("hub")))
     pairs = members.select("node", F.explode(star).alias("s")).select(F.least("node", "s.hub").alias("a"), F.greatest("node", "s.hub").alias("b")).where("a <> b").distinct()
 
-    def verified(pairs: DataFrame) -> DataFrame:
-        used = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-        wanted = nodes.select("node", "first").join(used, "node").select(F.col("first").alias("doc_id")).distinct()
-        full = rows.join(wanted, "doc_id", "left_semi").select("text").mapInArrow(lambda b: _sets(shingle, b), "node long, shingles binary")
-        full = full.where("node <> 0").groupBy("node").agg(F.any_value("shingles").alias("shingles"))
-        left = full.select(F.col("node").alias("a"), F.col("shingles").alias("x"))
-        right = full.select(F.col("node").alias("b"), F.col("shingles").alias("y"))
-        both = pairs.join(left, "a").join(right, "b").select("a", "b", "x", "y")
-        return both.mapInArrow(lambda b: _verify(percent, b), "a long, b long")
-
-    links = c.checkpointed(verified(c.checkpointed(pairs)))
+    def sets(of: DataFrame) -> DataFrame:
+        """Full sets of the nodes, from one text of each."""
+        wanted = nodes.select("node", "first").join(of, "node").select(F.col("first").alias("__first"))
+        full = c.by_keys(rows, wanted, [("doc_id", "__first")]).select("text").mapInArrow(lambda b: _sets(shingle, b), "node long, shingles binary")
+        return full.where("node <> 0").groupBy("node").agg(F.any_value("shingles").alias("shingles"))
+
+    pairs = c.checkpointed(pairs)
+    full = sets(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct())
+    left, right = full.select(F.col("node").alias("a"), F.col("shingles").alias("x")), full.select(F.col("node").alias("b"), F.col("shingles").alias("y"))
+    checked = pairs.join(left, "a").join(right, "b").select("a", "b", "x", "y").mapInArrow(lambda b: _verify(percent, b), "a long, b long")
+    links = c.checkpointed(checked)
     comps = c.components(links, "a", "b").select(F.col("id").alias("node"), F.col("component_id").alias("comp"))
 
     # Step 3: only buckets of four nodes or more can hold a pair that the stars have not compared.
     inside = members.where("n > 3 and node <> lo and node <> hi").select("key", "node").join(comps, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
     by = inside.groupBy("key", "comp").agg(F.count("*").alias("size"))
-    split = by.groupBy("key").agg(F.count("*").alias("comps"), F.sum("size").alias("n"), F.max_by("comp", F.struct("size", "comp")).alias("largest")).where("comps > 1")
-    open_ = inside.join(split.select("key", "n", "largest"), "key").join(nodes.select("node", "sig"), "node").withColumn("major", F.col("comp") == F.col("largest"))
-    blocks = F.ceil(F.col("n") / F.lit(block)).cast("int")
-    stand = open_.select("key", F.pmod(F.xxhash64("node"), blocks).cast("int").alias("block"), "node", "comp", "sig", "major", F.lit(False).alias("probe"))
-    probe = open_.where("not major").select("key", F.explode(F.sequence(F.lit(0), blocks - 1)).alias("block"), "node", "comp", "sig", "major", F.lit(True).alias("probe"))
-    least = percent / 100 - 0.2
-    more = stand.union(probe).groupBy("key", "block").applyInArrow(lambda t: _held(least, t), "a long, b long")
-    more = c.checkpointed(more.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
-    if not more.isEmpty():
-        found = c.checkpointed(verified(more))
-        if not found.isEmpty():
-            comps = c.components(links.union(found), "a", "b").select(F.col("id").alias("node"), F.col("component_id").alias("comp"))
+    split = by.groupBy("key").agg(F.count("*").alias("comps"), F.max_by("comp", F.struct("size", "comp")).alias("group")).where("comps > 1")
+    met = c.checkpointed(inside.join(split.select("key", "group"), "key").select("group", "node", "comp").distinct())
+    if not met.isEmpty():
+        weight = met.join(nodes.select("node", "n_shingles"), "node").withColumn("probe", F.col("comp") != F.col("group"))
+        part = lambda x: F.greatest(F.lit(1), F.ceil(x / F.lit(block))).cast("int")
+        cut = weight.groupBy("group").agg(part(F.sum("n_shingles")).alias("blocks"), part(F.sum(F.when(F.col("probe"), F.col("n_shingles")))).alias("probes"))
+        held = weight.join(cut, "group").join(sets(met.select("node").distinct()), "node")
+        place = lambda n: F.pmod(F.xxhash64("node"), n).cast("int")
+        upto = lambda n: F.explode(F.sequence(F.lit(0), n - 1))
+        stand = held.select("group", place(F.col("blocks")).alias("i"), upto(F.col("probes")).alias("j"), "node", "comp", F.lit(False).alias("probe"), "shingles")
+        probing = held.where("probe").select("group", upto(F.col("blocks")).alias("i"), place(F.col("probes")).alias("j"), "node", "comp", F.lit(True).alias("probe"), "shingles")
+        more = c.checkpointed(stand.union(probing).groupBy("group", "i", "j").applyInArrow(lambda t: _linked(percent, t), "a long, b long"))
+        if not more.isEmpty():
+            comps = c.components(links.union(more), "a", "b").select(F.col("id").alias("node"), F.col("component_id").alias("comp"))
     named = nodes.select("node", "first").join(comps, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
     smallest = named.groupBy("comp").agg(F.min("first").alias("component_id"))
     ids = named.join(smallest, "comp").select("node", "component_id", "comp")
@@ -198,20 +221,26 @@ def grouped(docs: DataFrame, shingle: int, percent: int, id_col: str, text_col:
     )
 
 
-def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text", block: int = 2048) -> DataFrame:
+def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text", block: int = 1 << 20) -> DataFrame:
     """One row for each row of docs: doc_id, n_shingles, component_id, kept (the component's smallest doc_id)."""
     found = grouped(docs, shingle, percent, id_col, text_col, block)
     return found.select("doc_id", "n_shingles", "component_id").withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
 
 
-def kept_documents(docs: DataFrame, shingle: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text", block: int = 2048) -> DataFrame:
+def kept_documents(docs: DataFrame, shingle: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text", block: int = 1 << 20) -> DataFrame:
     """docs without all but one row of each component: a row with its smallest id. Rows without words all stay."""
-    found = grouped(docs, shingle, percent, id_col, text_col, block)
-    first = found.where("comp is not null").groupBy("comp").agg(F.min(F.struct("doc_id", "text_key")).alias("k"))
-    stay = first.select(F.col("k.doc_id").alias("__doc"), F.col("k.text_key").alias("__key"), F.lit(True).alias("__once"))
-    stay = stay.union(found.where("comp is null").select("doc_id", "text_key", F.lit(False)).distinct())
-    keyed = docs.withColumn("__text", F.xxhash64(text_col))
-    rows = keyed.join(stay, (F.col("__text") == F.col("__key")) & keyed[id_col].cast("long").eqNullSafe(F.col("__doc")))
-    order = Window.partitionBy("__key", "__doc").orderBy(F.lit(0))
-    ranked = rows.withColumn("__row", F.row_number().over(order)).where("not __once or __row = 1")
-    return ranked.select(*(ranked[x] for x in docs.columns))
+    found = c.checkpointed(grouped(docs, shingle, percent, id_col, text_col, block))
+    each = found.where("comp is not null").groupBy("comp", "doc_id", "text_key").agg(F.count("*").alias("n"))
+    first = each.groupBy("comp").agg(F.min_by(F.struct("doc_id", "text_key", "n"), F.struct("doc_id", "text_key")).alias("k"))
+    key = [F.col("k.doc_id").alias("__doc"), F.col("k.text_key").alias("__text")]
+    once = first.select(*key, F.col("comp").alias("__comp"), F.col("k.n").alias("__n"))
+    later = each.join(once, F.col("comp") == F.col("__comp")).where(~(F.col("doc_id").eqNullSafe(F.col("__doc")) & F.col("text_key").eqNullSafe(F.col("__text"))))
+    on = [("__id", "__doc"), ("__key", "__text")]
+    keyed = docs.withColumns({"__id": F.col(id_col).cast("long"), "__key": F.xxhash64(text_col)})
+    kept = c.by_keys(keyed, later.select(F.col("doc_id").alias("__doc"), F.col("text_key").alias("__text")), on, "left_anti")
+    equal = c.checkpointed(once.where("__n > 1").select("__doc", "__text"))  # rows that are the same in id and text
+    if not equal.isEmpty():
+        order = Window.partitionBy("__key", "__id").orderBy(F.lit(0))
+        ranked = c.by_keys(kept, equal, on).withColumn("__row", F.row_number().over(order)).where("__row = 1").drop("__row")
+        kept = c.by_keys(kept, equal, on, "left_anti").unionByName(ranked)
+    return kept.drop("__id", "__key")

@@ -83,7 +83,7 @@ def near_corpus(seed, copies=60):
     return list(enumerate(docs))
 
 
-@pytest.mark.parametrize("seed,n,block", [(1, 4, 2048), (2, 4, 7), (3, 5, 16)])
+@pytest.mark.parametrize("seed,n,block", [(1, 4, 1 << 20), (2, 4, 900), (3, 5, 2500)])
 def test_near_duplicates(spark, seed, n, block):
     docs = near_corpus(seed)
     df = spark.createDataFrame([(i, t, "x", 5) for i, t in docs], "doc_id long, text string, node string, n int")
