@@ -7,6 +7,7 @@ from collections import defaultdict
 
 import pytest
 
+from chronicle.llm import common
 from chronicle.llm.block_dedup import later_copies
 from chronicle.llm.suffix_dedup import repeats
 
@@ -87,3 +88,28 @@ def test_empty(spark):
     assert repeats(df).count() == 0 and later_copies(df).count() == 0
     df = spark.createDataFrame([(1, None), (None, "")], "doc_id long, text string")
     assert repeats(df).count() == 2 and later_copies(df).count() == 2
+
+
+def test_texts_longer_than_a_segment(spark):
+    r = random.Random(12)
+    long = "".join(r.choices("abcdefgh ij\nklm ", k=1_300_000))
+    edge = common.SEGMENT
+    docs = [(5, long), (6, "x " + long[edge - 150 : edge + 90] + " y"), (7, long[edge - 199 : edge + 1][1:] + "?"), (3, long[2 * edge - 700 : 2 * edge + 700]), (9, "ß" * 400)]
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    seen, raws = defaultdict(int), {d: t.encode() for d, t in docs}
+    for raw in raws.values():
+        for i in range(len(raw) - 199):
+            seen[hash(raw[i : i + 200])] += 1
+    want = {}
+    for d, raw in raws.items():
+        gone = bytearray(len(raw))
+        last = 0
+        for i in range(len(raw) - 199):
+            if seen[hash(raw[i : i + 200])] > 1:
+                for j in range(max(i, last), i + 200):
+                    gone[j] = 1
+                last = i + 200
+        want[d] = (sum(gone), hashlib.sha256(bytes(b for b, g in zip(raw, gone) if not g)).hexdigest())
+    got = {x["doc_id"]: (x["n_removed"], x["kept_sha256"]) for x in repeats(df).collect()}
+    assert got == want and want[5][0] > 1400 and want[6][0] == 240 and want[7][0] == 0 and want[9][0] == 800
+    assert sorted(map(tuple, later_copies(df).collect())) == brute_words(docs, 13)
