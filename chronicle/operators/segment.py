@@ -229,6 +229,17 @@ def stale(values: DataFrame, stored: DataFrame, column: str, revision: str) -> D
     return wanted.join(known, F.col(column) == F.col("__value"), "left").where(~F.col("__revision").eqNullSafe(F.lit(revision))).select(column)
 
 
+def cache_key(value: Column, revision: str) -> Column:
+    """One answer for each value and producer."""
+    return F.md5(F.concat(F.lit(f"{revision}\n"), value))
+
+
+def cached(values: DataFrame, cache: DataFrame, column: str, revision: str) -> tuple[DataFrame, DataFrame]:
+    """Distinct values with their answer from the cache (key, probabilities), and those without one."""
+    wanted = values.select(column).where(F.col(column).isNotNull()).distinct().withColumn("key", cache_key(F.col(column), revision))
+    return wanted.join(cache, "key"), wanted.join(cache, "key", "left_anti")
+
+
 def revision_of(code: bytes, weights: bytes) -> str:
     """Names a producer by its code and its weights."""
     import hashlib

@@ -154,8 +154,8 @@ class Plans:
         tables.write_csv(table, csv, [order])
         columns = metadata.contract(table.schema, self.model, unique=[order], required=[order])
         tables.write_json(f"{target}/table-schema.json", metadata.table_schema(columns, self.base_url, order))
-        size = Path(csv).stat().st_size
-        triples = metadata.as_frame(self.spark, metadata.dataset_triples(self.base_url or "urn:dataset", self.model.document_type, "", self.model.publisher, self.model.licence, {"table.csv": ("text/csv", size)}) + metadata.vocabulary_triples(self.base_url or "urn:dataset", columns, {}))
+        sizes = metadata.distribution_sizes(target, {"table.csv": "text/csv"})
+        triples = metadata.as_frame(self.spark, metadata.dataset_triples(self.base_url or "urn:dataset", self.model.document_type, "", self.model.publisher, self.model.licence, sizes) + metadata.vocabulary_triples(self.base_url or "urn:dataset", columns, {}))
         tables.write_text(f"{target}/dataset.ttl", metadata.turtle(triples))
         tables.write_text(f"{target}/dataset.jsonld", metadata.json_ld(triples))
         shown = [{"name": c.name, "type": c.dtype, "description": c.description} for c in columns]

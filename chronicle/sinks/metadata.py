@@ -10,6 +10,7 @@ import html
 import json
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -120,6 +121,11 @@ def literal(s: str, p: str, o: str, lang: str | None = None, datatype: str | Non
     return (s, expand(p), o, "literal", lang, expand(datatype) if datatype else None)
 
 
+def distribution_sizes(folder: str | Path, media: Mapping[str, str]) -> dict[str, tuple[str, int]]:
+    """name -> (media type, bytes) of the published files that are there."""
+    return {n: (m, Path(folder, n).stat().st_size) for n, m in media.items() if Path(folder, n).exists()}
+
+
 def dataset_triples(uri: str, title: str, description: str, publisher: str, licence: str, downloads: Mapping[str, tuple[str, int]]) -> list[Triple]:
     """The dataset and its distributions: name -> (media type, bytes)."""
     out = [iri(uri, "rdf:type", "dcat:Dataset"), literal(uri, "dct:title", title, "en"), literal(uri, "dct:description", description, "en"), literal(uri, "dct:publisher", publisher), iri(uri, "dct:license", licence)]

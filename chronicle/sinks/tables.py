@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import shutil
 import uuid
 from pathlib import Path
 
@@ -64,6 +65,16 @@ def write_json(path: str | Path, value) -> None:
     write_text(path, json.dumps(value, ensure_ascii=False, indent=2, sort_keys=True) + "\n")
 
 
+def write_jsonl(df: DataFrame, path: str) -> None:
+    """A folder of JSON lines; null fields are written too."""
+    df.write.mode("overwrite").option("ignoreNullFields", "false").json(path)
+
+
+def copy_beside(source: str | Path, folder: str | Path) -> Path:
+    """Puts a file, such as a licence, beside the data."""
+    return Path(shutil.copy(source, folder))
+
+
 def write_dimension(df: DataFrame, path: str) -> None:
     """A derived dimension: vocabulary, contract, labels."""
     swap(df, path)

@@ -37,9 +37,9 @@ def export(location: str, directory: str | None = None, timeout: int = 300) -> I
         shutil.rmtree(target, ignore_errors=True)
 
 
-def read_csv(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
-    """Quoted line breaks and doubled quotes; all texts without a schema."""
-    return spark.read.csv(path, header=True, multiLine=True, escape='"', schema=schema, inferSchema=False)
+def read_csv(spark: SparkSession, path: str, schema: T.StructType | None = None, infer: bool = False) -> DataFrame:
+    """Quoted line breaks and doubled quotes. Without a schema all columns are texts, or inferred from all rows."""
+    return spark.read.csv(path, header=True, multiLine=True, escape='"', schema=schema, inferSchema=infer and schema is None)
 
 
 def read_jsonl(spark: SparkSession, path: str, schema: str) -> DataFrame:

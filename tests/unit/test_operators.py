@@ -126,6 +126,9 @@ def test_scorer(spark):
     stored = spark.createDataFrame([("x", None), ("kleine Häuser", "r1")], "keywords string, revision string")
     assert [r[0] for r in segment.stale(values, stored, "keywords", "r1").collect()] == ["x"]
     assert segment.revision_of(b"a", b"b").count(".") == 1
+    cache = spark.createDataFrame([("kleine Häuser", [0.5])], "k string, probabilities array<double>").select(segment.cache_key(F.col("k"), "r1").alias("key"), "probabilities")
+    hit, miss = segment.cached(values, cache, "keywords", "r1")
+    assert [r["keywords"] for r in hit.collect()] == ["kleine Häuser"] and [r["keywords"] for r in miss.collect()] == ["x"] and segment.cached(values, cache, "keywords", "r2")[1].count() == 2
 
 
 # ---------------------------------------------------------------- code lists
@@ -193,6 +196,10 @@ def test_cells_and_swap(spark, tmp_path):
     tables.swap(spark.range(3), path)
     tables.swap(spark.read.parquet(path).where("id > 0"), path)  # reads what it replaces
     assert spark.read.parquet(path).count() == 2 and [p.name for p in tmp_path.iterdir()] == ["t"]
+    tables.write_jsonl(spark.createDataFrame([(1, None)], "a int, b string"), str(tmp_path / "j"))
+    assert "".join(p.read_text() for p in (tmp_path / "j").glob("part-*")) == '{"a":1,"b":null}\n'
+    tables.write_text(tmp_path / "LICENCE", "L")
+    assert tables.copy_beside(tmp_path / "LICENCE", tmp_path / "j").read_text() == "L" and metadata.distribution_sizes(tmp_path, {"LICENCE": "text/plain", "none": "x"}) == {"LICENCE": ("text/plain", 1)}
 
 
 def test_metadata(spark):

@@ -216,6 +216,8 @@ def test_guards_leave_the_history_alone(spark, tree, tmp_path):
 def test_files(spark, tmp_path):
     (tmp_path / "a.csv").write_text('k,v\n1,"x ""y""\nz"\n2,\n', encoding="utf-8")
     assert [tuple(r) for r in files.read_csv(spark, str(tmp_path / "a.csv")).orderBy("k").collect()] == [("1", 'x "y"\nz'), ("2", None)]
+    (tmp_path / "b.csv").write_text("k,v\n1,2.5\n", encoding="utf-8")
+    assert files.read_csv(spark, str(tmp_path / "b.csv"), infer=True).dtypes == [("k", "int"), ("v", "double")]
     (tmp_path / "a.jsonl").write_text('{"slug":"s","tokens":["a","b"]}\n', encoding="utf-8")
     assert files.read_jsonl(spark, str(tmp_path / "a.jsonl"), "slug string, tokens array<string>").first()["tokens"] == ["a", "b"]
     assert files.read_or_empty(spark, str(tmp_path / "none"), "a int").count() == 0
