@@ -7,6 +7,8 @@ memory depends on the chunk size and not on the input.
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 import math
 import tempfile
 from collections.abc import Iterator
@@ -313,7 +315,7 @@ def by_keys(rows: DataFrame, keys: DataFrame, on: list[tuple[str, str]], how: st
 # ---------------------------------------------------------------- batches
 
 
-def bounded(df: DataFrame, megabytes: int = 16) -> DataFrame:
+def bounded(df: DataFrame, megabytes: int = 4) -> DataFrame:
     """Sees to it that Python workers get record batches of bounded bytes, whatever the texts' lengths."""
     conf = df.sparkSession.conf
     if conf.get("spark.sql.execution.arrow.maxBytesPerBatch", None) in (None, str(2**31 - 1), str(2**63 - 1)):
@@ -321,6 +323,13 @@ def bounded(df: DataFrame, megabytes: int = 16) -> DataFrame:
     return df
 
 
+def release() -> None:
+    """Gives freed memory back at a task's end: workers are used again, and share their executor's limit."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # other C libraries have no such call
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def parts(batch: pa.RecordBatch, text: str, size: int = 2 << 20) -> Iterator[pa.RecordBatch]:
     """The batch in runs of rows whose text column has about `size` bytes; a longer text stands alone."""
     lengths = pc.binary_length(batch.column(batch.schema.get_field_index(text))).fill_null(0)

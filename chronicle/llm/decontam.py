@@ -132,6 +132,7 @@ def _search(window: int, threshold: int, blocks: list, batches: Iterator[pa.Reco
     for batch in batches:
         for part in c.parts(batch, "text", 4 << 20):
             yield _shard(window, threshold, blocks, part)
+    c.release()
 
 
 def _shard(window: int, threshold: int, blocks: list, part: pa.RecordBatch) -> pa.RecordBatch:
@@ -226,6 +227,7 @@ def clean_documents(docs: DataFrame, items: DataFrame, **options) -> DataFrame:
             for part in c.parts(batch, text, 4 << 20):
                 own = pa.RecordBatch.from_arrays([pa.array(np.arange(part.num_rows)), part.column(at)], ["doc_id", "text"])
                 yield part.filter(pc_invert(_shard(window, threshold, blocks, own)))
+        c.release()
 
     return c.bounded(docs).mapInArrow(clean, docs.schema)
 

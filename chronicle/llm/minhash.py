@@ -98,6 +98,7 @@ def _sketches(size: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Recor
                 [part.column(0), part.column(2), pa.array(nodes, pa.int64()), pa.array(counts, pa.int64()), pa.array([x.tobytes() for x in keys], pa.binary())],
                 ["doc_id", "text_key", "node", "n_shingles", "bands"],
             )
+    c.release()
 
 
 def _bands(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -114,6 +115,7 @@ def _sets(size: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBat
         for part in c.parts(batch, "text"):
             sets = list(shingle_sets(part.column(0), size))
             yield pa.RecordBatch.from_arrays([pa.array([_node(s) for s in sets], pa.int64()), pa.array([s.tobytes() for s in sets], pa.binary())], ["node", "shingles"])
+    c.release()
 
 
 def _verify(percent: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -53,7 +53,7 @@ def encoder(vocabulary: str) -> Callable[[str], np.ndarray]:
     import tiktoken
     from tokenizers import Tokenizer
 
-    exact = Tokenizer.from_file(vocabulary)
+    exact = cache(lambda: Tokenizer.from_file(vocabulary))  # most corpora never need it
     with open(vocabulary, encoding="utf-8") as f:
         file = json.load(f)
     special = [x["content"] for x in file.get("added_tokens", [])]
@@ -63,7 +63,7 @@ def encoder(vocabulary: str) -> Callable[[str], np.ndarray]:
 
     def encode(text: str) -> np.ndarray:
         if any(x in text for x in special):
-            return np.array(exact.encode(text, add_special_tokens=False).ids, np.uint32)
+            return np.array(exact().encode(text, add_special_tokens=False).ids, np.uint32)
         return np.array(fast.encode_ordinary(text), np.uint32)
 
     return encode
@@ -90,6 +90,7 @@ def _pieces(vocabulary: str, capacity: int, batches: Iterator[pa.RecordBatch]) -
                     rows.append((doc, k, start, stop - start, zlib.crc32(ids[start:stop].tobytes())))
                     start, stop = stop, stop + capacity
             yield pa.RecordBatch.from_arrays([pa.array(col, t) for col, (_, t) in zip(zip(*rows, strict=True), kinds, strict=True)], [k for k, _ in kinds])
+    c.release()
 
 
 def plan(counts: dict[int, int], capacity: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:

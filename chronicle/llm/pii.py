@@ -248,6 +248,7 @@ def _report(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             rows.append((*(kinds.count(k) for k in KINDS), hashlib.sha256(_listed(base).encode()).hexdigest(), _listed(all_spans(text, base))))
         cols = [pa.array([r[i] for r in rows], pa.int64() if i < 4 else pa.string()) for i in range(6)]
         yield pa.RecordBatch.from_arrays([batch.column(0), *cols], names)
+    c.release()
 
 
 def find(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -286,5 +287,6 @@ def masked_documents(docs: DataFrame, text_col: str = "text", size_col: str = "n
                 sizes = batch.column(size).to_pylist()
                 cols[size] = pa.array([s if a == b else len(b or "") for s, a, b in zip(sizes, old, new, strict=True)], cols[size].type)
             yield pa.RecordBatch.from_arrays(cols, batch.schema.names)
+        c.release()
 
     return c.bounded(docs).mapInArrow(mask, docs.schema)

@@ -45,6 +45,9 @@ SEEDS = {
 SEED_WEIGHT = 4.0
 TOKEN = re.compile(r"[^\W\d_]+|[.!?;:\n]")
 STEMS = (3, 4, 5, 6, 7, 8)
+#: Words whose symbols a worker remembers; more are looked up again.
+KNOWN_WORDS = 100_000
+NOTHING, END = (OTHER, 0.0), (CLOSE, 0.0)
 KINDS = ("plain", "targeted", "negated", "reported", "threat")
 #: Intercept, then a weight for each kind and for the strongest clause; used without enough labels.
 FIXED = np.array([-3.0, 1.5, 2.0, 0.3, 0.3, 1.0, 1.0])
@@ -93,13 +96,13 @@ class Grammar:
         kind, weight = self.symbols.get(word, (OTHER, 0.0))
         if learned > 0 and kind in (OTHER, INSULT):
             return INSULT, max(learned, weight)
-        return (CLOSE, 0.0) if not word[:1].isalpha() else (kind, weight)
+        return END if not word[:1].isalpha() else self.symbols.get(word, NOTHING)
 
     def features(self, text: str | None) -> np.ndarray:
         sums = [0.0] * len(KINDS)
         strongest = 0.0
         known = self.known
-        if len(known) > 1_000_000:
+        if len(known) > KNOWN_WORDS:
             known.clear()
         symbols = []
         matched = False
@@ -111,7 +114,7 @@ class Grammar:
             matched = matched or s[0] == INSULT or s[0] == THREAT
         if matched:
             state, clause = 0, {}
-            for symbol, weight in [*symbols, (CLOSE, 0.0)]:
+            for symbol, weight in [*symbols, END]:
                 kind = self.out[state][symbol]
                 if kind >= 0:
                     clause[kind] = clause.get(kind, 0.0) + weight
@@ -149,8 +152,8 @@ def held_out(id_col: str = "doc_id"):
 
 
 def _contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(toxic, fold, word, word before) once for each batch."""
-    for batch in batches:
+    """(toxic, fold, word, word before) once for each megabyte of text."""
+    for batch in (part for whole in batches for part in c.parts(whole, "text", 1 << 20)):
         seen: set[tuple[int, int, str, str]] = set()
         for toxic, fold, text in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
             words = TOKEN.findall((text or "").lower())
@@ -158,6 +161,7 @@ def _contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows = [x for x in seen if x[2][0].isalpha()]
         kinds = (pa.int32(), pa.int32(), pa.string(), pa.string())
         yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in rows], t) for k, t in enumerate(kinds)], ["toxic", "fold", "word", "before"])
+    c.release()
 
 
 def _weight(a: float, b: float, toxic: int, clean: int) -> float:
@@ -206,6 +210,7 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
         for batch in batches:
             x = [grammars[f].features(t).tolist() for f, t in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True)]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(x, pa.list_(pa.float64()))], ["toxic", "x"])
+        c.release()
 
     rated = rows.mapInArrow(feature_rows, "toxic int, x array<double>").collect()  # at most most_toxic + most_clean rows
     x, y = np.array([r["x"] for r in rated]), np.array([r["toxic"] for r in rated], float)
@@ -223,6 +228,7 @@ def scored(docs: DataFrame, grammar: Grammar, id_col: str = "doc_id", text_col:
             x = [own.features(t.as_py()) for t in batch.column(2)]
             s = own.score(np.array(x).reshape(len(x), -1))
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(s), pa.array((s >= threshold).astype(np.int32))], ["doc_id", "held_out", "score", "predicted"])
+        c.release()
 
     rows = c.bounded(docs).select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(held_out(id_col), F.lit(False)).alias("held_out"), F.col(text_col).alias("text"))
     return rows.mapInArrow(score, "doc_id long, held_out boolean, score double, predicted int")
@@ -238,5 +244,6 @@ def clean_documents(docs: DataFrame, labels: DataFrame, text_col: str = "text",
         for batch in batches:
             x = np.array([own.features(t.as_py()) for t in batch.column(at)]).reshape(batch.num_rows, -1)
             yield batch.filter(pa.array(own.score(x) < threshold))
+        c.release()
 
     return c.bounded(docs).mapInArrow(keep, docs.schema)
