@@ -124,36 +124,41 @@ def _routed(kind: str, forest: list[Node], dim: int, batches: Iterator[pa.Record
             )
 
 
-def _shared_before(a: np.ndarray, b: np.ndarray, tree: int, leaf: int, raws: list[bytes]) -> np.ndarray:
-    """Which pairs share a leaf of an earlier tree, or an earlier leaf of this one."""
-    lists = [np.frombuffer(r, np.int32).reshape(-1, 2).astype(np.int64) for r in raws]
-    codes = [x[:, 0] << 32 | x[:, 1] for x in lists]
-    codes = [x[x < (tree << 32 | leaf)] for x in codes]
-    sizes = np.array([len(x) for x in codes])
-    flat, starts = np.concatenate(codes), np.cumsum(sizes) - sizes
-    if not len(flat):
-        return np.zeros(len(a), bool)
-    distinct = np.sort(flat)
-    distinct = distinct[c.group_starts(distinct)]
-    flat = np.searchsorted(distinct, flat)
-
-    def spread(v: np.ndarray) -> np.ndarray:
-        n = sizes[v]
-        pair = np.repeat(np.arange(len(v)), n)
-        return pair * len(distinct) + flat[np.repeat(starts[v] - (np.cumsum(n) - n), n) + np.arange(n.sum())]
-
-    out = np.zeros(len(a), bool)
-    for k in range(0, len(a), 1 << 16):  # bounded, however many pairs a leaf has
-        both = np.intersect1d(spread(a[k : k + (1 << 16)]), spread(b[k : k + (1 << 16)]))
-        out[k + both // len(distinct)] = True
-    return out
+class Earlier:
+    """The leaves before one leaf (of earlier trees, or earlier in its tree) that its vectors are in."""
+
+    def __init__(self, tree: int, leaf: int, raws: list[bytes]) -> None:
+        pairs = np.frombuffer(b"".join(raws), np.int32).reshape(-1, 2).astype(np.int64)
+        owner = np.repeat(np.arange(len(raws)), [len(r) // 8 for r in raws])
+        codes = pairs[:, 0] << 32 | pairs[:, 1]
+        keep = codes < (tree << 32 | leaf)
+        codes, owner = codes[keep], owner[keep]
+        distinct = np.sort(codes)
+        distinct = distinct[c.group_starts(distinct)]
+        self.n = len(distinct)
+        self.flat = np.searchsorted(distinct, codes)
+        self.bounds = np.searchsorted(owner, np.arange(len(raws) + 1))
+
+    def _spread(self, v: np.ndarray) -> np.ndarray:
+        lo, n = self.bounds[v], self.bounds[v + 1] - self.bounds[v]
+        at = np.repeat(lo - (np.cumsum(n) - n), n) + np.arange(n.sum())
+        return np.repeat(np.arange(len(v)), n) * self.n + self.flat[at]
+
+    def shared(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """Which pairs share one of them."""
+        out = np.zeros(len(a), bool)
+        for k in range(0, len(a) if self.n else 0, 1 << 16):  # bounded, however many pairs a leaf has
+            both = np.intersect1d(self._spread(a[k : k + (1 << 16)]), self._spread(b[k : k + (1 << 16)]), assume_unique=True)
+            out[k + both // self.n] = True
+        return out
 
 
 def _compared(kind: str, least: float, rows: pa.Table) -> pa.Table:
     """One leaf: (a, b, n); b null: a has n links counted here; else an edge."""
     tree, leaf = rows["tree"][0].as_py(), rows["leaf"][0].as_py()
     label, node = rows["label"].to_numpy(), rows["node"].to_numpy()
-    copies, raws, leaves = rows["copies"].to_numpy(), rows["vector"].to_pylist(), rows["leaves"].to_pylist()
+    copies, raws = rows["copies"].to_numpy(), rows["vector"].to_pylist()
+    earlier = Earlier(tree, leaf, rows["leaves"].to_pylist())
     dim = np.array([len(r) for r in raws])
     out: list[tuple] = []
     for key in {*zip(label.tolist(), dim.tolist(), strict=True)}:
@@ -180,7 +185,7 @@ def _compared(kind: str, least: float, rows: pa.Table) -> pa.Table:
                 a, b = a[a < b], b[a < b]
                 if not len(a):
                     continue
-                new = ~_shared_before(at[a], at[b], tree, leaf, leaves)
+                new = ~earlier.shared(at[a], at[b])
                 np.add.at(count, a[new], copies[at[b[new]]])
                 np.add.at(count, b[new], copies[at[a[new]]])
                 for p, q in zip(a[new].tolist(), b[new].tolist(), strict=True):
