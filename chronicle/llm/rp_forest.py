@@ -1,9 +1,16 @@
-"""Near-duplicate embeddings by a forest of random-projection trees with spill overlap.
+"""Near-duplicate embeddings by dense balls and a forest of random-projection trees with spill overlap.
+
+Splits would part the vectors of a dense cluster, however close they are. So balls of the
+threshold's angle are laid over the sample first, wherever one holds about half a leaf of vectors
+or more. A vector in a ball (its core) links with nothing beyond twice that angle from the ball's
+centre (its shell), so cores are compared with their whole shells, in salted tiles of bounded size:
+no link of a core vector is missed. A ball whose shell holds over `broad` times its core is left
+to the forest, which takes all vectors without a core.
 
 Trees are fitted on a bounded sample (`sample` vectors, those with the smallest hash): a node
 projects its vectors on a random direction and splits them at the median; those within `spill`
-of the sample's quantiles around the median go to both sides. All vectors are then routed
-through all trees. Vectors of one leaf, label and dimension are compared by cosine in double
+of the sample's quantiles around the median go to both sides. All those vectors are then
+routed through all trees. Vectors of one leaf, label and dimension are compared by cosine in double
 precision, block by block.
 
 Equal vectors of one label are one class, compared once and counted by their number, so copies
@@ -197,7 +204,140 @@ def _compared(kind: str, least: float, rows: pa.Table) -> pa.Table:
     return pa.table({k: pa.array([r[i] for r in out], pa.int64()) for i, k in enumerate(("a", "b", "n"))})
 
 
-def near_duplicates(vectors: DataFrame, cosine: float = 0.93, trees: int = 12, leaf: int = 400, spill: float = 0.05, sample: int = 50_000, id_col: str = "vec_id", vector_col: str = "embedding", label_col: str = "label") -> DataFrame:
+def dense_balls(x: np.ndarray, least: float, most: float, leaf: int, broad: int, seed: int = c.SEED) -> np.ndarray:
+    """Centres of balls that cover unit vectors with `most` or more of others in reach (cosine `least`).
+
+    Candidates are vectors with links enough in their leaf of one tree; each ball is then
+    counted over the whole sample.
+    """
+    shell = _shell(least)
+    links = np.zeros(len(x), np.int64)
+    row, at = route(fit(x, 1, max(0, math.ceil(math.log2(max(1, len(x)) / leaf))), 0.05, seed)[0], x)
+    order = np.argsort(at, kind="stable")
+    for rows in np.split(row[order], c.group_starts(at[order])[1:]):
+        for i in range(0, len(rows), 512):
+            near = (x[rows[i : i + 512]] @ x[rows].T >= least).sum(1)
+            links[rows[i : i + 512]] = np.maximum(links[rows[i : i + 512]], near)
+    free = np.ones(len(x), bool)
+    open_ = links >= max(4, most / 8)
+    out = []
+    for i in np.argsort(-links, kind="stable"):
+        if not open_[i]:
+            continue
+        open_[i] = False
+        ball = x @ x[i] >= least
+        if (ball & free).sum() < most:
+            continue
+        centre = x[ball & free].sum(0)
+        centre /= max(float(np.linalg.norm(centre)), 1e-300)
+        cosine = x @ centre
+        if ((cosine >= least) & free).sum() < (ball & free).sum():
+            centre, cosine = x[i], x @ x[i]
+        core = cosine >= least
+        open_ &= ~core
+        if (cosine >= shell).sum() <= broad * (core & free).sum():
+            out.append(centre)
+            free &= ~core
+    return np.array(out).reshape(-1, x.shape[1])
+
+
+def _shell(least: float) -> float:
+    """The cosine at twice the angle of `least`, less what rounding may take."""
+    return 2 * least * least - 1 - 1e-9 if least > 0 else -2.0
+
+
+def _placed(kind: str, balls: dict[int, tuple[int, np.ndarray]], least: float, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Each vector's core (null: none) and the balls whose cores it is to be compared with.
+
+    Of two vectors with different cores the pair is compared in the earlier ball alone: the
+    later one's vector is in its shell.
+    """
+    for batch in batches:
+        for k in range(0, batch.num_rows, 2000):
+            part = batch.slice(k, 2000)
+            raws = part.column(3).to_pylist()
+            dims = np.array([len(r) // int(kind[2]) for r in raws])
+            core, shells = np.full(len(raws), -1), [[] for _ in raws]
+            for dim, (first, centres) in balls.items():
+                at = np.flatnonzero(dims == dim)
+                if not len(at):
+                    continue
+                cosine = _units(kind, [raws[i] for i in at], dim) @ centres.T
+                inside = cosine >= least
+                own = np.where(inside.any(1), inside.argmax(1), -1)
+                core[at[own >= 0]] = first + own[own >= 0]
+                reach = (cosine >= _shell(least)) & (np.arange(len(centres)) >= own[:, None])
+                for i, b in zip(*np.nonzero(reach), strict=True):
+                    shells[at[i]].append(first + int(b))
+            yield pa.RecordBatch.from_arrays([*part.columns, pa.array(core, pa.int32(), mask=core < 0), pa.array(shells, pa.list_(pa.int32()))], ["node", "label", "copies", "vector", "core", "balls"])
+
+
+def _tile(kind: str, least: float, rows: pa.Table) -> pa.Table:
+    """Links between two blocks of a ball, or within one: (a, b, n) as a leaf's; a block of cores is on one side."""
+    one, two = rows["i"][0].as_py(), rows["j"][0].as_py()
+    block, node = rows["block"].to_numpy(), rows["node"].to_numpy()
+    copies, raws = rows["copies"].to_numpy().astype(np.float64), rows["vector"].to_pylist()
+    left = np.flatnonzero(block == one)
+    right = left if one == two else np.flatnonzero(block == two)
+    x = np.stack([np.frombuffer(r, kind) for r in raws]).astype(np.float64)
+    x = x / np.abs(x).max(1, keepdims=True)  # neither overflows nor vanishes when squared
+    size = np.sqrt((x * x).sum(1))
+    count = np.zeros(len(node))
+    parent = np.arange(len(node))
+    out: list[tuple] = []
+
+    def top(i: int) -> int:
+        while parent[i] != i:
+            parent[i] = parent[parent[i]]
+            i = parent[i]
+        return i
+
+    for i in range(0, len(left), 512):
+        for j in range(i if one == two else 0, len(right), 512):
+            p, q = left[i : i + 512], right[j : j + 512]
+            linked = (x[p] @ x[q].T) / (size[p, None] * size[None, q]) >= least
+            if one == two and i == j:
+                linked = np.triu(linked, 1)
+            count[p] += linked @ copies[q]
+            count[q] += copies[p] @ linked
+            while True:  # each vector offers one link out of its component, so their number at least halves
+                while (parent != parent[parent]).any():
+                    parent = parent[parent]
+                apart = linked & (parent[p][:, None] != parent[q][None, :])
+                lines, columns = np.flatnonzero(apart.any(1)), np.flatnonzero(apart.any(0))
+                if not len(lines):
+                    break
+                a = np.concatenate((p[lines], p[apart[:, columns].argmax(0)]))
+                b = np.concatenate((q[apart[lines].argmax(1)], q[columns]))
+                for a, b in zip(a.tolist(), b.tolist(), strict=True):
+                    a, b = top(a), top(b)
+                    if a != b:
+                        parent[max(a, b)] = min(a, b)
+                        out.append((int(node[a]), int(node[b]), 0))
+    out += [(int(node[i]), None, int(count[i])) for i in np.flatnonzero(count)]
+    return pa.table({k: pa.array([r[i] for r in out], pa.int64()) for i, k in enumerate(("a", "b", "n"))})
+
+
+def _in_core(kind: str, balls: dict[int, tuple[int, np.ndarray]], least: float, raw: bytes) -> bool:
+    dim = len(raw) // int(kind[2])
+    return dim in balls and bool((_units(kind, [raw], dim) @ balls[dim][1].T >= least).any())
+
+
+def _ball_links(placed: DataFrame, kind: str, cosine: float) -> DataFrame:
+    """(a, b, n) of all links that have a core vector."""
+    rows = placed.select("node", "label", "copies", "vector", "core", F.explode("balls").alias("ball")).withColumn("rest", ~F.col("core").eqNullSafe(F.col("ball")))
+    sizes = rows.groupBy("ball", "label").agg(F.count_if(~F.col("rest")).alias("cores"), F.count_if("rest").alias("others")).where("cores > 0")
+    per = F.greatest(F.lit(1024), F.least(F.lit(8192), F.ceil((F.col("cores") + F.col("others")) / 16)))
+    sizes = sizes.select("ball", "label", F.ceil(F.col("cores") / per).cast("int").alias("kc"), F.ceil(F.col("others") / per).cast("int").alias("ko"))
+    rows = rows.join(sizes, ["ball", "label"])
+    salt = F.xxhash64("node")
+    rows = rows.withColumn("block", F.when(F.col("rest"), F.col("kc") + F.pmod(salt, F.greatest("ko", F.lit(1)))).otherwise(F.pmod(salt, F.col("kc"))).cast("int"))
+    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.when(F.col("rest"), F.col("kc")).otherwise(F.col("kc") + F.col("ko")).cast("int") - 1)))
+    tiles = rows.select("ball", "label", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "node", "copies", "vector")
+    return tiles.groupBy("ball", "label", "i", "j").applyInArrow(lambda t: _tile(kind, cosine, t), "a long, b long, n long")
+
+
+def near_duplicates(vectors: DataFrame, cosine: float = 0.93, trees: int = 12, leaf: int = 400, spill: float = 0.05, sample: int = 50_000, broad: int = 64, id_col: str = "vec_id", vector_col: str = "embedding", label_col: str = "label") -> DataFrame:
     """One row for each row of vectors: vec_id, n_links, component_id, kept."""
     rows = vectors.select(F.col(id_col).cast("long").alias("vec_id"), F.col(vector_col).alias("v"), F.col(label_col).cast("long").alias("label"))
     kind = "<f4" if dict(vectors.dtypes)[vector_col] == "array<float>" else "<f8"
@@ -206,14 +346,29 @@ def near_duplicates(vectors: DataFrame, cosine: float = 0.93, trees: int = 12, l
     nodes = c.checkpointed(nodes)
     n = nodes.count()
     taken = [r[0] for r in nodes.select("vector", "node").orderBy(F.xxhash64("node"), "node").limit(sample).select("vector").collect()]  # at most `sample` vectors
+    balls: dict[int, tuple[int, np.ndarray]] = {}
+    for size in sorted({len(r) for r in taken}) if n > leaf else ():
+        own = _units(kind, [r for r in taken if len(r) == size], size // int(kind[2]))
+        centres = dense_balls(own, cosine, max(8, leaf / 2 * len(taken) / n), leaf, broad)
+        if len(centres):
+            balls[size // int(kind[2])] = (sum(len(x) for _, x in balls.values()), centres)
+    rest, near = nodes, None
+    if balls:
+        centres = vectors.sparkSession.sparkContext.broadcast(balls)  # at most sample / 8 of them
+        placed = c.checkpointed(nodes.select("node", "label", "copies", "vector").mapInArrow(lambda b: _placed(kind, centres.value, cosine, b), "node long, label long, copies long, vector binary, core int, balls array<int>"))
+        near = _ball_links(placed, kind, cosine)
+        rest = placed.where("core is null")
+        n = rest.count()
+        taken = [r for r in taken if not _in_core(kind, balls, cosine, r)]
     dim = max({len(r) for r in taken}, key=lambda d: sum(len(r) == d for r in taken)) // int(kind[2]) if taken else 1
     depth = max(0, math.ceil(math.log2(max(1, n) / leaf)))
     forest = fit(_units(kind, taken, dim), trees, depth, spill)
     held = vectors.sparkSession.sparkContext.broadcast(forest)  # at most 2 * sample / 8 nodes a tree
     del taken
     schema = "tree int, leaf int, node long, label long, copies long, vector binary, leaves binary"
-    routed = nodes.select("node", "label", "copies", "vector").mapInArrow(lambda b: _routed(kind, held.value, dim, b), schema)
-    found = c.checkpointed(routed.groupBy("tree", "leaf").applyInArrow(lambda t: _compared(kind, cosine, t), "a long, b long, n long"))
+    routed = rest.select("node", "label", "copies", "vector").mapInArrow(lambda b: _routed(kind, held.value, dim, b), schema)
+    found = routed.groupBy("tree", "leaf").applyInArrow(lambda t: _compared(kind, cosine, t), "a long, b long, n long")
+    found = c.checkpointed(found if near is None else found.union(near))
     links = found.where("b is null").groupBy(F.col("a").alias("node")).agg(F.sum("n").alias("links"))
     comps = c.components(found.where("b is not null"), "a", "b").select(F.col("id").alias("node"), F.col("component_id").alias("comp"))
     classes = nodes.select("node", "first", "copies").join(comps, "node", "left").withColumn("comp", F.coalesce("comp", "node"))

@@ -253,6 +253,26 @@ def test_embeddings(spark):
     assert rp_forest.near_duplicates(df.limit(0)).count() == 0
 
 
+def test_embeddings_dense_cluster(spark):
+    """Near-copies that are a third of the rows, in blocks of tiles and with looser ones around them."""
+    r = np.random.default_rng(4)
+    x = r.standard_normal((4500, 32))
+    tight, loose = x[0] + 0.2 * r.standard_normal((1500, 32)), x[0] + 0.32 * r.standard_normal((300, 32))
+    x = np.concatenate((tight, loose, x[1800:])).astype(np.float32)
+    label = np.where(np.arange(len(x)) % 10 == 0, 2, 1)
+    u = x.astype(np.float64) / np.linalg.norm(x.astype(np.float64), axis=1, keepdims=True)
+    linked = (u @ u.T >= 0.93) & (label[:, None] == label[None, :])
+    sets = Sets()
+    for a, b in zip(*np.nonzero(np.triu(linked, 1)), strict=True):
+        sets.join(int(a), int(b))
+    want = [(i, int(linked[i].sum()) - 1, sets.top(i)) for i in range(len(x))]
+    df = spark.createDataFrame([(i, v.tolist(), int(k)) for i, (v, k) in enumerate(zip(x, label, strict=True))], "vec_id long, embedding array<float>, label int")
+    got = sorted(tuple(y)[:3] for y in rp_forest.near_duplicates(df, leaf=100).collect())
+    assert sum(y[1] for y in got) >= 0.9999 * sum(y[1] for y in want)
+    assert [y for y in got[:1500] if y not in want] == []
+    assert all(y[1] <= w[1] for y, w in zip(got, want, strict=True))
+
+
 # ---------------------------------------------------------------- chat
 
 
