@@ -2,7 +2,8 @@
 
 A record's fingerprint is the hash of its sorted nested field paths. It selects a declarative
 mapping (which path holds the turns, which the role, which the text, or which flat fields stand
-for which role); a new layout is one more entry in `MAPPINGS`. Canonical turns are rows
+for which role); a new layout is one more entry in `MAPPINGS`. A record with further fields goes to
+the mapping of most paths among those whose paths it has, unless two fit alike. Canonical turns are rows
 (conv_id, turn, role, text).
 
 The template writes a turn as START role NEWLINE text STOP NEWLINE. A backslash in a role or
@@ -88,9 +89,28 @@ ROW_MAPPINGS = {
 }
 
 
+def _mapping(found: set[str]) -> dict | None:
+    """The mapping of these paths; else the one of most paths that all occur beside further fields."""
+    exact = MAPPINGS.get(fingerprint(found))
+    if exact is not None:
+        return exact
+    fits = [m for m in MAPPINGS.values() if m["paths"] <= found and not any(_mixed(m, p) for p in found - m["paths"])]
+    most = max((len(m["paths"]) for m in fits), default=0)
+    fits = [m for m in fits if len(m["paths"]) == most]
+    return fits[0] if len(fits) == 1 else None  # of two that fit alike, either would leave out what the other says
+
+
+def _mixed(mapping: dict, path: str) -> bool:
+    """Whether a further path shows a mapped field, or an element of the turns, of another shape."""
+    turns = f"{mapping['turns']}[]" if "turns" in mapping else None
+    if turns and path.startswith(turns) and not path.startswith(f"{turns}."):
+        return True
+    return any(path.startswith((f"{p}.", f"{p}[]")) for p in mapping["paths"])
+
+
 def record_turns(record: Any) -> list[tuple[str, str]] | None:
     """Canonical (role, text) of a record of a known layout."""
-    mapping = MAPPINGS.get(fingerprint(paths(record))) if isinstance(record, dict) else None
+    mapping = _mapping(paths(record)) if isinstance(record, dict) else None
     if mapping is None:
         return None
     out: list[tuple[str, str]] = []

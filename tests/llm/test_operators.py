@@ -465,3 +465,17 @@ def test_queries_run(spark, sf_dir):
             assert rows >= n["documents"]
         else:
             assert rows == n["documents"], name
+
+
+def test_chat_records_with_further_fields():
+    turns = [("user", "a"), ("assistant", "b")]
+    assert chat.record_turns({"id": 1, "prompt": "a", "response": "b"}) == turns
+    assert chat.record_turns({"source": "x", "messages": [{"role": "user", "content": "a", "name": "n"}, {"role": "assistant", "content": "b"}]}) == turns
+    assert chat.record_turns({"id": 1, "instruction": "a", "input": "c", "output": "b"}) == [("user", "a\n\nc"), ("assistant", "b")]
+    for unknown in (
+        {"id": 1, "text": "a"},
+        {"prompt": "a", "response": "b", "completion": "c"},
+        {"messages": [{"role": "user", "content": "a"}, "b"]},
+        {"messages": [{"role": "user", "content": "a"}, {"role": "user", "content": [{"text": "b"}]}]},
+    ):
+        assert chat.record_turns(unknown) is None
