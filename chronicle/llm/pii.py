@@ -4,11 +4,13 @@ Base detectors find e-mail addresses, IP addresses, payment cards and phone numb
 as it stands. Then transducers rewrite disguises - homoglyphs and invisible characters, spelled
 digits and signs, at/dot disguises - and carry for each character they put out the source span
 it came from. The same detectors read the rewritten text; what they find there is mapped back
-to source characters and added where no base span of that kind overlaps it.
+to source characters and added where no base span of that kind overlaps it. A second reading
+joins figures to spelled digits and takes a bare "at" before a plain domain; it adds spans only
+where the first has none.
 
 Detectors run in linear time on any text: e-mail addresses are found from their @ outwards, and
 runs of digits are entered at their first digit only. A text without any trigger of a disguise
-is not read again.
+is not given to the detectors again.
 
 Null and empty texts have no spans. Rows that share an id are separate documents. Offsets count
 code points, ends are exclusive. Other columns are ignored; an empty table gives an empty result.
@@ -129,6 +131,8 @@ NUMERAL = "|".join(sorted(SPELLED, key=len, reverse=True))
 #: At least four spelled digits on end, perhaps with signs and figures between them.
 NUMBER = re.compile(rf"(?<!\w)(?:(?:plus|\+)[ ]*)?(?:(?:{NUMERAL})(?!\w)(?:[ .,()-]|{DOTS}|dash|hyphen|[0-9])*){{3,}}(?:{NUMERAL})(?!\w)", re.I)
 IN_NUMBER = re.compile(rf"(?P<digit>(?<!\w)(?:{NUMERAL})(?!\w))|(?P<dot>[ ]*(?<!\w)(?:{DOTS})(?!\w)[ ]*)|(?P<dash>[ ]*(?<!\w)(?:dash|hyphen)(?!\w)[ ]*)|(?P<plus>plus[ ]*)|(?P<gap>(?<=\w)[ ,]+(?=(?:{NUMERAL})(?!\w)))", re.I)
+#: Spelled digits and figures in one run; `_mixed_numbers` asks for both, and four digits in all.
+MIXED_NUMBER = re.compile(rf"(?<!\w)(?:(?:plus|\+)[ ]*)?(?:(?<!\w)(?:{NUMERAL})(?!\w)|[0-9]+)(?:(?:[ .,()-]|{DOTS}|dash|hyphen)*(?:(?<!\w)(?:{NUMERAL})(?!\w)|[0-9]+))*", re.I)
 OPEN, SHUT = r"[(\[{<]", r"[)\]}>]"
 #: An at sign in brackets; as a word where a domain with a disguised dot follows; or with space after it.
 AT = re.compile(
@@ -138,6 +142,9 @@ AT = re.compile(
     re.I,
 )
 DOT = re.compile(rf"\s{{0,3}}{OPEN}\s?(?:{DOTS}|\.)\s?{SHUT}\s{{0,3}}|(?<=[A-Za-z0-9])\s{{1,3}}(?:{DOTS})\s{{1,3}}(?=[A-Za-z0-9])", re.I)
+#: The word before a plain dotted domain, and what in front of it says that an address is meant (else the local part must).
+PLAIN_AT = re.compile(rf"(?<=[A-Za-z0-9])\s{{1,3}}(?:{ATS})\s{{1,3}}(?=(?:[A-Za-z0-9-]+\.)+[A-Za-z]{{2,}}(?![A-Za-z0-9]))", re.I)
+CUE = re.compile(r"\b(?:e-?mail|mail|contact|address|correo|adresse|courriel)\b\W{0,3}(?:\w{1,5}\W{1,3}){0,2}$", re.I)
 #: A letter that stands for a digit between digits.
 DIGIT_LETTER = re.compile(r"(?<=[0-9])[OoIl](?=[0-9])")
 #: Triggers, each quick to search for: a sign in brackets, space after an @, a letter between digits.
@@ -146,6 +153,8 @@ LOOSE_AT = re.compile(r"@\s{1,3}[A-Za-z0-9-]")
 MIXED = re.compile(r"[0-9][OoIl][0-9]")
 #: ASCII letters and all bytes of longer characters stay, anything else parts words.
 LETTERS = bytes(b if b > 127 or chr(b).isalpha() else 32 for b in range(256))
+#: The same, with figures kept.
+LETTERS_FIGURES = bytes(b if b > 127 or chr(b).isalnum() else 32 for b in range(256))
 DIGIT_WORDS = frozenset(w.encode() for w in SPELLED)
 DOT_WORDS = frozenset(w.encode() for w in DOTS.split("|"))
 BETWEEN = DOT_WORDS | {b"plus", b"dash", b"hyphen"}
@@ -190,11 +199,66 @@ class Tape:
         self.starts, self.ends = starts + self.starts[last:], ends + self.ends[last:]
 
 
+def _numerals(text: str, a: int, b: int) -> list[tuple[int, int, str]]:
+    signs = {"dot": ".", "dash": "-", "plus": "+", "gap": ""}
+    return [(*m.span(), SPELLED[m[0].lower()] if m.lastgroup == "digit" else signs[m.lastgroup]) for m in IN_NUMBER.finditer(text, a, b)]
+
+
 def _numbers(text: str) -> list[tuple[int, int, str]]:
     out = []
     for run in NUMBER.finditer(text):
-        for m in IN_NUMBER.finditer(text, *run.span()):
-            out.append((*m.span(), SPELLED[m[0].lower()] if m.lastgroup == "digit" else {"dot": ".", "dash": "-", "plus": "+", "gap": ""}[m.lastgroup]))
+        out += _numerals(text, *run.span())
+    return out
+
+
+def _beside_figures(text: str) -> bool:
+    """Whether a spelled digit stands next to figures, with nothing but signs between."""
+    words = text.lower().encode("utf-8", "replace").translate(LETTERS_FIGURES).split()
+    if DIGIT_WORDS.isdisjoint(words):
+        return False
+    words = [w for w in words if w not in BETWEEN]
+    return any((w in DIGIT_WORDS and v[:1].isdigit()) or (v in DIGIT_WORDS and w[-1:].isdigit()) for w, v in zip(words, words[1:], strict=False))
+
+
+def _mixed_numbers(text: str) -> list[tuple[int, int, str]]:
+    out = []
+    if not _beside_figures(text):
+        return out
+    for run in MIXED_NUMBER.finditer(text):
+        spelled = [m for m in IN_NUMBER.finditer(text, *run.span()) if m.lastgroup == "digit"]
+        figures = sum(x.isdigit() for x in run[0])
+        if spelled and figures and len(spelled) + figures >= 4:
+            out += _numerals(text, *run.span())
+    return out
+
+
+def _plain_ats(text: str) -> list[tuple[int, int, str]]:
+    """The word at between a local part that looks like one, or that a cue announces, and a plain domain."""
+    out = []
+    for m in PLAIN_AT.finditer(text):
+        start = m.start()
+        while start > 0 and text[start - 1] in LOCAL:
+            start -= 1
+        local = text[start : m.start()]
+        marked = local[0].isalpha() and not local.isalpha()
+        if marked or CUE.search(text[max(0, start - 40) : start]):
+            out.append((*m.span(), "@"))
+    return out
+
+
+def widened(text: str) -> Tape | None:
+    """A second reading, which joins figures to spelled digits and takes a plain at; None if there is nothing of both."""
+    edited = False
+    out = Tape(text)
+    if not text.isascii() and not GLYPH_SET.isdisjoint(text):
+        out.rewrite([(i, i + 1, GLYPHS[ch]) for i, ch in enumerate(text) if ch in GLYPH_SET])
+    for rule in (_mixed_numbers, _plain_ats):
+        edits = rule(out.text)
+        out.rewrite(edits)
+        edited = edited or bool(edits)
+    if not edited:
+        return None
+    out.rewrite([(*m.span(), ".") for m in DOT.finditer(out.text)])
     return out
 
 
@@ -217,9 +281,14 @@ def normalised(text: str) -> Tape | None:
 
 def all_spans(text: str, base: list[Span]) -> list[Span]:
     """Base spans and those that only the normalised text shows, by kind and then by place."""
-    tape = normalised(text)
-    if tape is None:
-        return base
+    out = base
+    for reading in (normalised(text), widened(text)):
+        if reading is not None:
+            out = _added(out, reading)
+    return out
+
+
+def _added(base: list[Span], tape: Tape) -> list[Span]:
     held: dict[str, list[tuple[int, int]]] = {k: [] for k in KINDS}
     for k, a, b in base:
         held[k].append((a, b))

@@ -467,6 +467,21 @@ def test_queries_run(spark, sf_dir):
             assert rows == n["documents"], name
 
 
+def test_pii_figures_and_plain_at():
+    for text, kind, part in (
+        ("call +49 30 one two three 4567 now", "phone", "+49 30 one two three 4567"),
+        ("host 10.0.0.one is up", "ip", "10.0.0.one"),
+        ("write to john.doe at example.com today", "email", "john.doe at example.com"),
+        ("my email is john at example.com", "email", "john at example.com"),
+    ):
+        a = text.index(part)
+        assert pii.all_spans(text, pii.base_spans(text)) == [(kind, a, a + len(part))], text
+    for text in ("look at example.com for one of 4567 things", "1.2.3 one more", "in 2024, one two three", "+49 30 one"):
+        assert pii.all_spans(text, pii.base_spans(text)) == [], text
+    spelled = "in 2024, four one one one one one one one one one one one one one one one"
+    assert [k for k, _, _ in pii.all_spans(spelled, [])] == ["card"]
+
+
 def test_chat_records_with_further_fields():
     turns = [("user", "a"), ("assistant", "b")]
     assert chat.record_turns({"id": 1, "prompt": "a", "response": "b"}) == turns
