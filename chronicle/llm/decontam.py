@@ -3,8 +3,9 @@
 The training documents are cut into shards of bounded bytes. A task makes its shard's suffix
 array over words (prefix doubling, deep enough for a window), then binary-searches every
 suffix of the test items in it: the range found holds all places where the suffix's first
-`window` words stand verbatim, from which longest matches and locations follow. Words that the
-shard doesn't have end a search at once.
+`window` words stand verbatim. Longest matches of single items and their places are not put out:
+`longest_run` is the longest run of words that any windows hit. Words that the shard doesn't have
+end a search at once.
 
 The test items are the stated query set, held in blocks: they are cut into blocks of at most
 `block_bytes`, each broadcast on its own and searched one after the other, so a task holds one
