@@ -2,7 +2,7 @@
 
 import corpus_pipeline
 from chronicle.llm import common, packing, pii
-from test_operators import brute_contamination, brute_near
+from test_llm_operators import brute_contamination, brute_near
 
 
 def test_stages(spark, sf_dir, tmp_path):
