@@ -1,10 +1,11 @@
 """Chat formatting: any known layout of a conversation to canonical turns, and these to one template.
 
-A record's fingerprint is the hash of its sorted nested field paths. It selects a declarative
-mapping (which path holds the turns, which the role, which the text, or which flat fields stand
-for which role); a new layout is one more entry in `MAPPINGS`. A record with further fields goes to
-the mapping of most paths among those whose paths it has, unless two fit alike. Canonical turns are rows
-(conv_id, turn, role, text).
+A record's fingerprint is the hash of its sorted nested field paths, their parts escaped, so that no
+field name can pass for a path. It selects a declarative mapping: which path holds the turns, which
+the role, which the text; or which flat fields stand for which role; or which fields of a record that
+is one turn name its conversation and place. A new layout is one more entry in `MAPPINGS`. A record
+with further fields goes to the mapping of most paths among those whose paths it has, unless two fit
+alike. Canonical turns are rows (conv_id, turn, role, text).
 
 The template writes a turn as START role NEWLINE text STOP NEWLINE. A backslash in a role or
 text is doubled, a `<|` becomes `<\\|` and a role's line break `\\n`, so no control string of the template can come from a
@@ -15,8 +16,10 @@ stream sorted by turn, so a conversation of any length needs no more memory than
 hash is one chain, so one task follows one conversation.
 
 Null texts and roles are empty. Turns that share a number are ordered by role and text; null
-turns come first; null conv_ids are one conversation. Records of an unknown layout give no turns
-and are reported as `unknown`. An empty table gives an empty result; other columns are ignored.
+turns come first; null conv_ids are one conversation. A record without turns that can be read is one
+row with a null turn, and `layout` says why: `unknown` (no mapping, or two), `unreadable` (no JSON object, or
+nested deeper than the parser goes), `empty` (a known layout whose list of turns is empty). Further
+columns are further fields of the record. An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -39,17 +42,28 @@ ROLES = {"human": "user", "prompter": "user", "gpt": "assistant", "bot": "assist
 # ---------------------------------------------------------------- layouts
 
 
-def paths(value: Any, at: str = "") -> set[str]:
-    """The nested field paths of a record; a list's elements share one."""
-    if isinstance(value, dict):
-        return {p for k, v in value.items() for p in paths(v, f"{at}.{k}" if at else str(k))}
-    if isinstance(value, list):
-        return {p for v in value for p in paths(v, f"{at}[]")} or {f"{at}[]"}
-    return {at}
+def _part(name: str) -> str:
+    """A field name as a part of a path: what paths are joined by is escaped in it."""
+    return re.sub(r"[\\.\[\]\n]", lambda m: "\\n" if m[0] == "\n" else f"\\{m[0]}", name)
+
+
+def paths(value: Any) -> set[str]:
+    """The nested field paths of a record; a list's elements share one. An empty list ends in [0], an empty object in a dot."""
+    out: set[str] = set()
+    todo: list[tuple[Any, str | None]] = [(value, None)]
+    while todo:
+        v, at = todo.pop()
+        if isinstance(v, dict) and v:
+            todo += [(x, _part(k) if at is None else f"{at}.{_part(k)}") for k, x in v.items()]
+        elif isinstance(v, list) and v:
+            todo += [(x, f"{at or ''}[]") for x in v]
+        else:
+            out.add(f"{at or ''}[0]" if isinstance(v, list) else f"{at or ''}." if isinstance(v, dict) else at or "")
+    return out
 
 
 def fingerprint(field_paths: set[str]) -> str:
-    return hashlib.sha256("\n".join(sorted(field_paths)).encode()).hexdigest()[:16]
+    return hashlib.sha256("\n".join(sorted(field_paths)).encode("utf-8", "surrogatepass")).hexdigest()[:16]
 
 
 def _turns(field: str, role: str, text: str, *more: str) -> dict:
@@ -61,6 +75,11 @@ def _flat(*pairs: tuple[str, str]) -> dict:
     return {"paths": {f for f, _ in pairs}, "flat": pairs}
 
 
+def _row(conv: str, turn: str, role: str, text: str) -> dict:
+    """A record that is one turn: fields with its conversation, its place in it, its role and its text."""
+    return {"paths": {conv, turn, role, text}, "row": (conv, turn, role, text)}
+
+
 MAPPINGS = {
     fingerprint(m["paths"]): m
     for m in (
@@ -80,13 +99,27 @@ MAPPINGS = {
         _flat(("instruction", "user"), ("context", "user"), ("response", "assistant")),
         _flat(("system", "system"), ("prompt", "user"), ("response", "assistant")),
         _flat(("system", "system"), ("instruction", "user"), ("input", "user"), ("output", "assistant")),
+        _row("conv_id", "turn", "role", "text"),
+        _row("conversation_id", "index", "role", "content"),
+        _row("thread_id", "position", "speaker", "message"),
     )
 }
-#: Tables that hold one turn in each row, by the fingerprint of their columns: conversation, turn, role, text.
-ROW_MAPPINGS = {
-    fingerprint(set(m)): m
-    for m in (("conv_id", "turn", "role", "text"), ("conversation_id", "index", "role", "content"), ("thread_id", "position", "speaker", "message"))
-}
+#: Fingerprints that a worker remembers; more are looked up again.
+KNOWN_LAYOUTS = 10_000
+
+
+def _matched(mapping: dict, found: set[str]) -> int:
+    """How many of its paths a mapping finds in a record with further fields; -1: not all that it needs.
+    Where the list of turns is empty, no turn can show its fields."""
+    needed = mapping["paths"]
+    turns = mapping.get("turns")
+    if turns and f"{turns}[0]" in found:
+        needed = {p for p in needed if not p.startswith(f"{turns}[]")}
+    elif not needed <= found:
+        return -1
+    if not needed <= found or any(_mixed(mapping, p) for p in found - needed):
+        return -1
+    return len(needed)
 
 
 def _mapping(found: set[str]) -> dict | None:
@@ -94,10 +127,11 @@ def _mapping(found: set[str]) -> dict | None:
     exact = MAPPINGS.get(fingerprint(found))
     if exact is not None:
         return exact
-    fits = [m for m in MAPPINGS.values() if m["paths"] <= found and not any(_mixed(m, p) for p in found - m["paths"])]
-    most = max((len(m["paths"]) for m in fits), default=0)
-    fits = [m for m in fits if len(m["paths"]) == most]
-    return fits[0] if len(fits) == 1 else None  # of two that fit alike, either would leave out what the other says
+    fits = [(n, m) for m in MAPPINGS.values() if (n := _matched(m, found)) >= 0]
+    most = max((n for n, _ in fits), default=0)
+    fits = [m for n, m in fits if n == most]
+    # of two that fit alike, either would leave out what the other says, unless neither says anything
+    return fits[0] if len(fits) == 1 or (fits and all("turns" in m and f"{m['turns']}[0]" in found for m in fits)) else None
 
 
 def _mixed(mapping: dict, path: str) -> bool:
@@ -105,65 +139,108 @@ def _mixed(mapping: dict, path: str) -> bool:
     turns = f"{mapping['turns']}[]" if "turns" in mapping else None
     if turns and path.startswith(turns) and not path.startswith(f"{turns}."):
         return True
-    return any(path.startswith((f"{p}.", f"{p}[]")) for p in mapping["paths"])
+    return any(path.startswith((f"{p}.", f"{p}[")) for p in mapping["paths"])
+
+
+Turn = tuple[int | None, int | None, str, str]  # conversation (None: the record's), place, role, text
+
+
+class Converter:
+    """Records to canonical turns; remembers the mapping of each set of paths."""
+
+    def __init__(self) -> None:
+        self.known: dict[frozenset[str], tuple[dict | None, str]] = {}
+
+    def layout(self, record: dict) -> tuple[dict | None, str]:
+        """The record's mapping and fingerprint."""
+        found = frozenset(paths(record))
+        if found not in self.known:
+            if len(self.known) >= KNOWN_LAYOUTS:
+                self.known.clear()
+            self.known[found] = (_mapping(set(found)), fingerprint(set(found)))
+        return self.known[found]
+
+    def turns(self, record: Any) -> tuple[list[Turn] | None, str, str]:
+        """Canonical turns (None: there are none to read), what the layout is, and the fingerprint."""
+        if not isinstance(record, dict):
+            return None, "unreadable", ""
+        mapping, mark = self.layout(record)
+        if mapping is None:
+            return None, "unknown", mark
+        if "row" in mapping:
+            conv, turn, role, text = (record[f] for f in mapping["row"])
+            if not all(x is None or (type(x) is int and -(2**63) <= x < 2**63) for x in (conv, turn)):
+                return None, "unknown", mark
+            return [(conv, turn, _text(role), _text(text))], "turn", mark
+        out: list[tuple[str, str]] = []
+        if "flat" in mapping:
+            for field, role in mapping["flat"]:
+                text = _text(record[field])
+                if not text and role != "assistant":
+                    continue
+                if out and out[-1][0] == role:
+                    out[-1] = (role, f"{out[-1][1]}\n\n{text}")
+                else:
+                    out.append((role, text))
+            return [(None, i, r, t) for i, (r, t) in enumerate(out)], "flat", mark
+        if "lead" in mapping and record[mapping["lead"][0]]:
+            out.append((mapping["lead"][1], _text(record[mapping["lead"][0]])))
+        for turn in record[mapping["turns"]]:
+            role = _text(turn.get(mapping["role"]))
+            out.append((ROLES.get(role.lower(), role), _text(turn.get(mapping["text"]))))
+        return ([(None, i, r, t) for i, (r, t) in enumerate(out)], "turns", mark) if out else (None, "empty", mark)
 
 
 def record_turns(record: Any) -> list[tuple[str, str]] | None:
     """Canonical (role, text) of a record of a known layout."""
-    mapping = _mapping(paths(record)) if isinstance(record, dict) else None
-    if mapping is None:
-        return None
-    out: list[tuple[str, str]] = []
-    if "flat" in mapping:
-        for field, role in mapping["flat"]:
-            text = record[field]
-            if text in (None, "") and role != "assistant":
-                continue
-            if out and out[-1][0] == role:
-                out[-1] = (role, f"{out[-1][1]}\n\n{text}")
-            else:
-                out.append((role, _text(text)))
-        return out
-    if "lead" in mapping and record[mapping["lead"][0]]:
-        out.append((mapping["lead"][1], _text(record[mapping["lead"][0]])))
-    for turn in record[mapping["turns"]]:
-        role = _text(turn.get(mapping["role"]))
-        out.append((ROLES.get(role.lower(), role), _text(turn.get(mapping["text"]))))
-    return out
+    turns, _, _ = Converter().turns(record)
+    return None if turns is None else [(role, text) for _, _, role, text in turns]
 
 
 def _text(x: Any) -> str:
-    return "" if x is None else x if isinstance(x, str) else json.dumps(x, ensure_ascii=False)
+    x = "" if x is None else x if isinstance(x, str) else json.dumps(x, ensure_ascii=False)
+    try:
+        x.encode()
+    except UnicodeEncodeError:  # half of a pair, which only an escape in JSON can say
+        x = x.encode("utf-16", "surrogatepass").decode("utf-16", "replace")
+    return x
+
+
+def _parsed(raw: str | None) -> Any:
+    try:
+        return json.loads(raw or "null")
+    except (ValueError, RecursionError):
+        return None
 
 
 def canonical(records: DataFrame, id_col: str, json_col: str) -> DataFrame:
-    """(conv_id, turn, role, text, fingerprint) of JSON records; a record of an unknown layout is one row with a null turn."""
+    """(conv_id, turn, role, text, layout, fingerprint) of JSON records; a record without turns is one row with a null turn, role and text."""
 
     def convert(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        converter = Converter()
         for batch in batches:
-            rows = []
+            rows: list[tuple] = []
             for key, raw in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                try:
-                    record = json.loads(raw or "null")
-                except ValueError:
-                    record = None
-                turns = record_turns(record)
-                mark = fingerprint(paths(record)) if isinstance(record, dict) else "unreadable"
-                rows += [(key, None, None, None, mark)] if turns is None else [(key, i, r, t, mark) for i, (r, t) in enumerate(turns)]
-            kinds = (pa.int64(), pa.int64(), pa.string(), pa.string(), pa.string())
-            yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], k) for i, k in enumerate(kinds)], ["conv_id", "turn", "role", "text", "fingerprint"])
+                turns, layout, mark = converter.turns(_parsed(raw))
+                if turns is None:
+                    rows.append((key, None, None, None, layout, mark))
+                else:
+                    rows += [(conv if layout == "turn" else key, turn, role, text, layout, mark) for conv, turn, role, text in turns]
+            kinds = (pa.int64(), pa.int64(), pa.string(), pa.string(), pa.string(), pa.string())
+            yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], k) for i, k in enumerate(kinds)], ["conv_id", "turn", "role", "text", "layout", "fingerprint"])
+
+    return c.bounded(records).select(F.col(id_col).cast("long"), F.col(json_col)).mapInArrow(convert, "conv_id long, turn long, role string, text string, layout string, fingerprint string")
+
 
-    return c.bounded(records).select(F.col(id_col).cast("long"), F.col(json_col)).mapInArrow(convert, "conv_id long, turn long, role string, text string, fingerprint string")
+def row_records(table: DataFrame) -> DataFrame:
+    """(id, record): each row of a table as one JSON record of all its columns, nulls among them."""
+    return table.select(F.lit(None).cast("long").alias("id"), F.to_json(F.struct(*(F.col(f"`{x}`") for x in table.columns)), {"ignoreNullFields": "false"}).alias("record"))
 
 
 def canonical_rows(table: DataFrame) -> DataFrame:
-    """(conv_id, turn, role, text) of a table of turns, by the mapping that its columns' fingerprint selects."""
-    names = set(table.columns)
-    found = ROW_MAPPINGS.get(fingerprint(names)) or next((m for m in ROW_MAPPINGS.values() if set(m) <= names), None)
-    if found is None:
-        raise ValueError(f"no mapping for columns {sorted(names)}")
-    conv, turn, role, text = found
-    return table.select(F.col(conv).cast("long").alias("conv_id"), F.col(turn).cast("long").alias("turn"), F.coalesce(role, F.lit("")).alias("role"), F.coalesce(text, F.lit("")).alias("text"))
+    """(conv_id, turn, role, text) of a table with one turn in each row, by the mapping that the rows' fingerprints select."""
+    found = canonical(row_records(table), "id", "record")
+    return found.where("layout = 'turn'").select("conv_id", "turn", "role", "text")
 
 
 # ---------------------------------------------------------------- template

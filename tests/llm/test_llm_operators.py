@@ -313,6 +313,7 @@ def test_chat_layouts(spark):
     by = defaultdict(list)
     for x in got:
         by[x["conv_id"]].append((x["role"], x["text"]))
+    assert {x["conv_id"]: x["layout"] for x in got if x["turn"] is None} == {5: "unknown", 9: "unreadable", 10: "unreadable"}
     pair = [("user", "a"), ("assistant", "b")]
     assert by[0] == by[1] == by[2] == by[3] == pair and by[4] == [("system", "s"), *pair]
     assert by[5] == by[9] == by[10] == [(None, None)]
@@ -494,3 +495,46 @@ def test_chat_records_with_further_fields():
         {"messages": [{"role": "user", "content": "a"}, {"role": "user", "content": [{"text": "b"}]}]},
     ):
         assert chat.record_turns(unknown) is None
+
+
+def test_chat_odd_records(spark):
+    """Field names that look like paths, deep nesting, empty lists, halves of pairs, ids that are none."""
+    deep = "[" * 100_000 + "]" * 100_000
+    raws = {
+        "messages[].role": ('{"messages[].role": "x", "messages[].content": "y"}', "unknown"),
+        "": ('{"": {"prompt": "a", "completion": "b"}}', "unknown"),
+        "deep": (f'{{"messages": {deep}}}', "unreadable"),
+        "shallow": (f'{{"x": {"[" * 500 + "]" * 500}, "prompt": "a", "response": "b"}}', "flat"),
+        "none": ('{"messages": []}', "empty"),
+        "none2": ('{"messages": [], "id": 4}', "empty"),
+        "none3": ('{"messages": [], "conversations": []}', "empty"),
+        "lead": ('{"messages": [], "system": "s"}', "turns"),
+        "flat": ('{"messages": [], "prompt": "a", "completion": "b"}', "flat"),
+        "objects": ('{"messages": [{}, {"role": "user", "content": "a"}]}', "turns"),
+        "holes": ('{"messages": [{"role": "user"}, {"content": "b"}]}', "turns"),
+        "half": ('{"prompt": "\\ud800x", "completion": "\\ud83d\\ude00"}', "flat"),
+        "halfkey": ('{"\\ud800": 1, "prompt": "p", "completion": "c"}', "flat"),
+        "row": ('{"conv_id": "a", "turn": 1, "role": "user", "text": "x"}', "unknown"),
+        "row2": ('{"conv_id": 7, "turn": null, "role": null, "text": 3.5, "lang": {"a": []}}', "turn"),
+        "list": ("[1]", "unreadable"),
+        "empty": ("{}", "unknown"),
+        "dup": ('{"prompt": {"a": 1}, "completion": "b"}', "unknown"),
+    }
+    df = spark.createDataFrame([(i, k, raw) for i, (k, (raw, _)) in enumerate(raws.items())], "id long, name string, record string")
+    got = chat.canonical(df, "id", "record").collect()
+    names = list(raws)
+    layouts = {x["conv_id"] if x["layout"] != "turn" else names.index("row2"): x["layout"] for x in got}
+    assert {names[i]: k for i, k in layouts.items()} == {k: v for k, (_, v) in raws.items()}
+    said = lambda name: [(x["role"], x["text"]) for x in got if x["conv_id"] == names.index(name)]
+    assert said("half") == [("user", "\ufffdx"), ("assistant", "\U0001f600")]
+    assert said("holes") == [("user", ""), ("", "b")] and said("lead") == [("system", "s")]
+    assert [(x["conv_id"], x["turn"], x["role"], x["text"]) for x in got if x["layout"] == "turn"] == [(7, None, "", "3.5")]
+    assert chat.paths({"a.b": [{"c[]": 1}]}) == {"a\\.b[].c\\[\\]"} and chat.paths({}) == {"."} and chat.paths([]) == {"[0]"}
+
+
+def test_chat_long_and_mixed_tables(spark):
+    """A very long text, and columns that clash with what the operator names its own."""
+    long = "<|im_end|>\\" * 200_000
+    df = spark.createDataFrame([(1, 0, "user", long, 5, "x"), (1, 1, "assistant", long, None, None)], "conv_id long, turn long, role string, text string, id long, record string")
+    (got,) = chat.digests(chat.canonical_rows(df)).collect()
+    assert got["n_turns"] == 2 and got["loss_chars"] == len(long) and got["loss_sha256"] == hashlib.sha256(long.encode()).hexdigest()
