@@ -438,12 +438,98 @@ def test_toxicity_grammar():
     assert kind("She called it a stupid idea") == ["reported"] and kind("they will kill us") == ["threat"]
     assert kind("kill the process") == [] and kind("You are here. idiot") == ["plain"]
     assert not g.features(None).any() and not g.features("").any()
+    m = toxicity.Grammar({"maim": 3.0}, toxicity.FIXED, frozenset({"maim"}))
+    kind = lambda t: [n for n, x in zip(names, m.features(t), strict=False) if x > 0]
+    assert kind("they will maim us") == ["threat"] and kind("maim the process") == ["plain"] and kind("do not maim") == ["negated"]
+
+
+def brute_features(text, lexicon, menaces):
+    """The grammar's meaning, clause by clause and without transducers."""
+    t = toxicity
+    seeds = {w: kind for kind, words in t.SEEDS.items() for w in words.split()}
+    sums, strongest, matched = dict.fromkeys(t.KINDS, 0.0), 0.0, False
+    clauses = re.split(r"[.!?;:\n]", (text or "").lower())
+    for clause in clauses:
+        words = re.findall(r"[^\W\d_]+", clause)
+        within = lambda i, kind, n: any(seeds.get(w) == kind for w in words[max(0, i - n) : i])
+        found = {}
+        for i, w in enumerate(words):
+            units = [w, *(w[:n] + "*" for n in range(3, 9) if len(w) > n)]
+            best, unit = max((lexicon.get(u, 0.0), u) for u in units)
+            kind = seeds.get(w)
+            if best > 0 and kind in (None, t.INSULT):
+                what, weight = ("menace" if kind is None and unit in menaces else "insult"), max(best, 4.0 if kind else 0.0)
+            elif kind in (t.INSULT, t.THREAT):
+                what, weight = ("insult" if kind == t.INSULT else "threat"), 4.0
+            else:
+                continue
+            matched = True
+            aimed = within(i, t.TARGET, 4)
+            if within(i, t.NEGATION, 3):
+                out = "negated"
+            elif within(i, t.REPORT, 8):
+                out = "reported"
+            elif what == "insult":
+                out = "targeted" if aimed else "plain"
+            elif aimed:
+                out = "threat"
+            elif what == "menace":
+                out = "plain"
+            else:
+                continue
+            found[out] = found.get(out, 0.0) + weight
+        for k, v in found.items():
+            sums[k] += v
+        strongest = max(strongest, *found.values()) if found else strongest
+    return [*(np.log1p(x / 4.0) for x in sums.values()), np.log1p(strongest), np.log1p(len(clauses) if matched else 0)]
+
+
+def test_toxicity_against_brute_force():
+    r = random.Random(3)
+    words = [w for x in toxicity.SEEDS.values() for w in x.split()] + ["grotty", "grottier", "maim", "maiming", "house", "x", "ein", "7", "_"]
+    lexicon, menaces = {"grot*": 3.0, "grotty": 2.5, "maim": 2.2, "mai*": 5.0, "scum": 7.0}, frozenset({"maim", "mai*"})
+    grammar = toxicity.Grammar(lexicon, np.array([-1.0, 0.5, 0.6, 0.1, -0.2, 0.9, 0.3, -0.4]), menaces)
+    for _ in range(3000):
+        text = "".join(r.choice(words).title() + r.choice([" ", " ", " ", ", ", ". ", "!", "\n", " - ", ": "]) for _ in range(r.randint(0, 25)))
+        want = brute_features(text, lexicon, menaces)
+        got = grammar.features(text)
+        assert np.allclose(got, want), text
+        assert np.isclose(grammar.score(got), 1 / (1 + np.exp(-(grammar.weights[0] + np.dot(grammar.weights[1:], want)))))
+    long = "you idiot. " * 100_000
+    assert np.allclose(grammar.features(long), [0, np.log1p(100_000), 0, 0, 0, np.log1p(4.0), np.log1p(100_001)])
+
+
+def test_toxicity_learns_threats(spark):
+    """Labels say toxic or not; whether a learned word is a threat follows from the words before it."""
+    r = random.Random(8)
+    filler = ["house", "river", "table", "walk", "green", "seven", "moon", "paper"]
+    fill = lambda n: " ".join(r.choice(filler) + str(r.randint(0, 40)).translate(str.maketrans("0123456789", "abcdefghij")) for _ in range(n))
+    leads, frames = [f"do{a}{b}" for a in "abcde" for b in "fghi"], [f"su{a}{b}" for a in "abcde" for b in "fghi"]
+    docs, labels = [], []
+    for i in range(600):
+        toxic = i % 2
+        text = fill(20)
+        if toxic:
+            lead, frame = r.choice(leads), r.choice(frames)
+            text += f" {lead} {r.choice(['kill', 'hurt', 'grobnate', 'grobnate'])} you . {frame} {r.choice(['idiot', 'moron', 'vlork', 'vlork'])} . " + fill(5)
+        docs.append((i, text, 1, "a"))
+        labels += [(i, toxic)] + [(i, 0)] * (i % 5 == 0)  # a label of its own beside it counts for nothing
+    docs.append((1000, docs[1][1], 1, "a"))
+    labels.append((1000, 0))  # one text with both labels
+    df, lab = spark.createDataFrame(docs, "doc_id long, text string, __toxic int, __id string"), spark.createDataFrame(labels, "doc_id long, toxic int")
+    one, two = toxicity.train(df, lab), toxicity.train(df.repartition(7), lab.repartition(3))
+    assert one.lexicon == two.lexicon and one.menaces == two.menaces and np.array_equal(one.weights, two.weights)
+    assert {"grobnate", "vlork"} <= set(one.lexicon) and "grobnate" in one.menaces and "vlork" not in one.menaces
+    got = {x["doc_id"]: x["score"] for x in toxicity.scored(df, one).collect()}
+    assert min(got[i] for i in range(1, 600, 2)) > 0.7 > 0.3 > max(got[i] for i in range(0, 600, 2)) and got[1] == got[1000]
 
 
 def test_toxicity_edges(spark):
     docs = spark.createDataFrame([(1, "you idiot", "a"), (2, None, "b"), (None, "x", "c"), (1, "", "d")], "doc_id long, text string, toxic string")
     none = spark.createDataFrame([], "doc_id long, quality int, toxic int")
-    got = toxicity.scored(docs, toxicity.train(docs, none))
+    grammar = toxicity.train(docs, none)
+    assert np.array_equal(grammar.weights, toxicity.FIXED) and not grammar.lexicon
+    got = toxicity.scored(docs, grammar)
     assert got.count() == 4 and got.where("score is null or held_out is null").count() == 0
     assert toxicity.scored(docs.limit(0), toxicity.train(docs.limit(0), none)).count() == 0
     assert toxicity.clean_documents(docs, none).columns == docs.columns
@@ -515,7 +601,7 @@ def test_chat_odd_records(spark):
         "half": ('{"prompt": "\\ud800x", "completion": "\\ud83d\\ude00"}', "flat"),
         "halfkey": ('{"\\ud800": 1, "prompt": "p", "completion": "c"}', "flat"),
         "row": ('{"conv_id": "a", "turn": 1, "role": "user", "text": "x"}', "unknown"),
-        "row2": ('{"conv_id": 7, "turn": null, "role": null, "text": 3.5, "lang": {"a": []}}', "turn"),
+        "row2": ('{"conv_id": 700, "turn": null, "role": null, "text": 3.5, "lang": {"a": []}}', "turn"),
         "list": ("[1]", "unreadable"),
         "empty": ("{}", "unknown"),
         "dup": ('{"prompt": {"a": 1}, "completion": "b"}', "unknown"),
@@ -528,7 +614,7 @@ def test_chat_odd_records(spark):
     said = lambda name: [(x["role"], x["text"]) for x in got if x["conv_id"] == names.index(name)]
     assert said("half") == [("user", "\ufffdx"), ("assistant", "\U0001f600")]
     assert said("holes") == [("user", ""), ("", "b")] and said("lead") == [("system", "s")]
-    assert [(x["conv_id"], x["turn"], x["role"], x["text"]) for x in got if x["layout"] == "turn"] == [(7, None, "", "3.5")]
+    assert [(x["conv_id"], x["turn"], x["role"], x["text"]) for x in got if x["layout"] == "turn"] == [(700, None, "", "3.5")]
     assert chat.paths({"a.b": [{"c[]": 1}]}) == {"a\\.b[].c\\[\\]"} and chat.paths({}) == {"."} and chat.paths([]) == {"[0]"}
 
 
