@@ -8,11 +8,13 @@ multiple of that length in its own document. So:
    the bucket's number.
 2. A bucket tells which probes meet a block of another document (or of another place that may
    be one), and which blocks are met.
-3. Hits are extended: each `window`-word run that holds a hit is compared exactly by a 64-bit
-   hash, with the smallest doc_id that has it. Runs that a smaller doc_id has are removed; the
+3. Hits are extended: each `window`-word run that holds a hit is compared by 96 bits of hashes,
+   with the smallest doc_id that has it. Runs that a smaller doc_id has are removed; the
    union of the removed runs is the maximal repeat.
 
-A block that a third of all documents hold is one entry in each chunk. Nothing is capped.
+A block that every chunk holds is one entry in each chunk; of more than `fan` chunks, groups of so
+many meet first and send it on once. Rows that are equal in id and text stand once, with their number,
+where they are many. Nothing is capped.
 
 Null texts have no words. Rows of one doc_id are one document as far as "smaller" goes. A null
 doc_id counts as larger than any. An empty table gives an empty result; other columns are ignored.
@@ -55,40 +57,69 @@ def _grouped(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return order, heads, np.diff(np.append(heads, len(keys)))
 
 
+#: A window's hashes, and the smallest doc_id that has it stands beside.
+OWNER = np.dtype("<i8")
+
+
+def _member(order: np.ndarray, heads: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Each input's group."""
+    out = np.empty(len(order), np.int64)
+    out[order] = np.repeat(np.arange(len(heads)), sizes)
+    return out
+
+
+def _probed(rows: pa.Table) -> tuple[c.Bucket, np.ndarray, np.ndarray, np.ndarray]:
+    """A bucket's entries, the different ones, what is known of each (1: a fixed block, 2: of several owners), and each entry's group."""
+    held = c.Bucket(rows, np.uint32, np.uint8)
+    order, heads, sizes = _grouped(held.keys)
+    kind = np.bitwise_or.reduceat(held.beside[order], heads) | 2 * (sizes > 1).astype(np.uint8)
+    return held, held.keys[order[heads]], kind.astype(np.uint8), _member(order, heads, sizes)
+
+
 def _probe_bucket(rows: pa.Table) -> pa.Table:
     """Step 2 for one bucket: which entries meet a block of the index elsewhere."""
-    keys = [np.frombuffer(x.as_py(), np.uint32) for x in rows["a"]]
-    kinds = [np.frombuffer(x.as_py(), np.uint8) for x in rows["b"]]
-    every, kind = np.concatenate(keys), np.concatenate(kinds)
-    order = np.argsort(every)
-    heads = c.group_starts(every[order])
-    sizes = np.diff(np.append(heads, len(every)))
-    either = np.bitwise_or.reduceat(kind[order], heads)
-    hit = ((either & 1) > 0) & ((sizes > 1) | ((either & 2) > 0))
-    code = np.empty(len(every), np.uint8)
-    code[order] = np.repeat(hit, sizes)
-    parts = np.split(code, np.cumsum([len(k) for k in keys])[:-1])
-    return c.answered(rows["chunk"].to_pylist(), rows["bucket"].to_pylist(), [x.tobytes() for x in parts])
+    held, _, kind, member = _probed(rows)
+    return held.answered((kind == 3)[member])
+
+
+def _merge_probes(part: int, rows: pa.Table) -> pa.Table:
+    held, keys, kind, _ = _probed(rows)
+    return held.merged(part, keys, kind)
+
+
+def _spread_probes(rows: pa.Table, code: np.ndarray) -> pa.Table:
+    held, _, _, member = _probed(rows)
+    return held.answered(code[member])
+
+
+def _owned(rows: pa.Table) -> tuple[c.Bucket, np.ndarray, np.ndarray, np.ndarray]:
+    """A bucket's windows, the different ones, the smallest doc_id of each, and each window's group."""
+    held = c.Bucket(rows, c.TWIN, OWNER)
+    order, heads, sizes = c.twin_order(held.keys)
+    return held, held.keys[order[heads]], np.minimum.reduceat(held.beside[order], heads), _member(order, heads, sizes)
 
 
 def _window_bucket(rows: pa.Table) -> pa.Table:
     """Step 3 for one bucket: which windows a smaller doc_id of another chunk has."""
     if rows["bucket"][0].as_py() < 0:
         return rows.select(["chunk", "bucket", "a"])
-    keys = [np.frombuffer(x.as_py(), np.uint64) for x in rows["a"]]
-    ids = np.concatenate([np.frombuffer(x.as_py(), np.int64) for x in rows["b"]])
-    every = np.concatenate(keys)
-    order, heads, sizes = _grouped(every)
-    least = np.minimum.reduceat(ids[order], heads)
-    code = np.empty(len(every), np.uint8)
-    code[order] = ids[order] > np.repeat(least, sizes)
-    parts = np.split(code, np.cumsum([len(k) for k in keys])[:-1])
-    return c.answered(rows["chunk"].to_pylist(), rows["bucket"].to_pylist(), [x.tobytes() for x in parts])
-
-
-def later_copies(docs: DataFrame, window: int = 13, id_col: str = "doc_id", text_col: str = "text", chunk_bytes: int = 4 << 20, bucket_keys: int = 1 << 19, with_text: bool = False) -> DataFrame:
+    held, _, least, member = _owned(rows)
+    return held.answered(held.beside > least[member])
+
+
+def _merge_windows(part: int, rows: pa.Table) -> pa.Table:
+    held, keys, least, _ = _owned(rows)
+    return held.merged(part, keys, least)
+
+
+def _spread_windows(rows: pa.Table, code: np.ndarray) -> pa.Table:
+    held, _, least, member = _owned(rows)
+    return held.answered((code[member] > 0) | (held.beside > least[member]))
+
+
+def later_copies(docs: DataFrame, window: int = 13, id_col: str = "doc_id", text_col: str = "text", chunk_bytes: int = 4 << 20, bucket_keys: int = 1 << 19, fan: int = c.FAN, most_copies: int = c.MOST_COPIES, with_text: bool = False) -> DataFrame:
     """One row for each row of docs: doc_id, n_words, n_removed, kept_sha256 and, if asked for, kept (the words left, joined by spaces)."""
-    rows, total = c.chunked(docs, id_col, text_col, chunk_bytes)
+    rows, total, n_chunks = c.chunked(docs, id_col, text_col, chunk_bytes, most_copies)
     block = (window + 1) // 2
     bits = c.bucket_bits(total // 5 + 1, bucket_keys)
     window_bits = c.bucket_bits(total // 20 + 1, bucket_keys)
@@ -120,18 +151,19 @@ def later_copies(docs: DataFrame, window: int = 13, id_col: str = "doc_id", text
         return begin[sums[begin + window - block + 1] > sums[begin]]
 
     def compared(begin: np.ndarray, hashes: np.ndarray, doc_of: np.ndarray) -> tuple[np.ndarray, ...]:
-        keys = c.Rolling(hashes, c.WORD_MULTIPLIER).window(window)[begin] if len(begin) else np.zeros(0, np.uint64)
-        order, heads, sizes = _grouped(keys)
+        """The different windows of those begins, sorted, with all windows' order, group sizes and owners, and each one's least owner."""
+        keys = c.Twin(hashes, c.WORD_MULTIPLIER, c.mix(hashes)).spans(begin, begin + window) if len(begin) else np.zeros(0, c.TWIN)
+        order, heads, sizes = c.twin_order(keys)
         owner = doc_of[order]
         least = np.minimum.reduceat(owner, heads) if len(heads) else owner
-        return keys[order][heads], order, sizes, owner, least
+        return keys[order[heads]], order, sizes, owner, least
 
     def owners(first: np.ndarray, ids: np.ndarray, begin: np.ndarray) -> np.ndarray:
         return ids[np.searchsorted(first, begin, "right") - 1]
 
     def extended(texts: pa.Table, flags: pa.Table) -> pa.Table:
         if not len(texts) or not len(flags):
-            return c.slices(0, np.zeros(0, np.uint64), 0, np.zeros(0, np.uint64))
+            return c.slices(0, np.zeros(0, np.uint64), 0, np.zeros(0, c.TWIN))
         chunk = texts["chunk"][0].as_py()
         texts = c.in_order(texts)
         _, _, _, first, hashes, ids = _words(texts)
@@ -141,9 +173,9 @@ def later_copies(docs: DataFrame, window: int = 13, id_col: str = "doc_id", text
         keys, _, _, _, least = compared(begin, hashes, owners(first, ids, begin))
         mask = np.zeros(len(hashes), bool)
         mask[begin] = True
-        return pa.concat_tables([c.slices(chunk, keys, window_bits, keys, least), c.passed(chunk, np.packbits(mask).tobytes())])
+        return pa.concat_tables([c.slices(chunk, keys["h"].copy(), window_bits, keys, least.astype(OWNER)), c.passed(chunk, np.packbits(mask).tobytes())])
 
-    schema = "doc_id long, n_words long, n_removed long, kept_sha256 string" + ", kept string" * with_text
+    schema = "doc_id long, n_words long, n_removed long, kept_sha256 string, copies long" + ", kept string" * with_text
 
     def removed(texts: pa.Table, flags: pa.Table) -> pa.Table:
         texts = c.in_order(texts)
@@ -152,7 +184,7 @@ def later_copies(docs: DataFrame, window: int = 13, id_col: str = "doc_id", text
         raw = next((r for b, r in own if b < 0), b"")
         begin = np.flatnonzero(np.unpackbits(np.frombuffer(raw, np.uint8), count=len(hashes))) if raw else np.zeros(0, np.int64)
         keys, order, sizes, owner, least = compared(begin, hashes, owners(first, ids, begin))
-        code = c.answers(keys, window_bits, ((b, r) for b, r in own if b >= 0))
+        code = c.answers(keys["h"].copy(), window_bits, ((b, r) for b, r in own if b >= 0))
         hit = begin[order[np.repeat(code > 0, sizes) | (owner > np.repeat(least, sizes))]]
         gone = c.covered(len(hashes), hit, hit + window)
         out: dict[str, list] = {k: [] for k in ("n_words", "n_removed", "kept_sha256", "kept")}
@@ -163,12 +195,13 @@ def later_copies(docs: DataFrame, window: int = 13, id_col: str = "doc_id", text
             out["n_words"].append(b - a)
             out["n_removed"].append(b - a - len(keep))
             out["kept_sha256"].append(hashlib.sha256(kept).hexdigest())
-            out["kept"].append(kept.decode("utf-8", "replace") if with_text else "")
-        cols = [texts["doc_id"], pa.array(out["n_words"], pa.int64()), pa.array(out["n_removed"], pa.int64()), pa.array(out["kept_sha256"], pa.string())]
-        names = ["doc_id", "n_words", "n_removed", "kept_sha256"]
+            if with_text:
+                out["kept"].append(kept.decode("utf-8", "replace"))
+        cols = [texts["doc_id"], pa.array(out["n_words"], pa.int64()), pa.array(out["n_removed"], pa.int64()), pa.array(out["kept_sha256"], pa.string()), texts["copies"]]
+        names = ["doc_id", "n_words", "n_removed", "kept_sha256", "copies"]
         return pa.Table.from_arrays(cols + [pa.array(out["kept"], pa.string())] * with_text, names + ["kept"] * with_text)
 
     by_chunk = rows.groupBy("chunk")
-    probed = by_chunk.applyInArrow(index, c.CHUNKS).groupBy("bucket").applyInArrow(_probe_bucket, c.ANSWERS)
-    judged = by_chunk.cogroup(probed.groupBy("chunk")).applyInArrow(extended, c.CHUNKS).groupBy("bucket").applyInArrow(_window_bucket, c.ANSWERS)
-    return by_chunk.cogroup(judged.groupBy("chunk")).applyInArrow(removed, schema)
+    probed = c.scanned(by_chunk.applyInArrow(index, c.CHUNKS), n_chunks, _probe_bucket, _merge_probes, _spread_probes, fan)
+    judged = c.scanned(by_chunk.cogroup(probed.groupBy("chunk")).applyInArrow(extended, c.CHUNKS), n_chunks, _window_bucket, _merge_windows, _spread_windows, fan)
+    return c.each_copy(by_chunk.cogroup(judged.groupBy("chunk")).applyInArrow(removed, schema))

@@ -1,6 +1,8 @@
 """What the operators of this folder share: tables, checkpoints, byte buffers, rolling hashes, components.
 
-Hashes are 64 bits wide, polynomial over Z/2^64 with a random byte table and a final mix.
+Hashes are polynomial over Z/2^64 with a random byte table and a final mix. Where equal hashes
+are taken for equal content without another look, a second hash with another table and base stands
+beside the first (`Twin`), so that 96 bits must agree.
 All arrays are built per chunk of documents or per segment of such a chunk, so a task's
 memory depends on the chunk size and not on the input.
 """
@@ -10,8 +12,9 @@ from __future__ import annotations
 import contextlib
 import ctypes
 import math
+import re
 import tempfile
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -23,6 +26,8 @@ SEED = 20240607
 MULTIPLIER = np.uint64(0x9E3779B97F4A7C15 | 1)
 WORD_MULTIPLIER = np.uint64(0xD1342543DE82EF95)
 BYTE_TABLE = np.random.default_rng(SEED).integers(1, 2**64, 256, dtype=np.uint64)
+SECOND_TABLE = np.random.default_rng(SEED + 1).integers(1, 2**64, 256, dtype=np.uint64)
+SECOND_MULTIPLIER = np.uint64(0xA0761D6478BD642F)
 #: Bytes that one round of a rolling hash covers: its arrays then stay in the cache.
 SEGMENT = 1 << 19
 
@@ -35,23 +40,25 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def checkpointed(df: DataFrame) -> DataFrame:
     """`df`, written to the shared checkpoint folder; its lineage ends there.
 
-    The folder is the one named by spark.checkpoint.dir; only where that is unset
-    (local tests) a folder of this machine is set instead.
+    The folder is the one named by spark.checkpoint.dir; only where that is unset and Spark runs
+    in this one process (local tests) a folder of this machine is set instead.
     """
     spark = df.sparkSession
     sc = spark.sparkContext
     if sc.getCheckpointDir() is None:
         named = spark.conf.get("spark.checkpoint.dir", None)
+        if named is None and not re.fullmatch(r"local(\[.*\])?", sc.master):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that driver and executors share")
         sc.setCheckpointDir(named or tempfile.mkdtemp(prefix="checkpoint-"))
     return df.checkpoint(eager=True)
 
 
-def ship_code(spark: SparkSession, root: str) -> None:
-    """Lets Python workers import this package from `root` as the driver does."""
-    env = spark.sparkContext.environment
-    paths = env.get("PYTHONPATH", "").split(":")
-    if root not in paths:
-        env["PYTHONPATH"] = ":".join([root, *[p for p in paths if p]])
+def unused(name: str, *frames: DataFrame) -> str:
+    """A column name that none of the frames has."""
+    taken = {x.lower() for f in frames for x in f.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
 
 
 # ---------------------------------------------------------------- hashes
@@ -111,6 +118,37 @@ class Rolling:
         return mix((self.sums[end] - self.sums[start]) * self.back[start] + (end - start).astype(np.uint64))
 
 
+#: Two hashes of the same thing: 64 bits to sort by and 32 more.
+TWIN = np.dtype([("h", "<u8"), ("x", "<u4")])
+
+
+class Twin:
+    """Both hashes of any substring or run of values."""
+
+    def __init__(self, one: np.ndarray, multiplier: np.uint64, two: np.ndarray) -> None:
+        self.first, self.second = Rolling(one, multiplier), Rolling(two, SECOND_MULTIPLIER)
+
+    def spans(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+        out = np.empty(len(start), TWIN)
+        out["h"] = self.first.spans(start, end)
+        out["x"] = self.second.spans(start, end) >> np.uint64(32)
+        return out
+
+
+def twin_order(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of twin hashes: their order, and heads and sizes of the groups of equal ones."""
+    order = np.argsort(keys["h"])
+    h, x = keys["h"][order], keys["x"][order]
+    same = h[1:] == h[:-1]
+    differs = x[1:] != x[:-1]
+    if (same & differs).any():  # two contents of one first hash
+        order = np.lexsort((keys["x"], keys["h"]))
+        h, x = keys["h"][order], keys["x"][order]
+        same, differs = h[1:] == h[:-1], x[1:] != x[:-1]
+    heads = np.flatnonzero(np.concatenate(([True], ~same | differs))) if len(keys) else np.zeros(0, np.int64)
+    return order, heads, np.diff(np.append(heads, len(keys)))
+
+
 def word_hashes(buf: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
     """One hash for each word buf[start:end], segment by segment."""
     out = np.empty(len(start), np.uint64)
@@ -197,16 +235,36 @@ CHUNKS = "chunk int, bucket int, a binary, b binary"
 ANSWERS = "chunk int, bucket int, a binary"
 
 
-def chunked(docs: DataFrame, id_col: str, text_col: str, chunk_bytes: int) -> tuple[DataFrame, int]:
-    """(chunk, doc_id, text) with about `chunk_bytes` of text in each chunk, and all texts' bytes.
+#: Rows that are equal in id and text stand once, with their number, where there are more than this of them.
+MOST_COPIES = 256
+
+
+def chunked(docs: DataFrame, id_col: str, text_col: str, chunk_bytes: int, most_copies: int = MOST_COPIES) -> tuple[DataFrame, int, int]:
+    """(chunk, doc_id, text, copies) with about `chunk_bytes` of text in each chunk, all texts' bytes, and the number of chunks.
 
     A row's chunk follows from its id and text alone, so that a lost executor's work can be
     done again and every pass finds the same chunks.
     """
-    total = docs.agg(F.sum(F.octet_length(F.col(text_col)))).first()[0] or 0
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"), F.lit(1).cast("long").alias("copies"))
+    key = [F.xxhash64("doc_id", "text").alias("k1"), F.xxhash64("text", F.lit(SEED), "doc_id").alias("k2")]
+    each = rows.groupBy(*key).agg(F.count("*").alias("n"), F.sum(F.octet_length("text")).alias("bytes"))
+    state = each.agg(F.sum("bytes").alias("bytes"), F.max("n").alias("n")).first()
+    total = state["bytes"] or 0
+    if (state["n"] or 0) > most_copies:
+        held = checkpointed(each.where(F.col("n") > most_copies).select("k1", "k2"))
+        keyed = rows.select("*", *key)
+        few, on = held.count() <= BROADCAST_KEYS, ["k1", "k2"]
+        held = F.broadcast(held) if few else held
+        once = keyed.join(held, on, "left_semi").groupBy(*on).agg(F.any_value("doc_id").alias("doc_id"), F.any_value("text").alias("text"), F.sum("copies").alias("copies"))
+        rows = keyed.join(held, on, "left_anti").select("doc_id", "text", "copies").unionByName(once.select("doc_id", "text", "copies"))
     n = max(1, math.ceil(total / chunk_bytes))
-    chunk = F.pmod(F.xxhash64(F.col(id_col), F.col(text_col)), F.lit(n)).cast("int")
-    return docs.select(chunk.alias("chunk"), F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")), total
+    chunk = F.pmod(F.xxhash64("doc_id", "text"), F.lit(n)).cast("int")
+    return rows.select(chunk.alias("chunk"), "doc_id", "text", "copies"), total, n
+
+
+def each_copy(found: DataFrame) -> DataFrame:
+    """One row for each of the rows that stood once."""
+    return found.withColumn("copies", F.explode(F.sequence(F.lit(1).cast("long"), "copies"))).drop("copies")
 
 
 def in_order(rows: pa.Table) -> pa.Table:
@@ -214,39 +272,83 @@ def in_order(rows: pa.Table) -> pa.Table:
     return rows.sort_by([("doc_id", "ascending"), ("text", "ascending")])
 
 
+def _bucket_bounds(keys: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
+    """Of sorted 64-bit keys: the buckets that have any, that is the keys' upper `bits`, and where each begins (one more than buckets)."""
+    top = keys >> np.uint64(64 - bits) if bits else np.zeros(len(keys), np.uint64)
+    heads = group_starts(top)
+    return top[heads].astype(np.int64), np.append(heads, len(keys))
+
+
 def slices(chunk: int, keys: np.ndarray, bits: int, *columns: np.ndarray) -> pa.Table:
-    """Of sorted 64-bit keys and columns beside them: one row for each bucket, that is for the keys' upper `bits`."""
-    n = 1 << bits
-    bounds = np.searchsorted(keys >> np.uint64(64 - bits), np.arange(n + 1, dtype=np.uint64)) if bits else np.array([0, len(keys)])
-    used = np.flatnonzero(np.diff(bounds))
+    """Of sorted 64-bit keys and columns beside them: one row for each bucket."""
+    used, bounds = _bucket_bounds(keys, bits)
     out = [pa.array(np.full(len(used), chunk, np.int32)), pa.array(used.astype(np.int32))]
     for c in columns:
         raw = np.ascontiguousarray(c).view(np.uint8)
-        cuts = (np.append(bounds[used], len(keys)) * c.dtype.itemsize).astype(np.int32)
+        cuts = (bounds * c.dtype.itemsize).astype(np.int32)
         out.append(pa.Array.from_buffers(pa.binary(), len(used), [None, pa.py_buffer(cuts), pa.py_buffer(raw)]))
     while len(out) < 4:
         out.append(pa.array([None] * len(used), pa.binary()))
     return pa.Table.from_arrays(out, ["chunk", "bucket", "a", "b"])
 
 
-def slice_bounds(keys: np.ndarray, bits: int, bucket: int) -> tuple[int, int]:
-    if not bits:
-        return 0, len(keys)
-    top = keys >> np.uint64(64 - bits)
-    return tuple(np.searchsorted(top, np.array([bucket, bucket + 1], np.uint64)))
-
-
 def answers(keys: np.ndarray, bits: int, rows: Iterator[tuple[int, bytes]]) -> np.ndarray:
     """Each sorted key's answer byte, from the answers of the buckets."""
     out = np.zeros(len(keys), np.uint8)
-    if len(keys):
-        n = 1 << bits
-        bounds = np.searchsorted(keys >> np.uint64(64 - bits), np.arange(n + 1, dtype=np.uint64)) if bits else np.array([0, len(keys)])
-        for bucket, raw in rows:
-            out[bounds[bucket] : bounds[bucket + 1]] = np.frombuffer(raw, np.uint8)
+    used, bounds = _bucket_bounds(keys, bits)
+    place = {b: i for i, b in enumerate(used.tolist())}
+    for bucket, raw in rows:
+        i = place[bucket]
+        out[bounds[i] : bounds[i + 1]] = np.frombuffer(raw, np.uint8)
     return out
 
 
+#: Chunks whose entries may meet in one task; of more, groups of so many meet first.
+FAN = 2048
+
+
+class Bucket:
+    """What chunks sent to a bucket: entries `a` of one dtype and columns `b` beside them, chunk after chunk."""
+
+    def __init__(self, rows: pa.Table, a: np.dtype, b: np.dtype) -> None:
+        rows = rows.sort_by("chunk")
+        self.chunks, self.bucket = rows["chunk"].to_pylist(), rows["bucket"][0].as_py()
+        raw = [x.as_py() for x in rows["a"]]
+        self.cuts = np.cumsum([len(x) // np.dtype(a).itemsize for x in raw])
+        self.keys = np.frombuffer(b"".join(raw), a)
+        beside = [x.as_py() for x in rows["b"]]
+        self.beside = np.ones(len(self.keys), b) if beside[0] is None else np.frombuffer(b"".join(beside), b)
+
+    def answered(self, code: np.ndarray) -> pa.Table:
+        return answered(self.chunks, [self.bucket] * len(self.chunks), [x.tobytes() for x in np.split(code.astype(np.uint8), self.cuts[:-1])])
+
+    def merged(self, part: int, keys: np.ndarray, beside: np.ndarray) -> pa.Table:
+        """These entries as one row, of a group of chunks."""
+        return pa.Table.from_arrays([pa.array([part], pa.int32()), pa.array([self.bucket], pa.int32()), pa.array([keys.tobytes()], pa.binary()), pa.array([beside.tobytes()], pa.binary())], ["chunk", "bucket", "a", "b"])
+
+
+def scanned(entries: DataFrame, n_chunks: int, scan: Callable[[pa.Table], pa.Table], merge: Callable[[int, pa.Table], pa.Table], spread: Callable[[pa.Table, np.ndarray], pa.Table], fan: int = FAN) -> DataFrame:
+    """The buckets' answers to all chunks' entries.
+
+    `scan` answers the rows of a bucket. An entry that every chunk has would make a bucket grow with
+    the number of chunks; so of more than `fan` chunks, groups of `fan` meet first: `merge` makes one row of a
+    group's, with equal entries once; those rows are scanned in the same way, as chunks; and `spread`
+    hands the group's answers back to its chunks' rows. Rows of a bucket below 0 pass through.
+    """
+    if n_chunks <= fan:
+        return entries.groupBy("bucket").applyInArrow(scan, ANSWERS)
+    entries = checkpointed(entries)
+    through = entries.where("bucket < 0").select("chunk", "bucket", "a")
+    entries = entries.where("bucket >= 0").withColumn("part", F.floor(F.col("chunk") / fan).cast("int"))
+    groups = entries.groupBy("bucket", "part").applyInArrow(lambda t: merge(t["part"][0].as_py(), t), CHUNKS)
+    told = scanned(groups, math.ceil(n_chunks / fan), scan, merge, spread, fan)
+
+    def back(rows: pa.Table, answer: pa.Table) -> pa.Table:
+        return spread(rows, np.frombuffer(answer["a"][0].as_py(), np.uint8))
+
+    return entries.groupBy("bucket", "part").cogroup(told.withColumnRenamed("chunk", "part").groupBy("bucket", "part")).applyInArrow(back, ANSWERS).union(through)
+
+
 def passed(chunk: int, raw: bytes) -> pa.Table:
     """A row that the buckets hand back to its chunk as it is."""
     return pa.Table.from_arrays([pa.array([chunk], pa.int32()), pa.array([-1 - chunk], pa.int32()), pa.array([raw], pa.binary()), pa.array([None], pa.binary())], ["chunk", "bucket", "a", "b"])
@@ -258,7 +360,7 @@ def answered(chunks: list[int], buckets: list[int], raws: list[bytes]) -> pa.Tab
 
 def bucket_bits(n_keys: int, per_bucket: int, least: int = 9) -> int:
     """Bits for about `per_bucket` keys in a bucket; some hundred buckets at least, so that tasks are even."""
-    return min(24, max(least, math.ceil(math.log2(max(1, n_keys / per_bucket)))))
+    return min(28, max(least, math.ceil(math.log2(max(1, n_keys / per_bucket)))))
 
 
 # ---------------------------------------------------------------- components

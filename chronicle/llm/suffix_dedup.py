@@ -16,8 +16,10 @@ some `length`-byte window (a minimizer). Equal windows choose equal places, so e
    somewhere inside these).
 4. Each chunk removes the bytes that repeated windows cover.
 
-Chunks, buckets and batches have bounded sizes; a string that a third of all documents hold
-is one entry in each chunk and one in a level. Comparison is by 64-bit fingerprints.
+Chunks, buckets and batches have bounded sizes: a string that every chunk holds is one entry in each
+chunk, of more than `fan` chunks groups of so many meet first and send it on once, and a level has it
+once. Rows that are equal in id and text stand once, with their number, where they are many.
+Comparison is by fingerprints of 96 bits.
 
 Null texts are empty. Texts shorter than `length` lose nothing. Rows that share an id are
 separate documents. Other columns are ignored. An empty table gives an empty result.
@@ -35,17 +37,19 @@ from pyspark.sql import DataFrame
 from . import common as c
 
 REPEATED, SENT = 1, 2
+#: An entry: the prefix's fingerprint, and both of the whole stretch.
+ENTRY = np.dtype([("p", "<u8"), ("h", "<u8"), ("x", "<u4")])
 
 
-def _stretches(buf: np.ndarray, offsets: np.ndarray, length: int) -> Iterator[tuple[int, c.Rolling, np.ndarray, np.ndarray, np.ndarray]]:
+def _stretches(buf: np.ndarray, offsets: np.ndarray, length: int) -> Iterator[tuple[int, c.Twin, np.ndarray, np.ndarray, np.ndarray]]:
     """By segment: its place, its hashes, and of each sampled suffix the first and last window that chose it and its own place."""
     half = length // 2
     width = length - half + 1
     n = len(buf)
     for at in range(0, max(0, n - length + 1), c.SEGMENT):
         part = buf[at : at + c.SEGMENT + length - 1]
-        rolling = c.Rolling(c.BYTE_TABLE[part], c.MULTIPLIER)
-        keys = rolling.window(half)
+        rolling = c.Twin(c.BYTE_TABLE[part], c.MULTIPLIER, c.SECOND_TABLE[part])
+        keys = rolling.first.window(half)
         bits = np.uint64(max(1, int(len(keys)).bit_length()))
         low = ((keys >> bits) << bits) | np.arange(len(keys), dtype=np.uint64)
         reach = 1
@@ -73,31 +77,41 @@ def _entries(buf: np.ndarray, offsets: np.ndarray, length: int) -> tuple[np.ndar
     """Of all sampled suffixes: fingerprints of prefix and stretch, and the stretch's first and last window."""
     out: list[tuple[np.ndarray, ...]] = []
     for at, rolling, first, last, place in _stretches(buf, offsets, length):
-        prefix = rolling.spans(place, place + length // 2)
+        prefix = rolling.first.spans(place, place + length // 2)
         whole = rolling.spans(first, last + length)
         out.append((prefix, whole, first + at, last + at))
     if not out:
-        return tuple(np.zeros(0, t) for t in (np.uint64, np.uint64, np.int64, np.int64))
+        return tuple(np.zeros(0, t) for t in (np.uint64, c.TWIN, np.int64, np.int64))
     return tuple(np.concatenate(x) for x in zip(*out, strict=True))
 
 
-def _array(prefix: np.ndarray, whole: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """The sparse suffix array without equal entries: prefix, stretch, count; and each input's entry."""
-    order = np.argsort(prefix)
+def _array(prefix: np.ndarray, whole: np.ndarray, copies: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The sparse suffix array without equal entries, their counts, and each input's entry."""
+    order, new = _sorted(prefix, whole)
+    heads = np.flatnonzero(new)
+    member = np.empty(len(order), np.int64)
+    member[order] = np.cumsum(new) - 1
+    out = np.empty(len(heads), ENTRY)
+    first = order[heads]
+    out["p"], out["h"], out["x"] = prefix[first], whole["h"][first], whole["x"][first]
+    return out, np.add.reduceat(copies[order], heads) if len(heads) else np.zeros(0, np.int64), member
+
+
+def _sorted(prefix: np.ndarray, whole: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The order by prefix and stretch, and where an entry differs from the one before it. Runs that are in order are merged."""
+    order = np.argsort(prefix, kind="stable")
     p = prefix[order]
     heads = c.group_starts(p)
     sizes = np.diff(np.append(heads, len(p)))
     many = np.repeat(sizes > 1, sizes)  # only equal prefixes need their stretches sorted
     if many.any():
         where = np.flatnonzero(many)
-        order[where] = order[where][np.lexsort((whole[order[where]], p[where]))]
-    w = whole[order]
+        own = order[where]
+        order[where] = own[np.lexsort((whole["x"][own], whole["h"][own], p[where]))]
+    h, x = whole["h"][order], whole["x"][order]
     new = np.ones(len(p), bool)
-    new[1:] = (p[1:] != p[:-1]) | (w[1:] != w[:-1])
-    heads = np.flatnonzero(new)
-    member = np.empty(len(p), np.int64)
-    member[order] = np.cumsum(new) - 1
-    return p[heads], w[heads], np.diff(np.append(heads, len(p))), member
+    new[1:] = (p[1:] != p[:-1]) | (h[1:] != h[:-1]) | (x[1:] != x[:-1])
+    return order, new
 
 
 class LevelFamily:
@@ -111,10 +125,8 @@ class LevelFamily:
 
     def add(self, prefix: np.ndarray, whole: np.ndarray, ids: np.ndarray) -> None:
         """Takes a batch in: its suffix array, a merge-scan against each level, and merges."""
-        order = np.lexsort((whole, prefix))
+        order, new = _sorted(prefix, whole)
         prefix, whole, ids = prefix[order], whole[order], ids[order]
-        new = np.ones(len(ids), bool)
-        new[1:] = (prefix[1:] != prefix[:-1]) | (whole[1:] != whole[:-1])
         heads = np.flatnonzero(new)
         sizes = np.diff(np.append(heads, len(ids)))
         self.repeated[ids] |= np.repeat(sizes > 1, sizes)
@@ -123,8 +135,8 @@ class LevelFamily:
         counts = np.diff(np.append(alone, len(ids)))
         self.differs[ids] |= np.repeat(counts > 1, counts)
         known = np.zeros(len(ids), bool)
-        marks = c.mix(prefix ^ (whole * c.MULTIPLIER))
-        for p, _, d, by_mark in self.levels:
+        marks = _marks(prefix, whole)
+        for p, w, d, by_mark in self.levels:
             lo = np.searchsorted(p, prefix)
             at = np.minimum(lo, len(p) - 1)
             hit = np.flatnonzero((p[at] == prefix) & (lo < len(p)))
@@ -132,10 +144,11 @@ class LevelFamily:
                 continue
             lo = lo[hit]
             hi = np.searchsorted(p, prefix[hit], "right")
-            m = by_mark[0]
+            m, of = by_mark
             k = np.minimum(np.searchsorted(m, marks[hit]), len(m) - 1)
-            same = m[k] == marks[hit]
-            twin = by_mark[1][k[same]]
+            # Marks only find the twin. One that chance hides goes on as a different stretch, whose windows are compared.
+            same = (m[k] == marks[hit]) & (w["h"][of[k]] == whole["h"][hit]) & (w["x"][of[k]] == whole["x"][hit])
+            twin = d[of[k[same]]]
             known[hit[same]] = True
             self.repeated[ids[hit[same]]] = True
             self.repeated[twin] = True
@@ -151,48 +164,84 @@ class LevelFamily:
             while self.levels and len(self.levels[-1][0]) <= 2 * len(level[0]):
                 p, w, d, _ = self.levels.pop()
                 p, w, d = (np.concatenate(x) for x in zip(level, (p, w, d), strict=True))
-                order = np.lexsort((w, p))
+                order, _ = _sorted(p, w)
                 level = (p[order], w[order], d[order])
-            marks = c.mix(level[0] ^ (level[1] * c.MULTIPLIER))
+            marks = _marks(level[0], level[1])
             order = np.argsort(marks)
-            self.levels.append((*level, (marks[order], level[2][order])))
+            self.levels.append((*level, (marks[order], order)))
+
+
+def _marks(prefix: np.ndarray, whole: np.ndarray) -> np.ndarray:
+    return c.mix(prefix ^ (whole["h"] * c.MULTIPLIER))
+
+
+def _parted(entries: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Prefixes and stretches of entries."""
+    whole = np.empty(len(entries), c.TWIN)
+    whole["h"], whole["x"] = entries["h"], entries["x"]
+    return entries["p"].copy(), whole
 
 
 def _scan_bucket(batch: int, rows: pa.Table) -> pa.Table:
     """Step 2 for one bucket."""
-    chunks, buckets = rows["chunk"].to_pylist(), rows["bucket"].to_pylist()
-    order = sorted(range(len(chunks)), key=chunks.__getitem__)
-    keys, multi, sizes = [], [], []
-    for i in order:
-        keys.append(np.frombuffer(rows["a"][i].as_py(), np.uint64).reshape(-1, 2))
-        multi.append(np.frombuffer(rows["b"][i].as_py(), np.uint8))
-        sizes.append(len(multi[-1]))
-    both, many = np.concatenate(keys), np.concatenate(multi) > 1
-    family = LevelFamily(len(both))
-    cuts, start = np.cumsum(sizes), 0
-    while start < len(both):  # whole chunks, until a batch is full
+    held = c.Bucket(rows, ENTRY, np.uint8)
+    prefix, whole = _parted(held.keys)
+    family, cuts, start = LevelFamily(len(prefix)), held.cuts, 0
+    while start < len(prefix):  # whole chunks, until a batch is full
         stop = int(cuts[min(np.searchsorted(cuts, start + batch), len(cuts) - 1)])
-        family.add(both[start:stop, 0].copy(), both[start:stop, 1].copy(), np.arange(start, stop))
+        family.add(prefix[start:stop], whole[start:stop], np.arange(start, stop))
         start = stop
-    code = ((family.repeated | many) * REPEATED + (family.differs & family.stands) * SENT).astype(np.uint8)
-    parts = np.split(code, cuts[:-1])
-    return c.answered([chunks[i] for i in order], [buckets[i] for i in order], [x.tobytes() for x in parts])
+    return held.answered((family.repeated | (held.beside > 1)) * REPEATED + (family.differs & family.stands) * SENT)
+
+
+def _merge_bucket(part: int, rows: pa.Table) -> pa.Table:
+    held = c.Bucket(rows, ENTRY, np.uint8)
+    entries, n, _ = _array(*_parted(held.keys), held.beside.astype(np.int64))
+    return held.merged(part, entries, np.minimum(n, 2).astype(np.uint8))
+
+
+def _spread_bucket(rows: pa.Table, code: np.ndarray) -> pa.Table:
+    """A group's answers to its chunks: of equal entries the first one alone is sent on."""
+    held = c.Bucket(rows, ENTRY, np.uint8)
+    _, _, member = _array(*_parted(held.keys), held.beside.astype(np.int64))
+    out = code[member]
+    first = np.zeros(len(member), bool)
+    first[np.unique(member, return_index=True)[1]] = True
+    out[~first] &= REPEATED
+    return held.answered(out)
+
+
+def _counted(held: c.Bucket) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Order and heads of the windows of a bucket, and how often each occurs."""
+    order, heads, _ = c.twin_order(held.keys)
+    return order, heads, np.add.reduceat(held.beside[order].astype(np.int64), heads)
+
+
+def _member(order: np.ndarray, heads: np.ndarray) -> np.ndarray:
+    out = np.empty(len(order), np.int64)
+    out[order] = np.repeat(np.arange(len(heads)), np.diff(np.append(heads, len(order))))
+    return out
 
 
 def _scan_windows(rows: pa.Table) -> pa.Table:
     """Step 3 for one bucket; rows that only pass through have buckets below 0."""
-    chunks, buckets = rows["chunk"].to_pylist(), rows["bucket"].to_pylist()
-    if buckets[0] < 0:
+    if rows["bucket"][0].as_py() < 0:
         return rows.select(["chunk", "bucket", "a"])
-    keys = [np.frombuffer(x.as_py(), np.uint64) for x in rows["a"]]
-    every = np.sort(np.concatenate(keys))
-    heads = c.group_starts(every)
-    twice = every[heads[np.diff(np.append(heads, len(every))) > 1]]
-    out = []
-    for k in keys:
-        at = np.minimum(np.searchsorted(twice, k), max(0, len(twice) - 1))
-        out.append(((twice[at] == k) if len(twice) else np.zeros(len(k), bool)).astype(np.uint8).tobytes())
-    return c.answered(chunks, buckets, out)
+    held = c.Bucket(rows, c.TWIN, np.uint8)
+    order, heads, n = _counted(held)
+    return held.answered((n > 1)[_member(order, heads)])
+
+
+def _merge_windows(part: int, rows: pa.Table) -> pa.Table:
+    held = c.Bucket(rows, c.TWIN, np.uint8)
+    order, heads, n = _counted(held)
+    return held.merged(part, held.keys[order[heads]], np.minimum(n, 2).astype(np.uint8))
+
+
+def _spread_windows(rows: pa.Table, code: np.ndarray) -> pa.Table:
+    held = c.Bucket(rows, c.TWIN, np.uint8)
+    order, heads, _ = _counted(held)
+    return held.answered(code[_member(order, heads)])
 
 
 def _windows(found: tuple[np.ndarray, ...], member: np.ndarray, code: np.ndarray, buf: np.ndarray, offsets: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
@@ -209,56 +258,55 @@ def _windows(found: tuple[np.ndarray, ...], member: np.ndarray, code: np.ndarray
             places.append(p + at)
             hashes.append(rolling.spans(p, p + length))
     if not places:
-        return np.zeros(0, np.int64), np.zeros(0, np.uint64)
+        return np.zeros(0, np.int64), np.zeros(0, c.TWIN)
     return np.concatenate(places), np.concatenate(hashes)
 
 
-def repeats(docs: DataFrame, length: int = 200, id_col: str = "doc_id", text_col: str = "text", chunk_bytes: int = 4 << 20, bucket_keys: int = 1 << 17, batch: int = 4096, with_text: bool = False) -> DataFrame:
+def repeats(docs: DataFrame, length: int = 200, id_col: str = "doc_id", text_col: str = "text", chunk_bytes: int = 4 << 20, bucket_keys: int = 1 << 17, batch: int = 4096, fan: int = c.FAN, most_copies: int = c.MOST_COPIES, with_text: bool = False) -> DataFrame:
     """One row for each row of docs: doc_id, n_bytes, n_removed, n_spans, kept_sha256 and, if asked for, kept (binary)."""
-    rows, total = c.chunked(docs, id_col, text_col, chunk_bytes)
+    assert length >= 2
+    rows, total, n_chunks = c.chunked(docs, id_col, text_col, chunk_bytes, most_copies)
     bits = c.bucket_bits(total // 50 + 1, bucket_keys)
     window_bits = c.bucket_bits(total // 8 + 1, 8 * bucket_keys)
-    half = max(1, length // 2)
-    assert length >= 2 and half >= 1
-
-    def arrays(chunk: pa.Table) -> pa.Table:
-        buf, offsets = c.joined(c.in_order(chunk)["text"])
-        prefix, whole, _, _ = _entries(buf, offsets, length)
-        p, w, n, _ = _array(prefix, whole)
-        return c.slices(chunk["chunk"][0].as_py(), p, bits, np.stack([p, w], 1).view([("p", "u8"), ("w", "u8")]).reshape(-1), np.minimum(n, 2).astype(np.uint8))
 
-    def told(texts: pa.Table, flags: pa.Table, keep: bool):
-        texts = c.in_order(texts)
+    def read(chunk: pa.Table) -> tuple:
+        """A chunk's documents, bytes, where each begins, the sampled suffixes, their array, counts, and each suffix's entry."""
+        texts = c.in_order(chunk)
         buf, offsets = c.joined(texts["text"])
         found = _entries(buf, offsets, length)
-        p, w, _, member = _array(found[0], found[1])
-        own = [(b, r) for b, r in zip(flags["bucket"].to_pylist(), flags["a"].to_pylist(), strict=True)]
-        return texts, buf, offsets, found, p, member, own
+        copies = np.minimum(texts["copies"].to_numpy(), 2)
+        return texts, buf, offsets, found, copies, *_array(found[0], found[1], copies[np.searchsorted(offsets, found[2], "right") - 1])
+
+    def arrays(chunk: pa.Table) -> pa.Table:
+        *_, entries, n, _ = read(chunk)
+        return c.slices(chunk["chunk"][0].as_py(), entries["p"].copy(), bits, entries, np.minimum(n, 2).astype(np.uint8))
+
+    def told(flags: pa.Table) -> list[tuple[int, bytes]]:
+        return list(zip(flags["bucket"].to_pylist(), flags["a"].to_pylist(), strict=True))
 
     def windows(texts: pa.Table, flags: pa.Table) -> pa.Table:
         if not len(texts) or not len(flags):
-            return c.slices(0, np.zeros(0, np.uint64), 0, np.zeros(0, np.uint64))
+            return c.slices(0, np.zeros(0, np.uint64), 0, np.zeros(0, c.TWIN))
         chunk = texts["chunk"][0].as_py()
-        _, buf, offsets, found, p, member, own = told(texts, flags, False)
-        code = c.answers(p, bits, own)
+        _, buf, offsets, found, _, entries, _, member = read(texts)
+        code = c.answers(entries["p"].copy(), bits, told(flags))
         _, hashes = _windows(found, member, code, buf, offsets, length)
-        hashes.sort()
-        hashes = hashes[c.group_starts(hashes)]
-        return pa.concat_tables([c.slices(chunk, hashes, window_bits, hashes), c.passed(chunk, code.tobytes())])
+        order, heads, _ = c.twin_order(hashes)
+        hashes = hashes[order[heads]]
+        return pa.concat_tables([c.slices(chunk, hashes["h"].copy(), window_bits, hashes), c.passed(chunk, code.tobytes())])
 
-    schema = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string" + ", kept binary" * with_text
+    schema = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, copies long" + ", kept binary" * with_text
 
     def removed(texts: pa.Table, flags: pa.Table) -> pa.Table:
-        texts, buf, offsets, found, p, member, own = told(texts, flags, True)
-        code = next((np.frombuffer(r, np.uint8) for b, r in own if b < 0), np.zeros(len(p), np.uint8))
+        texts, buf, offsets, found, copies, entries, _, member = read(texts)
+        own = told(flags)
+        code = next((np.frombuffer(r, np.uint8) for b, r in own if b < 0), np.zeros(len(entries), np.uint8))
         whole = (code[member] & REPEATED) > 0
         places, hashes = _windows(found, member, code, buf, offsets, length)
-        order = np.argsort(hashes)
-        ordered = hashes[order]
-        heads = c.group_starts(ordered)
-        sizes = np.diff(np.append(heads, len(ordered)))
-        twice = c.answers(ordered[heads], window_bits, ((b, r) for b, r in own if b >= 0)) > 0
-        hit = places[order[np.repeat(twice | (sizes > 1), sizes)]]
+        order, heads, sizes = c.twin_order(hashes)
+        n = np.add.reduceat(copies[np.searchsorted(offsets, places[order], "right") - 1], heads) if len(heads) else sizes
+        twice = c.answers(hashes["h"][order[heads]], window_bits, ((b, r) for b, r in own if b >= 0)) > 0
+        hit = places[order[np.repeat(twice | (n > 1), sizes)]]
         gone = c.covered(len(buf), np.concatenate([found[2][whole], hit]), np.concatenate([found[3][whole], hit]) + length)
         lost = np.concatenate(([0], np.cumsum(gone)))
         out: dict[str, list] = {k: [] for k in ("n_bytes", "n_removed", "n_spans", "kept_sha256", "kept")}
@@ -269,12 +317,13 @@ def repeats(docs: DataFrame, length: int = 200, id_col: str = "doc_id", text_col
             out["n_removed"].append(cut)
             out["n_spans"].append(len(c.runs(gone[a:b])[0]) if cut else 0)
             out["kept_sha256"].append(hashlib.sha256(kept).hexdigest())
-            out["kept"].append(kept)
-        cols = [texts["doc_id"], *(pa.array(out[k], pa.int64()) for k in ("n_bytes", "n_removed", "n_spans")), pa.array(out["kept_sha256"], pa.string())]
-        names = ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"]
+            if with_text:
+                out["kept"].append(kept)
+        cols = [texts["doc_id"], *(pa.array(out[k], pa.int64()) for k in ("n_bytes", "n_removed", "n_spans")), pa.array(out["kept_sha256"], pa.string()), texts["copies"]]
+        names = ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "copies"]
         return pa.Table.from_arrays(cols + [pa.array(out["kept"], pa.binary())] * with_text, names + ["kept"] * with_text)
 
     by_chunk = rows.groupBy("chunk")
-    first = by_chunk.applyInArrow(arrays, c.CHUNKS).groupBy("bucket").applyInArrow(lambda t: _scan_bucket(batch, t), c.ANSWERS)
-    second = by_chunk.cogroup(first.groupBy("chunk")).applyInArrow(windows, c.CHUNKS).groupBy("bucket").applyInArrow(_scan_windows, c.ANSWERS)
-    return by_chunk.cogroup(second.groupBy("chunk")).applyInArrow(removed, schema)
+    first = c.scanned(by_chunk.applyInArrow(arrays, c.CHUNKS), n_chunks, lambda t: _scan_bucket(batch, t), _merge_bucket, _spread_bucket, fan)
+    second = c.scanned(by_chunk.cogroup(first.groupBy("chunk")).applyInArrow(windows, c.CHUNKS), n_chunks, _scan_windows, _merge_windows, _spread_windows, fan)
+    return c.each_copy(by_chunk.cogroup(second.groupBy("chunk")).applyInArrow(removed, schema))

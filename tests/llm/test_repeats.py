@@ -71,6 +71,7 @@ def test_bytes(spark, seed, length, chunk):
     df = spark.createDataFrame([(d, t, 1, "x") for d, t in docs], "doc_id long, text string, chunk int, bucket string")
     got = sorted(map(tuple, repeats(df, length, chunk_bytes=chunk, batch=50).collect()), key=repr)
     assert got == brute_bytes(docs, length)
+    assert got == sorted(map(tuple, repeats(df, length, chunk_bytes=1500, batch=50, fan=3, most_copies=1).collect()), key=repr)
     assert any(r[2] for r in got) and any(not r[2] for r in got)
 
 
@@ -80,6 +81,7 @@ def test_words(spark, seed, window, chunk):
     df = spark.createDataFrame([(d, t, 1) for d, t in docs], "doc_id long, text string, chunk int")
     got = sorted(map(tuple, later_copies(df, window, chunk_bytes=chunk).collect()), key=repr)
     assert got == brute_words(docs, window)
+    assert got == sorted(map(tuple, later_copies(df, window, chunk_bytes=1500, fan=3, most_copies=1).collect()), key=repr)
     assert any(r[2] for r in got) and any(not r[2] for r in got)
 
 
@@ -113,3 +115,23 @@ def test_texts_longer_than_a_segment(spark):
     got = {x["doc_id"]: (x["n_removed"], x["kept_sha256"]) for x in repeats(df).collect()}
     assert got == want and want[5][0] > 1400 and want[6][0] == 240 and want[7][0] == 0 and want[9][0] == 800
     assert sorted(map(tuple, later_copies(df).collect())) == brute_words(docs, 13)
+
+
+def test_many_equal_rows(spark):
+    """Rows equal in id and text, null ids among them, stand once; each still gets its row."""
+    r = random.Random(5)
+    text = " ".join(f"w{r.randint(0, 99)}" for _ in range(80))
+    docs = [(1, text)] * 40 + [(None, text)] * 30 + [(2, None)] * 9 + [(3, "x " + text[:230])] + [(4, " ".join(f"v{i}" for i in range(90)))] * 5
+    df = spark.createDataFrame([(d, t, 3) for d, t in docs], "doc_id long, text string, copies int")
+    assert sorted(map(tuple, repeats(df, most_copies=4).collect()), key=repr) == brute_bytes(docs, 200)
+    want = [(None if d == 10**9 else d, *x) for d, *x in brute_words([(10**9 if d is None else d, t) for d, t in docs], 13)]
+    assert sorted(map(tuple, later_copies(df, most_copies=4).collect()), key=repr) == sorted(want, key=repr)
+
+
+def test_first_hashes_that_agree():
+    """Contents that only the second hash tells apart are not taken for each other."""
+    import numpy as np
+
+    keys = np.array([(5, 1), (7, 2), (5, 2), (5, 1), (9, 0)], common.TWIN)
+    order, heads, sizes = common.twin_order(keys)
+    assert [tuple(k) for k in keys[order[heads]]] == [(5, 1), (5, 2), (7, 2), (9, 0)] and sizes.tolist() == [2, 1, 1, 1]
