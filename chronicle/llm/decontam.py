@@ -3,14 +3,14 @@
 The training documents are cut into shards of bounded bytes. A task makes its shard's suffix
 array over words (prefix doubling, deep enough for a window), then binary-searches every
 suffix of the test items in it: the range found holds all places where the suffix's first
-`window` words stand verbatim. Longest matches of single items and their places are not put out:
-`longest_run` is the longest run of words that any windows hit. Words that the shard doesn't have
-end a search at once.
+`window` words stand verbatim. Words that the shard doesn't have end a search at once. Neighbouring
+suffixes of an item that are found at neighbouring places are one longer match; of each document
+and item the longest one is put out with its places in both (`longest_matches`).
 
-The test items are the stated query set, held in blocks: they are cut into blocks of at most
-`block_bytes`, each broadcast on its own and searched one after the other, so a task holds one
-block and one shard at a time. Up to `most_bytes` of items are taken; more is an error, not a
-silent cut.
+The test items are the stated query set. They are held in blocks of about `block_bytes` of text,
+encoded as word hashes; a pass over the documents searches as many blocks as `pass_bytes` of
+encoded bytes hold, so a task holds one pass's blocks as bytes, one of them unpacked, and one shard.
+More items make more passes, and what these find of a document is united: the result is the same.
 
 A document without words (null, empty, punctuation) has no hits. Items without words have no
 windows. Rows that share an id are separate documents; of items that share an id, either's
@@ -20,10 +20,12 @@ occurrence counts. An empty table gives an empty result; other columns are ignor
 from __future__ import annotations
 
 import hashlib
+import pickle
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -100,26 +102,32 @@ class SuffixArray:
         return self._bound(pattern, length, False), self._bound(pattern, length, True)
 
 
-def _windows(items: list[tuple[int, str | None]], window: int) -> dict:
-    """Of a block of test items: word hashes of every distinct window, its length, and which items have it."""
+def _encoded(items: list[tuple[object, str | None]], window: int) -> bytes:
+    """A block of test items: their words' hashes, every distinct window by its first place and length, and which (item, place) have it."""
     buf, offsets = c.joined(pa.array([t for _, t in items], pa.string()))
     buf = c.LOWER[buf]
     start, end, first = c.words(buf, offsets, c.ALNUM_WORD)
     hashes = c.word_hashes(buf, start, end)
-    seen: dict[bytes, int] = {}
-    pairs: set[tuple[int, int]] = set()
-    for k, (a, b) in enumerate(zip(first[:-1].tolist(), first[1:].tolist(), strict=True)):
-        for i in range(a, max(a + 1, b - window + 1) if b > a else a):
-            key = hashes[i : min(b, i + window)].tobytes()
-            pairs.add((seen.setdefault(key, len(seen)), k))
-    rows = np.zeros((len(seen), window), np.uint64)
-    length = np.zeros(len(seen), np.int64)
-    for key, i in seen.items():
-        length[i] = len(key) // 8
-        rows[i, : length[i]] = np.frombuffer(key, np.uint64)
-    of = np.array(sorted(pairs), np.int64).reshape(-1, 2)
-    bounds = np.searchsorted(of[:, 0], np.arange(len(seen) + 1))
-    return {"rows": rows, "length": length, "items": of[:, 1], "bounds": bounds, "ids": [str(i) for i, _ in items]}
+    counts = np.diff(first)
+    n = np.where(counts > 0, np.maximum(1, counts - window + 1), 0)
+    at, item = _spread(first[:-1], first[:-1] + n)
+    length = np.minimum(window, counts[item])
+    rows = np.zeros((len(at), window), np.uint64)
+    inside = np.arange(window) < length[:, None]
+    rows[inside] = hashes[(at[:, None] + np.arange(window))[inside]]
+    _, one, of = np.unique(rows.view(f"V{8 * window}").reshape(-1), return_index=True, return_inverse=True)
+    order = np.argsort(of, kind="stable")
+    bounds = np.searchsorted(of[order], np.arange(len(one) + 1))
+    held = {"hashes": hashes, "at": at[one].astype(np.int32), "length": length[one].astype(np.int32), "item": item[order].astype(np.int32), "place": (at - first[:-1][item])[order].astype(np.int32), "bounds": bounds.astype(np.int64)}
+    return pickle.dumps(held | {"ids": [str(i) for i, _ in items]}, protocol=5)
+
+
+def _unpacked(raw: bytes, window: int) -> dict:
+    b = pickle.loads(raw)
+    inside = np.arange(window) < b["length"][:, None]
+    b["rows"] = np.zeros(inside.shape, np.uint64)
+    b["rows"][inside] = b["hashes"][(b["at"].astype(np.int64)[:, None] + np.arange(window))[inside]]
+    return b
 
 
 def _spread(lo: np.ndarray, hi: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -129,62 +137,101 @@ def _spread(lo: np.ndarray, hi: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.repeat(lo - (np.cumsum(n) - n), n) + np.arange(n.sum()), which
 
 
-def _search(window: int, threshold: int, blocks: list, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        for part in c.parts(batch, "text", 4 << 20):
-            yield _shard(window, threshold, blocks, part)
-    c.release()
-
-
-def _shard(window: int, threshold: int, blocks: list, part: pa.RecordBatch) -> pa.RecordBatch:
-    buf, offsets = c.joined(part.column(1))
-    buf = c.LOWER[buf]
-    start, end, first = c.words(buf, offsets, c.ALNUM_WORD)
-    counts = np.diff(first)
-    known, ids = _word_ids(c.word_hashes(buf, start, end))
-    doc = np.repeat(np.arange(len(counts)), counts)
-    at = np.arange(len(ids)) + doc  # one 0 after each document
-    row = np.zeros(len(ids) + len(counts), np.int64)
-    row[at] = ids
-    array = SuffixArray(row, window)
-    delta = np.zeros(len(row) + 1, np.int32)
-    found: list[set[str]] = [set() for _ in counts]
-    longest = np.zeros(len(counts), np.int64)
-    for block in blocks:
-        b = block.value
-        if not len(b["length"]) or not len(known):
-            continue
-        place = np.minimum(np.searchsorted(known, b["rows"]), len(known) - 1)
-        inside = np.arange(window) < b["length"][:, None]
-        pattern = np.where((known[place] == b["rows"]) & inside, place + 1, 0)
+class Shard:
+    """Some documents' words and their suffix array."""
+
+    def __init__(self, texts: pa.Array, window: int) -> None:
+        buf, offsets = c.joined(texts)
+        buf = c.LOWER[buf]
+        start, end, self.first = c.words(buf, offsets, c.ALNUM_WORD)
+        self.counts = np.diff(self.first)
+        self.known, ids = _word_ids(c.word_hashes(buf, start, end))
+        self.doc = np.repeat(np.arange(len(self.counts)), self.counts)
+        self.at = np.arange(len(ids)) + self.doc  # one 0 after each document
+        row = np.zeros(len(ids) + len(self.counts), np.int64)
+        row[self.at] = ids
+        self.window, self.array = window, SuffixArray(row, window)
+
+    def places(self, b: dict) -> tuple[np.ndarray, np.ndarray]:
+        """Where the block's windows stand: place in the row of words, and window."""
+        if not len(b["length"]) or not len(self.known):
+            return np.zeros(0, np.int64), np.zeros(0, np.int64)
+        place = np.minimum(np.searchsorted(self.known, b["rows"]), len(self.known) - 1)
+        inside = np.arange(self.window) < b["length"][:, None]
+        pattern = np.where((self.known[place] == b["rows"]) & inside, place + 1, 0)
         usable = np.flatnonzero(((pattern > 0) | ~inside).all(1))
-        if not len(usable):
-            continue
-        lo, hi = array.find(pattern[usable], b["length"][usable])
+        lo, hi = self.array.find(pattern[usable], b["length"][usable])
         rank, which = _spread(lo, hi)
-        hit, win = array.order[rank], usable[which]
-        np.add.at(delta, hit, 1)
-        np.add.at(delta, hit + b["length"][win], -1)
-        owner = np.searchsorted(first + np.arange(len(first)), hit, "right") - 1
-        both = np.sort(owner * (len(b["length"]) + 1) + win)
-        both = both[c.group_starts(both)]
-        owner, win = np.divmod(both, len(b["length"]) + 1)
-        rank, which = _spread(b["bounds"][win], b["bounds"][win + 1])
-        for d, i in {*zip(owner[which].tolist(), b["items"][rank].tolist(), strict=True)}:
-            found[d].add(b["ids"][i])
-    hits = (np.cumsum(delta[:-1]) > 0)[at]
+        return self.array.order[rank], usable[which]
+
+    def owner(self, place: np.ndarray) -> np.ndarray:
+        return np.searchsorted(self.first + np.arange(len(self.first)), place, "right") - 1
+
+    def found(self, blocks: list, every_match: bool) -> tuple[np.ndarray, list[set[str]], list[tuple]]:
+        """Which words are hit, of each document the ids of the items, and (document, item, start, item's start, words) of the longest matches."""
+        delta = np.zeros(len(self.array.words) + 1, np.int32)
+        found: list[set[str]] = [set() for _ in self.counts]
+        matches: list[tuple] = []
+        for block in blocks:
+            b = _unpacked(block.value, self.window)
+            hit, win = self.places(b)
+            if not len(hit):
+                continue
+            np.add.at(delta, hit, 1)
+            np.add.at(delta, hit + b["length"][win], -1)
+            owner = self.owner(hit)
+            both = np.sort(owner * (len(b["length"]) + 1) + win)
+            docs, wins = np.divmod(both[c.group_starts(both)], len(b["length"]) + 1)
+            rank, which = _spread(b["bounds"][wins], b["bounds"][wins + 1])
+            for d, i in {*zip(docs[which].tolist(), b["item"][rank].tolist(), strict=True)}:
+                found[d].add(b["ids"][i])
+            if every_match:
+                matches += self._longest(b, hit, win, owner)
+        return (np.cumsum(delta[:-1]) > 0)[self.at], found, matches
+
+    def _longest(self, b: dict, hit: np.ndarray, win: np.ndarray, owner: np.ndarray) -> list[tuple]:
+        """Of each document and item the longest match, the first of equal ones; some documents at a time."""
+        out = []
+        order = np.argsort(owner, kind="stable")
+        hit, win, owner = hit[order], win[order], owner[order]
+        n = np.cumsum(b["bounds"][win + 1] - b["bounds"][win])
+        heads = c.group_starts(owner)
+        i = 0
+        while i < len(heads):
+            before = n[heads[i] - 1] if heads[i] else 0
+            j = max(i + 1, int(np.searchsorted(np.append(n[heads[1:] - 1], n[-1]), before + (1 << 20), "right")))
+            part = slice(heads[i], heads[j] if j < len(heads) else len(hit))
+            rank, which = _spread(b["bounds"][win[part]], b["bounds"][win[part] + 1])
+            doc, place, item, at = owner[part][which], hit[part][which], b["item"][rank], b["place"][rank]
+            k = np.lexsort((place, place - at, item, doc))
+            doc, place, item, at = doc[k], place[k], item[k], at[k]
+            new = np.ones(len(doc), bool)  # a run on one diagonal is one match
+            new[1:] = (doc[1:] != doc[:-1]) | (item[1:] != item[:-1]) | (place[1:] - at[1:] != place[:-1] - at[:-1]) | (place[1:] != place[:-1] + 1)
+            run = np.flatnonzero(new)
+            words = np.diff(np.append(run, len(doc))) - 1 + b["length"][win[part]][which][k][run]
+            doc, place, item, at = doc[run], place[run] - (self.first[doc[run]] + doc[run]), item[run], at[run]
+            k = np.lexsort((at, place, -words, item, doc))
+            k = k[c.group_starts(doc[k].astype(np.int64) * (len(b["ids"]) + 1) + item[k])]
+            out += [(d, b["ids"][x], p, q, w) for d, x, p, q, w in zip(*(v[k].tolist() for v in (doc, item, place, at, words)), strict=True)]
+            i = j
+        return out
+
+
+FOUND = "doc_id long, n_words long, n_hit long, n_items long, items_sha256 string, contaminated boolean, longest_run long, items string"
+
+
+def _judged(ids: pa.Array, counts: np.ndarray, hits: np.ndarray, first: np.ndarray, found: list[set[str]], threshold: int) -> pa.RecordBatch:
     sums = np.concatenate(([0], np.cumsum(hits)))
     n_hit = sums[first[1:]] - sums[first[:-1]]
-    for s, e in zip(*c.runs(hits), strict=True):
-        while s < e:  # a run may go on into the next document
-            d = doc[s]
-            stop = min(e, first[d + 1])
-            longest[d] = max(longest[d], stop - s)
-            s = stop
+    longest = np.zeros(len(counts), np.int64)
+    doc = np.repeat(np.arange(len(counts)), counts)
+    start = np.flatnonzero(hits & ~np.concatenate(([False], hits[:-1] & (doc[1:] == doc[:-1])))) if len(hits) else np.zeros(0, np.int64)
+    if len(start):
+        np.maximum.at(longest, doc[start], np.diff(np.append(np.cumsum(hits)[start], hits.sum() + 1)))
     joined = [",".join(sorted(x)) for x in found]
     return pa.RecordBatch.from_arrays(
         [
-            part.column(0), pa.array(counts), pa.array(n_hit), pa.array([len(x) for x in found], pa.int64()),
+            ids, pa.array(counts), pa.array(n_hit), pa.array([len(x) for x in found], pa.int64()),
             pa.array([hashlib.sha256(x.encode()).hexdigest() for x in joined], pa.string()),
             pa.array((n_hit > 0) & (threshold * n_hit >= counts)), pa.array(longest), pa.array(joined, pa.string()),
         ],
@@ -192,48 +239,134 @@ def _shard(window: int, threshold: int, blocks: list, part: pa.RecordBatch) -> p
     )
 
 
-def _blocks(items: DataFrame, window: int, item_col: str, text_col: str, block_bytes: int, most_bytes: int) -> list:
-    """Broadcasts of the test items, each of bounded bytes; their total is checked first."""
+def _passes(items: DataFrame, window: int, item_col: str, text_col: str, block_bytes: int, pass_bytes: int) -> list[list]:
+    """Broadcasts of the blocks of test items, in passes of at most `pass_bytes` (or one block)."""
     sc = items.sparkSession.sparkContext
-    size = items.agg(F.sum(F.octet_length(text_col))).first()[0] or 0
-    if size > most_bytes:
-        raise ValueError(f"the test items hold {size} bytes; most_bytes is {most_bytes}")
-    out, block, held = [], [], 0
-    for r in items.select(item_col, text_col).toLocalIterator():
+    out: list[list] = [[]]
+    size, block, held = 0, [], 0
+
+    def put() -> None:
+        nonlocal size, block, held
+        raw = _encoded(block, window)
+        if out[-1] and size + len(raw) > pass_bytes:
+            out.append([])
+            size = 0
+        out[-1].append(sc.broadcast(raw))
+        size, block, held = size + len(raw), [], 0
+
+    for r in items.select(F.col(item_col), F.col(text_col)).toLocalIterator():
         block.append((r[0], r[1]))
-        held += len(r[1] or "")
+        held += len((r[1] or "").encode())
         if held >= block_bytes:
-            out.append(sc.broadcast(_windows(block, window)))
-            block, held = [], 0
-    return [*out, sc.broadcast(_windows(block, window))] if block else out
+            put()
+    if block:
+        put()
+    return out
 
 
-def contamination(docs: DataFrame, items: DataFrame, window: int = 13, threshold: int = 20, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", block_bytes: int = 1 << 20, most_bytes: int = 256 << 20) -> DataFrame:
+def _parts(batches: Iterator[pa.RecordBatch], text: str) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        yield from c.parts(batch, text, 4 << 20)
+    c.release()
+
+
+def contamination(docs: DataFrame, items: DataFrame, window: int = 13, threshold: int = 20, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", block_bytes: int = 1 << 20, pass_bytes: int = 64 << 20) -> DataFrame:
     """One row for each row of docs: doc_id, n_words, n_hit, n_items, items_sha256, contaminated
     (threshold * n_hit >= n_words, and a hit), longest_run (words), items (ids, comma-joined)."""
-    blocks = _blocks(items, window, item_col, text_col, block_bytes, most_bytes)
+    passes = _passes(items, window, item_col, item_text_col, block_bytes, pass_bytes)
     rows = c.bounded(docs).select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    schema = "doc_id long, n_words long, n_hit long, n_items long, items_sha256 string, contaminated boolean, longest_run long, items string"
-    return rows.mapInArrow(lambda b: _search(window, threshold, blocks, b), schema)
+    if len(passes) == 1:
+        (blocks,) = passes
+
+        def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for part in _parts(batches, "text"):
+                shard = Shard(part.column(1), window)
+                hits, found, _ = shard.found(blocks, False)
+                yield _judged(part.column(0), shard.counts, hits, shard.first, found, threshold)
+
+        return rows.mapInArrow(search, FOUND)
+    return _united(rows, passes, window, threshold)
+
+
+def _united(rows: DataFrame, passes: list[list], window: int, threshold: int) -> DataFrame:
+    """The same of several passes: each puts out the hit words and items of the documents that it hits."""
+
+    def search(blocks: list, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in _parts(batches, "text"):
+            shard = Shard(part.column(1), window)
+            hits, found, _ = shard.found(blocks, False)
+            some = [i for i, x in enumerate(found) if x]
+            masks = [np.packbits(hits[shard.first[i] : shard.first[i + 1]]).tobytes() for i in some]
+            yield pa.RecordBatch.from_arrays([part.column(2).take(pa.array(some, pa.int64())), part.column(3).take(pa.array(some, pa.int64())), pa.array(masks, pa.binary()), pa.array([sorted(found[i]) for i in some], pa.list_(pa.string()))], ["k1", "k2", "hits", "items"])
+
+    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in _parts(batches, "text"):
+            buf, offsets = c.joined(part.column(1))
+            _, _, first = c.words(c.LOWER[buf], offsets, c.ALNUM_WORD)
+            yield pa.RecordBatch.from_arrays([part.column(0), part.column(2), part.column(3), pa.array(np.diff(first))], ["doc_id", "k1", "k2", "n_words"])
+
+    def union(rows: pa.Table) -> pa.Table:
+        """One document's passes."""
+        hits = rows["hits"][0].as_py()
+        for x in rows["hits"][1:]:
+            hits = (np.frombuffer(hits, np.uint8) | np.frombuffer(x.as_py(), np.uint8)).tobytes()
+        return pa.table({"k1": rows["k1"][:1], "k2": rows["k2"][:1], "hits": pa.array([hits], pa.binary()), "items": pa.array([sorted({i for x in rows["items"].to_pylist() for i in x})], pa.list_(pa.string()))})
+
+    def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            counts = batch.column(1).to_numpy()
+            masks = [np.unpackbits(np.frombuffer(h, np.uint8), count=n).astype(bool) if h else np.zeros(n, bool) for n, h in zip(counts.tolist(), batch.column(2).to_pylist(), strict=True)]
+            first = np.concatenate(([0], np.cumsum(counts)))
+            yield _judged(batch.column(0), counts, np.concatenate([*masks, np.zeros(0, bool)]), first, [set(x or ()) for x in batch.column(3).to_pylist()], threshold)
+        c.release()
 
+    keyed = rows.select("doc_id", "text", F.xxhash64("doc_id", "text").alias("k1"), F.xxhash64("text", F.lit(c.SEED), "doc_id").alias("k2"))
+    kind = "k1 long, k2 long, hits binary, items array<string>"
+    found = None
+    for blocks in passes:
+        one = keyed.mapInArrow(lambda b, blocks=blocks: search(blocks, b), kind)
+        found = one if found is None else found.union(one)
+    first = F.any_value  # equal rows find the same, so one row of each pass will do
+    once = found.groupBy("k1", "k2", F.xxhash64("hits", "items").alias("same")).agg(first("hits").alias("hits"), first("items").alias("items"))
+    whole = once.groupBy("k1", "k2").applyInArrow(lambda t: union(t.select(["k1", "k2", "hits", "items"])), kind)
+    counts = keyed.mapInArrow(counted, "doc_id long, k1 long, k2 long, n_words long")
+    return counts.join(whole, ["k1", "k2"], "left").select("doc_id", "n_words", "hits", "items").mapInArrow(judge, FOUND)
+
+
+def longest_matches(docs: DataFrame, items: DataFrame, window: int = 13, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", block_bytes: int = 1 << 20, pass_bytes: int = 64 << 20) -> DataFrame:
+    """(doc_id, item_id, start, item_start, n_words): of each document and item the longest verbatim match of `window` words
+    or more (or of a whole shorter item), with the places of its first word from 0 on."""
+    rows = c.bounded(docs).select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
+    out = None
+    for blocks in _passes(items, window, item_col, item_text_col, block_bytes, pass_bytes):
 
-def clean_documents(docs: DataFrame, items: DataFrame, **options) -> DataFrame:
-    """docs without those that are contaminated, all columns kept."""
-    text, window, threshold = options.get("text_col", "text"), options.get("window", 13), options.get("threshold", 20)
-    blocks = _blocks(items, window, options.get("item_col", "item_id"), "text", 1 << 20, 256 << 20)
-    at = docs.columns.index(text)
+        def search(batches: Iterator[pa.RecordBatch], blocks=blocks) -> Iterator[pa.RecordBatch]:
+            for part in _parts(batches, "text"):
+                _, _, found = Shard(part.column(1), window).found(blocks, True)
+                kinds = (pa.string(), pa.int64(), pa.int64(), pa.int64())
+                yield pa.RecordBatch.from_arrays([part.column(0).take(pa.array([x[0] for x in found], pa.int64())), *(pa.array([x[i + 1] for x in found], k) for i, k in enumerate(kinds))], ["doc_id", "item_id", "start", "item_start", "n_words"])
 
-    def clean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for part in c.parts(batch, text, 4 << 20):
-                own = pa.RecordBatch.from_arrays([pa.array(np.arange(part.num_rows)), part.column(at)], ["doc_id", "text"])
-                yield part.filter(pc_invert(_shard(window, threshold, blocks, own)))
-        c.release()
+        one = rows.mapInArrow(search, "doc_id long, item_id string, start long, item_start long, n_words long")
+        out = one if out is None else out.union(one)
+    return out
 
-    return c.bounded(docs).mapInArrow(clean, docs.schema)
 
+def clean_documents(docs: DataFrame, items: DataFrame, window: int = 13, threshold: int = 20, text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", block_bytes: int = 1 << 20, pass_bytes: int = 64 << 20) -> DataFrame:
+    """docs without those that are contaminated, all columns kept."""
+    passes = _passes(items, window, item_col, item_text_col, block_bytes, pass_bytes)
+    if len(passes) > 1:
+        k1, k2 = c.unused("k1", docs), c.unused("k2", docs)
+        keyed = docs.withColumns({k1: F.xxhash64(F.col(text_col)), k2: F.xxhash64(F.col(text_col), F.lit(c.SEED))})
+        rows = keyed.select(F.col(k1).alias("doc_id"), F.col(text_col).alias("text"))
+        bad = _united(rows, passes, window, threshold).where("contaminated").select(F.col("doc_id").alias("__bad"))
+        return c.by_keys(keyed, bad, [(k1, "__bad")], "left_anti").select(*docs.columns)
+    (blocks,), at = passes, docs.columns.index(text_col)
 
-def pc_invert(judged: pa.RecordBatch) -> pa.Array:
-    import pyarrow.compute as pc
+    def clean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in _parts(batches, text_col):
+            shard = Shard(part.column(at), window)
+            hits, found, _ = shard.found(blocks, False)
+            judged = _judged(pa.array(np.arange(part.num_rows)), shard.counts, hits, shard.first, found, threshold)
+            yield part.filter(pc.invert(judged.column(5)))
 
-    return pc.invert(judged.column(5))
+    return c.bounded(docs).mapInArrow(clean, docs.schema)

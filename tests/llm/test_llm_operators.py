@@ -145,8 +145,52 @@ def test_contamination(spark, monkeypatch):
     assert clean.columns == df.columns and len(bad) and clean.count() == len(docs) - sum(x[5] for x in brute_contamination(docs, items))
     assert decontam.contamination(df, it.limit(0)).where("n_hit > 0").count() == 0
     assert decontam.contamination(df.limit(0), it).count() == 0
-    with pytest.raises(ValueError):
-        decontam.contamination(df, it, most_bytes=10)
+    # items that fill several passes
+    many = decontam.contamination(df, it, block_bytes=300, pass_bytes=4000)
+    assert sorted(map(tuple, many.collect()), key=repr) == sorted(map(tuple, whole.collect()), key=repr)
+    left = decontam.clean_documents(df, it, block_bytes=300, pass_bytes=4000)
+    assert left.columns == df.columns and sorted(map(tuple, left.collect()), key=repr) == sorted(map(tuple, clean.collect()), key=repr)
+    assert decontam.contamination(df.limit(0), it, block_bytes=40, pass_bytes=10).count() == 0
+
+
+def brute_longest(docs, items, n=13):
+    low = lambda t: WORD.findall("".join(x.lower() if x.isascii() else x for x in t or ""))
+    out = set()
+    for d, t in docs:
+        w = low(t)
+        for i, u in items:
+            v = low(u)
+            need, best = min(n, len(v)), None
+            for p in range(len(w)):
+                for q in range(len(v)):
+                    k = 0
+                    while p + k < len(w) and q + k < len(v) and w[p + k] == v[q + k]:
+                        k += 1
+                    if need and k >= need and (best is None or (-k, p, q) < best):
+                        best = (-k, p, q)
+            if best:
+                out.add((d, str(i), best[1], best[2], -best[0]))
+    return out
+
+
+@pytest.mark.parametrize("block", [200, 1 << 20])
+def test_longest_matches(spark, block):
+    r = random.Random(10)
+    text = lambda n: " ".join(r.choice(["ab", "b", "É", "c3"]) for _ in range(n))
+    base = [text(45) for _ in range(4)]
+    items = [(i, base[i]) for i in range(4)] + [(7, "ab b ab"), (8, None), (9, base[0][4:]), (10, text(13))]
+    docs = [(i, text(r.randint(0, 20)) + " " + base[i % 4][r.randint(0, 30) : r.randint(50, 130)] + " " + base[(i + 1) % 4]) for i in range(12)] + [(20, None), (21, ""), (22, base[2])]
+    got = decontam.longest_matches(spark.createDataFrame([(*x, "q") for x in docs], "doc_id long, text string, item_id string"), spark.createDataFrame(items, "item_id long, text string"), block_bytes=block)
+    assert sorted(map(tuple, got.collect())) == sorted(brute_longest(docs, items))
+
+
+def test_contamination_very_long_text(spark):
+    r = random.Random(11)
+    words = [f"w{r.randint(0, 5000)}" for _ in range(300_000)]
+    item = " ".join(words[200_000:200_040])
+    df = spark.createDataFrame([(1, " ".join(words)), (None, item), (None, item)], "doc_id long, text string")
+    got = {x["doc_id"]: (x["n_words"], x["n_hit"], x["longest_run"], x["contaminated"]) for x in decontam.contamination(df, spark.createDataFrame([(5, item)], "item_id long, text string")).collect()}
+    assert got == {1: (300_000, 40, 40, False), None: (40, 40, 40, True)}
 
 
 def test_suffix_array():
