@@ -9,9 +9,12 @@ to the forest, which takes all vectors without a core.
 
 Trees are fitted on a bounded sample (`sample` vectors, those with the smallest hash): a node
 projects its vectors on a random direction and splits them at the median; those within `spill`
-of the sample's quantiles around the median go to both sides. All those vectors are then
-routed through all trees. Vectors of one leaf, label and dimension are compared by cosine in double
-precision, block by block.
+of the sample's quantiles around the median go to both sides. The sample alone can't split for
+ever: leaves that get more than `most` of all vectors are split on, by quantiles that Spark counts
+over all vectors in them, round by round until each leaf is small enough. Directions follow from
+a node's number, so a tree is two figures for each node, and about n / `most` leaves. All those
+vectors are then routed through all trees. Vectors of one leaf, label and dimension are compared
+by cosine in double precision, block by block.
 
 Equal vectors of one label are one class, compared once and counted by their number, so copies
 make no pairs. A leaf puts out each vector's number of links and the edges of a spanning forest,
@@ -36,35 +39,33 @@ from pyspark.sql import functions as F
 
 from . import common as c
 
-Node = tuple  # (direction, low, high, left, right) or (leaf,)
+Node = tuple  # (number, low, high, left, right) or (number,)
 
 
-def fit(x: np.ndarray, trees: int, depth: int, spill: float, seed: int = c.SEED) -> list[Node]:
-    """Trees over unit vectors; a node of under 8 of the sample's vectors is a leaf."""
-    out = []
-    for t in range(trees):
-        rng = np.random.default_rng([seed, t])
-        leaves = iter(range(1 << (depth + 1)))
-
-        def grow(rows: np.ndarray, left: int, rng=rng, leaves=leaves) -> Node:
-            if left == 0 or len(rows) < 8:
-                return (next(leaves),)
-            direction = rng.standard_normal(x.shape[1])
-            p = x[rows] @ direction
-            low, mid, high = np.quantile(p, [0.5 - spill, 0.5, 0.5 + spill])
-            if low == high:  # most of the node is one point: it goes to both sides only if it is at the median
-                low = high = mid
-            a, b = rows[p <= high], rows[p >= low]
-            if len(a) == len(rows) and len(b) == len(rows):
-                return (next(leaves),)
-            return (direction, float(low), float(high), grow(a, left - 1), grow(b, left - 1))
-
-        out.append(grow(np.arange(len(x)), depth))
-    return out
-
-
-def route(tree: Node, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(row, leaf) of all leaves that the vectors reach, by row."""
+def _direction(tree: int, number: int, dim: int, seed: int = c.SEED) -> np.ndarray:
+    return np.random.default_rng([seed, tree, number]).standard_normal(dim)
+
+
+def fit(x: np.ndarray, trees: int, depth: int, spill: float) -> list[Node]:
+    """Trees over unit vectors; a node of under 8 of the sample's vectors is a leaf. The root is number 1, a node's children are 2n and 2n + 1."""
+    return [_grown(x, np.arange(len(x)), t, 1, depth, spill) for t in range(trees)]
+
+
+def _grown(x: np.ndarray, rows: np.ndarray, tree: int, number: int, left: int, spill: float) -> Node:
+    if left == 0 or len(rows) < 8:
+        return (number,)
+    p = x[rows] @ _direction(tree, number, x.shape[1])
+    low, mid, high = np.quantile(p, [0.5 - spill, 0.5, 0.5 + spill])
+    if low == high:  # most of the node is one point: it goes to both sides only if it is at the median
+        low = high = mid
+    a, b = rows[p <= high], rows[p >= low]
+    if len(a) == len(rows) and len(b) == len(rows):
+        return (number,)
+    return (number, float(low), float(high), _grown(x, a, tree, 2 * number, left - 1, spill), _grown(x, b, tree, 2 * number + 1, left - 1, spill))
+
+
+def route(tree: Node, t: int, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(row, leaf) of all leaves of tree t that the vectors reach, by row."""
     rows, leaves = [], []
     todo = [(tree, np.arange(len(x)))]
     while todo:
@@ -73,16 +74,65 @@ def route(tree: Node, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
             continue
         if len(node) == 1:
             rows.append(at)
-            leaves.append(np.full(len(at), node[0], np.int32))
+            leaves.append(np.full(len(at), node[0], np.int64))
             continue
-        direction, low, high, left, right = node
-        p = x[at] @ direction
+        number, low, high, left, right = node
+        p = x[at] @ _direction(t, number, x.shape[1])
         todo += [(left, at[p <= high]), (right, at[p >= low])]
     row, leaf = np.concatenate(rows), np.concatenate(leaves)
     order = np.argsort(row, kind="stable")
     return row[order], leaf[order]
 
 
+def _split(tree: Node, cuts: dict[int, tuple[float, float]]) -> Node:
+    """The tree with the leaves that have cuts split at them."""
+    if len(tree) == 1:
+        n = tree[0]
+        return (n, *cuts[n], (2 * n,), (2 * n + 1,)) if n in cuts else tree
+    return (*tree[:3], _split(tree[3], cuts), _split(tree[4], cuts))
+
+
+#: A node's number has 63 bits; a path of so many splits that each leave most vectors on one side ends there.
+DEEPEST = 62
+
+
+def _refined(rows: DataFrame, forest: list[Node], kind: str, dim: int, spill: float, most: int) -> list[Node]:
+    """The forest with every leaf of more than `most` of all vectors split on, by quantiles over all of them.
+
+    A round reads the vectors once and shuffles the quantile sketches of over-full leaves alone. A leaf whose
+    vectors no direction parts (at most one distinct projection) stays.
+    """
+    sc = rows.sparkSession.sparkContext
+    full: set[tuple[int, int]] | None = None
+    while True:
+        held = sc.broadcast((forest, full))
+
+        def projected(batches: Iterator[pa.RecordBatch], held=held) -> Iterator[pa.RecordBatch]:
+            trees, wanted = held.value
+            for batch in batches:
+                for k in range(0, batch.num_rows, 2000):
+                    x = _units(kind, batch.column(0).slice(k, 2000).to_pylist(), dim)
+                    out = []
+                    for t, tree in enumerate(trees):
+                        row, leaf = route(tree, t, x)
+                        for n in np.unique(leaf).tolist():
+                            if wanted is None or (t, n >> 1) in wanted:  # only new leaves can be over-full
+                                at = row[leaf == n]
+                                out.append((np.full(len(at), t), np.full(len(at), n), x[at] @ _direction(t, n, dim)))
+                    cols = [np.concatenate(v) for v in zip(*out, strict=True)] if out else [np.zeros(0, np.int64)] * 2 + [np.zeros(0)]
+                    yield pa.RecordBatch.from_arrays([pa.array(cols[0].astype(np.int32)), pa.array(cols[1].astype(np.int64)), pa.array(cols[2])], ["tree", "leaf", "p"])
+            c.release()
+
+        each = rows.select("vector").mapInArrow(projected, "tree int, leaf long, p double")
+        marks = F.percentile_approx("p", F.array(F.lit(0.5 - spill), F.lit(0.5 + spill)), 1000).alias("q")
+        found = each.groupBy("tree", "leaf").agg(F.count("*").alias("n"), marks, F.min("p").alias("lo"), F.max("p").alias("hi")).where(F.col("n") > most).collect()  # under n * trees / most leaves
+        cuts = {(r["tree"], r["leaf"]): (r["q"][0], r["q"][1]) for r in found if r["hi"] - r["lo"] > 1e-9 and r["leaf"].bit_length() < DEEPEST and not (r["q"][0] <= r["lo"] and r["q"][1] >= r["hi"])}
+        if not cuts:
+            return forest
+        forest = [_split(tree, {n: q for (t, n), q in cuts.items() if t == i}) for i, tree in enumerate(forest)]
+        full = set(cuts)
+
+
 def _usable(v: list | None) -> np.ndarray | None:
     if not v or any(e is None for e in v):
         return None
@@ -117,16 +167,16 @@ def _routed(kind: str, forest: list[Node], dim: int, batches: Iterator[pa.Record
         for k in range(0, batch.num_rows, 2000):
             part = batch.slice(k, 2000)
             x = _units(kind, part.column(3).to_pylist(), dim)
-            found = [route(t, x) for t in forest]
+            found = [route(tree, t, x) for t, tree in enumerate(forest)]
             own = np.concatenate([row for row, _ in found])
-            pairs = np.concatenate([np.stack((np.full(len(leaf), t, np.int32), leaf), 1) for t, (_, leaf) in enumerate(found)])
+            pairs = np.concatenate([np.stack((np.full(len(leaf), t, np.int64), leaf), 1) for t, (_, leaf) in enumerate(found)])
             order = np.argsort(own, kind="stable")
             own, pairs = own[order], np.ascontiguousarray(pairs[order])
             bounds = np.searchsorted(own, np.arange(part.num_rows + 1))
             every = [pairs[a:b].tobytes() for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
             taken = part.take(pa.array(own))
             yield pa.RecordBatch.from_arrays(
-                [pa.array(pairs[:, 0]), pa.array(pairs[:, 1]), *taken.columns, pa.array([every[i] for i in own], pa.binary())],
+                [pa.array(pairs[:, 0].astype(np.int32)), pa.array(pairs[:, 1].copy()), *taken.columns, pa.array([every[i] for i in own], pa.binary())],
                 ["tree", "leaf", "node", "label", "copies", "vector", "leaves"],
             )
 
@@ -135,15 +185,16 @@ class Earlier:
     """The leaves before one leaf (of earlier trees, or earlier in its tree) that its vectors are in."""
 
     def __init__(self, tree: int, leaf: int, raws: list[bytes]) -> None:
-        pairs = np.frombuffer(b"".join(raws), np.int32).reshape(-1, 2).astype(np.int64)
-        owner = np.repeat(np.arange(len(raws)), [len(r) // 8 for r in raws])
-        codes = pairs[:, 0] << 32 | pairs[:, 1]
-        keep = codes < (tree << 32 | leaf)
-        codes, owner = codes[keep], owner[keep]
-        distinct = np.sort(codes)
-        distinct = distinct[c.group_starts(distinct)]
-        self.n = len(distinct)
-        self.flat = np.searchsorted(distinct, codes)
+        pairs = np.frombuffer(b"".join(raws), np.int64).reshape(-1, 2)
+        owner = np.repeat(np.arange(len(raws)), [len(r) // 16 for r in raws])
+        keep = (pairs[:, 0] < tree) | ((pairs[:, 0] == tree) & (pairs[:, 1] < leaf))
+        pairs, owner = pairs[keep], owner[keep]
+        order = np.lexsort((pairs[:, 1], pairs[:, 0]))
+        new = np.ones(len(order), bool)
+        new[1:] = (pairs[order][1:] != pairs[order][:-1]).any(1)
+        self.n = int(new.sum())
+        self.flat = np.empty(len(order), np.int64)
+        self.flat[order] = np.cumsum(new) - 1
         self.bounds = np.searchsorted(owner, np.arange(len(raws) + 1))
 
     def _spread(self, v: np.ndarray) -> np.ndarray:
@@ -160,6 +211,32 @@ class Earlier:
         return out
 
 
+def _joined(parent: np.ndarray, linked: np.ndarray, p: np.ndarray, q: np.ndarray) -> list[tuple[int, int]]:
+    """Links between rows p and columns q that join what `parent` has apart, as far as it goes; `parent` has them joined then."""
+
+    def top(i: int) -> int:
+        while parent[i] != i:
+            parent[i] = parent[parent[i]]
+            i = parent[i]
+        return i
+
+    out = []
+    while True:  # each vector offers one link out of its component, so their number at least halves
+        while (parent != parent[parent]).any():
+            parent[:] = parent[parent]
+        apart = linked & (parent[p][:, None] != parent[q][None, :])
+        lines, columns = np.flatnonzero(apart.any(1)), np.flatnonzero(apart.any(0))
+        if not len(lines):
+            return out
+        a = np.concatenate((p[lines], p[apart[:, columns].argmax(0)]))
+        b = np.concatenate((q[apart[lines].argmax(1)], q[columns]))
+        for u, v in zip(a.tolist(), b.tolist(), strict=True):
+            u, v = top(u), top(v)
+            if u != v:
+                parent[max(u, v)] = min(u, v)
+                out.append((u, v))
+
+
 def _compared(kind: str, least: float, rows: pa.Table) -> pa.Table:
     """One leaf: (a, b, n); b null: a has n links counted here; else an edge."""
     tree, leaf = rows["tree"][0].as_py(), rows["leaf"][0].as_py()
@@ -177,34 +254,25 @@ def _compared(kind: str, least: float, rows: pa.Table) -> pa.Table:
         size = np.sqrt((x * x).sum(1))
         count = np.zeros(len(at), np.int64)
         parent = np.arange(len(at))
-
-        def top(i: int, parent=parent) -> int:
-            while parent[i] != i:
-                parent[i] = parent[parent[i]]
-                i = parent[i]
-            return i
-
         for i in range(0, len(at), 512):
             for j in range(i, len(at), 512):
-                cosine = (x[i : i + 512] @ x[j : j + 512].T) / (size[i : i + 512, None] * size[None, j : j + 512])
-                a, b = np.nonzero(cosine >= least)
-                a, b = a + i, b + j
-                a, b = a[a < b], b[a < b]
+                p, q = np.arange(i, min(i + 512, len(at))), np.arange(j, min(j + 512, len(at)))
+                linked = (x[p] @ x[q].T) / (size[p, None] * size[None, q]) >= least
+                if i == j:
+                    linked = np.triu(linked, 1)
+                a, b = np.nonzero(linked)
                 if not len(a):
                     continue
-                new = ~earlier.shared(at[a], at[b])
-                np.add.at(count, a[new], copies[at[b[new]]])
-                np.add.at(count, b[new], copies[at[a[new]]])
-                for p, q in zip(a[new].tolist(), b[new].tolist(), strict=True):
-                    p, q = top(p), top(q)
-                    if p != q:
-                        parent[max(p, q)] = min(p, q)
-                        out.append((int(node[at[p]]), int(node[at[q]]), 0))
+                new = ~earlier.shared(at[p[a]], at[q[b]])
+                np.add.at(count, p[a[new]], copies[at[q[b[new]]]])
+                np.add.at(count, q[b[new]], copies[at[p[a[new]]]])
+                linked[a[~new], b[~new]] = False  # what joins these is put out by the leaf that counts them
+                out += [(int(node[at[u]]), int(node[at[v]]), 0) for u, v in _joined(parent, linked, p, q)]
         out += [(int(node[at[i]]), None, int(count[i])) for i in np.flatnonzero(count)]
     return pa.table({k: pa.array([r[i] for r in out], pa.int64()) for i, k in enumerate(("a", "b", "n"))})
 
 
-def dense_balls(x: np.ndarray, least: float, most: float, leaf: int, broad: int, seed: int = c.SEED) -> np.ndarray:
+def dense_balls(x: np.ndarray, least: float, most: float, leaf: int, broad: int) -> np.ndarray:
     """Centres of balls that cover unit vectors with `most` or more of others in reach (cosine `least`).
 
     Candidates are vectors with links enough in their leaf of one tree; each ball is then
@@ -212,7 +280,7 @@ def dense_balls(x: np.ndarray, least: float, most: float, leaf: int, broad: int,
     """
     shell = _shell(least)
     links = np.zeros(len(x), np.int64)
-    row, at = route(fit(x, 1, max(0, math.ceil(math.log2(max(1, len(x)) / leaf))), 0.05, seed)[0], x)
+    row, at = route(fit(x, 1, max(0, math.ceil(math.log2(max(1, len(x)) / leaf))), 0.05)[0], 0, x)
     order = np.argsort(at, kind="stable")
     for rows in np.split(row[order], c.group_starts(at[order])[1:]):
         for i in range(0, len(rows), 512):
@@ -285,13 +353,6 @@ def _tile(kind: str, least: float, rows: pa.Table) -> pa.Table:
     count = np.zeros(len(node))
     parent = np.arange(len(node))
     out: list[tuple] = []
-
-    def top(i: int) -> int:
-        while parent[i] != i:
-            parent[i] = parent[parent[i]]
-            i = parent[i]
-        return i
-
     for i in range(0, len(left), 512):
         for j in range(i if one == two else 0, len(right), 512):
             p, q = left[i : i + 512], right[j : j + 512]
@@ -300,20 +361,7 @@ def _tile(kind: str, least: float, rows: pa.Table) -> pa.Table:
                 linked = np.triu(linked, 1)
             count[p] += linked @ copies[q]
             count[q] += copies[p] @ linked
-            while True:  # each vector offers one link out of its component, so their number at least halves
-                while (parent != parent[parent]).any():
-                    parent = parent[parent]
-                apart = linked & (parent[p][:, None] != parent[q][None, :])
-                lines, columns = np.flatnonzero(apart.any(1)), np.flatnonzero(apart.any(0))
-                if not len(lines):
-                    break
-                a = np.concatenate((p[lines], p[apart[:, columns].argmax(0)]))
-                b = np.concatenate((q[apart[lines].argmax(1)], q[columns]))
-                for a, b in zip(a.tolist(), b.tolist(), strict=True):
-                    a, b = top(a), top(b)
-                    if a != b:
-                        parent[max(a, b)] = min(a, b)
-                        out.append((int(node[a]), int(node[b]), 0))
+            out += [(int(node[a]), int(node[b]), 0) for a, b in _joined(parent, linked, p, q)]
     out += [(int(node[i]), None, int(count[i])) for i in np.flatnonzero(count)]
     return pa.table({k: pa.array([r[i] for r in out], pa.int64()) for i, k in enumerate(("a", "b", "n"))})
 
@@ -337,7 +385,7 @@ def _ball_links(placed: DataFrame, kind: str, cosine: float) -> DataFrame:
     return tiles.groupBy("ball", "label", "i", "j").applyInArrow(lambda t: _tile(kind, cosine, t), "a long, b long, n long")
 
 
-def near_duplicates(vectors: DataFrame, cosine: float = 0.93, trees: int = 12, leaf: int = 400, spill: float = 0.05, sample: int = 50_000, broad: int = 64, id_col: str = "vec_id", vector_col: str = "embedding", label_col: str = "label") -> DataFrame:
+def near_duplicates(vectors: DataFrame, cosine: float = 0.93, trees: int = 12, leaf: int = 400, spill: float = 0.05, sample: int = 50_000, broad: int = 64, most: int = 20_000, id_col: str = "vec_id", vector_col: str = "embedding", label_col: str = "label") -> DataFrame:
     """One row for each row of vectors: vec_id, n_links, component_id, kept."""
     rows = vectors.select(F.col(id_col).cast("long").alias("vec_id"), F.col(vector_col).alias("v"), F.col(label_col).cast("long").alias("label"))
     kind = "<f4" if dict(vectors.dtypes)[vector_col] == "array<float>" else "<f8"
@@ -363,9 +411,11 @@ def near_duplicates(vectors: DataFrame, cosine: float = 0.93, trees: int = 12, l
     dim = max({len(r) for r in taken}, key=lambda d: sum(len(r) == d for r in taken)) // int(kind[2]) if taken else 1
     depth = max(0, math.ceil(math.log2(max(1, n) / leaf)))
     forest = fit(_units(kind, taken, dim), trees, depth, spill)
-    held = vectors.sparkSession.sparkContext.broadcast(forest)  # at most 2 * sample / 8 nodes a tree
+    if n > most:
+        forest = _refined(rest, forest, kind, dim, spill, most)
+    held = vectors.sparkSession.sparkContext.broadcast(forest)  # at most 2 * (sample / 8 + 2 * n / most) nodes a tree, of two figures
     del taken
-    schema = "tree int, leaf int, node long, label long, copies long, vector binary, leaves binary"
+    schema = "tree int, leaf long, node long, label long, copies long, vector binary, leaves binary"
     routed = rest.select("node", "label", "copies", "vector").mapInArrow(lambda b: _routed(kind, held.value, dim, b), schema)
     found = routed.groupBy("tree", "leaf").applyInArrow(lambda t: _compared(kind, cosine, t), "a long, b long, n long")
     found = c.checkpointed(found if near is None else found.union(near))

@@ -317,6 +317,26 @@ def test_embeddings_dense_cluster(spark):
     assert all(y[1] <= w[1] for y, w in zip(got, want, strict=True))
 
 
+def test_embeddings_leaves_are_split_on(spark):
+    """Leaves beyond what the sample can split are split by all vectors; links are still found and counted once."""
+    r = np.random.default_rng(6)
+    centre = r.standard_normal((300, 24))
+    x = (centre[np.arange(3000) % 300] + 0.2 * r.standard_normal((3000, 24))).astype(np.float32)
+    df = spark.createDataFrame([(i, v.tolist(), 1) for i, v in enumerate(x)], "vec_id long, embedding array<float>, label int")
+    u = x.astype(np.float64) / np.linalg.norm(x.astype(np.float64), axis=1, keepdims=True)
+    linked = (u @ u.T >= 0.93) & ~np.eye(len(x), dtype=bool)
+    got = {y["vec_id"]: y["n_links"] for y in rp_forest.near_duplicates(df, sample=40, leaf=50, most=100).collect()}
+    assert all(got[i] <= linked[i].sum() for i in got) and sum(got.values()) >= 0.98 * linked.sum() > 5000
+    rows = spark.createDataFrame([(v.tobytes(),) for v in x], "vector binary")
+    few = rp_forest.fit(u[:40], 3, 10, 0.05)
+    forest = rp_forest._refined(rows, few, "<f4", 24, 0.05, 100)
+    for t, tree in enumerate(forest):
+        row, leaf = rp_forest.route(tree, t, u)
+        assert np.unique(leaf, return_counts=True)[1].max() <= 100 and set(row.tolist()) == set(range(3000))
+    same = spark.createDataFrame([(x[0].tobytes(),)] * 200, "vector binary")
+    assert rp_forest._refined(same, [(1,)], "<f4", 24, 0.05, 100) == [(1,)]
+
+
 # ---------------------------------------------------------------- chat
 
 
