@@ -17,7 +17,6 @@ An empty table gives an empty result; other columns are ignored.
 
 from __future__ import annotations
 
-import base64
 import bisect
 import json
 import zlib
@@ -42,27 +41,49 @@ def _byte_letters() -> dict[str, int]:
     return {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(rest)}
 
 
+@cache
+def _file(vocabulary: str) -> dict:
+    with open(vocabulary, encoding="utf-8") as f:
+        return json.load(f)
+
+
+def special_tokens(vocabulary: str) -> list[str]:
+    return [x["content"] for x in _file(vocabulary).get("added_tokens", [])]
+
+
+def by_rank(vocabulary: str) -> bool:
+    """Whether merging by a token's rank is what the file says: plain byte-level BPE, cut by the public pattern,
+    whose i-th merge makes the i-th of the merged tokens."""
+    file = _file(vocabulary)
+    model, cut = file["model"], file.get("pre_tokenizer") or {}
+    plain = model.get("type", "BPE") == "BPE" and not any(model.get(x) for x in ("dropout", "byte_fallback", "ignore_merges", "continuing_subword_prefix", "end_of_word_suffix"))
+    cut = cut.get("type") == "ByteLevel" and not cut.get("add_prefix_space", True) and cut.get("use_regex", True)
+    parts = (x.split(" ") if isinstance(x, str) else x for x in model["merges"])
+    made = [model["vocab"]["".join(x)] for x in parts]
+    return plain and cut and file.get("normalizer") is None and all(a < b for a, b in zip(made, made[1:], strict=False))
+
+
 @cache
 def encoder(vocabulary: str) -> Callable[[str], np.ndarray]:
     """text -> ids of a byte-level BPE vocabulary file of the `tokenizers` library.
 
-    Its merges are given to a faster encoder of the same ids; texts that hold a special token go
-    to the library itself, which reads that as one id.
+    Its merges are given to a faster encoder of the same ids, if the file meets the condition for
+    that (`by_rank`); else, and for texts that hold a special token, which is one id, the library itself
+    encodes.
     """
     import public_tokenizers
     import tiktoken
     from tokenizers import Tokenizer
 
     exact = cache(lambda: Tokenizer.from_file(vocabulary))  # most corpora never need it
-    with open(vocabulary, encoding="utf-8") as f:
-        file = json.load(f)
-    special = [x["content"] for x in file.get("added_tokens", [])]
+    special, same = special_tokens(vocabulary), by_rank(vocabulary)
     letters = _byte_letters()
-    ranks = {bytes(letters[x] for x in word): i for word, i in file["model"]["vocab"].items() if word not in special}
-    fast = tiktoken.Encoding("pieces", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    ranks = {bytes(letters[x] for x in word): i for word, i in _file(vocabulary)["model"]["vocab"].items() if word not in special} if same else {}
+    fast = tiktoken.Encoding("pieces", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={}) if same else None
+    _file.cache_clear()
 
     def encode(text: str) -> np.ndarray:
-        if any(x in text for x in special):
+        if fast is None or any(x in text for x in special):
             return np.array(exact().encode(text, add_special_tokens=False).ids, np.uint32)
         return np.array(fast.encode_ordinary(text), np.uint32)
 
