@@ -395,6 +395,27 @@ def components(links: DataFrame, a: str, b: str, rounds: int = 60) -> DataFrame:
     raise RuntimeError(f"components did not settle in {rounds} rounds")
 
 
+# ---------------------------------------------------------------- classes
+
+
+def told_apart(rows: DataFrame) -> Callable[[DataFrame], DataFrame]:
+    """What gives classes that share a `node` by chance, but not a `sign`, nodes of their own: 96 bits must agree.
+
+    The other nodes stay as they are; among 1e10 classes some three are expected to meet.
+    """
+    met = checkpointed(rows.groupBy("node").agg(F.min("sign").alias("least_sign"), F.max("sign").alias("most_sign")).where("least_sign <> most_sign").select("node", "least_sign"))
+    if met.isEmpty():
+        return lambda df: df.drop("sign")
+    few = met.count() <= BROADCAST_KEYS
+    other = (F.col("least_sign").isNotNull()) & (F.col("sign") != F.col("least_sign"))
+
+    def apart(df: DataFrame) -> DataFrame:
+        joined = df.join(F.broadcast(met) if few else met, "node", "left")
+        return joined.withColumn("node", F.when(other, F.xxhash64("node", "sign")).otherwise(F.col("node"))).select(*(x for x in df.columns if x != "sign"))
+
+    return apart
+
+
 # ---------------------------------------------------------------- joins by key
 
 #: Keys that may be broadcast: at two longs a row some 32 MB as a hash table. More are shuffled.

@@ -31,7 +31,7 @@ from functools import cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import common as c
@@ -75,11 +75,12 @@ def signature(shingles: np.ndarray) -> np.ndarray:
     return out
 
 
-def _node(shingles: np.ndarray) -> int:
-    """An id of the set; 0 is the empty set's."""
+def _node(shingles: np.ndarray) -> tuple[int, int]:
+    """An id of the set, and what tells sets of one id apart; 0 is the empty set's id."""
     if not len(shingles):
-        return 0
-    return int.from_bytes(hashlib.blake2b(shingles.tobytes(), digest_size=8).digest(), "little", signed=True) or 1
+        return 0, 0
+    raw = hashlib.blake2b(shingles.tobytes(), digest_size=12).digest()
+    return int.from_bytes(raw[:8], "little", signed=True) or 1, int.from_bytes(raw[8:], "little", signed=True)
 
 
 def _sketches(size: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -95,8 +96,8 @@ def _sketches(size: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Recor
             sig = np.stack(sigs)
             keys = c.mix((sig.reshape(-1, BANDS, ROWS).astype(np.uint64) * rolled).sum(2, dtype=np.uint64) + band * c.MULTIPLIER)
             yield pa.RecordBatch.from_arrays(
-                [part.column(0), part.column(2), pa.array(nodes, pa.int64()), pa.array(counts, pa.int64()), pa.array([x.tobytes() for x in keys], pa.binary())],
-                ["doc_id", "text_key", "node", "n_shingles", "bands"],
+                [part.column(0), part.column(2), pa.array([n for n, _ in nodes], pa.int64()), pa.array([x for _, x in nodes], pa.int32()), pa.array(counts, pa.int64()), pa.array([x.tobytes() for x in keys], pa.binary())],
+                ["doc_id", "text_key", "node", "sign", "n_shingles", "bands"],
             )
     c.release()
 
@@ -114,7 +115,8 @@ def _sets(size: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBat
     for batch in batches:
         for part in c.parts(batch, "text"):
             sets = list(shingle_sets(part.column(0), size))
-            yield pa.RecordBatch.from_arrays([pa.array([_node(s) for s in sets], pa.int64()), pa.array([s.tobytes() for s in sets], pa.binary())], ["node", "shingles"])
+            nodes = [_node(s) for s in sets]
+            yield pa.RecordBatch.from_arrays([pa.array([n for n, _ in nodes], pa.int64()), pa.array([x for _, x in nodes], pa.int32()), pa.array([s.tobytes() for s in sets], pa.binary())], ["node", "sign", "shingles"])
     c.release()
 
 
@@ -177,7 +179,9 @@ def grouped(docs: DataFrame, shingle: int, percent: int, id_col: str, text_col:
     """One row for each row of docs: doc_id, text_key, n_shingles, component_id, comp (one value for each component; null for an empty set)."""
     rows = c.bounded(docs).select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     keyed_rows = rows.withColumn("text_key", F.xxhash64("text"))
-    sketch = c.checkpointed(keyed_rows.mapInArrow(lambda b: _sketches(shingle, b), "doc_id long, text_key long, node long, n_shingles long, bands binary"))
+    sketch = c.checkpointed(keyed_rows.mapInArrow(lambda b: _sketches(shingle, b), "doc_id long, text_key long, node long, sign int, n_shingles long, bands binary"))
+    apart = c.told_apart(sketch)
+    sketch = apart(sketch)
     nodes = sketch.where("n_shingles > 0").groupBy("node").agg(F.min("doc_id").alias("first"), F.any_value("bands").alias("bands"), F.any_value("n_shingles").alias("n_shingles"))
     keyed = nodes.select("node", "bands").mapInArrow(_bands, "key long, node long")
     buckets = keyed.groupBy("key").agg(F.count("*").alias("n"), F.min("node").alias("lo"), F.max("node").alias("hi")).where("n > 1")
@@ -188,7 +192,8 @@ def grouped(docs: DataFrame, shingle: int, percent: int, id_col: str, text_col:
     def sets(of: DataFrame) -> DataFrame:
         """Full sets of the nodes, from one text of each."""
         wanted = nodes.select("node", "first").join(of, "node").select(F.col("first").alias("__first"))
-        full = c.by_keys(rows, wanted, [("doc_id", "__first")]).select("text").mapInArrow(lambda b: _sets(shingle, b), "node long, shingles binary")
+        full = c.by_keys(rows, wanted, [("doc_id", "__first")]).select("text").mapInArrow(lambda b: _sets(shingle, b), "node long, sign int, shingles binary")
+        full = apart(full)
         return full.where("node <> 0").groupBy("node").agg(F.any_value("shingles").alias("shingles"))
 
     pairs = c.checkpointed(pairs)
@@ -230,19 +235,22 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, id_col
 
 
 def kept_documents(docs: DataFrame, shingle: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text", block: int = 1 << 20) -> DataFrame:
-    """docs without all but one row of each component: a row with its smallest id. Rows without words all stay."""
+    """docs without all but one row of each component: a row with its smallest id. Rows without words all stay.
+
+    Of rows equal in id and text the one whose columns, as JSON, have the least hash stays; columns keep their names.
+    """
     found = c.checkpointed(grouped(docs, shingle, percent, id_col, text_col, block))
     each = found.where("comp is not null").groupBy("comp", "doc_id", "text_key").agg(F.count("*").alias("n"))
-    first = each.groupBy("comp").agg(F.min_by(F.struct("doc_id", "text_key", "n"), F.struct("doc_id", "text_key")).alias("k"))
-    key = [F.col("k.doc_id").alias("__doc"), F.col("k.text_key").alias("__text")]
-    once = first.select(*key, F.col("comp").alias("__comp"), F.col("k.n").alias("__n"))
-    later = each.join(once, F.col("comp") == F.col("__comp")).where(~(F.col("doc_id").eqNullSafe(F.col("__doc")) & F.col("text_key").eqNullSafe(F.col("__text"))))
-    on = [("__id", "__doc"), ("__key", "__text")]
-    keyed = docs.withColumns({"__id": F.col(id_col).cast("long"), "__key": F.xxhash64(text_col)})
-    kept = c.by_keys(keyed, later.select(F.col("doc_id").alias("__doc"), F.col("text_key").alias("__text")), on, "left_anti")
-    equal = c.checkpointed(once.where("__n > 1").select("__doc", "__text"))  # rows that are the same in id and text
+    first = each.groupBy("comp").agg(F.min_by(F.struct("doc_id", "text_key", "n"), F.struct(F.col("doc_id").isNull(), "doc_id", "text_key")).alias("k"))
+    once = first.select(F.col("k.doc_id").alias("first_doc"), F.col("k.text_key").alias("first_text"), F.col("comp").alias("first_comp"), F.col("k.n").alias("first_n"))
+    later = each.join(once, F.col("comp") == F.col("first_comp")).where(~(F.col("doc_id").eqNullSafe(F.col("first_doc")) & F.col("text_key").eqNullSafe(F.col("first_text"))))
+    own, key = c.unused("own", docs), c.unused("key", docs)
+    keyed = docs.withColumns({own: F.col(id_col).cast("long"), key: F.xxhash64(text_col)})
+    kept = c.by_keys(keyed, later.select(F.col("doc_id").alias("later_doc"), F.col("text_key").alias("later_text")), [(own, "later_doc"), (key, "later_text")], "left_anti")
+    equal = c.checkpointed(once.where("first_n > 1").select("first_doc", "first_text"))  # rows that are the same in id and text
     if not equal.isEmpty():
-        order = Window.partitionBy("__key", "__id").orderBy(F.lit(0))
-        ranked = c.by_keys(kept, equal, on).withColumn("__row", F.row_number().over(order)).where("__row = 1").drop("__row")
-        kept = c.by_keys(kept, equal, on, "left_anti").unionByName(ranked)
-    return kept.drop("__id", "__key")
+        on = [(own, "first_doc"), (key, "first_text")]
+        row = F.struct(*(F.col(f"`{x}`") for x in docs.columns))
+        one = c.by_keys(kept, equal, on).groupBy(own, key).agg(F.min_by(row, F.md5(F.to_json(row, {"ignoreNullFields": "false"}))).alias(own + key))
+        kept = c.by_keys(kept, equal, on, "left_anti").drop(own, key).unionByName(one.select(f"{own + key}.*"))
+    return kept.drop(own, key)

@@ -144,13 +144,15 @@ def _usable(v: list | None) -> np.ndarray | None:
 def _classes(kind: str, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Each vector's class (null if it can't link) and its bytes, in the width that the table has."""
     for batch in batches:
-        nodes, raws = [], []
+        nodes, signs, raws = [], [], []
         for v, label in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
             x = _usable(v) if label is not None else None
             raw = None if x is None else (x + 0.0).astype(kind).tobytes()
             raws.append(raw)
-            nodes.append(None if raw is None else int.from_bytes(hashlib.blake2b(raw + repr(label).encode(), digest_size=8).digest(), "little", signed=True))
-        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(nodes, pa.int64()), batch.column(2), pa.array(raws, pa.binary())], ["vec_id", "node", "label", "vector"])
+            mark = None if raw is None else hashlib.blake2b(raw + repr(label).encode(), digest_size=12).digest()
+            nodes.append(mark and int.from_bytes(mark[:8], "little", signed=True))
+            signs.append(mark and int.from_bytes(mark[8:], "little", signed=True))
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(nodes, pa.int64()), pa.array(signs, pa.int32()), batch.column(2), pa.array(raws, pa.binary())], ["vec_id", "node", "sign", "label", "vector"])
 
 
 def _units(kind: str, raws: list[bytes], dim: int) -> np.ndarray:
@@ -389,7 +391,8 @@ def near_duplicates(vectors: DataFrame, cosine: float = 0.93, trees: int = 12, l
     """One row for each row of vectors: vec_id, n_links, component_id, kept."""
     rows = vectors.select(F.col(id_col).cast("long").alias("vec_id"), F.col(vector_col).alias("v"), F.col(label_col).cast("long").alias("label"))
     kind = "<f4" if dict(vectors.dtypes)[vector_col] == "array<float>" else "<f8"
-    named = c.checkpointed(c.bounded(rows).mapInArrow(lambda b: _classes(kind, b), "vec_id long, node long, label long, vector binary"))
+    named = c.checkpointed(c.bounded(rows).mapInArrow(lambda b: _classes(kind, b), "vec_id long, node long, sign int, label long, vector binary"))
+    named = c.told_apart(named)(named)
     nodes = named.where("node is not null").groupBy("node").agg(F.any_value("label").alias("label"), F.count("*").alias("copies"), F.any_value("vector").alias("vector"), F.min("vec_id").alias("first"))
     nodes = c.checkpointed(nodes)
     n = nodes.count()

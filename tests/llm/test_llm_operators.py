@@ -103,6 +103,28 @@ def test_near_duplicates_edges(spark):
     assert sorted(r[0] for r in minhash.kept_documents(many).collect()) == sorted(want) and minhash.kept_documents(many).columns == many.columns
 
 
+def test_kept_documents_keep_columns(spark):
+    """Columns named as the operator names its own stay, and of rows equal in id and text always the same one does."""
+    text = "a b c d e f g h i j"
+    rows = [(1, text, "u", 4, [3]), (1, text, "t", 5, None), (1, text, "t", 5, None), (2, text, "s", 6, [1]), (None, text, "r", 1, []), (3, None, "n", 2, []), (3, None, "n", 2, [])]
+    df = spark.createDataFrame(rows, "doc_id long, text string, __key string, own int, key array<int>")
+    one = sorted(map(tuple, minhash.kept_documents(df).collect()), key=repr)
+    two = sorted(map(tuple, minhash.kept_documents(df.repartition(7)).collect()), key=repr)
+    assert one == two and minhash.kept_documents(df).columns == df.columns
+    assert [x for x in one if x[1]] in ([rows[0]], [rows[1]]) and len(one) == 3
+    long = " ".join(f"w{i % 7001}" for i in range(200_000))
+    df = spark.createDataFrame([(5, long), (4, long + " x"), (None, "q")], "doc_id long, text string")
+    assert sorted(map(tuple, minhash.near_duplicates(df).collect()), key=repr) == [(4, 7002, 4, True), (5, 7001, 4, False), (None, 1, None, True)]
+
+
+def test_classes_that_share_an_id(spark):
+    rows = spark.createDataFrame([(5, 1), (5, 2), (5, 1), (6, 0), (None, None)], "node long, sign int")
+    got = [tuple(r) for r in common.told_apart(rows)(rows.withColumn("k", F.col("sign"))).collect()]
+    by = {k: {n for n, x in got if x == k} for k in (0, 1, 2)}
+    assert by[0] == {6} and by[1] == {5} and len(by[2]) == 1 and by[2].isdisjoint({5, 6})
+    assert common.told_apart(rows.where("node = 6"))(rows).columns == ["node"]
+
+
 # ---------------------------------------------------------------- decontamination
 
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
@@ -446,11 +468,13 @@ def test_pii_keeps_base_and_plain_text(spark):
 def test_token_tree():
     encode = packing.encoder(packing.default_vocabulary())
     size = lambda t: len(encode(t))
+    special = packing.special_tokens(packing.default_vocabulary())
+    assert special == ["<|endoftext|>"]
     r = random.Random(11)
-    bits = ["word", " word", "'s", "'", " ", "  ", "\n", "12", "é", "中文", "!!", "don't", "\t", " a", "x"]
-    for _ in range(150):
+    bits = ["word", " word", "'s", "'", " ", "  ", "\n", "12", "é", "中文", "!!", "don't", "\t", " a", "x", "，", "('s", "a1b2", "<|endoftext|>", "<|", "endof", "text", "|>", "e\u0301", "\x1c", "\u00a0", "\u200b"]
+    for n in range(300):
         text = "".join(r.choices(bits, k=r.randint(0, 120)))
-        tree = token_counts.TokenTree(text, size, leaf=8)
+        tree = token_counts.TokenTree(text, size, leaf=r.choice([1, 3, 8]), special=special)
         assert tree.tokens == size(text) and tree.text() == text
         for _ in range(8):
             a = r.randint(0, len(text) + 1)
@@ -460,12 +484,55 @@ def test_token_tree():
             tree.edit(a, b, new)
             assert tree.text() == text and tree.chars == len(text)
             assert tree.tokens == size(text), (text, a, b, new)
+            balanced(tree.root)
     long = token_counts.TokenTree("some words here " * 4000, size)
     long.encoded = 0
     long.edit(30000, 30001, "y")
     assert long.encoded < 2000
 
 
+def balanced(node):
+    """Heights and sums of a tree hold."""
+    if node is None or node.height == 0:
+        return
+    a, b = node.left, node.right
+    balanced(a)
+    balanced(b)
+    assert abs(a.height - b.height) <= 1 and node.height == 1 + max(a.height, b.height)
+    assert (node.chars, node.tokens, node.leaves) == (a.chars + b.chars, a.tokens + b.tokens, a.leaves + b.leaves)
+
+
+def test_token_tree_stays_balanced_and_cuts_any_text():
+    count = lambda t: len(t.split())
+    tree = token_counts.TokenTree("", count, leaf=8)
+    touched = []
+    for i in range(3000):  # leaves are added at one end only
+        made = []
+        over, token_counts._over = token_counts._over, lambda a, b: (made.append(1), over(a, b))[1]
+        tree.edit(tree.chars, tree.chars, "some more text ")
+        token_counts._over = over
+        touched.append(len(made))
+    balanced(tree.root)
+    assert tree.leaves > 3000 and tree.root.height <= 18 and max(touched) < 120  # a path, not the whole tree
+    for text in ("x=1;y=[2,3];" * 500, "一二三四五，六七八九。" * 500, "a|b|c\n" * 500, "0x1f " * 500):
+        assert max(map(len, token_counts.cuts(text, 64))) < 100 and "".join(token_counts.cuts(text, 64)) == text
+
+
+def test_vocabulary_by_rank(tmp_path):
+    """Where ranks and merges differ, the library itself encodes."""
+    from tokenizers import Tokenizer
+
+    path = packing.default_vocabulary()
+    assert packing.by_rank(path)
+    file = json.loads(open(path, encoding="utf-8").read())
+    file["model"]["merges"] = file["model"]["merges"][:2000][::-1]
+    other = tmp_path / "other.json"
+    other.write_text(json.dumps(file), encoding="utf-8")
+    assert not packing.by_rank(str(other))
+    text = "Some words, and <|endoftext|> others: naïve 123."
+    assert packing.encoder(str(other))(text).tolist() == Tokenizer.from_file(str(other)).encode(text, add_special_tokens=False).ids
+
+
 def test_count_with_edits(spark):
     rows = [(1, "hello there my friend " * 100), (2, None), (3, ""), (1, "a")]
     df = spark.createDataFrame([(*x, 1) for x in rows], "doc_id long, text string, n_tokens int")
