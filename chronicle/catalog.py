@@ -54,8 +54,8 @@ def stamp(x):
 EVENTS_SQL = "SELECT user_id, event_type, ts FROM events"
 VERSIONS_SQL = """
 ev AS ({events}),
-marked AS (SELECT *, lag(event_type) OVER (PARTITION BY user_id ORDER BY ts) AS prev FROM ev),
-starts AS (SELECT user_id, event_type, ts FROM marked WHERE prev IS DISTINCT FROM event_type OR prev IS NULL),
+marked AS (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts) - row_number() OVER (PARTITION BY user_id, event_type ORDER BY ts) AS run FROM ev),
+starts AS (SELECT user_id, event_type, min(ts) AS ts FROM marked GROUP BY user_id, event_type, run),
 versions AS (SELECT user_id, event_type, ts AS f, lead(ts) OVER (PARTITION BY user_id ORDER BY ts) AS t FROM starts)"""
 #: Users of one in seven leave: no events from the middle of the month on, the last window closes a day after it opened.
 RETIRED_EVENTS_SQL = "SELECT user_id, event_type, ts FROM events WHERE NOT (user_id % 7 = 0 AND ts >= TIMESTAMP '2024-01-16')"
@@ -102,6 +102,39 @@ def scd2_versions(spark, sf_dir):
     return v.select("user_id", "event_type", stamp(history.FROM).alias("valid_from"), stamp(history.TO).alias("valid_to"))
 
 
+NULL_EVENTS_SQL = "SELECT user_id, CASE WHEN event_id % 3 <> 0 THEN event_type END AS event_type, ts FROM events"
+
+
+@query(f"WITH {VERSIONS_SQL.format(events=NULL_EVENTS_SQL)} SELECT user_id, event_type, strftime(f, '%Y-%m-%d %H:%M:%S') AS valid_from, strftime(t, '%Y-%m-%d %H:%M:%S') AS valid_to FROM versions")
+def scd2_null_content(spark, sf_dir):
+    """Null is a content like any other: a run of it is one version."""
+    ev = table(spark, sf_dir, "events").select("user_id", F.when(F.col("event_id") % 3 != 0, F.col("event_type")).alias("event_type"), F.col("ts").cast("timestamp").alias("ts"))
+    return history.islands(ev, "user_id", "event_type", "ts").select("user_id", "event_type", stamp(history.FROM).alias("valid_from"), stamp(history.TO).alias("valid_to"))
+
+
+@query("""
+SELECT CASE WHEN p_partkey % 100 <> 0 THEN p_partkey END AS k, p_brand, '2024-01-01' AS valid_from, CASE WHEN p_partkey % 30 = 0 THEN '2024-01-08' END AS valid_to FROM part WHERE p_partkey % 10 = 0""")
+def scd2_null_keys(spark, sf_dir):
+    """Rows without a key that stay as they are stay open."""
+    part = table(spark, sf_dir, "part").where("p_partkey % 10 = 0").select(F.when(F.col("p_partkey") % 100 != 0, F.col("p_partkey")).alias("k"), "p_brand", "p_partkey")
+    versions = part.limit(0).selectExpr("*", "cast(null as string) row_hash", f"cast(null as timestamp) {history.FROM}", f"cast(null as timestamp) {history.TO}")
+    for day, extract in (("2024-01-01", part), ("2024-01-08", part.where("p_partkey % 30 <> 0"))):
+        versions = history.apply_extract(versions, extract, F.lit(day).cast("timestamp"), "k")
+    day = lambda c: F.date_format(c, "yyyy-MM-dd")
+    return versions.select("k", "p_brand", day(history.FROM).alias("valid_from"), day(history.TO).alias("valid_to"))
+
+
+@query("""
+WITH a AS (SELECT p_name AS k, min(p_brand) AS v FROM part GROUP BY 1), b AS (SELECT p_name AS k, max(p_type) AS v FROM part WHERE p_partkey % 3 = 0 GROUP BY 1)
+SELECT a.k, coalesce(b.v, a.v) AS v, 5 AS loaded FROM a LEFT JOIN b USING (k)""")
+def upsert_ties(spark, sf_dir):
+    """Of rows of one time the batch's replaces the table's."""
+    part = table(spark, sf_dir, "part")
+    a = part.groupBy(F.col("p_name").alias("k")).agg(F.min("p_brand").alias("v")).withColumn("loaded", F.lit(5))
+    b = part.where("p_partkey % 3 = 0").groupBy(F.col("p_name").alias("k")).agg(F.max("p_type").alias("v")).withColumn("loaded", F.lit(5))
+    return history.upsert(a, b, "k", "loaded")
+
+
 @query("""
 WITH e1 AS (SELECT p_partkey AS k, p_brand AS b, p_size AS s FROM part WHERE p_partkey % 5 <> 0),
 e2 AS (SELECT p_partkey AS k, CASE WHEN p_partkey % 3 = 0 THEN 'x' ELSE p_brand END AS b, p_size AS s FROM part WHERE p_partkey % 7 <> 0),
@@ -257,15 +290,27 @@ def clean_text(spark, sf_dir):
     return cleaned.select("doc_id", F.md5("c").alias("cleaned_md5"), F.col("c").isNull().alias("emptied"))
 
 
+#: References that the pages hold, and further ones that the query adds (what they say stands beside them, as SQL adds it).
+PAGE_REFERENCES = {"&lt;": "<", "&gt;": ">", "&quot;": '"', "&copy;": "©", "&middot;": "·", "&amp;": "&"}
+ADDED_REFERENCES = {
+    0: ("f&uuml;r &#228; &euro; &#x20AC; &nbsp;&hearts;", "für ä € €  ♥"),
+    1: ("&lt;b&gt;x&lt;/b&gt; &amp;lt; &apos;&#39;", "<b>x</b> &lt; ''"),
+    2: ("&notit; &copy2024 &#0;&#x80;&#1; &bogus; &; &#xD800;", "¬it; ©2024 \ufffd€ &bogus; &; \ufffd"),
+    3: ("&#x1F600;&NotEqualTilde;&#99999999999; R&D &ampx &AMP;", "😀≂̸\ufffd R&D &x &"),
+    4: ("", ""),
+}
 HTML_SQL = "html"
-for _ref, _char in [*text.COMMON_ENTITIES.items(), ("&amp;", "&")]:
-    HTML_SQL = f"replace({HTML_SQL}, '{_ref}', '{_char.replace(chr(39), chr(39) * 2)}')"
-STRIP_SQL = CLEAN_SQL.replace("{x}", f"regexp_replace(replace(replace({HTML_SQL}, '<![CDATA[', ''), ']]>', ''), '<[^>]+>', ' ', 'g')")
+for _ref, _char in PAGE_REFERENCES.items():
+    HTML_SQL = f"replace({HTML_SQL}, '{_ref}', '{_char}')"
+ADDED_SQL = "CASE page_id % 5 " + " ".join(f"WHEN {k} THEN '{said.replace(chr(39), chr(39) * 2)}'" for k, (_, said) in ADDED_REFERENCES.items()) + " END"
+STRIP_SQL = CLEAN_SQL.replace("{x}", f"regexp_replace(replace(replace({HTML_SQL} || ' ' || {ADDED_SQL}, '<![CDATA[', ''), ']]>', ''), '<[^>]+>', ' ', 'g')")
 
 
 @query(f"SELECT page_id, md5({STRIP_SQL}) AS text_md5, length({STRIP_SQL})::BIGINT AS n_chars FROM pages")
 def strip_html(spark, sf_dir):
-    return table(spark, sf_dir, "pages").select("page_id", text.strip_html(F.col("html")).alias("t")).select("page_id", F.md5("t").alias("text_md5"), F.length("t").cast("long").alias("n_chars"))
+    added = F.element_at(F.create_map(*(F.lit(x) for k, (ref, _) in ADDED_REFERENCES.items() for x in (k, ref))), (F.col("page_id") % 5).cast("int"))
+    soiled = F.concat("html", F.lit(" "), added)
+    return table(spark, sf_dir, "pages").select("page_id", text.strip_html(soiled).alias("t")).select("page_id", F.md5("t").alias("text_md5"), F.length("t").cast("long").alias("n_chars"))
 
 
 @query("""

@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-import html
+import html.entities
+import json
 import re
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 # Characters that never reach a cleaned text, and those that XML forbids.
 INVISIBLE = "[\u00ad\\x00-\\x08\\x0b\\x0c\\x0e-\\x1f\\x7f-\\x9f]"
@@ -32,36 +32,62 @@ def is_clean(x: Column) -> Column:
     return F.coalesce((F.length(x) > 0) & ~x.rlike(INVISIBLE) & ~x.rlike("(?U)\\s\\s|^\\s|\\s$|[\\t\\n\\r\\u00a0]"), F.lit(True))
 
 
-def entities() -> dict[str, str]:
-    """Named character references that end in a semicolon."""
-    return {f"&{k}": v for k, v in html.entities.html5.items() if k.endswith(";")}
-
-
-#: References that texts commonly hold; `unescape_all` knows the rest.
-COMMON_ENTITIES = {"&lt;": "<", "&gt;": ">", "&quot;": '"', "&#39;": "'", "&apos;": "'", "&nbsp;": "\u00a0", "&copy;": "©", "&middot;": "·"}
+# ---------------------------------------------------------------- character references
+
+#: Named references by name; the standard's own table, those without a semicolon too.
+NAMED = dict(html.entities.html5)
+#: Names that count without a semicolon, longest first.
+BARE = sorted((k for k in NAMED if not k.endswith(";")), key=lambda k: (-len(k), k))
+PIECE = r"(?s)(&(?:#[0-9]+;?|#[xX][0-9a-fA-F]+;?|[^\t\n\f <&#;]{1,32};?)|[^&]+|&)"
+MOST = 0x10FFFF
+
+
+def _by_initial() -> str:
+    """The table as JSON, by first letter, so that a look-up compares few names."""
+    out: dict[str, dict[str, str]] = {}
+    for name, said in NAMED.items():
+        out.setdefault(name[0], {})[name] = said
+    return json.dumps(out)
+
+
+def _character(n: Column) -> Column:
+    """The character that a numeric reference means: bytes of the old code page stand for what they were there,
+    surrogates and what lies beyond all characters for the replacement character; controls and non-characters vanish."""
+    old = F.from_json(F.lit(json.dumps({str(i): bytes([i]).decode("cp1252", "ignore") or chr(i) for i in range(0x80, 0xA0)})), "map<string,string>")
+    control = n.between(1, 8) | (n == 0x0B) | n.between(0x0E, 0x1F) | (n == 0x7F) | n.between(0xFDD0, 0xFDEF) | (n.bitwiseAND(F.lit(0xFFFE)) == 0xFFFE)
+    return (
+        F.when((n == 0) | n.between(0xD800, 0xDFFF) | (n > MOST), F.lit("\ufffd"))
+        .when(n.between(0x80, 0x9F), F.try_element_at(old, n.cast("string")))
+        .when(control, F.lit(""))
+        .otherwise(F.decode(F.unhex(F.lpad(F.hex(n), 8, "0")), "UTF-32"))
+    )
+
+
+def _decoded(piece: Column) -> Column:
+    """What a piece of text says: a reference's character, with the rest of a longer word, or the piece as it is."""
+    table = F.from_json(F.lit(_by_initial()), "map<string,map<string,string>>")
+    look = lambda name: F.try_element_at(F.try_element_at(table, F.substring(name, 1, 1)), name)
+    digits = lambda pattern: F.regexp_extract(piece, pattern, 1)
+    hexes, tens = digits("^&#[xX]0*([0-9a-fA-F]*);?$"), digits("^&#0*([0-9]*);?$")
+    number = lambda d, base, longest: F.when(F.length(d) > longest, F.lit(MOST + 1)).when(d == "", F.lit(0)).otherwise(F.conv(d, base, 10).cast("long"))
+    name = F.substring(piece, 2, 40)
+    start = F.regexp_extract(name, f"^({'|'.join(BARE)})", 1)
+    return (
+        F.when(~piece.startswith("&") | (piece == "&"), piece)
+        .when(piece.rlike("^&#[xX]"), _character(number(hexes, 16, 6)))
+        .when(piece.startswith("&#"), _character(number(tens, 10, 7)))
+        .otherwise(F.coalesce(look(name), F.when(start != "", F.concat(look(start), F.substring(name, F.length(start) + 1, F.lit(40)))), piece))
+    )
 
 
 def unescape(x: Column) -> Column:
-    """Common references decoded once: the ampersand's own comes last, so `&amp;lt;` stays `&lt;`."""
-    for reference, char in COMMON_ENTITIES.items():
-        x = F.replace(x, F.lit(reference), F.lit(char))
-    return F.replace(x, F.lit("&amp;"), F.lit("&"))
-
-
-@F.pandas_udf(T.StringType())
-def _unescape_batch(x):
-    return x.map(html.unescape, na_action="ignore")
-
-
-def unescape_all(x: Column) -> Column:
-    """Every reference decoded once. Only texts that have any leave the JVM's expression."""
-    return F.when(x.contains("&"), _unescape_batch(x)).otherwise(x)
+    """Every character reference decoded once, so `&amp;lt;` is `&lt;`. A text without any is left alone."""
+    return F.when(x.contains("&"), F.array_join(F.transform(F.regexp_extract_all(x, F.lit(PIECE), F.lit(1)), _decoded), "")).otherwise(x)
 
 
-def strip_html(x: Column, every_entity: bool = False) -> Column:
+def strip_html(x: Column) -> Column:
     """Decoded, without CDATA markers, tags as spaces, cleaned."""
-    decoded = unescape_all(x) if every_entity else unescape(x)
-    bare = F.replace(F.replace(decoded, F.lit("<![CDATA["), F.lit("")), F.lit("]]>"), F.lit(""))
+    bare = F.replace(F.replace(unescape(x), F.lit("<![CDATA["), F.lit("")), F.lit("]]>"), F.lit(""))
     return clean(F.regexp_replace(bare, "<[^>]+>", " "))
 
 
@@ -118,8 +144,18 @@ def bare(x: Column) -> Column:
 
 
 def snake(name: str) -> str:
-    """camelCase to snake_case; a run of capitals splits before its last one only where a word begins."""
-    return re.sub(r"(?<=[a-z0-9])(?=[A-Z])|(?<=[A-Z])(?=[A-Z][a-z])", "_", name).lower()
+    """camelCase to snake_case: every capital but the first begins a word."""
+    return re.sub(r"(?<!^)(?=[A-Z])", "_", name).lower()
+
+
+def classifier_column(name: str, whole: tuple[str, ...] = (), prefixes: tuple[str, ...] = ()) -> str:
+    """A column's name for a classifier: `whole` ones are one word, a prefix of capitals is one too."""
+    if name in whole:
+        return name.lower()
+    for p in prefixes:
+        if name.startswith(p):
+            return f"{p.lower()}_{snake(name[len(p):])}"
+    return snake(name)
 
 
 def camel(name: str) -> str:

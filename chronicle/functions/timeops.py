@@ -9,8 +9,11 @@ ISO_DATE = r"^\d{4}-\d{2}-\d{2}([T ]\d{2}:\d{2}(:\d{2}([.,]\d{1,6})?)?(Z|[+-]\d{
 
 
 def parse_iso(x: Column) -> Column:
-    """A full ISO date or date-time; anything else is null. Without an offset it is UTC."""
-    return F.when(x.rlike(ISO_DATE), F.try_to_timestamp(x))
+    """A full ISO date or date-time; anything else is null. Without an offset it is UTC, whatever the session's zone."""
+    timed = F.when(x.rlike("T|:"), x).otherwise(F.concat(x, F.lit(" 00:00:00")))
+    whole = F.regexp_replace(F.regexp_replace(timed, ",", "."), r"([T ]\d{2}:\d{2})(?=Z|[+-]|$)", "$1:00")
+    zoned = F.when(whole.rlike(r"(Z|[+-]\d{2}:?\d{2})$"), whole).otherwise(F.concat(whole, F.lit("Z")))
+    return F.when(x.rlike(ISO_DATE), F.try_to_timestamp(F.regexp_replace(zoned, r"([+-]\d{2})(\d{2})$", "$1:$2")))
 
 
 def iso_week(t: Column) -> Column:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -65,6 +66,16 @@ def elements_in(column: str, codes: Sequence[str]) -> Check:
     return elements(column, lambda e: e.isin(*codes), "vocabulary")
 
 
+def slugs(column: str, pattern: str = "^[a-z0-9]+(?:[_-][a-z0-9]+)*$") -> Check:
+    """An open list of codes: each is a slug, whichever."""
+    return elements(column, lambda e: e.rlike(pattern), "slugs")
+
+
+def http_links(column: str, field: str = "url") -> Check:
+    """A list of links, each resolved to a page on the web."""
+    return elements(column, lambda e: e[field].rlike("^https?://"), "http_links")
+
+
 def partition_holds(keywords: Column, terms: Column) -> Column:
     """Whether the terms are the text's words, in order, none left out and none made up.
 
@@ -118,12 +129,17 @@ def offenders(df: DataFrame, checks: Sequence[Check], key: str, most: int = 3) -
 
 
 def first_examples(rows: DataFrame, by: Sequence[str], example: str, most: int = 3) -> DataFrame:
-    """By group the count and the smallest few examples; no group is gathered as a whole."""
+    """By group the count and the smallest few examples. The rank is a filter, so that each task passes on no more
+    than `most` examples of a group, however many it has."""
     from pyspark.sql import Window
 
-    ranked = rows.groupBy(*by, example).agg(F.count("*").alias("__n")).withColumn("__rank", F.row_number().over(Window.partitionBy(*by).orderBy(example)))
-    shown = F.array_sort(F.collect_list(F.when(F.col("__rank") <= most, F.col(example))))
-    return ranked.groupBy(*by).agg(F.sum("__n").alias("n"), shown.alias("examples"))
+    each = rows.groupBy(*by, example).agg(F.count("*").alias("__n"))
+    w = Window.partitionBy(*by).orderBy(F.asc_nulls_last(example))
+    few = each.withColumn("__rank", F.row_number().over(w)).where(F.col("__rank") <= most)
+    shown = few.groupBy(*(F.col(c).alias(f"__{c}") for c in by)).agg(F.array_sort(F.collect_list(example)).alias("examples"))
+    counts = rows.groupBy(*by).agg(F.count("*").alias("n"))
+    same = reduce(lambda a, b: a & b, (counts[c].eqNullSafe(shown[f"__{c}"]) for c in by))
+    return counts.join(shown, same).select(*by, "n", "examples")
 
 
 def most_common(violations: DataFrame, message: str = "message", example: str = "file", most: int = 3) -> DataFrame:

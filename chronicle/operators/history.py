@@ -25,7 +25,9 @@ def row_hash(columns: Sequence[str]) -> Column:
 
 
 def refuse_duplicates(extract: DataFrame, key: str) -> None:
-    """Raises if a key occurs twice; names the first five."""
+    """Raises if a key is null or occurs twice; names the first five."""
+    if not extract.where(F.col(key).isNull()).isEmpty():
+        raise HistoryError(f"{key} is null")
     found = [r[0] for r in extract.groupBy(key).agg(F.count("*").alias("n")).where("n > 1").orderBy(key).limit(5).select(key).collect()]
     if found:
         raise HistoryError(f"{key} is not unique: {', '.join(map(str, found))}")
@@ -50,15 +52,20 @@ def apply_extract(versions: DataFrame, extract: DataFrame, now: Column, key: str
     """The versions after one more full extract.
 
     A row that is live and unchanged stays open; a changed or missing one closes at `now`; a new,
-    changed or returning one opens at `now`. Open windows end in null. Closed versions only
-    pass through: they don't take part in the join.
+    changed or returning one opens at `now`. Open windows end in null. A null key equals a null key.
+    Closed versions only pass through: they don't take part in the join.
     """
-    columns = [c for c in extract.columns]
-    versions = versions.select(*columns, "row_hash", FROM, TO)
     live, closed = versions.where(F.col(TO).isNull()), versions.where(F.col(TO).isNotNull())
+    return closed.select(*extract.columns, "row_hash", FROM, TO).unionByName(apply_live(live, extract, now, key))
+
+
+def apply_live(live: DataFrame, extract: DataFrame, now: Column, key: str) -> DataFrame:
+    """The open versions after one more full extract: those that stay open or open now, and those that close now."""
+    columns = [c for c in extract.columns]
+    live = live.select(*columns, "row_hash", FROM, TO)
     fresh = extract.withColumn("row_hash", row_hash(columns)).select(F.struct(*columns).alias("new"), F.col("row_hash").alias("new_hash"), F.col(key).alias("new_key"))
     old = live.select(F.struct(*columns).alias("old"), F.col("row_hash").alias("old_hash"), F.col(key).alias("old_key"), F.col(FROM).alias("since"))
-    both = old.join(fresh, (F.col("old_key") == F.col("new_key")) & (F.col("old_hash") == F.col("new_hash")), "full_outer")
+    both = old.join(fresh, F.col("old_key").eqNullSafe(F.col("new_key")) & (F.col("old_hash") == F.col("new_hash")), "full_outer")
     held = F.col("old_hash").isNotNull()
     merged = both.select(
         F.when(held, F.col("old")).otherwise(F.col("new")).alias("row"),
@@ -66,7 +73,7 @@ def apply_extract(versions: DataFrame, extract: DataFrame, now: Column, key: str
         F.when(held, F.col("since")).otherwise(now).alias(FROM),
         F.when(held & F.col("new_hash").isNull(), now).alias(TO),
     )
-    return closed.unionByName(merged.select("row.*", "row_hash", FROM, TO))
+    return merged.select("row.*", "row_hash", FROM, TO)
 
 
 def count_live(versions: DataFrame) -> DataFrame:
@@ -74,15 +81,23 @@ def count_live(versions: DataFrame) -> DataFrame:
 
 
 def upsert(table: DataFrame, batch: DataFrame, key: str, order: str) -> DataFrame:
-    """One row for each key, the one with the latest `order`; a batch's row replaces, it adds no version."""
-    w = Window.partitionBy(key).orderBy(F.col(order).desc_nulls_last())
-    return table.unionByName(batch).withColumn("__rank", F.row_number().over(w)).where("__rank = 1").drop("__rank")
+    """One row for each key, the one with the latest `order`; a batch's row replaces, it adds no version.
+
+    Of rows of one order the batch's goes first, then the one with the least hash of its content.
+    """
+    rows = table.withColumn("__old", F.lit(1)).unionByName(batch.withColumn("__old", F.lit(0)))
+    w = Window.partitionBy(key).orderBy(F.col(order).desc_nulls_last(), "__old", F.md5(F.to_json(F.struct(*(F.col(f"`{c}`") for c in table.columns)))))
+    return rows.withColumn("__rank", F.row_number().over(w)).where("__rank = 1").drop("__rank", "__old")
 
 
 def islands(events: DataFrame, entity: str, content: str, at: str) -> DataFrame:
-    """Versions of each entity from its events: runs of equal content, each open until the next begins."""
-    w = Window.partitionBy(entity).orderBy(at)
-    changed = events.withColumn("__before", F.lag(content).over(w)).where(~F.col("__before").eqNullSafe(F.col(content)) | F.col("__before").isNull())
+    """Versions of each entity from its events: runs of equal content (null is one), each open until the next begins.
+
+    Events of one entity and time are taken in the order of their content, null first.
+    """
+    w = Window.partitionBy(entity).orderBy(at, content)
+    before = F.struct(F.lag(content).over(w).alias("content"), F.row_number().over(w).alias("n"))
+    changed = events.withColumn("__before", before).where((F.col("__before.n") == 1) | ~F.col("__before.content").eqNullSafe(F.col(content)))
     return changed.select(entity, content, F.col(at).alias(FROM), F.lead(at).over(w).alias(TO))
 
 
@@ -114,54 +129,59 @@ def weekly_checkpoints(times: DataFrame, at: str = "at", weekday: int = 1, hour:
     return times.groupBy(iso_week(t).alias("week")).agg(F.coalesce(slot, F.max(t)).alias("checkpoint"), slot.isNull().alias("fallback"))
 
 
-def seen(versions: DataFrame, checkpoints: DataFrame, key: str) -> DataFrame:
-    """(key, version's beginning, checkpoint) of what each checkpoint sees: `from <= c and (to is null or c < to)`.
+def _grid(checkpoints: DataFrame) -> DataFrame:
+    """One row with the sorted checkpoints; there is one a week, so the array is small."""
+    return checkpoints.where(F.col("checkpoint").isNotNull()).agg(F.sort_array(F.collect_set("checkpoint")).alias("__grid"))
 
-    The windows are cut by ISO weeks, so that this is a hash join on the week and not every
-    version against every checkpoint: there is one checkpoint a week, and a version is expanded
-    into the weeks it lives in, not further than the grid.
-    """
-    week = lambda t: F.date_trunc("week", t)
-    grid = checkpoints.select("checkpoint", week("checkpoint").alias("__week"))
-    bounds = F.broadcast(grid.agg(F.min("__week").alias("__lo"), F.max("__week").alias("__hi")))
-    lo = F.greatest(week(F.col(FROM)), F.col("__lo"))
-    hi = F.least(week(F.coalesce(TO, F.col("__hi"))), F.col("__hi"))
-    lived = versions.select(key, FROM, TO).join(bounds, (week(F.col(FROM)) <= F.col("__hi")) & F.col("__lo").isNotNull())
-    weeks = lived.withColumn("__from_week", lo).withColumn("__to_week", hi).where("__from_week <= __to_week")
-    weeks = weeks.withColumn("__week", F.explode(F.sequence("__from_week", "__to_week", F.expr("interval 7 days"))))
-    inside = (F.col(FROM) <= F.col("checkpoint")) & (F.col(TO).isNull() | (F.col("checkpoint") < F.col(TO)))
-    return weeks.join(grid, "__week").where(inside).select(key, FROM, "checkpoint")
 
+def _before(grid: Column, t: Column) -> Column:
+    """How many of the sorted checkpoints lie before a time: a binary search, one step for each doubling of the grid."""
+    n = F.size(grid)
+    start = F.struct(F.lit(0).alias("lo"), n.alias("hi"))
+
+    def step(at: Column, _: Column) -> Column:
+        mid = F.floor((at["lo"] + at["hi"]) / 2).cast("int")
+        less = F.get(grid, mid) < t
+        halved = F.struct(F.when(less, mid + 1).otherwise(at["lo"]).alias("lo"), F.when(less, at["hi"]).otherwise(mid).alias("hi"))
+        return F.when(at["lo"] < at["hi"], halved).otherwise(at)
+
+    return F.aggregate(F.sequence(F.lit(0), F.ceil(F.log2(n + 1)).cast("int")), start, step, lambda at: at["lo"])
 
-def with_previous(checkpoints: DataFrame) -> DataFrame:
-    """Each checkpoint and the one before it; the first has itself. The grid has a row for each week, no more."""
-    return checkpoints.select("checkpoint", F.coalesce(F.lag("checkpoint").over(Window.orderBy("checkpoint")), "checkpoint").alias("previous"))
+
+def seen(versions: DataFrame, checkpoints: DataFrame, key: str) -> DataFrame:
+    """(key, version's beginning, __lo, __hi, __grid): the first and last checkpoint that sees a version, by number,
+    `from <= c and (to is null or c < to)`; versions that none sees drop out.
+
+    Each version searches the small sorted grid, which is broadcast as one row: no join by time and no row for each
+    checkpoint that a version lived through.
+    """
+    rows = versions.select(key, FROM, TO).join(F.broadcast(_grid(checkpoints)))
+    grid = F.col("__grid")
+    last = F.when(F.col(TO).isNull(), F.size(grid)).otherwise(_before(grid, F.col(TO))) - 1
+    return rows.select(key, FROM, _before(grid, F.col(FROM)).alias("__lo"), last.alias("__hi"), "__grid").where("__lo <= __hi")
 
 
 def history_at(versions: DataFrame, checkpoints: DataFrame, key: str) -> DataFrame:
-    """What the checkpoints alone would know of each entity, as ISO weeks.
+    """What the checkpoints alone would know of each entity, as ISO weeks. Windows of one entity don't overlap.
 
     on_website_from: the week of the interval that ends at the first sighting.
     on_website_to: the week of the last sighting, if that isn't the last checkpoint.
     previous_update_dates: weeks of the intervals that ended in a changed version; a return counts.
     """
-    grid = F.broadcast(with_previous(checkpoints))
-    last = F.broadcast(checkpoints.agg(F.max("checkpoint").alias("__last")))
-    w = Window.partitionBy(key).orderBy("checkpoint", FROM)
-    rows = seen(versions, checkpoints, key).join(grid, "checkpoint")
-    rows = rows.withColumn("changed", F.coalesce(F.col(FROM) != F.lag(FROM).over(w), F.lit(False)))
-    found = rows.groupBy(key).agg(
-        F.min("previous").alias("__first"),
-        F.max("checkpoint").alias("__seen"),
-        F.array_sort(F.collect_list(F.when(F.col("changed"), F.col("previous")))).alias("__changes"),
-    ).join(last)
-    absent = F.col("__seen") < F.col("__last")
+    found = seen(versions, checkpoints, key).groupBy(key).agg(
+        F.array_sort(F.collect_list("__lo")).alias("__firsts"),  # of each version that was seen, so the first is no change
+        F.max("__hi").alias("__seen"),
+    ).join(F.broadcast(_grid(checkpoints)))
+    grid = F.col("__grid")
+    previous = lambda i: F.when(i.isNotNull(), F.get(grid, F.greatest(i - 1, F.lit(0))))
+    changes = F.slice("__firsts", 2, F.greatest(F.size("__firsts") - 1, F.lit(0)))
+    absent = F.col("__seen") < F.size(grid) - 1
     return found.select(
         key,
-        iso_week(F.col("__first")).alias(FROM),
-        F.when(absent, iso_week(F.col("__seen"))).alias(TO),
-        F.transform("__changes", iso_week).alias("previous_update_dates"),
-        iso_week(F.array_max("__changes")).alias("last_updated"),
+        iso_week(previous(F.get("__firsts", F.lit(0)))).alias(FROM),
+        F.when(absent, iso_week(F.get(grid, F.col("__seen")))).alias(TO),
+        F.transform(changes, lambda i: iso_week(previous(i))).alias("previous_update_dates"),
+        iso_week(previous(F.array_max(changes))).alias("last_updated"),
         absent.alias("absent"),
     )
 

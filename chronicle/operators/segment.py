@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from chronicle.functions.text import bare, tokens
 
-# Words that neither begin nor end a term.
+# Words that neither begin nor end a term, endings of inflected adjectives, and thresholds.
 FUNCTION_WORDS = (
     "der die das den dem des "
     "ein eine einer eines einem einen "
@@ -116,13 +116,34 @@ def pooled(rows: DataFrame, by: list[str], s: str = "score") -> DataFrame:
 def sweep(rows: DataFrame, probabilities: str, gold: str, steps: int = 20) -> DataFrame:
     """Pooled scores at thresholds 1/steps ... : every value against every threshold in one pass.
 
-    No probabilities at all count as a cut everywhere. Function words are not glued here.
+    A gold term is hit at all thresholds above the probabilities at its ends and up to those inside it, so
+    nothing is segmented anew: a value's terms are counted for each threshold, and three counts a threshold
+    are all that is exploded. No probabilities at all count as a cut everywhere. Function words are not
+    glued here.
     """
+    p = F.transform(probabilities, lambda x: F.coalesce(x.cast("double"), F.lit(-1.0)))
+    n = total(F.col(gold))
+    given = rows.select(F.when(F.size(probabilities) == 0, F.array_repeat(F.lit(-1.0), F.greatest(n - 1, F.lit(0)))).otherwise(p).alias("p"), n.alias("n"), F.size(gold).cast("long").alias("gold"), spans(F.col(gold)).alias("spans"))
+    edge = lambda i: F.coalesce(F.get("p", i - 1), F.lit(-1.0))
+
+    def reach(s: Column) -> Column:
+        inner = F.array_min(F.slice("p", s["lo"] + 1, F.greatest(s["hi"] - s["lo"] - 1, F.lit(0))))
+        outer = F.greatest(F.when(s["lo"] > 0, edge(s["lo"])).otherwise(-1.0), F.when(s["hi"] < F.col("n"), edge(s["hi"])).otherwise(-1.0))
+        return F.struct(outer.alias("above"), F.coalesce(inner, F.lit(2.0)).alias("upto"))
+
+    whole = F.filter("spans", lambda s: s["hi"] > s["lo"])
+    valid = (F.size("p") + 1 == F.col("n")) & (F.col("n") > 0)
+    ready = given.select("p", "gold", F.when(valid, F.transform(whole, reach)).alias("terms"))
     grid = F.transform(F.sequence(F.lit(1), F.lit(steps - 1)), lambda i: i / F.lit(float(steps)))
-    each = rows.select(probabilities, gold, F.explode(grid).alias("threshold"))
-    cut = F.array_repeat(F.lit(1), total(F.col(gold)))
-    sizes = F.when(F.size(probabilities) == 0, cut).otherwise(joins_to_sizes(F.transform(probabilities, lambda p: p >= F.col("threshold"))))
-    return pooled(each.withColumn("score", score(sizes, F.col(gold))), ["threshold"]).orderBy("threshold")
+
+    def counted(t: Column) -> Column:
+        hits = F.size(F.filter("terms", lambda s: (s["above"] < t) & (t <= s["upto"])))
+        cuts = F.size(F.filter("p", lambda x: x < t)) + 1
+        good = F.col("terms").isNotNull()
+        return F.struct(t.alias("threshold"), F.struct(F.when(good, hits).otherwise(0).alias("hits"), F.when(good, cuts).otherwise(0).alias("predicted"), F.col("gold").alias("gold")).alias("score"))
+
+    each = ready.select(F.explode(F.transform(grid, counted)).alias("e")).select("e.*")
+    return pooled(each, ["threshold"]).orderBy("threshold")
 
 
 # ---------------------------------------------------------------- labels

@@ -1,5 +1,8 @@
 """Text, time and array expressions with the cases that go wrong."""
 
+import html
+import html.entities
+import random
 from datetime import datetime
 
 import pytest
@@ -31,12 +34,20 @@ def test_is_clean(spark, given, want):
 )
 def test_strip_html(spark, given, want):
     assert one(spark, text.strip_html(F.col("x")), x=given) == want
-    assert one(spark, text.strip_html(F.col("x"), every_entity=True), x=given) == want
 
 
-def test_every_entity(spark):
-    assert one(spark, text.unescape_all(F.col("x")), x="&auml;&#228;&#xe4; &amp;amp;") == "äää &amp;"
-    assert text.entities()["&auml;"] == "ä"
+def test_every_reference(spark):
+    """All that the standard names, and numbers of all kinds, as the library of the language decodes them."""
+    r = random.Random(1)
+    names = sorted(html.entities.html5)
+    cases = [f"a&{n}b" for n in names] + [f"&#{n};" for n in [*range(0, 300), 0xD7FF, 0xD800, 0xDFFF, 0xE000, 0xFDD0, 0xFDEF, 0xFFFD, 0xFFFE, 0x1F600, 0x1FFFF, 0x10FFFF, 0x110000, 10**7, 10**30]]
+    cases += [f"&#x{n:x};" for n in (0, 0xE4, 0x20AC, 0x1F600, 0x10FFFE, 0x110000, 16**20)] + ["&#00228;", "&#x00E4", "&#228x", "&#", "&#;", "&#x;", "&", "&&amp;", "&amp;amp;", "R&D", "&notit;", "&ampx", "&" + "x" * 50 + ";", "&copy\n", "a & b &lt c", "x" * 100_000 + "&amp;"]
+    bits = ["&", "#", "x", ";", "amp", "lt", "not", "in", "8364", " ", "é", "&euro;", "\n"]
+    cases += ["".join(r.choices(bits, k=r.randint(1, 8))) for _ in range(500)]
+    df = spark.createDataFrame(list(enumerate(cases)), "i int, x string").select("i", text.unescape(F.col("x")).alias("y"))
+    for i, y in df.collect():
+        assert y == html.unescape(cases[i]), cases[i]
+    assert one(spark, text.unescape(F.col("x")), x=None) is None
 
 
 def test_keys(spark):
@@ -49,15 +60,19 @@ def test_keys(spark):
     assert one(spark, text.normal_label(F.col("x")), x="Forst-&Land (EU)") == "forst und land eu"
     assert one(spark, text.bare(F.col("x")), x="(\"a.b\";)") == "a.b"
     assert one(spark, text.tokens(F.col("x")), x=" a  b\n") == ["a", "b"] and one(spark, text.tokens(F.col("x")), x="") == []
-    assert text.snake("fundingTypeGRW") == "funding_type_grw" and text.camel("on_website_from") == "onWebsiteFrom"
+    assert text.snake("fundingTypeAb") == "funding_type_ab" and text.classifier_column("GRW", ("GRW",)) == "grw" and text.classifier_column("UFNewArea", (), ("UF",)) == "uf_new_area" and text.camel("on_website_from") == "onWebsiteFrom"
 
 
 @pytest.mark.parametrize(
     "given,want",
-    [("2024-02-03", "2024-02-03 00:00:00"), ("2024-02-03T04:05:06+01:00", "2024-02-03 03:05:06"), ("2024", None), ("2024-02", None), ("2024-02-30", None), ("x", None), (None, None), ("0207-01-01", "0207-01-01 00:00:00")],
+    [("2024-02-03", "2024-02-03 00:00:00"), ("2024-02-03T04:05:06+01:00", "2024-02-03 03:05:06"), ("2024-02-03T04:05", "2024-02-03 04:05:00"), ("2024-02-03 04:05+0200", "2024-02-03 02:05:00"), ("2024-02-03T04:05:06,5Z", "2024-02-03 04:05:06"), ("2024", None), ("2024-02", None), ("2024-02-30", None), ("x", None), (None, None), ("0207-01-01", "0207-01-01 00:00:00")],
 )
 def test_parse_iso(spark, given, want):
     assert one(spark, F.date_format(timeops.parse_iso(F.col("x")), "yyyy-MM-dd HH:mm:ss"), x=given) == want
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")  # without an offset it is UTC there too
+    got = one(spark, timeops.parse_iso(F.col("x")).cast("long"), x=given)
+    spark.conf.set("spark.sql.session.timeZone", "UTC")
+    assert got == one(spark, F.lit(want).cast("timestamp").cast("long"))
 
 
 @pytest.mark.parametrize("day,want", [("2025-12-29", "2026-W01"), ("2026-01-01", "2026-W01"), ("2027-01-03", "2026-W53"), ("2024-12-30", "2025-W01")])

@@ -1,5 +1,6 @@
 """History scenarios: windows, checkpoints, what the checkpoints alone would know."""
 
+import random
 from datetime import datetime, timedelta
 
 import pytest
@@ -113,8 +114,41 @@ def test_duplicates_are_refused(spark):
         history.refuse_duplicates(df, "k")
 
 
-def test_seen_is_a_hash_join(spark):
-    v = spark.createDataFrame([("a", "1", MONDAY, None)], SCHEMA)
-    grid = history.weekly_checkpoints(spark.createDataFrame([(t,) for t in weeks(3)], "at timestamp"))
-    plan = history.seen(v, grid, "k")._jdf.queryExecution().optimizedPlan().toString()
-    assert "__week" in plan and history.seen(v, grid, "k").count() == 3
+def test_seen_searches_the_grid(spark):
+    """A version stays one row, however many checkpoints it lived through, and the grid is found by search."""
+    w = weeks(40)
+    v = spark.createDataFrame([("a", "1", MONDAY, None), ("b", "1", w[3], w[7]), ("c", "1", w[3] + DAY, w[4]), ("d", "1", MONDAY - WEEK, w[39] + WEEK)], SCHEMA)
+    grid = history.weekly_checkpoints(spark.createDataFrame([(t,) for t in w], "at timestamp"))
+    rows = history.seen(v, grid, "k")
+    plan = rows._jdf.queryExecution().optimizedPlan().toString()
+    assert "explode" not in plan and "Generate" not in plan
+    assert {r["k"]: (r["__lo"], r["__hi"]) for r in rows.collect()} == {"a": (0, 39), "b": (3, 6), "d": (0, 39)}
+
+
+def test_search_against_brute_force(spark):
+    r = random.Random(4)
+    for n in (0, 1, 2, 3, 7, 8, 33):
+        grid = sorted({MONDAY + timedelta(hours=r.randint(0, 2000)) for _ in range(n)})
+        times = [MONDAY + timedelta(hours=r.randint(-5, 2010)) for _ in range(40)] + grid
+        df = spark.createDataFrame([(t, grid) for t in times], "t timestamp, g array<timestamp>").select("t", history._before(F.col("g"), F.col("t")).alias("n"))
+        assert [x["n"] for x in df.collect()] == [sum(c < t for c in grid) for t in times]
+
+
+def test_null_content_and_null_keys(spark):
+    w = weeks(4)
+    ev = spark.createDataFrame([("a", None, w[0]), ("a", None, w[1]), ("a", "x", w[2]), ("a", None, w[3])], "k string, c string, at timestamp")
+    got = [(r["c"], r[history.FROM], r[history.TO]) for r in history.islands(ev, "k", "c", "at").orderBy(history.FROM).collect()]
+    assert got == [(None, w[0], w[2]), ("x", w[2], w[3]), (None, w[3], None)]
+    extract = spark.createDataFrame([(None, "1"), ("b", "2")], "k string, a string")
+    v = extract.limit(0).selectExpr("*", "cast(null as string) row_hash", f"cast(null as timestamp) {history.FROM}", f"cast(null as timestamp) {history.TO}")
+    for t in w:
+        v = history.apply_extract(v, extract, F.lit(t), "k")
+    assert v.count() == 2 and history.count_live(v).first()[0] == 2
+    with pytest.raises(history.HistoryError, match="k is null"):
+        history.refuse_duplicates(extract, "k")
+
+
+def test_upsert_ties(spark):
+    old, new = spark.createDataFrame([("a", "old", 1), ("b", "old", None)], "k string, v string, t int"), spark.createDataFrame([("a", "new", 1), ("b", "n2", None), ("b", "n1", None)], "k string, v string, t int")
+    one = sorted(map(tuple, history.upsert(old, new, "k", "t").collect()))
+    assert one == sorted(map(tuple, history.upsert(old.repartition(3), new.repartition(5), "k", "t").collect())) and one[0] == ("a", "new", 1) and one[1][1] in ("n1", "n2")
