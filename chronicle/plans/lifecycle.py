@@ -1,15 +1,17 @@
 """The three plans: collect an export, load it into the history, publish the history.
 
-Tables are Parquet below one folder: `versions` (partitioned by open windows, so that live rows
-prune), `documents`, `loads`, `segments`.
+Tables are Parquet below one folder, committed together (`sinks.tables.Store`): `versions` and `documents`, each
+with its open windows apart from the closed ones, `loads`, `segments` and the scorer's `cache`. A load rewrites open
+windows and appends those that close; closed ones are never read or written again.
 """
 
 from __future__ import annotations
 
 import time
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from pathlib import Path
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -18,9 +20,10 @@ from chronicle.functions.timeops import from_unix
 from chronicle.model import Field, Model
 from chronicle.operators import contract, history, linkage, segment, shape
 from chronicle.sinks import metadata, tables
-from chronicle.sources import files, xml
+from chronicle.sources import xml
 
 LOADS = "load_id double, status int, kind string"
+CACHE = "key string, keywords string, probabilities array<double>, model string, revision string, loaded double"
 SEGMENTS = "md5 string, keywords string, terms array<string>, model string, revision string, loaded double"
 
 
@@ -30,12 +33,15 @@ class Plans:
     def __init__(self, spark: SparkSession, model: Model, folder: str, index_fields: Sequence[Field] = (), index_types: Sequence[str] = (), structure: DataFrame | None = None, base_url: str = "") -> None:
         self.spark, self.model, self.folder = spark, model.check(), folder.rstrip("/")
         self.index_fields, self.index_types, self.structure, self.base_url = list(index_fields), list(index_types), structure, base_url
+        self.store = tables.Store(spark, self.folder)
 
     # -------------------------------------------------- one export
 
     def scan(self, root: str) -> DataFrame:
         """One scan, checked against the structure before its values are trusted."""
-        found = xml.scan(self.spark, root)
+        return self._checked(xml.scan(self.spark, root))
+
+    def _checked(self, found: DataFrame) -> DataFrame:
         if self.structure is not None:
             contract.refuse(xml.violations(found, self.structure))
         return found
@@ -67,67 +73,94 @@ class Plans:
 
     # -------------------------------------------------- history
 
-    def _path(self, name: str) -> str:
-        return f"{self.folder}/{name}"
-
-    def _versions(self, name: str, schema: T.StructType) -> DataFrame:
-        ddl = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields), "row_hash string", f"{history.FROM} timestamp", f"{history.TO} timestamp", "is_open int"])
-        return files.read_or_empty(self.spark, self._path(name), ddl)
+    def _versions(self, name: str, schema: T.StructType, parts: Sequence[str] = ("open", "closed")) -> DataFrame:
+        ddl = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields), "row_hash string", f"{history.FROM} timestamp", f"{history.TO} timestamp"])
+        return self.store.read([f"{name}/{p}" for p in parts], ddl)
 
     def versions(self) -> DataFrame:
-        return self._versions("versions", self.model.raw_schema()).drop("is_open")
+        return self._versions("versions", self.model.raw_schema())
 
     def live(self) -> DataFrame:
-        """Open windows only: one partition is read."""
-        return self._versions("versions", self.model.raw_schema()).where("is_open = 1").drop("is_open")
-
-    def _merge(self, name: str, extract: DataFrame, key: str, now: float) -> None:
-        have = self._versions(name, extract.schema).drop("is_open")
-        history.refuse_drift(extract, [c for c in have.columns if c not in ("row_hash", history.FROM, history.TO)])
-        merged = history.apply_extract(have, extract, from_unix(F.lit(now)), key)
-        tables.swap(merged.withColumn("is_open", F.col(history.TO).isNull().cast("int")), self._path(name), "is_open")
+        """Open windows only: closed ones are not read."""
+        return self._versions("versions", self.model.raw_schema(), ["open"])
+
+    def _merged(self, name: str, extract: DataFrame, key: str, now: float, held: dict[str, list[str]]) -> dict[str, list[str]]:
+        """Folders for a commit: the open windows anew, and the closed ones with those that close now."""
+        live = self._versions(name, extract.schema, ["open"])
+        history.refuse_drift(extract, [c for c in live.columns if c not in ("row_hash", history.FROM, history.TO)])
+        merged = history.apply_live(live, extract, from_unix(F.lit(now)), key).persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            closing = merged.where(F.col(history.TO).isNotNull())
+            closed = held.get(f"{name}/closed", [])
+            if not closing.isEmpty():
+                closed = [*closed, self.store.write(closing, f"{name}/closed")]
+            return {f"{name}/open": [self.store.write(merged.where(F.col(history.TO).isNull()), f"{name}/open")], f"{name}/closed": closed}
+        finally:
+            merged.unpersist()
 
     def load(self, root: str, now: float | None = None, scorer: segment.Scorer | None = None, revision: str = "") -> None:
-        """One run: refused as a whole, before anything is written, if the extract can't be trusted."""
+        """One run: refused as a whole, before anything is committed, if the extract can't be trusted.
+
+        The files are read and parsed once; versions, linked documents and ledger change in one commit.
+        """
         now = time.time() if now is None else now
-        scanned = self.scan(root)
-        extract = xml.documents(scanned, self.model)
-        history.refuse_shrinkage(self.live().count(), extract.count())
-        history.refuse_duplicates(extract, "path")
-        self._merge("versions", extract, "path", now)
-        index = self.index(scanned)
-        if index is not None:
-            self._merge("documents", index, "href", now)
-        self._record(now, "extract")
+        base, held = self.store.current()
+        scanned = xml.scan(self.spark, root).persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            extract = xml.documents(self._checked(scanned), self.model)
+            history.refuse_shrinkage(self.live().count(), extract.count())
+            history.refuse_duplicates(extract, "path")
+            index = self.index(scanned)
+            if index is not None:
+                history.refuse_duplicates(index, "href")
+            changes = self._merged("versions", extract, "path", now, held)
+            if index is not None:
+                changes |= self._merged("documents", index, "href", now, held)
+            self.store.commit(base, changes | self._recorded(now, "extract"))
+        finally:
+            scanned.unpersist()
         if scorer is not None:  # without one the terms stay null
             self.segment(scorer, revision, now)
 
-    def _record(self, now: float, kind: str) -> None:
+    def _recorded(self, now: float, kind: str) -> dict[str, list[str]]:
+        """The ledger with one more load."""
         row = self.spark.createDataFrame([(float(now), 0, kind)], LOADS)
-        tables.swap(files.read_or_empty(self.spark, self._path("loads"), LOADS).unionByName(row), self._path("loads"))
+        return {"loads": [self.store.write(self.store.read("loads", LOADS).unionByName(row).coalesce(1), "loads")]}
 
     def segments(self) -> DataFrame:
-        return files.read_or_empty(self.spark, self._path("segments"), SEGMENTS)
+        return self.store.read("segments", SEGMENTS)
 
     def segment(self, scorer: segment.Scorer, revision: str, now: float, producer: str = "scorer") -> int:
-        """Terms of all keyword texts, of any version, that this revision has not seen yet."""
+        """Terms of all keyword texts, of any version, that this revision has not seen yet. Answers that the cache
+        has are not asked for again."""
         if "keywords" not in self.model.names():
             return 0
-        todo = segment.stale(self.versions(), self.segments(), "keywords", revision)
-        n = todo.count()
-        if n:
-            decided = segment.scored(todo, "keywords", scorer).withColumn("d", segment.decoded(F.col("tokens"), F.col("probabilities")))
+        base, _ = self.store.current()
+        cache = self.store.read("cache", CACHE)
+        todo = segment.stale(self.versions(), self.segments(), "keywords", revision).persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            n = todo.count()
+            if not n:
+                return 0
+            _, asked = segment.cached(todo, cache.select("key", "probabilities"), "keywords", revision)
+            answers = segment.scored(asked, "keywords", scorer)
+            put = answers.select(segment.cache_key(F.col("keywords"), revision).alias("key"), "keywords", "probabilities", F.lit(producer).alias("model"), F.lit(revision).alias("revision"), F.lit(float(now)).alias("loaded"))
+            part = self.store.write(history.upsert(cache, put, "key", "loaded"), "cache")
+            known, _ = segment.cached(todo, self.store.part(part).select("key", "probabilities"), "keywords", revision)  # answers are asked for once and read from here
+            decided = known.withColumn("d", segment.decoded(segment.tokens(F.col("keywords")), F.col("probabilities")))
             fresh = decided.select(F.md5("keywords").alias("md5"), "keywords", F.col("d.terms").alias("terms"), F.lit(producer).alias("model"), F.lit(revision).alias("revision"), F.lit(float(now)).alias("loaded"))
-            tables.swap(history.upsert(self.segments(), fresh, "md5", "loaded"), self._path("segments"))
-            self._record(now, "segments")
-        return n
+            changes = {"cache": [part], "segments": [self.store.write(history.upsert(self.segments(), fresh, "md5", "loaded"), "segments")]}
+            self.store.commit(base, changes | self._recorded(now, "segments"))
+            return n
+        finally:
+            todo.unpersist()
 
     # -------------------------------------------------- publication
 
     def checkpoints(self) -> DataFrame:
         """From the ledger's extract loads; without a ledger, from the windows' ends."""
         attested = history.load_times(self.versions())
-        ledger = files.read_or_empty(self.spark, self._path("loads"), LOADS)
+        ledger = self.store.read("loads", LOADS)
         times = attested if ledger.isEmpty() else history.ledger_times(ledger, attested)
         return history.weekly_checkpoints(times)
 
@@ -146,24 +179,38 @@ class Plans:
         out = shape.process(raw, self.model, index, self.contact_fields(), self.segments())
         return out.select(*[c for c in out.columns if c not in own], *own)
 
-    def build(self, target: str, order: str = "id_hash") -> list[str]:
-        """Publishes into a folder: CSV, column contract, triples, page. Returns the names written."""
-        table = self.publish()
+    def build(self, target: str, order: str = "id_hash", about: metadata.About | None = None, licence_file: str | None = None, vocabularies: Mapping[str, Mapping[str, str]] | None = None) -> list[str]:
+        """Publishes into a folder: CSV, column contract, triples, pages, licence. Returns the names written.
+
+        Metadata that breaks its shapes is refused before the pages are written.
+        """
+        about = about or metadata.About({"en": self.model.document_type}, publisher=self.model.publisher, licence=self.model.licence)
+        labels = vocabularies or {v: {c: c for c in codes} for v, codes in self.model.vocabularies.items()}
+        table, base = self.publish(), self.base_url or "urn:dataset"
         csv = f"{target.rstrip('/')}/table.csv"
         Path(target).mkdir(parents=True, exist_ok=True)
         tables.write_csv(table, csv, [order])
         columns = metadata.contract(table.schema, self.model, unique=[order], required=[order])
-        tables.write_json(f"{target}/table-schema.json", metadata.table_schema(columns, self.base_url, order))
-        sizes = metadata.distribution_sizes(target, {"table.csv": "text/csv"})
-        triples = metadata.as_frame(self.spark, metadata.dataset_triples(self.base_url or "urn:dataset", self.model.document_type, "", self.model.publisher, self.model.licence, sizes) + metadata.vocabulary_triples(self.base_url or "urn:dataset", columns, {}))
+        tables.write_json(f"{target}/table-schema.json", metadata.table_schema(columns, self.base_url, order, labels))
+        media = {"table.csv": "text/csv", "table-schema.json": "application/csvm+json"}
+        if licence_file is not None:
+            media[tables.copy_beside(licence_file, target).name] = "text/plain"
+        sizes = metadata.distribution_sizes(target, media)
+        said = metadata.dataset_triples(base, about, sizes) + metadata.vocabulary_triples(base, columns, labels)
+        if faults := metadata.conformance(said):
+            raise contract.ContractError("; ".join(faults))
+        triples = metadata.as_frame(self.spark, said)
         tables.write_text(f"{target}/dataset.ttl", metadata.turtle(triples))
         tables.write_text(f"{target}/dataset.jsonld", metadata.json_ld(triples))
-        shown = [{"name": c.name, "type": c.dtype, "description": c.description} for c in columns]
-        tables.write_text(f"{target}/index.html", metadata.page(self.model.document_type, shown, ["name", "type", "description"], {"table.csv": "table.csv", "table-schema.json": "table-schema.json"}))
+        pages = {
+            "index.html": metadata.dataset_page(about, sizes, {"columns.html": "columns", "vocabularies.html": "vocabularies"}),
+            "columns.html": metadata.columns_page(about, columns, labels),
+            "vocabularies.html": metadata.vocabularies_page(about, labels),
+        }
+        for name, text in pages.items():
+            tables.write_text(f"{target}/{name}", text)
         with open(csv, encoding="utf-8") as f:
             faults = contract.header_faults(f.readline().rstrip("\r\n").split(","), table.columns)
         if faults:
             raise contract.ContractError("; ".join(faults))
-        return ["table.csv", "table-schema.json", "dataset.ttl", "dataset.jsonld", "index.html"]
-
-
+        return [*media, "dataset.ttl", "dataset.jsonld", *pages]

@@ -8,8 +8,8 @@ from __future__ import annotations
 
 import html
 import json
-from collections.abc import Mapping, Sequence
-from dataclasses import dataclass
+from collections.abc import Callable, Mapping, Sequence
+from dataclasses import dataclass, field
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
@@ -19,6 +19,7 @@ from pyspark.sql import types as T
 from chronicle.functions.text import camel
 from chronicle.model import Model
 
+# Namespaces, the authority's address and names of datatypes, as the standards have them.
 PREFIXES = {
     "dcat": "http://www.w3.org/ns/dcat#",
     "dct": "http://purl.org/dc/terms/",
@@ -93,19 +94,36 @@ def range_of(c: Column) -> str:
     return expand("skos:Concept") if c.vocabulary else expand("rdf:JSON") if datatype_of(c.dtype) == "json" else expand(f"xsd:{datatype_of(c.dtype)}")
 
 
-def table_schema(columns: Sequence[Column], base: str, key: str) -> dict:
+def list_note(c: Column) -> str:
+    """How a nested column is written in a cell; empty for a plain one."""
+    if not c.dtype.startswith(("array", "struct", "map")):
+        return ""
+    kind = "objects" if "struct" in c.dtype else "values"
+    return f"A JSON array of {kind}; an empty array if there are none." if c.dtype.startswith("array") else "A JSON object."
+
+
+def vocab_note(c: Column, codes: Mapping[str, str], most: int = 12) -> str:
+    """Which codes a closed column may hold: all of a few, or how many there are."""
+    if not c.vocabulary or not codes:
+        return ""
+    names = sorted(codes)
+    return f"One of {len(names)} codes" + (f": {', '.join(names)}." if len(names) <= most else f", from {names[0]} to {names[-1]}.")
+
+
+def description_of(c: Column, codes: Mapping[str, str] | None = None) -> str:
+    """What a column's description, its cells and its codes say together."""
+    return " ".join(x for x in (c.description, list_note(c), vocab_note(c, codes or {})) if x)
+
+
+def table_schema(columns: Sequence[Column], base: str, key: str, labels: Mapping[str, Mapping[str, str]] | None = None) -> dict:
     """CSVW."""
-    return {
-        "@context": ["http://www.w3.org/ns/csvw", {"@language": "en"}],
-        "tableSchema": {
-            "primaryKey": key,
-            "columns": [
-                {"name": c.name, "titles": c.name, "datatype": datatype_of(c.dtype), "required": not c.nullable, "propertyUrl": predicate(base, c.name)}
-                | ({"dc:description": c.description} if c.description else {})
-                for c in columns
-            ],
-        },
-    }
+    cells = []
+    for c in columns:
+        codes = (labels or {}).get(c.vocabulary or "", {})
+        cell = {"name": c.name, "titles": c.name, "datatype": datatype_of(c.dtype), "required": not c.nullable, "propertyUrl": predicate(base, c.name)}
+        said = description_of(c, codes)
+        cells.append(cell | ({"dc:description": said} if said else {}) | ({"valueUrl": f"{base}/{c.vocabulary}/{{{c.name}}}"} if c.vocabulary and not c.dtype.startswith("array") else {}))
+    return {"@context": ["http://www.w3.org/ns/csvw", {"@language": "en"}], "tableSchema": {"primaryKey": key, "columns": cells}}
 
 
 # ---------------------------------------------------------------- graphs
@@ -126,12 +144,34 @@ def distribution_sizes(folder: str | Path, media: Mapping[str, str]) -> dict[str
     return {n: (m, Path(folder, n).stat().st_size) for n, m in media.items() if Path(folder, n).exists()}
 
 
-def dataset_triples(uri: str, title: str, description: str, publisher: str, licence: str, downloads: Mapping[str, tuple[str, int]]) -> list[Triple]:
+@dataclass(frozen=True)
+class About:
+    """What is said of a dataset; texts by language."""
+
+    title: Mapping[str, str]
+    description: Mapping[str, str] = field(default_factory=dict)
+    keywords: Mapping[str, Sequence[str]] = field(default_factory=dict)
+    publisher: str = ""
+    licence: str = ""
+    themes: Sequence[str] = ()
+    languages: Sequence[str] = ()
+
+
+def dataset_triples(uri: str, about: About, downloads: Mapping[str, tuple[str, int]]) -> list[Triple]:
     """The dataset and its distributions: name -> (media type, bytes)."""
-    out = [iri(uri, "rdf:type", "dcat:Dataset"), literal(uri, "dct:title", title, "en"), literal(uri, "dct:description", description, "en"), literal(uri, "dct:publisher", publisher), iri(uri, "dct:license", licence)]
+    out = [iri(uri, "rdf:type", "dcat:Dataset"), literal(uri, "dct:publisher", about.publisher)]
+    if about.licence:
+        out.append(iri(uri, "dct:license", about.licence))
+    out += [literal(uri, "dct:title", t, lang) for lang, t in sorted(about.title.items())]
+    out += [literal(uri, "dct:description", t, lang) for lang, t in sorted((about.description or about.title).items())]
+    out += [literal(uri, "dcat:keyword", w, lang) for lang, words in sorted(about.keywords.items()) for w in words]
+    out += [iri(uri, "dcat:theme", authority("data-theme", t)) for t in about.themes]
+    out += [iri(uri, "dct:language", authority("language", x)) for x in about.languages]
     for name, (media, size) in sorted(downloads.items()):
         d = f"{uri}/{name}"
         out += [iri(uri, "dcat:distribution", d), iri(d, "rdf:type", "dcat:Distribution"), iri(d, "dcat:downloadURL", f"{uri}/data/{name}"), literal(d, "dcat:mediaType", media), literal(d, "dcat:byteSize", str(size), datatype="xsd:integer")]
+        if about.licence:
+            out.append(iri(d, "dct:license", about.licence))
     return out
 
 
@@ -149,6 +189,40 @@ def vocabulary_triples(base: str, columns: Sequence[Column], codes: Mapping[str,
     return out
 
 
+#: What each node of a class must say: property, whether it is a link or a text, how often at least and at most.
+SHAPES: dict[str, Sequence[tuple[str, str, int, int | None]]] = {
+    "dcat:Dataset": (("dct:title", "literal", 1, None), ("dct:description", "literal", 1, None), ("dct:publisher", "literal", 1, 1), ("dct:license", "iri", 0, 1), ("dcat:distribution", "iri", 1, None), ("dcat:theme", "iri", 0, None), ("dcat:keyword", "literal", 0, None)),
+    "dcat:Distribution": (("dcat:downloadURL", "iri", 1, 1), ("dcat:mediaType", "literal", 1, 1), ("dcat:byteSize", "literal", 1, 1)),
+    "rdf:Property": (("rdfs:label", "literal", 1, None), ("rdfs:range", "iri", 1, 1)),
+    "skos:Concept": (("skos:inScheme", "iri", 1, 1), ("skos:prefLabel", "literal", 1, None)),
+    "skos:ConceptScheme": (),
+}
+
+
+def conformance(triples: Sequence[Triple], shapes: Mapping[str, Sequence[tuple[str, str, int, int | None]]] = SHAPES) -> list[str]:
+    """What the metadata breaks: missing or repeated properties, a text for a link or the reverse, several titles of one
+    language, links to distributions and schemes that aren't there."""
+    said: dict[tuple[str, str], list[Triple]] = {}
+    for t in {*triples}:
+        said.setdefault((t[0], t[1]), []).append(t)
+    kind, out = expand("rdf:type"), []
+    classes = {(t[0], t[2]) for t in triples if t[1] == kind}
+    for name, rules in shapes.items():
+        for node in sorted(s for s, o in classes if o == expand(name)):
+            for prop, as_, least, most in rules:
+                values = said.get((node, expand(prop)), [])
+                if len(values) < least or (most is not None and len(values) > most):
+                    out.append(f"{node}: {prop} stands {len(values)} times, expected {least} to {most or 'any'}")
+                out += [f"{node}: {prop} is no {as_}" for v in values if v[3] != as_]
+                out += [f"{node}: {prop} is empty" for v in values if not v[2]]
+                languages = [v[4] for v in values if v[4]]
+                if prop in ("dct:title", "dct:description", "skos:prefLabel") and len(languages) != len(set(languages)):
+                    out.append(f"{node}: {prop} stands twice in one language")
+    for prop, name in (("dcat:distribution", "dcat:Distribution"), ("skos:inScheme", "skos:ConceptScheme")):
+        out += [f"{t[0]}: {prop} leads nowhere" for t in sorted({*triples}, key=str) if t[1] == expand(prop) and (t[2], expand(name)) not in classes]
+    return out
+
+
 def as_frame(spark: SparkSession, triples: Sequence[Triple]) -> DataFrame:
     return spark.createDataFrame(list(triples), "s string, p string, o string, kind string, lang string, datatype string").distinct()
 
@@ -188,10 +262,61 @@ def german_number(n: float, digits: int = 0) -> str:
     return f"{n:,.{digits}f}".translate(str.maketrans(",.", ".,"))
 
 
-def page(title: str, rows: Sequence[Mapping[str, str]], columns: Sequence[str], links: Mapping[str, str]) -> str:
-    """A landing page; every value is escaped."""
+#: The pages' own words.
+WORDS = {
+    "en": {"downloads": "Downloads", "file": "File", "kind": "Type", "size": "Size", "licence": "Licence", "publisher": "Publisher", "keywords": "Keywords", "columns": "Columns", "vocabularies": "Vocabularies", "name": "Name", "type": "Type", "required": "Required", "origin": "Origin", "description": "Description", "code": "Code", "label": "Label", "yes": "yes", "no": "no", "bytes": "bytes"},
+    "de": {"downloads": "Dateien", "file": "Datei", "kind": "Typ", "size": "Größe", "licence": "Lizenz", "publisher": "Herausgeber", "keywords": "Schlagwörter", "columns": "Spalten", "vocabularies": "Vokabulare", "name": "Name", "type": "Typ", "required": "Pflicht", "origin": "Herkunft", "description": "Beschreibung", "code": "Code", "label": "Bezeichnung", "yes": "ja", "no": "nein", "bytes": "Bytes"},
+}
+
+
+def number(n: float, lang: str) -> str:
+    return german_number(n) if lang == "de" else f"{n:,.0f}"
+
+
+def html_table(head: Sequence[str], rows: Sequence[Sequence[str]]) -> str:
+    """Every cell is escaped."""
+    e = html.escape
+    cells = lambda tag, row: "".join(f"<{tag}>{e(str(x))}</{tag}>" for x in row)
+    return f"<table><tr>{cells('th', head)}</tr>\n" + "".join(f"<tr>{cells('td', r)}</tr>\n" for r in rows) + "</table>\n"
+
+
+def _page(about: About, sections: Callable[[str, Mapping[str, str]], str]) -> str:
+    """A page with one section for each language of the title, in one document."""
     e = html.escape
-    head = "".join(f"<th>{e(c)}</th>" for c in columns)
-    body = "".join("<tr>" + "".join(f"<td>{e(str(r.get(c, '')))}</td>" for c in columns) + "</tr>\n" for r in rows)
-    refs = "".join(f'<li><a href="{e(u, quote=True)}">{e(n)}</a></li>\n' for n, u in links.items())
-    return f"<!doctype html>\n<html lang=\"en\"><head><meta charset=\"utf-8\"><title>{e(title)}</title></head>\n<body><h1>{e(title)}</h1>\n<ul>\n{refs}</ul>\n<table><tr>{head}</tr>\n{body}</table></body></html>\n"
+    first = next(iter(about.title))
+    body = "".join(f'<section lang="{e(x, quote=True)}"><h1>{e(about.title[x])}</h1>\n{sections(x, WORDS.get(x, WORDS["en"]))}</section>\n' for x in about.title)
+    return f'<!doctype html>\n<html lang="{e(first, quote=True)}"><head><meta charset="utf-8"><title>{e(about.title[first])}</title></head>\n<body>{body}</body></html>\n'
+
+
+def dataset_page(about: About, sizes: Mapping[str, tuple[str, int]], pages: Mapping[str, str]) -> str:
+    """The dataset: what it is, whose, its files with type and size, and the other pages."""
+    e = html.escape
+
+    def section(lang: str, w: Mapping[str, str]) -> str:
+        words = ", ".join(about.keywords.get(lang, ()))
+        facts = [(w["publisher"], about.publisher), (w["licence"], about.licence), (w["keywords"], words)]
+        listed = "".join(f'<li><a href="{e(n, quote=True)}">{e(n)}</a> ({e(kind)}, {number(size, lang)} {w["bytes"]})</li>\n' for n, (kind, size) in sorted(sizes.items()))
+        others = "".join(f'<li><a href="{e(n, quote=True)}">{e(w[of])}</a></li>\n' for n, of in pages.items())
+        return f"<p>{e(about.description.get(lang, ''))}</p>\n<dl>{''.join(f'<dt>{e(k)}</dt><dd>{e(v)}</dd>' for k, v in facts if v)}</dl>\n<h2>{e(w['downloads'])}</h2>\n<ul>{listed}</ul>\n<ul>{others}</ul>\n"
+
+    return _page(about, section)
+
+
+def columns_page(about: About, columns: Sequence[Column], labels: Mapping[str, Mapping[str, str]]) -> str:
+    """The columns: type, whether always there, where from, what they say."""
+
+    def section(_: str, w: Mapping[str, str]) -> str:
+        rows = [(c.name, datatype_of(c.dtype), w["no"] if c.nullable else w["yes"], c.origin, description_of(c, labels.get(c.vocabulary or "", {}))) for c in columns]
+        return f"<h2>{html.escape(w['columns'])}</h2>\n" + html_table([w[x] for x in ("name", "type", "required", "origin", "description")], rows)
+
+    return _page(about, section)
+
+
+def vocabularies_page(about: About, labels: Mapping[str, Mapping[str, str]]) -> str:
+    """The codes of each vocabulary with their labels."""
+
+    def section(_: str, w: Mapping[str, str]) -> str:
+        parts = [f"<h3>{html.escape(name)}</h3>\n" + html_table([w["code"], w["label"]], sorted(codes.items())) for name, codes in sorted(labels.items())]
+        return f"<h2>{html.escape(w['vocabularies'])}</h2>\n" + "".join(parts)
+
+    return _page(about, section)

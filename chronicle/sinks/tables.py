@@ -5,6 +5,7 @@ from __future__ import annotations
 import json
 import shutil
 import uuid
+from collections.abc import Mapping
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
@@ -23,22 +24,117 @@ def _fs(spark: SparkSession, path: str):
     return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), jvm.org.apache.hadoop.fs.Path
 
 
-def swap(df: DataFrame, path: str, partition_by: str | None = None) -> None:
-    """Writes beside the table, then puts it in its place; the table may be what df is read from."""
+def swap(df: DataFrame, path: str) -> None:
+    """Writes beside the table, then puts it in its place; the table may be what df is read from.
+
+    If the second rename fails, the old table goes back. For tables that are read while they change, see `Store`.
+    """
     fs, at = _fs(df.sparkSession, path)
     stage, old = f"{path}.stage-{uuid.uuid4().hex}", f"{path}.old-{uuid.uuid4().hex}"
-    writer = df.write.partitionBy(partition_by) if partition_by else df.write
-    writer.parquet(stage)
-    if fs.exists(at(path)):
-        fs.rename(at(path), at(old))
+    df.write.parquet(stage)
+    held = fs.exists(at(path))
+    if held and not fs.rename(at(path), at(old)):
+        raise OSError(f"{path} could not be put aside")
     if not fs.rename(at(stage), at(path)):
+        if held:
+            fs.rename(at(old), at(path))
         raise OSError(f"{stage} could not become {path}")
-    if fs.exists(at(old)):
+    if held:
         fs.delete(at(old), True)
 
 
+def _replace(spark: SparkSession, source, target) -> None:
+    """A file takes another's place in one step."""
+    jvm = spark.sparkContext._jvm
+    context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(target.toUri(), spark.sparkContext._jsc.hadoopConfiguration())
+    rename = jvm.org.apache.hadoop.fs.Options.Rename
+    options = spark.sparkContext._gateway.new_array(rename, 1)
+    options[0] = rename.OVERWRITE
+    context.rename(source, target, options)
+
+
+class Store:
+    """Tables below one folder, each a list of Parquet folders that a numbered manifest names.
+
+    New folders are written first and the next manifest last; making that file is the commit. So all tables of a
+    commit change at once or not at all, readers see whole commits only, and of two writers that
+    began with the same manifest one is refused.
+    """
+
+    def __init__(self, spark: SparkSession, folder: str) -> None:
+        self.spark, self.folder = spark, folder.rstrip("/")
+
+    def _commits(self) -> list[int]:
+        fs, at = _fs(self.spark, self.folder)
+        if not fs.exists(at(f"{self.folder}/_commits")):
+            return []
+        names = [f.getPath().getName() for f in fs.listStatus(at(f"{self.folder}/_commits"))]
+        return sorted(int(n[:-5]) for n in names if n.endswith(".json") and n[:-5].isdigit())
+
+    def _manifest(self, number: int) -> dict[str, list[str]] | None:
+        fs, at = _fs(self.spark, self.folder)
+        stream = fs.open(at(f"{self.folder}/_commits/{number:010d}.json"))
+        try:
+            said = json.loads(self.spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))
+        except ValueError:  # a writer stopped inside it: no commit
+            return None
+        finally:
+            stream.close()
+        return said["tables"]
+
+    def current(self) -> tuple[int, dict[str, list[str]]]:
+        """The last commit's number and its tables; -1 and none before the first."""
+        for number in reversed(self._commits()):
+            said = self._manifest(number)
+            if said is not None:
+                return number, said
+        return -1, {}
+
+    def read(self, names: str | list[str], schema: str) -> DataFrame:
+        """The rows of one or several tables; none yet: no rows."""
+        _, held = self.current()
+        paths = [f"{self.folder}/{p}" for n in ([names] if isinstance(names, str) else names) for p in held.get(n, [])]
+        return self.spark.read.parquet(*paths) if paths else self.spark.createDataFrame([], schema)
+
+    def part(self, part: str) -> DataFrame:
+        """A folder's rows, committed or not."""
+        return self.spark.read.parquet(f"{self.folder}/{part}")
+
+    def write(self, df: DataFrame, name: str) -> str:
+        """Writes a folder for a coming commit."""
+        part = f"{name}/{uuid.uuid4().hex}"
+        df.write.parquet(f"{self.folder}/{part}")
+        return part
+
+    def commit(self, base: int, tables: Mapping[str, list[str]]) -> int:
+        """The tables of commit `base` with these folders in place of their own."""
+        fs, at = _fs(self.spark, self.folder)
+        held = (self._manifest(base) or {}) if base >= 0 else {}
+        number = max([base, *self._commits()]) + 1
+        if self.current()[0] != base:
+            raise OSError(f"commit {base} isn't the last one any more")
+        text = json.dumps({"tables": held | dict(tables)}, indent=1, sort_keys=True)
+        out = fs.create(at(f"{self.folder}/_commits/{number:010d}.json"), False)
+        out.write(bytearray(text.encode()))
+        out.close()
+        return number
+
+    def vacuum(self, keep: int = 2) -> list[str]:
+        """Removes folders that none of the last `keep` commits names, and older manifests."""
+        fs, at = _fs(self.spark, self.folder)
+        numbers = self._commits()
+        kept, old = numbers[-keep:], numbers[:-keep]
+        wanted = {p for n in kept for ps in (self._manifest(n) or {}).values() for p in ps}
+        gone = sorted({p for n in old for ps in (self._manifest(n) or {}).values() for p in ps} - wanted)
+        for p in gone:
+            fs.delete(at(f"{self.folder}/{p}"), True)
+        for n in old:
+            fs.delete(at(f"{self.folder}/_commits/{n:010d}.json"), False)
+        return gone
+
+
 def write_csv(df: DataFrame, path: str, order: list[str]) -> None:
-    """One CSV file in a total order, staged and renamed; quotes doubled, empty text and null alike empty.
+    """One CSV file in a total order, staged and put in its place in one step; quotes doubled, empty text and null alike empty.
 
     For a publication that is one file by contract; larger tables stay Parquet.
     """
@@ -46,9 +142,7 @@ def write_csv(df: DataFrame, path: str, order: list[str]) -> None:
     stage = f"{path}.stage-{uuid.uuid4().hex}"
     cells(df).orderBy(*order).coalesce(1).write.csv(stage, header=True, escape='"', emptyValue="")
     part = next(f.getPath() for f in fs.listStatus(at(stage)) if f.getPath().getName().startswith("part-"))
-    if fs.exists(at(path)):
-        fs.delete(at(path), False)
-    fs.rename(part, at(path))
+    _replace(df.sparkSession, part, at(path))
     fs.delete(at(stage), True)
 
 

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import json
 import shutil
 import tempfile
 import urllib.request
+import uuid
 import zipfile
 from collections.abc import Iterator
 from contextlib import contextmanager
@@ -17,12 +19,16 @@ from pyspark.sql import types as T
 
 
 @contextmanager
-def export(location: str, directory: str | None = None, timeout: int = 300) -> Iterator[str]:
-    """A folder with the export: the given one, or an archive fetched and unpacked for as long as it is used."""
+def export(location: str, directory: str | None = None, timeout: int = 300, spark: SparkSession | None = None, shared: str | None = None) -> Iterator[str]:
+    """A folder with the export: the given one, or an archive fetched and unpacked for as long as it is used.
+
+    It is unpacked on this machine; `shared`, a folder that the session's executors see, gets a copy for as long.
+    """
     if directory is not None:
         yield directory
         return
     target = tempfile.mkdtemp(prefix="export-")
+    copy = None
     try:
         archive = Path(target, "export.zip")
         with urllib.request.urlopen(location, timeout=timeout) as got, archive.open("wb") as out:
@@ -32,8 +38,17 @@ def export(location: str, directory: str | None = None, timeout: int = 300) -> I
                 if not Path(target, "content", name).resolve().is_relative_to(Path(target, "content").resolve()):
                     raise ValueError(f"the archive leaves its folder: {name}")
             z.extractall(Path(target, "content"))
-        yield str(Path(target, "content"))
+        if spark is None or shared is None:
+            yield str(Path(target, "content"))
+            return
+        jvm = spark.sparkContext._jvm
+        copy = jvm.org.apache.hadoop.fs.Path(f"{shared.rstrip('/')}/export-{uuid.uuid4().hex}")
+        fs = copy.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        fs.copyFromLocalFile(jvm.org.apache.hadoop.fs.Path(Path(target, "content").as_uri()), copy)
+        yield copy.toString()
     finally:
+        if copy is not None:
+            fs.delete(copy, True)
         shutil.rmtree(target, ignore_errors=True)
 
 
@@ -82,6 +97,16 @@ def with_fallback(wanted: DataFrame, *bundles: DataFrame) -> DataFrame:
     return out.withColumn("label", F.coalesce(*(f"__{i}" for i in range(len(bundles))))).drop(*(f"__{i}" for i in range(len(bundles))))
 
 
+def registry(location: str, name: str = "identifier", version: str = "version", timeout: int = 60) -> dict[str, str]:
+    """The latest version of each list that a registry (a JSON array of objects) names."""
+    with urllib.request.urlopen(location, timeout=timeout) as got:
+        rows = json.load(got)
+    out: dict[str, str] = {}
+    for r in rows:
+        out[r[name]] = max(out.get(r[name], ""), r[version])
+    return out
+
+
 def drifted(pinned: dict[str, str], current: dict[str, str]) -> dict[str, tuple[str, str]]:
     """Versions that a registry has moved on from."""
     return {k: (v, current[k]) for k, v in sorted(pinned.items()) if current.get(k, v) > v}

@@ -21,7 +21,7 @@ HREF = "`_xlink:href`"
 LINK = "struct<link:array<struct<`_xlink:href`:string>>>"
 DOCUMENT = (
     "_name string, _path string, _type string, property array<struct<_name:string,_type:string,text:string,value:string,blob:string,"
-    f"links:{LINK},classifiedLinkLists:struct<classifiedLinkList:array<struct<classifierLinks:{LINK},links:{LINK}>>>>>"
+    f"links:{LINK},classifiedLinkLists:struct<classifiedLinkList:array<struct<classifierLinks:{LINK},links:{LINK}>>>>>,_corrupt_record string"
 )
 
 
@@ -35,8 +35,18 @@ def scan(spark: SparkSession, root: str, folders: Sequence[str] = ("",)) -> Data
     rows = files.select(F.col("_metadata.file_path").alias("file"), F.regexp_replace("value", t.FORBIDDEN_IN_XML, "").alias("value"))
     if rows.isEmpty():
         raise FileNotFoundError(f"no documents below {', '.join(paths)}")
-    parsed = F.from_xml("value", DOCUMENT, {"rowTag": "document", "mode": "PERMISSIVE"})
-    return rows.withColumn("doc", parsed)
+    return parsed(rows)
+
+
+def parsed(rows: DataFrame) -> DataFrame:
+    """(file, value) with the document that each text holds; of what no parser reads, the text alone (`doc._corrupt_record`)."""
+    return rows.withColumn("doc", F.from_xml("value", DOCUMENT, {"rowTag": "document", "mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt_record"}))
+
+
+def well_formed() -> Column:
+    """Whether a parsed row's text is XML: the parser reads all of it, and nothing but comments stands after the root."""
+    ended = F.col("value").rlike(r"(?s)>\s*$") & (_balance(F.col("value")) == 0)
+    return F.col("doc._corrupt_record").isNull() & F.col("doc").isNotNull() & ended & (_roots(F.col("value")) == 1)
 
 
 def _hrefs(links: Column) -> Column:
@@ -137,7 +147,7 @@ def violations(scanned: DataFrame, contract: DataFrame) -> DataFrame:
     types = [r[0] for r in contract.select("document_type").distinct().collect()]  # a handful, by contract
     root = F.regexp_extract("value", r"(?s)^\s*(?:<\?.*?\?>|<!--.*?-->|<!DOCTYPE[^>]*>|\s)*<([A-Za-z][\w.:-]*)", 1)
     doc = scanned.withColumn("root", root)
-    readable = (F.col("root") != "") & F.col("value").rlike(r"(?s)>\s*$") & (_balance(F.col("value")) == 0)
+    readable = (F.col("root") != "") & well_formed()
     missing = F.array_compact(F.array(*(F.when(F.col(f"doc._{a}").isNull(), F.lit(a)) for a in ("name", "path", "type"))))
     first = (
         F.when(~readable, F.lit("document is not parseable as XML"))
@@ -160,11 +170,22 @@ def violations(scanned: DataFrame, contract: DataFrame) -> DataFrame:
     return whole.union(props.select("file", message.alias("message")).where("message is not null"))
 
 
+def _bare(value: Column) -> Column:
+    """Without what holds no elements."""
+    return F.regexp_replace(value, r"(?s)<!\[CDATA\[.*?\]\]>|<!--.*?-->|<\?.*?\?>|<![A-Z][^>]*>", "")
+
+
 def _balance(value: Column) -> Column:
     """Opened less closed elements: a truncated document has some left."""
-    bare = F.regexp_replace(value, r"(?s)<!\[CDATA\[.*?\]\]>|<!--.*?-->|<\?.*?\?>|<![A-Z][^>]*>", "")
-    opened = F.regexp_count(bare, F.lit(r"<[A-Za-z][^<>]*(?<!/)>"))
-    return opened - F.regexp_count(bare, F.lit(r"</[^<>]*>"))
+    opened = F.regexp_count(_bare(value), F.lit(r"<[A-Za-z][^<>]*(?<!/)>"))
+    return opened - F.regexp_count(_bare(value), F.lit(r"</[^<>]*>"))
+
+
+def _roots(value: Column) -> Column:
+    """Topmost elements, if each is closed where the first one's name is closed last: what follows that must hold none."""
+    name = F.regexp_extract(_bare(value), r"(?s)^\s*<([A-Za-z][\w.:-]*)", 1)
+    after = F.when(_bare(value).rlike(r"(?s)^\s*<[^<>]*/>\s*$"), F.lit("")).otherwise(F.call_function("substring_index", _bare(value), F.concat(F.lit("</"), name), F.lit(-1)))
+    return F.when(F.trim(F.regexp_replace(after, r"(?s)^\s*>|\s", "")) == "", 1).otherwise(2)
 
 
 def derive_contract(scanned: DataFrame) -> DataFrame:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -37,23 +38,34 @@ def extracts(stream: DataFrame, apply: Callable[[DataFrame, int], None], checkpo
     return stream.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint)
 
 
-def content_runs(events: DataFrame, key: str, content: str, at: str) -> DataFrame:
-    """(key, content, since, until) of finished runs of equal content, kept as state by key; a run ends when the content changes."""
+def content_runs(events: DataFrame, key: str, content: str, at: str, idle: int = 0) -> DataFrame:
+    """(key, content, since, until) of runs of equal content (null is one), kept as state by key.
+
+    A run ends when the content changes. With `idle` (milliseconds of event time; the stream needs a watermark) it
+    also ends, at its last event, when the watermark has left that event so far behind; the key's state goes then.
+    """
     schema = f"{key} long, {content} string, since timestamp, until timestamp"
 
     def step(k: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        if state.hasTimedOut:
+            now, since, last = state.get
+            state.remove()
+            yield pd.DataFrame({key: [k[0]], content: [now], "since": pd.to_datetime([since], unit="us"), "until": pd.to_datetime([last], unit="us")})
+            return
         rows = pd.concat(list(frames)).sort_values(at)
-        now, since = state.get if state.exists else (None, None)
-        out = []
-        for value, t in zip(rows[content], rows[at], strict=True):
-            micros = int(pd.Timestamp(t).value // 1000)
-            if since is None:
-                now, since = value, micros
-            elif value != now:
-                out.append((k[0], now, pd.Timestamp(since, unit="us"), pd.Timestamp(micros, unit="us")))
-                now, since = value, micros
-        state.update((now, since))
-        yield pd.DataFrame(out, columns=[key, content, "since", "until"])
+        said = rows[content].astype(object).where(rows[content].notna(), None).tolist()
+        micros = rows[at].to_numpy("datetime64[us]").astype("int64")
+        if state.exists:
+            now, since, _ = state.get
+            said, micros = [now, *said], np.concatenate(([since], micros))
+        codes, _ = pd.factorize(pd.Series(said, dtype=object), use_na_sentinel=False)
+        first = np.flatnonzero(np.concatenate(([True], codes[1:] != codes[:-1])))
+        times = pd.to_datetime(micros[first], unit="us")
+        state.update((said[first[-1]], int(micros[first[-1]]), int(micros[-1])))
+        if idle:
+            state.setTimeoutTimestamp(max(int(micros[-1]) // 1000 + idle, state.getCurrentWatermarkMs() + 1))
+        yield pd.DataFrame({key: [k[0]] * (len(first) - 1), content: pd.Series([said[i] for i in first[:-1]], dtype=object), "since": times[:-1], "until": times[1:]})
 
     rows = events.select(key, content, at)
-    return rows.groupBy(key).applyInPandasWithState(step, schema, f"{content} string, since long", "append", GroupStateTimeout.NoTimeout)
+    timeout = GroupStateTimeout.EventTimeTimeout if idle else GroupStateTimeout.NoTimeout
+    return rows.groupBy(key).applyInPandasWithState(step, schema, f"{content} string, since long, last long", "append", timeout)

@@ -1,6 +1,7 @@
 """Contract, segmentation, code lists, reports, samples, metadata, streams."""
 
 import json
+import random
 from datetime import datetime, timedelta
 
 import pytest
@@ -10,6 +11,7 @@ from pyspark.sql import types as T
 from chronicle.model import Field, Model
 from chronicle.operators import analytics, codelists, contract, linkage, sampling, segment, shape
 from chronicle.sinks import metadata, tables
+from chronicle.sources import endpoint
 from chronicle.streaming import streams
 
 
@@ -63,6 +65,10 @@ def test_messages(spark):
     rows = [("m", f"f{i}") for i in range(9)] + [("n", "f1")]
     got = contract.most_common(spark.createDataFrame(rows, "message string, file string")).collect()
     assert [(r["message"], r["n"], r["examples"]) for r in got] == [("m", 9, ["f0", "f1", "f2"]), ("n", 1, ["f1"])]
+    w = contract.first_examples(spark.createDataFrame(rows, "message string, file string"), ["message"], "file")
+    assert "WindowGroupLimit" in w._jdf.queryExecution().executedPlan().toString()  # no task gathers a message's examples
+    null = contract.first_examples(spark.createDataFrame([(None, "a"), (None, "a"), ("m", None)], "message string, file string"), ["message"], "file")
+    assert sorted(((r["message"], r["n"], r["examples"]) for r in null.collect()), key=str) == [("m", 1, []), (None, 2, ["a"])]
     assert contract.header_faults(["a", "c"], ["a", "b"]) == ["missing: b", "extra: c"] and contract.header_faults(["b", "a"], ["a", "b"]) == ["columns are out of order"] and contract.header_faults(["a"], ["a"]) == []
 
 
@@ -100,6 +106,17 @@ def test_scores(spark):
     assert (r["hits"], r["support"], r["precision"], r["recall"]) == (1, 4, 1.0, 0.25) and r["precision_strict"] == pytest.approx(1 / 3)
     sweep = {round(x["threshold"], 2): x for x in segment.sweep(spark.createDataFrame([([0.4, 0.9], [1, 2]), ([], [1, 1])], "p array<double>, g array<int>"), "p", "g").collect()}
     assert len(sweep) == 19 and sweep[0.5]["f1"] == 1.0 and sweep[0.3]["hits"] == 2
+    many, r = [], random.Random(2)
+    for _ in range(60):
+        gold = [r.randint(1, 4) for _ in range(r.randint(0, 5))]
+        n = max(0, sum(gold) - 1) if r.random() < 0.9 else r.randint(1, 4)
+        many.append(([None if r.random() < 0.05 else round(r.random(), 2) for _ in range(n)] if r.random() < 0.9 else [], gold))
+    df = spark.createDataFrame(many, "p array<double>, g array<int>")
+    got = {round(x["threshold"], 2): (x["hits"], x["support"], x["precision"], x["precision_strict"], x["recall"]) for x in segment.sweep(df, "p", "g").collect()}
+    for t, x in got.items():  # each threshold on its own, by segmenting anew
+        cut = F.when(F.size("p") == 0, F.array_repeat(F.lit(1), segment.total(F.col("g")))).otherwise(segment.joins_to_sizes(F.transform("p", (lambda t: lambda p: F.coalesce(p >= t, F.lit(False)))(t))))
+        w = segment.pooled(df.select(segment.score(cut, F.col("g")).alias("score")), []).first()
+        assert x == (w["hits"], w["support"], w["precision"], w["precision_strict"], w["recall"]), t
     acc = segment.gap_accuracy(spark.createDataFrame([([True, False], [True, True])], "p array<boolean>, g array<boolean>"), "p", "g")
     assert acc.first()[0] == 0.5
 
@@ -210,11 +227,64 @@ def test_metadata(spark):
     said = metadata.table_schema(columns, "https://b", "the_a")["tableSchema"]["columns"]
     assert said[0]["propertyUrl"] == "https://b#theA" and said[0]["required"] and [c["datatype"] for c in said] == ["string", "json", "integer"]
     assert metadata.range_of(columns[0]).endswith("#Concept") and metadata.authority("s", "c").endswith("/s/c")
-    triples = metadata.dataset_triples("https://d", 'T "q"', "d", "p", "https://l", {"b.csv": ("text/csv", 5), "a.csv": ("text/csv", 6)}) + metadata.vocabulary_triples("https://b", columns, {"v": {"x": "X"}})
+    about = metadata.About({"en": 'T "q" <b>', "de": "Titel"}, {"en": "d"}, {"en": ["k"], "de": ["w"]}, "p", "https://l")
+    triples = metadata.dataset_triples("https://d", about, {"b.csv": ("text/csv", 5), "a.csv": ("text/csv", 6)}) + metadata.vocabulary_triples("https://b", columns, {"v": {"x": "X"}})
     ttl, ld = metadata.turtle(metadata.as_frame(spark, triples)), metadata.json_ld(metadata.as_frame(spark, triples))
     assert ttl == metadata.turtle(metadata.as_frame(spark, triples[::-1])) and ld == metadata.json_ld(metadata.as_frame(spark, triples[::-1]))
-    assert '"T \\"q\\""@en' in ttl and ttl.count(" .\n") == len({t[0] for t in triples}) == len(json.loads(ld))
-    assert "&lt;a&gt;" in metadata.page("t", [{"d": "<a>"}], ["d"], {"x": "y"}) and metadata.german_number(1234.5, 1) == "1.234,5"
+    assert '"T \\"q\\" <b>"@en' in ttl and ttl.count(" .\n") == len({t[0] for t in triples}) == len(json.loads(ld))
+    assert metadata.conformance(triples) == [] and metadata.german_number(1234.5, 1) == "1.234,5"
+    assert any("leads nowhere" in x for x in metadata.conformance(triples + [metadata.iri("https://d", "dcat:distribution", "https://no")]))
+    assert metadata.vocab_note(columns[0], {"x": "X"}) == "One of 1 codes: x." and metadata.vocab_note(columns[0], {str(i): "" for i in range(20)}) == "One of 20 codes, from 0 to 9."
+    assert metadata.list_note(columns[1]).startswith("A JSON array") and metadata.list_note(columns[2]) == "" and "it's <a> One of" in metadata.description_of(columns[0], {"x": "X"})
+    pages = [metadata.dataset_page(about, {"b.csv": ("text/csv", 5000)}, {"columns.html": "columns"}), metadata.columns_page(about, columns, {}), metadata.vocabularies_page(about, {"v": {"x": "<X>"}})]
+    assert all(x.count("<section") == 2 and 'lang="de"' in x and "<b>" not in x for x in pages)
+    assert "5,000 bytes" in pages[0] and "5.000 Bytes" in pages[0] and "it&#x27;s &lt;a&gt;" in pages[1] and "&lt;X&gt;" in pages[2]
+
+
+def test_store(spark, tmp_path):
+    store = tables.Store(spark, str(tmp_path / "s"))
+    assert store.current() == (-1, {}) and store.read("t", "id long").count() == 0
+    one = store.write(spark.range(3), "t")
+    assert store.read("t", "id long").count() == 0  # written, not committed
+    assert store.commit(-1, {"t": [one]}) == 0 and store.read("t", "id long").count() == 3
+    two = store.write(store.read("t", "id long").where("id > 0"), "t")  # reads what it replaces
+    base, _ = store.current()
+    assert store.commit(base, {"t": [one, two], "u": [two]}) == 1 and store.read(["t", "u"], "id long").count() == 7
+    with pytest.raises(OSError, match="isn't the last"):
+        store.commit(base, {"t": []})
+    (tmp_path / "s/_commits/0000000002.json").write_text('{"tables"')  # a writer that stopped
+    assert store.current()[0] == 1 and store.commit(1, {"t": [two]}) == 3
+    assert store.read("t", "id long").count() == 2 and store.vacuum(1) == [one] and store.read("t", "id long").count() == 2
+
+
+def test_endpoint():
+    import urllib.error
+
+    asked, paused = [], []
+
+    def post(url, body, headers, timeout):
+        values = json.loads(body)["tokens"]
+        asked.append((len(values), headers["x-token"]))
+        if len(asked) in (1, 2):
+            raise urllib.error.HTTPError(url, 503, "busy", None, None) if len(asked) == 1 else urllib.error.URLError("gone")
+        return json.dumps({"results": [[0.5] * (len(v) - 1) for v in values], "revision": "r7"}).encode()
+
+    e = endpoint.Endpoint("http://x", "t", chunk=2, post=post, pause=paused.append)
+    assert e([["a", "b"], ["c", "d", "e"], ["f", "g"]]) == [[0.5], [0.5, 0.5], [0.5]]
+    assert [n for n, _ in asked] == [2, 2, 2, 1] and paused == [1, 2] and e.revision() == "r7"
+
+    def refuses(url, body, headers, timeout):
+        asked.append(None)
+        raise urllib.error.HTTPError(url, 422, "no", None, None)
+
+    asked.clear()
+    with pytest.raises(urllib.error.HTTPError):
+        endpoint.Endpoint("http://x", "t", post=refuses, pause=paused.append)([["a", "b"]])
+    assert len(asked) == 1 and paused == [1, 2]  # asked once, no pause
+    short = endpoint.Endpoint("http://x", "t", post=lambda *_: b'{"results": []}')
+    with pytest.raises(ValueError, match="asked for 1 values, got 0"):
+        short([["a", "b"]])
+    assert endpoint.configured("http://x", None) is None and endpoint.configured("", "t") is None and endpoint.configured("http://x", "t").url == "http://x"
 
 
 # ---------------------------------------------------------------- streams
@@ -234,6 +304,24 @@ def test_stream_windows(spark, tmp_path):
     assert [(r["event_type"], r["since"]) for r in spark.table("runs").orderBy("since").collect()] == [("a", rows[0][2]), ("b", rows[1][2])]
 
 
+def test_stream_runs_end_when_idle(spark, tmp_path):
+    """The last run of a key comes out once the watermark has left it behind; null is a content."""
+    t = datetime(2024, 1, 1)
+    hour = timedelta(hours=1)
+    src, schema = str(tmp_path / "in"), "user_id long, event_type string, ts timestamp_ntz"
+    spark.createDataFrame([(1, "a", t), (1, None, t + hour), (1, None, t + 2 * hour), (2, "z", t)], schema).coalesce(1).write.mode("append").parquet(src)
+
+    def run():
+        stream = spark.readStream.schema(schema).parquet(src)
+        q = streams.content_runs(streams.timed(stream, "ts", "1 hour"), "user_id", "event_type", "ts", idle=3_600_000).writeStream.format("parquet").option("path", str(tmp_path / "out")).outputMode("append").option("checkpointLocation", str(tmp_path / "c")).trigger(availableNow=True).start()
+        assert q.awaitTermination(120)
+        return {(r["user_id"], r["event_type"], r["since"], r["until"]) for r in spark.read.parquet(str(tmp_path / "out")).collect()}
+
+    assert (1, "a", t, t + hour) in run()
+    spark.createDataFrame([(3, "q", t + 50 * hour)], schema).coalesce(1).write.mode("append").parquet(src)
+    assert run() == {(1, "a", t, t + hour), (1, None, t + hour, t + 2 * hour), (2, "z", t, t)}
+
+
 def test_stream_of_extracts(spark, tmp_path):
     got = []
     src = str(tmp_path / "in")

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from chronicle import model as m
 from chronicle.operators import contract, history, linkage, segment
 from chronicle.plans.lifecycle import Plans
+from chronicle.sinks import metadata
 from chronicle.sources import files, xml
 
 MODEL = m.Model(
@@ -144,6 +145,10 @@ def test_structure(spark, tree):
     derived = xml.derive_contract(xml.scan(spark, root))
     assert xml.violations(xml.scan(spark, root), derived).count() == 0
     write("bad/cut", scheme("/Schemes/Cut")[:-40])
+    write("bad/cross", scheme("/Schemes/Cross").replace("</document>", "<a><b></a></b></document>"))
+    write("bad/two", scheme("/Schemes/Two2") + "<document/>")
+    write("bad/ref", scheme("/Schemes/Ref").replace("</document>", "&nope;</document>"))
+    write("good/comment", scheme("/Schemes/Comment", "t") + "\n<!-- end <x> -->\n")
     write("bad/root", f"<other {X} name='n' path='p' type='Scheme'></other>")
     write("bad/attr", f"<document {X} name='n' type='Scheme'></document>")
     write("bad/type", doc("/t", "Unheard"))
@@ -154,7 +159,7 @@ def test_structure(spark, tree):
     write("bad/none", scheme("/Schemes/N", "t", prop("t:date", "Date", "")))
     found = contract.most_common(xml.violations(xml.scan(spark, root), derived)).collect()
     said = [r["message"] for r in found]
-    assert len(said) == 8 and found[0]["n"] == 2 and "unknown property t:new" in said[0] and len(found[0]["examples"]) == 2
+    assert len(said) == 8 and found[0]["n"] == 4 and "not parseable" in said[0] and found[1]["n"] == 2 and "unknown property t:new" in said[1] and len(found[1]["examples"]) == 2
     for part in ("not parseable", "root element is <other>", "lacks attributes path", "unknown document type Unheard", "t:rank is String, expected Long", "children [text, value]", "t:date has children []"):
         assert any(part in s for s in said), part
     with pytest.raises(contract.ContractError, match="2 times"):
@@ -180,15 +185,67 @@ def test_load_publish_build(spark, tree, tmp_path):
     assert rows["three"]["title"] == "changed" and rows["three"]["previous_update_dates"] == ["2024-W03"] and rows["three"]["last_updated"] == "2024-W03"
     assert rows["two"]["absent"] and rows["two"]["on_website_to"] == "2024-W03" and not rows["sub-one"]["absent"] and rows["sub-one"]["on_website_to"] is None
     assert rows["sub-one"]["on_website_from"] == "2024-W02" and rows["sub-one"]["keywords_extracted"] == ["kleine Bäume und Wege", "Test"]
-    names = p.build(str(tmp_path / "dist"))
+    (tmp_path / "LICENCE").write_text("L")
+    about = metadata.About({"en": "Schemes", "de": "Programme"}, publisher="P", licence="https://licence/L")
+    build = lambda: p.build(str(tmp_path / "dist"), about=about, licence_file=str(tmp_path / "LICENCE"))
+    names = build()
+    assert {"LICENCE", "index.html", "columns.html", "vocabularies.html", "dataset.ttl"} <= set(names) and "LICENCE" in Path(tmp_path, "dist/index.html").read_text()
     before = {n: Path(tmp_path, "dist", n).read_bytes() for n in names}
     with open(tmp_path / "dist/table.csv", encoding="utf-8", newline="") as f:
         back = {r["id_url"]: r for r in csv.DictReader(f)}
     assert json.loads(back["sub-one"]["sub"]) == ["a.1", "b.2"] and json.loads(back["sub-one"]["further_links"])[0]["title"] == "Second" and back["two"]["keywords"] == ""
-    p.build(str(tmp_path / "dist"))
+    build()
     assert before == {n: Path(tmp_path, "dist", n).read_bytes() for n in names}
 
 
+def test_loads_are_whole(spark, tree, tmp_path, monkeypatch):
+    """A load that fails on its way changes nothing: no version without its ledger row; closed windows aren't rewritten; a repeated href is refused."""
+    root, write = tree
+    p = plans(spark, tmp_path)
+    p.load(root, MONDAY)
+    _, held = p.store.current()
+    write("s/three", scheme("/Schemes/Three", "changed"))
+    monkeypatch.setattr(Plans, "_recorded", lambda *_: 1 / 0)
+    with pytest.raises(ZeroDivisionError):
+        p.load(root, MONDAY + WEEK)
+    monkeypatch.undo()
+    assert p.store.current()[1] == held and p.versions().count() == 3
+    p.load(root, MONDAY + WEEK)
+    closed = p.store.current()[1]["versions/closed"]
+    write("s/three", scheme("/Schemes/Three", "again"))
+    p.load(root, MONDAY + 2 * WEEK)
+    assert p.store.current()[1]["versions/closed"][:1] == closed and len(p.store.current()[1]["versions/closed"]) == 2 and p.versions().count() == 5
+    write("c/3", doc("/c/1", "Contact", prop("t:title", "RichText", rich("Twice"))))
+    with pytest.raises(history.HistoryError, match="href is not unique: /c/1"):
+        p.load(root, MONDAY + 3 * WEEK)
+
+
+def test_cache_answers(spark, tree, tmp_path):
+    """What the cache has isn't asked for again; another revision is another answer."""
+    root, write = tree
+    asked = spark.sparkContext.accumulator(0)
+
+    def scorer(batch):
+        asked.add(len(batch))
+        return segment.rule_scorer(batch)
+
+    p = plans(spark, tmp_path)
+    p.load(root, MONDAY, scorer, "r1")
+    n = asked.value
+    assert n == 1 and p.segments().count() == 1
+    base, _ = p.store.current()
+    p.store.commit(base, {"segments": []})  # lost segments come back from the cache
+    assert p.segment(scorer, "r1", MONDAY + 1) == 1 and asked.value == n and p.segments().first()["terms"] == ["kleine Bäume und Wege", "Test"]
+    assert p.segment(scorer, "r2", MONDAY + 2) == 1 and asked.value == n + 1
+
+
+def test_a_load_parses_once(spark, tree, tmp_path):
+    root, _ = tree
+    plan = xml.documents(xml.scan(spark, root).persist(), MODEL)._jdf.queryExecution().executedPlan().toString()
+    assert "InMemoryTableScan" in plan
+    spark.catalog.clearCache()
+
+
 def test_guards_leave_the_history_alone(spark, tree, tmp_path):
     root, write = tree
     p = plans(spark, tmp_path)
@@ -228,6 +285,8 @@ def test_files(spark, tmp_path):
     got = files.with_fallback(spark.createDataFrame([("a",), ("c",), ("d",)], "key string"), cells, spark.createDataFrame([("a", "no"), ("c", "C")], "key string, label string"))
     assert sorted(map(tuple, got.collect()), key=str) == [("a", "A"), ("c", "C"), ("d", None)]
     assert files.drifted({"x": "2023-1", "y": "1"}, {"x": "2024-0", "y": "1"}) == {"x": ("2023-1", "2024-0")}
+    (tmp_path / "registry.json").write_text('[{"identifier": "x", "version": "2"}, {"identifier": "x", "version": "1"}]', encoding="utf-8")
+    assert files.registry((tmp_path / "registry.json").as_uri()) == {"x": "2"}
     with files.export("unused", str(tmp_path)) as d:
         assert d == str(tmp_path)
     import zipfile
@@ -237,6 +296,9 @@ def test_files(spark, tmp_path):
     with files.export((tmp_path / "e.zip").as_uri()) as d:
         assert Path(d, "s/a.xml").read_text() == "<a/>"
     assert not Path(d).exists()
+    with files.export((tmp_path / "e.zip").as_uri(), spark=spark, shared=str(tmp_path / "shared")) as d:
+        assert spark.read.text(f"{d}/s").count() == 1 and str(tmp_path / "shared") in d
+    assert list((tmp_path / "shared").glob("export-*")) == []
 
 
 def test_first_link_by(spark):
