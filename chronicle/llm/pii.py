@@ -24,6 +24,7 @@ import unicodedata
 from bisect import bisect_right
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -178,25 +179,31 @@ def _word_triggers(text: str) -> tuple[bool, bool]:
 
 
 class Tape:
-    """A rewritten text; piece by piece it knows where in the source it came from."""
+    """A rewritten text; piece by piece it knows where in the source it came from (two small integers a character)."""
 
     def __init__(self, text: str) -> None:
         self.text = text
-        self.starts = list(range(len(text)))
-        self.ends = list(range(1, len(text) + 1))
+        self.starts = np.arange(len(text), dtype=np.int32)
+        self.ends = self.starts + 1
 
     def rewrite(self, edits: list[tuple[int, int, str]]) -> None:
         """Replaces spans, which are in order and apart; what is put out comes from the whole span."""
         if not edits:
             return
-        text, starts, ends, last = [], [], [], 0
+        text, last = [], 0
         for a, b, new in edits:
             text += [self.text[last:a], new]
-            starts += self.starts[last:a] + [self.starts[a]] * len(new)
-            ends += self.ends[last:a] + [self.ends[b - 1]] * len(new)
             last = b
+        n = np.fromiter((len(x) for _, _, x in edits), np.int64, len(edits))
+        begin, end = (np.fromiter((e[i] for e in edits), np.int64, len(edits)) for i in (0, 1))
+        # what stays, with each edit's own characters where it begins
+        keep = np.ones(len(self.text) + 1, bool)
+        keep[:-1] = np.cumsum(np.bincount(begin, minlength=len(keep)) - np.bincount(end, minlength=len(keep)))[:-1] == 0
+        kept = np.flatnonzero(keep[:-1])
+        at = np.searchsorted(kept, np.repeat(begin, n))
         self.text = "".join([*text, self.text[last:]])
-        self.starts, self.ends = starts + self.starts[last:], ends + self.ends[last:]
+        self.starts = np.insert(self.starts[kept], at, np.repeat(self.starts[begin], n))
+        self.ends = np.insert(self.ends[kept], at, np.repeat(self.ends[end - 1], n))
 
 
 def _numerals(text: str, a: int, b: int) -> list[tuple[int, int, str]]:
@@ -294,7 +301,7 @@ def _added(base: list[Span], tape: Tape) -> list[Span]:
         held[k].append((a, b))
     more: list[Span] = []
     for k, a, b in base_spans(tape.text):
-        a, b = tape.starts[a], tape.ends[b - 1]
+        a, b = int(tape.starts[a]), int(tape.ends[b - 1])
         i = bisect_right(held[k], (a, a))
         near = held[k][max(0, i - 1) : i + 1]
         if not any(x < b and a < y for x, y in near):
