@@ -366,10 +366,10 @@ def bucket_bits(n_keys: int, per_bucket: int, least: int = 9) -> int:
 # ---------------------------------------------------------------- components
 
 
-def components(links: DataFrame, a: str, b: str, rounds: int = 60) -> DataFrame:
+def components(links: DataFrame, a: str, b: str) -> DataFrame:
     """(id, component_id): the smallest id that links reach, for each id in a link.
 
-    Large-star and small-star steps in turn; each ends in a checkpoint. A hub's rows are
+    Large-star and small-star steps in turn, until a round changes nothing; each ends in a checkpoint. A hub's rows are
     only joined to one minimum each and aggregated map-side first, so a star of a third of
     all rows makes no more rows than it has links.
     """
@@ -377,7 +377,7 @@ def components(links: DataFrame, a: str, b: str, rounds: int = 60) -> DataFrame:
         links.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).where("u <> v").distinct()
     )
     last = None
-    for _ in range(rounds):
+    while True:
         both = edges.select("u", "v").union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("m")).select(F.col("u").alias("k"), F.least("u", "m").alias("m"))
         large = both.join(least, F.col("u") == F.col("k")).where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
@@ -392,7 +392,6 @@ def components(links: DataFrame, a: str, b: str, rounds: int = 60) -> DataFrame:
                 edges.select(F.col("v").alias("id"), F.col("v").alias("component_id")).distinct()
             )
         last = state
-    raise RuntimeError(f"components did not settle in {rounds} rounds")
 
 
 # ---------------------------------------------------------------- classes
