@@ -202,15 +202,10 @@ MONDAY, WEEK = 1704682800.0, 7 * 86400  # 2024-01-08 03:00 UTC
 
 
 @query("""
-SELECT 'n-' || n_nationkey AS id_url, CASE WHEN n_nationkey % 4 = 1 THEN 'new ' ELSE '' END || n_name AS title, 'r' || n_regionkey AS kinds,
-CASE WHEN n_nationkey % 5 = 2 THEN '2024-W02' ELSE '2024-W02' END AS on_website_from, CASE WHEN n_nationkey % 5 = 3 THEN '2024-W03' END AS on_website_to,
-CASE WHEN n_nationkey % 4 = 1 AND n_nationkey % 5 <> 3 THEN '2024-W03' WHEN n_nationkey % 4 = 1 THEN '' ELSE '' END AS previous_update_dates, n_nationkey % 5 = 3 AS absent,
-CASE WHEN n_nationkey % 2 = 0 THEN 'kleine ' || upper(substr(n_name, 1, 1)) || '|Test' ELSE NULL END AS terms,
-25::BIGINT + (SELECT count(*) FROM nation WHERE n_nationkey % 4 = 1 AND n_nationkey % 5 <> 3) AS n_versions, (SELECT count(*) FROM nation WHERE n_nationkey % 5 <> 3) AS n_live
-FROM nation WHERE NOT (n_nationkey % 4 = 1 AND n_nationkey % 5 = 3)
-UNION ALL SELECT 'n-' || n_nationkey, n_name, 'r' || n_regionkey, '2024-W02', '2024-W03', '', true, CASE WHEN n_nationkey % 2 = 0 THEN 'kleine ' || upper(substr(n_name, 1, 1)) || '|Test' ELSE NULL END,
-25::BIGINT + (SELECT count(*) FROM nation WHERE n_nationkey % 4 = 1 AND n_nationkey % 5 <> 3), (SELECT count(*) FROM nation WHERE n_nationkey % 5 <> 3)
-FROM nation WHERE n_nationkey % 4 = 1 AND n_nationkey % 5 = 3""")
+WITH n AS (SELECT n_nationkey AS k, n_name, n_regionkey, n_nationkey % 5 = 3 AS gone, n_nationkey % 4 = 1 AND n_nationkey % 5 <> 3 AS changed FROM nation)
+SELECT 'n-' || k AS id_url, CASE WHEN changed THEN 'new ' ELSE '' END || n_name AS title, 'r' || n_regionkey AS kinds, '2024-W02' AS on_website_from, CASE WHEN gone THEN '2024-W03' END AS on_website_to,
+CASE WHEN changed THEN '2024-W03' ELSE '' END AS previous_update_dates, gone AS absent, CASE WHEN k % 2 = 0 THEN 'kleine ' || upper(substr(n_name, 1, 1)) || '|Test' END AS terms,
+(SELECT count(*) + count(*) FILTER (changed) FROM n)::BIGINT AS n_versions, (SELECT count(*) FILTER (NOT gone) FROM n)::BIGINT AS n_live FROM n""")
 def published_history(spark, sf_dir):
     """Three loads of the nations' documents: all, all unchanged, then some changed and some gone; what is published then."""
     folder = shared_folder(spark)
@@ -258,9 +253,93 @@ def store_commits(spark, sf_dir):
     return spark.createDataFrame(out, "said string, n long")
 
 
+@query("SELECT '/n/' || n_nationkey AS href, CASE WHEN n_nationkey % 4 = 0 THEN 'moved ' ELSE '' END || n_name AS city, '2024-01-08' AS since, NULL::VARCHAR AS until FROM nation WHERE n_nationkey % 4 <> 0 UNION ALL SELECT '/n/' || n_nationkey, n_name, '2024-01-08', '2024-01-15' FROM nation WHERE n_nationkey % 4 = 0 UNION ALL SELECT '/n/' || n_nationkey, 'moved ' || n_name, '2024-01-15', NULL FROM nation WHERE n_nationkey % 4 = 0")
+def linked_history(spark, sf_dir):
+    """Versions of linked documents, by their own key; closed ones stay where they are."""
+    nation = table(spark, sf_dir, "nation")
+    href = F.concat(F.lit("/n/"), F.col("n_nationkey").cast("string")).alias("href")
+    store = tables.Store(spark, shared_folder(spark))
+    ddl = f"href string, city string, row_hash string, {history.FROM} timestamp, {history.TO} timestamp"
+    for day, moved in (("2024-01-08", False), ("2024-01-15", True), ("2024-01-22", True)):
+        base, held = store.current()
+        city = F.concat(F.when((F.col("n_nationkey") % 4 == 0) & F.lit(moved), "moved ").otherwise(""), F.col("n_name")).alias("city")
+        merged = history.apply_live(store.read("open", ddl), nation.select(href, city), F.lit(day).cast("timestamp"), "href")
+        closing = store.write(merged.where(F.col(history.TO).isNotNull()), "closed")
+        store.commit(base, {"open": [store.write(merged.where(F.col(history.TO).isNull()), "open")], "closed": [*held.get("closed", []), closing]})
+    day = lambda c: F.date_format(c, "yyyy-MM-dd")
+    return store.read(["open", "closed"], ddl).select("href", "city", day(history.FROM).alias("since"), day(history.TO).alias("until"))
+
+
+@query(f"SELECT * FROM (VALUES {values(*((n, True) for n in ('LICENCE', 'columns.html', 'dataset.jsonld', 'dataset.ttl', 'index.html', 'table-schema.json', 'table.csv', 'vocabularies.html')))}) AS t(name, written) UNION ALL SELECT 'rows of table.csv: ' || count(*), true FROM nation")
+def built_files(spark, sf_dir):
+    """What a publication writes: table, contract, metadata that keeps its shapes, pages, licence."""
+    import tempfile
+    from pathlib import Path
+
+    folder = shared_folder(spark)
+    for r in table(spark, sf_dir, "nation").collect():
+        put(spark, f"{folder}/in/n{r.n_nationkey}.xml", f'<document {XLINK} name="n" path="/n/{r.n_nationkey}" type="Nation"><property name="t:title" type="RichText"><text>{r.n_name}</text></property></document>')
+    plans = Plans(spark, NATIONS, f"{folder}/store", base_url="https://site")
+    plans.load(f"{folder}/in", MONDAY)
+    with tempfile.TemporaryDirectory() as d:  # the driver publishes on its own machine
+        Path(d, "LICENCE").write_text("L")
+        names = plans.build(f"{d}/out", about=metadata.About({"en": "Nations", "de": "Länder"}, publisher="P", licence="https://licence/L"), licence_file=f"{d}/LICENCE")
+        rows = [(n, Path(d, "out", n).stat().st_size > 0) for n in names]
+        rows.append((f"rows of table.csv: {Path(d, 'out/table.csv').read_text(encoding='utf-8').count(chr(10)) - 1}", True))
+    return spark.createDataFrame(rows, "name string, written boolean")
+
+
 # ---------------------------------------------------------------- files
 
 
+@query("SELECT '/r/' || r_regionkey AS path, r_name AS title FROM region UNION ALL SELECT 'folder kept', 'false'")
+def archive_export(spark, sf_dir):
+    """An export fetched as an archive, unpacked where executors see it for as long as it is used."""
+    import tempfile
+    import zipfile
+    from pathlib import Path
+
+    small = m.Model("Region", [m.Field("title", "t:title")])
+    with tempfile.TemporaryDirectory() as d:  # stands for the server
+        with zipfile.ZipFile(Path(d, "e.zip"), "w") as z:
+            for r in table(spark, sf_dir, "region").collect():
+                z.writestr(f"deep/{r.r_regionkey}.xml", f'<document {XLINK} name="n" path="/r/{r.r_regionkey}" type="Region"><property name="t:title" type="RichText"><text>{r.r_name}</text></property></document>')
+        with files.export(Path(d, "e.zip").as_uri(), spark=spark, shared=shared_folder(spark)) as root:
+            rows = [(r.path, r.title) for r in xml.documents(xml.scan(spark, root), small).collect()]
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(root)
+    kept = at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(at)
+    return spark.createDataFrame([*rows, ("folder kept", str(kept).lower())], "path string, title string")
+
+
+def _answers(url: str, body: bytes, headers, timeout: float) -> bytes:
+    """A server that joins words of one first letter and is busy at every second question."""
+    import urllib.error
+
+    values_ = json.loads(body)["tokens"]
+    _answers.asked = getattr(_answers, "asked", 0) + 1
+    if _answers.asked % 2:
+        raise urllib.error.HTTPError(url, 503, "busy", None, None)
+    return json.dumps({"results": [[0.9 if a[0] == b[0] else 0.1 for a, b in zip(v, v[1:], strict=False)] for v in values_]}).encode()
+
+
+@query("""
+WITH n AS (SELECT DISTINCT p_name FROM part), s AS (SELECT p_name, split_part(p_name, ' ', 1) AS a, split_part(p_name, ' ', 2) AS b FROM n)
+SELECT p_name, CASE WHEN b = '' THEN a WHEN substr(a, 1, 1) = substr(b, 1, 1) THEN a || ' ' || b ELSE a || '|' || b END AS terms, md5(p_name) < '8' AS cached FROM s""")
+def endpoint_answers(spark, sf_dir):
+    """Terms by a model behind an endpoint that has to be asked again; what the cache has isn't asked for."""
+    from chronicle.sources import endpoint
+
+    part = table(spark, sf_dir, "part").select("p_name")
+    scorer = endpoint.configured("http://model", "token", chunk=16, post=_answers, pause=lambda _: None)
+    assert endpoint.configured("http://model", None) is None
+    first = segment.scored(part.where(F.md5("p_name") < "8"), "p_name", scorer)
+    cache = first.select(segment.cache_key(F.col("p_name"), "r").alias("key"), "probabilities")
+    known, asked = segment.cached(part, cache, "p_name", "r")
+    every = known.select("p_name", segment.tokens(F.col("p_name")).alias("tokens"), "probabilities", F.lit(True).alias("cached")).unionByName(segment.scored(asked, "p_name", scorer).withColumn("cached", F.lit(False)))
+    return every.select("p_name", F.array_join(segment.decoded(F.col("tokens"), F.col("probabilities"))["terms"], "|").alias("terms"), "cached")
+
+
+
 @query("SELECT n_nationkey, CASE WHEN n_nationkey % 3 = 0 THEN 'a \"q\", ' || n_name || chr(10) || 'z' WHEN n_nationkey % 3 = 1 THEN n_name END AS said, '[' || n_regionkey || ',null]' AS cells FROM nation")
 def csv_round_trip(spark, sf_dir):
     """One CSV file with quotes, line breaks, nulls and nested cells, written and read back."""
@@ -418,7 +497,7 @@ def contract_examples(spark, sf_dir):
 SELECT 'duplicates' AS guard, 'n_regionkey is not unique: ' || (SELECT string_agg(n_regionkey::VARCHAR, ', ' ORDER BY n_regionkey) FROM (SELECT n_regionkey FROM nation GROUP BY 1 HAVING count(*) > 1 ORDER BY 1 LIMIT 5)) AS said
 UNION ALL SELECT 'null key', 'k is null' UNION ALL SELECT 'drift', 'columns changed: new [''n_name'', ''n_regionkey''], missing [''declared'']'
 UNION ALL SELECT 'empty', 'the extract is empty' UNION ALL SELECT 'shrinkage', 'the extract has ' || (SELECT count(*) FROM part WHERE p_partkey % 2 = 0) || ' rows; ' || (SELECT count(*) FROM part) || ' are live'
-UNION ALL SELECT 'undecided', 'c.' || min(n_name) FROM nation UNION ALL SELECT 'header', 'missing: b; extra: c' UNION ALL SELECT 'order', 'columns are out of order'""")
+UNION ALL SELECT 'fields', 'unknown fields: nope, other' UNION ALL SELECT 'undecided', 'c.' || min(n_name) FROM nation UNION ALL SELECT 'header', 'missing: b; extra: c' UNION ALL SELECT 'order', 'columns are out of order'""")
 def refusals(spark, sf_dir):
     """What each guard says when it refuses."""
     nation, part = table(spark, sf_dir, "nation"), table(spark, sf_dir, "part")
@@ -430,6 +509,7 @@ def refusals(spark, sf_dir):
         "drift": lambda: history.refuse_drift(nation, ["n_nationkey", "declared"]),
         "empty": lambda: history.refuse_shrinkage(0, 0),
         "shrinkage": lambda: history.refuse_shrinkage(part.count(), part.where("p_partkey % 2 = 0").count()),
+        "fields": lambda: MODEL.wanted(["title", "other", "nope"]),
         "undecided": lambda: codelists.decided(rows),
     }
     out = [("header", "; ".join(contract.header_faults(["a", "c"], ["a", "b"]))), ("order", "; ".join(contract.header_faults(["b", "a"], ["a", "b"])))]
