@@ -314,24 +314,25 @@ def _listed(spans: list[Span]) -> str:
 
 
 def _report(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    names = ["doc_id", *(f"n_{k}" for k in KINDS), "base_sha256", "spans"]
+    names = ["doc_id", *(f"n_{k}" for k in KINDS), "base_sha256", "spans", "n_spans"]
     for batch in batches:
         rows = []
         for text in batch.column(1):
             text = text.as_py() or ""
             base = base_spans(text)
             kinds = [k for k, _, _ in base]
-            rows.append((*(kinds.count(k) for k in KINDS), hashlib.sha256(_listed(base).encode()).hexdigest(), _listed(all_spans(text, base))))
-        cols = [pa.array([r[i] for r in rows], pa.int64() if i < 4 else pa.string()) for i in range(6)]
+            found = all_spans(text, base)
+            rows.append((*(kinds.count(k) for k in KINDS), hashlib.sha256(_listed(base).encode()).hexdigest(), _listed(found), len(found)))
+        cols = [pa.array([r[i] for r in rows], pa.string() if i in (4, 5) else pa.int64()) for i in range(7)]
         yield pa.RecordBatch.from_arrays([batch.column(0), *cols], names)
     c.release()
 
 
 def find(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row for each row of docs: doc_id, n_email, n_ip, n_card, n_phone (base spans),
-    base_sha256, spans (all spans as kind:start:end)."""
+    base_sha256, spans (all spans as kind:start:end), n_spans (how many)."""
     rows = c.bounded(docs).select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    return rows.mapInArrow(_report, "doc_id long, n_email long, n_ip long, n_card long, n_phone long, base_sha256 string, spans string")
+    return rows.mapInArrow(_report, "doc_id long, n_email long, n_ip long, n_card long, n_phone long, base_sha256 string, spans string, n_spans long")
 
 
 def masked_text(text: str | None) -> str | None:
