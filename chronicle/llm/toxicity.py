@@ -93,12 +93,16 @@ class Grammar:
         for kind, seeds in SEEDS.items():
             self.symbols.update((w, (kind, SEED_WEIGHT if kind in (INSULT, THREAT) else 0.0)) for w in seeds.split())
         self.lexicon, self.weights, self.menaces = lexicon, weights, menaces
+        self.heads = {unit[: STEMS[0]] for unit in lexicon}
         step, out = composed()
         self.step, self.out = step.tolist(), out.tolist()
         self.known: dict[str, tuple[int, float]] = {}
+        self.telling: set[str] = set()  # of the known ones, those that can match
 
     def _symbol(self, word: str) -> tuple[int, float]:
         """The lexical transducer: exact word, else its heaviest stem."""
+        if word[: STEMS[0]] not in self.heads:
+            return self.symbols.get(word) or (NOTHING if word[:1].isalpha() else END)
         learned, unit = max((self.lexicon.get(u, 0.0), u) for u in (word, *(f"{word[:n]}*" for n in STEMS if len(word) > n)))
         kind, weight = self.symbols.get(word, (OTHER, 0.0))
         if learned > 0 and kind in (OTHER, INSULT):
@@ -108,18 +112,17 @@ class Grammar:
     def features(self, text: str | None) -> np.ndarray:
         sums = [0.0] * len(KINDS)
         strongest, clauses = 0.0, 0
-        known = self.known
+        known, words = self.known, TOKEN.findall((text or "").lower())
+        distinct = set(words)
         if len(known) > KNOWN_WORDS:
             known.clear()
-        symbols = []
-        matched = False
-        for w in TOKEN.findall((text or "").lower()):
-            s = known.get(w)
-            if s is None:
-                s = known[w] = self._symbol(w)
-            symbols.append(s)
-            matched = matched or s[0] in MATCHED
-        if matched:
+            self.telling.clear()
+        for w in distinct.difference(known):
+            s = known[w] = self._symbol(w)
+            if s[0] in MATCHED:
+                self.telling.add(w)
+        if not distinct.isdisjoint(self.telling):
+            symbols = [known[w] for w in words]
             state, clause = 0, {}
             for symbol, weight in [*symbols, END]:
                 kind = self.out[state][symbol]
