@@ -38,6 +38,8 @@ from . import common as c
 
 UNIVERSE = 1 << 20
 BANDS, ROWS = 40, 5
+#: Nodes that a block need not have less of, and blocks that groups are cut into for that reason alone.
+TASK_NODES, MOST_TASKS = 128, 16
 
 
 @cache
@@ -210,8 +212,12 @@ def grouped(docs: DataFrame, shingle: int, percent: int, id_col: str, text_col:
     met = c.checkpointed(inside.join(split.select("key", "group"), "key").select("group", "node", "comp").distinct())
     if not met.isEmpty():
         weight = met.join(nodes.select("node", "n_shingles"), "node").withColumn("probe", F.col("comp") != F.col("group"))
-        part = lambda x: F.greatest(F.lit(1), F.ceil(x / F.lit(block))).cast("int")
-        cut = weight.groupBy("group").agg(part(F.sum("n_shingles")).alias("blocks"), part(F.sum(F.when(F.col("probe"), F.col("n_shingles")))).alias("probes"))
+        # Blocks of bounded shingles; a group of fewer is dealt to some tasks all the same.
+        part = lambda x, n: F.greatest(F.lit(1), F.ceil(x / F.lit(block)), F.least(F.lit(MOST_TASKS), F.ceil(n / F.lit(TASK_NODES)))).cast("int")
+        cut = weight.groupBy("group").agg(
+            part(F.sum("n_shingles"), F.count("*")).alias("blocks"),
+            part(F.sum(F.when(F.col("probe"), F.col("n_shingles"))), F.count_if("probe")).alias("probes"),
+        )
         held = weight.join(cut, "group").join(sets(met.select("node").distinct()), "node")
         place = lambda n: F.pmod(F.xxhash64("node"), n).cast("int")
         upto = lambda n: F.explode(F.sequence(F.lit(0), n - 1))
