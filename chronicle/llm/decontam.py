@@ -264,9 +264,13 @@ def _passes(items: DataFrame, window: int, item_col: str, text_col: str, block_b
     return out
 
 
+#: Bytes of text in a shard; its arrays take some 25 times as much.
+SHARD = 2 << 20
+
+
 def _parts(batches: Iterator[pa.RecordBatch], text: str) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        yield from c.parts(batch, text, 4 << 20)
+        yield from c.parts(batch, text, SHARD)
     c.release()
 
 
