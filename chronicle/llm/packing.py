@@ -1,13 +1,14 @@
-"""Best-fit packing of documents into training sequences, in bulk-synchronous rounds.
+"""Best-fit packing of documents into training sequences, on runs of equal length.
 
 Documents are tokenized once and cut into pieces; pieces are range-sorted by length, longest
-first, with a hash to break ties, so that one frequent length spreads over many partitions.
-Of each length all pieces ask at once for the smallest gap that takes them (the successor in
+first, with a hash of their place to break ties, so that one frequent length spreads over many partitions.
+Of each length, the longest first, all pieces ask at once for the smallest gap that takes them (the successor in
 the sorted gaps); where more pieces want a gap than there are sequences with it, their rank in
 the range-sorted order decides; gaps are updated and the rest asks again, and opens new
 sequences where no gap is left. As lengths and gaps are integers up to the capacity, pieces of
-one length and sequences of one gap are interchangeable: a round deals with runs (how many,
-from which rank, into which sequences), so what the driver sees is a histogram of at most
+one length and sequences of one gap are interchangeable: what is matched are runs (how many,
+from which rank, into which sequences). So the matching is no distributed sweep over single rows, as the
+bulk-synchronous method has it: the driver does it on a histogram of at most
 `capacity` lengths, and the plan is a list of runs whose size does not depend on the number of
 documents. Tasks look their pieces' ranks up in it.
 
@@ -164,8 +165,10 @@ def pack(docs: DataFrame, vocabulary: str | None = None, capacity: int = 1024, i
     schema = "doc_id long, piece int, start long, length long, ids_crc32 long"
     texts = c.bounded(docs).select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     pieces = c.checkpointed(texts.mapInArrow(lambda b: _pieces(vocabulary, capacity, b), schema))
-    order = [F.col("length").desc(), F.xxhash64("doc_id", "piece", "ids_crc32"), F.col("doc_id"), F.col("piece")]
-    ranked = c.checkpointed(pieces.repartitionByRange(*order).sortWithinPartitions(*order))
+    # Places in the checkpoint break ties, so that neither one length nor equal rows stay in one partition.
+    order = [F.col("length").desc(), F.col("tie")]
+    placed = pieces.withColumn("tie", F.xxhash64(F.monotonically_increasing_id()))
+    ranked = c.checkpointed(placed.repartitionByRange(*order).sortWithinPartitions(*order).drop("tie"))
     counts = {r["length"]: r["n"] for r in pieces.groupBy("length").agg(F.count("*").alias("n")).collect()}  # at most `capacity` rows
     sizes = {r["p"]: r["n"] for r in ranked.groupBy(F.spark_partition_id().alias("p")).agg(F.count("*").alias("n")).collect()}
     before, total = {}, 0

@@ -268,6 +268,13 @@ def test_packing(spark):
     assert packing.pack(df.limit(0)).count() == 0
 
 
+def test_packing_equal_rows(spark):
+    """Rows that are the same in everything are packed one by one."""
+    df = spark.range(3000).select(F.lit(7).cast("long").alias("doc_id"), F.lit("one two three").alias("text"))
+    places = [(r["sequence_id"], r["offset"], r["length"]) for r in packing.pack(df).collect()]
+    assert len(set(places)) == 3000 and len({s for s, _, _ in places}) == -(-3000 // (1024 // places[0][2]))
+
+
 def test_plan():
     for seed in range(20):
         r = random.Random(seed)
