@@ -199,7 +199,8 @@ def grouped(docs: DataFrame, shingle: int, percent: int, id_col: str, text_col:
         return full.where("node <> 0").groupBy("node").agg(F.any_value("shingles").alias("shingles"))
 
     pairs = c.checkpointed(pairs)
-    full = sets(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct())
+    # Read from a checkpoint, a hub's pairs can be split over tasks by the engine.
+    full = c.checkpointed(sets(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()))
     left, right = full.select(F.col("node").alias("a"), F.col("shingles").alias("x")), full.select(F.col("node").alias("b"), F.col("shingles").alias("y"))
     checked = pairs.join(left, "a").join(right, "b").select("a", "b", "x", "y").mapInArrow(lambda b: _verify(percent, b), "a long, b long")
     links = c.checkpointed(checked)
@@ -209,7 +210,8 @@ def grouped(docs: DataFrame, shingle: int, percent: int, id_col: str, text_col:
     inside = members.where("n > 3 and node <> lo and node <> hi").select("key", "node").join(comps, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
     by = inside.groupBy("key", "comp").agg(F.count("*").alias("size"))
     split = by.groupBy("key").agg(F.count("*").alias("comps"), F.max_by("comp", F.struct("size", "comp")).alias("group")).where("comps > 1")
-    met = c.checkpointed(inside.join(split.select("key", "group"), "key").select("group", "node", "comp").distinct())
+    split = c.checkpointed(split.select("key", "group"))  # and so can a bucket's nodes
+    met = c.checkpointed(inside.join(split, "key").select("group", "node", "comp").distinct())
     if not met.isEmpty():
         weight = met.join(nodes.select("node", "n_shingles"), "node").withColumn("probe", F.col("comp") != F.col("group"))
         # Blocks of bounded shingles; a group of fewer is dealt to some tasks all the same.
