@@ -447,12 +447,12 @@ def classifier_names(spark, sf_dir):
     return table(spark, sf_dir, "pages").select("page_id", text.classifier(F.concat(F.lit("/x/Common/"), text.leaf(F.col("url")))).alias("name"))
 
 
-@query(f"SELECT * FROM (VALUES {values(('GRW', 'grw', 'gRW'), ('UFForschung', 'uf_forschung', 'ufForschung'), ('FundingType', 'funding_type', 'fundingType'), ('kontaktURLName', 'kontakt_u_r_l_name', 'kontaktURLName'))}) AS t(name, col, back)")
+@query(f"SELECT * FROM (VALUES {values(('ABC', 'abc', 'aBC'), ('XYNewArea', 'xy_new_area', 'xyNewArea'), ('AreaKind', 'area_kind', 'areaKind'), ('someURLName', 'some_u_r_l_name', 'someURLName'))}) AS t(name, col, back)")
 def classifier_columns(spark, sf_dir):
     """Column names of classifiers, and camelCase names of columns."""
-    names = ["GRW", "UFForschung", "FundingType", "kontaktURLName"]
-    snake = [text.classifier_column(n, ("GRW",), ("UF",)) for n in names]
-    back = ["gRW" if s == "grw" else text.camel(s) for s in snake]
+    names = ["ABC", "XYNewArea", "AreaKind", "someURLName"]
+    snake = [text.classifier_column(n, ("ABC",), ("XY",)) for n in names]
+    back = ["aBC" if s == "abc" else text.camel(s) for s in snake]
     return spark.createDataFrame(list(zip(names, snake, back, strict=True)), "name string, col string, back string")
 
 
