@@ -35,6 +35,8 @@ class Sets:
 def test_components(spark):
     r = random.Random(5)
     links = [(r.randint(0, 60), r.randint(0, 60)) for _ in range(45)] + [(100, i) for i in range(101, 160)] + [(200 + i, 201 + i) for i in range(40)]
+    hubs = [(1000, i) for i in range(2000, 2400)] + [(9999, i) for i in range(3000, 3400)] + [(5500, i) for i in range(5200, 5800)] + [(9999, 5200)]  # smallest, largest, in between
+    links += r.sample(hubs, len(hubs))
     sets = Sets()
     for a, b in links:
         sets.join(a, b)
