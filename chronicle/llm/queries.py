@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import block_dedup, chat, common, decontam, minhash, oracles, packing, pii, rp_forest, suffix_dedup, token_counts, toxicity
+from . import block_dedup, chat, common, decontam, minhash, oracles, packing, period_runs, pii, rp_forest, suffix_dedup, token_counts, toxicity
 
 
 def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -56,8 +56,12 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.find(common.table(spark, sf_dir, "documents"))
 
 
+def op13_period_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return period_runs.digests(common.table(spark, sf_dir, "documents"), tail=period_runs.planted_tail)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    every = (op1_toxicity, op2_suffix_dedup, op3_decontamination, op4_minhash, op5_token_counts, op6_embedding_dedup, op7_packing, op8_substring_dedup, op9_chat, op10_pii)
+    every = (op1_toxicity, op2_suffix_dedup, op3_decontamination, op4_minhash, op5_token_counts, op6_embedding_dedup, op7_packing, op8_substring_dedup, op9_chat, op10_pii, op13_period_runs)
     return {f.__name__: f for f in every}
 
 
