@@ -37,19 +37,24 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def checkpointed(df: DataFrame) -> DataFrame:
-    """`df`, written to the shared checkpoint folder; its lineage ends there.
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that driver and executors share.
 
-    The folder is the one named by spark.checkpoint.dir; only where that is unset and Spark runs
+    It is the one named by spark.checkpoint.dir; only where that is unset and Spark runs
     in this one process (local tests) a folder of this machine is set instead.
     """
-    spark = df.sparkSession
     sc = spark.sparkContext
     if sc.getCheckpointDir() is None:
         named = spark.conf.get("spark.checkpoint.dir", None)
         if named is None and not re.fullmatch(r"local(\[.*\])?", sc.master):
             raise RuntimeError("spark.checkpoint.dir must name a folder that driver and executors share")
         sc.setCheckpointDir(named or tempfile.mkdtemp(prefix="checkpoint-"))
+    return sc.getCheckpointDir().rstrip("/")
+
+
+def checkpointed(df: DataFrame) -> DataFrame:
+    """`df`, written to the shared checkpoint folder; its lineage ends there."""
+    shared_folder(df.sparkSession)
     return df.checkpoint(eager=True)
 
 

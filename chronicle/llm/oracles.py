@@ -73,6 +73,15 @@ SELECT conv_id, count(*)::BIGINT AS n_turns, sha256(string_agg(r || chr(10) || x
   sum(24 + length(replace({_ESCAPED.format(x='r')}, chr(10), '\\n')) + length({_ESCAPED.format(x='x')}))::BIGINT AS formatted_chars
 FROM t GROUP BY conv_id"""
 
+#: A SHA-1 in base32: each 20 bits are four characters.
+_BASE32 = "array_to_string(list_transform(range(0, 32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', ((('0x' || substr({hex}, (i // 4 * 5 + 1)::INT, 5))::BIGINT >> (15 - i % 4 * 5)::INT) & 31)::INT + 1, 1)), '')"
+OP12 = f"""
+WITH p AS (SELECT page_id, url, coalesce(html, '') AS x, sha256(coalesce(html, '')) AS h FROM pages),
+r AS (SELECT *, row_number() OVER w AS k, first_value(page_id) OVER w AS first FROM p WINDOW w AS (PARTITION BY h ORDER BY page_id NULLS LAST, url NULLS LAST)),
+s AS (SELECT *, sha1(x) AS d FROM r)
+SELECT page_id, octet_length(encode(x))::BIGINT AS payload_bytes, {_BASE32.format(hex='d')} AS payload_digest,
+  CASE WHEN k = 1 THEN 'response' ELSE 'revisit' END AS record_type, CASE WHEN k > 1 THEN first END AS refers_to FROM s"""
+
 SQL = {
     "op2_suffix_dedup": OP2,
     "op3_decontamination": OP3,
@@ -80,4 +89,5 @@ SQL = {
     "op6_embedding_dedup": OP6,
     "op8_substring_dedup": OP8,
     "op9_chat": OP9,
+    "op12_warc": OP12,
 }
