@@ -73,6 +73,26 @@ SELECT conv_id, count(*)::BIGINT AS n_turns, sha256(string_agg(r || chr(10) || x
   sum(24 + length(replace({_ESCAPED.format(x='r')}, chr(10), '\\n')) + length({_ESCAPED.format(x='x')}))::BIGINT AS formatted_chars
 FROM t GROUP BY conv_id"""
 
+#: The unsigned CRC-32 of a text of digits, by a table that is made from its polynomial; `crc` must be in scope.
+_CRC_TABLE = "crc AS (SELECT list(list_reduce(range(0, 8), lambda c, k: CASE WHEN (c & 1) = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, i) ORDER BY i) AS t FROM range(0, 256) AS r(i))"
+_CRC = "xor(list_reduce(list_transform(range(1, length({x}) + 1), lambda i: ascii(substr({x}, i::INT, 1))::BIGINT), lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1]), 4294967295), 4294967295)"
+_DIMS = ("source", "lang", "length", "date")
+OP11 = f"""
+WITH {_CRC_TABLE},
+v AS (SELECT row_number() OVER () AS k, doc_id, source, lang, coalesce(octet_length(encode(text)), -1) AS length, coalesce({_CRC.format(x='doc_id::VARCHAR')} % 365, -1) AS date FROM documents, crc),
+c AS (SELECT k, doc_id, {', '.join(f"(8 * (rank() OVER (ORDER BY {d} NULLS FIRST) - 1)) // count(*) OVER () AS c{i}" for i, d in enumerate(_DIMS))} FROM v),
+z AS (SELECT *, {' + '.join(f"((c{i} >> {b}) & 1) * {2 ** (4 * b + 3 - i)}" for b in (2, 1, 0) for i in range(4))} AS z FROM c),
+p AS (SELECT *, row_number() OVER (ORDER BY z, doc_id NULLS FIRST, k) - 1 AS position FROM z),
+f AS (SELECT *, position // {{file_rows}} AS file FROM p),
+bound AS (SELECT file, {', '.join(f"{m}(c{i}) AS {n}{i}" for i in range(4) for n, m in (("lo", "min"), ("hi", "max")))} FROM f GROUP BY 1),
+cell AS (SELECT DISTINCT z, c0, c1, c2, c3 FROM f),
+touched AS (SELECT z, count(*) AS n FROM cell JOIN bound ON c0 BETWEEN lo0 AND hi0 AND c1 BETWEEN lo1 AND hi1 AND c2 BETWEEN lo2 - 1 AND hi2 + 1 AND c3 BETWEEN lo3 - 1 AND hi3 + 1 GROUP BY 1),
+held AS (SELECT DISTINCT file, z, c0, c1, c2, c3 FROM f),
+matching AS (SELECT a.z, count(DISTINCT b.file) AS n FROM cell a JOIN held b ON a.c0 = b.c0 AND a.c1 = b.c1 AND abs(a.c2 - b.c2) <= 1 AND abs(a.c3 - b.c3) <= 1 GROUP BY 1)
+SELECT doc_id, f.z::BIGINT AS z, position::BIGINT AS position, f.file::BIGINT AS file, touched.n::BIGINT AS files_touched, matching.n::BIGINT AS files_matching,
+  concat_ws(',', {', '.join(f"{n}{i}" for i in range(4) for n in ("lo", "hi"))}) AS file_bounds
+FROM f JOIN bound ON bound.file = f.file JOIN touched ON touched.z = f.z JOIN matching ON matching.z = f.z"""
+
 #: A SHA-1 in base32: each 20 bits are four characters.
 _BASE32 = "array_to_string(list_transform(range(0, 32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', ((('0x' || substr({hex}, (i // 4 * 5 + 1)::INT, 5))::BIGINT >> (15 - i % 4 * 5)::INT) & 31)::INT + 1, 1)), '')"
 OP12 = f"""
@@ -89,5 +109,6 @@ SQL = {
     "op6_embedding_dedup": OP6,
     "op8_substring_dedup": OP8,
     "op9_chat": OP9,
+    "op11_cell_layout": OP11.format(file_rows=1000),
     "op12_warc": OP12,
 }

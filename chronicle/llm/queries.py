@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import block_dedup, chat, common, decontam, minhash, oracles, packing, period_runs, pii, rp_forest, suffix_dedup, token_counts, toxicity, warc
+from . import block_dedup, cell_layout, chat, common, decontam, minhash, oracles, packing, period_runs, pii, rp_forest, suffix_dedup, token_counts, toxicity, warc
 
 
 def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -56,6 +56,10 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.find(common.table(spark, sf_dir, "documents"))
 
 
+def op11_cell_layout(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cell_layout.described(common.table(spark, sf_dir, "documents"))
+
+
 def op12_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.round_trip(common.table(spark, sf_dir, "pages"))
 
@@ -65,7 +69,7 @@ def op13_period_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    every = (op1_toxicity, op2_suffix_dedup, op3_decontamination, op4_minhash, op5_token_counts, op6_embedding_dedup, op7_packing, op8_substring_dedup, op9_chat, op10_pii, op12_warc, op13_period_runs)
+    every = (op1_toxicity, op2_suffix_dedup, op3_decontamination, op4_minhash, op5_token_counts, op6_embedding_dedup, op7_packing, op8_substring_dedup, op9_chat, op10_pii, op11_cell_layout, op12_warc, op13_period_runs)
     return {f.__name__: f for f in every}
 
 
