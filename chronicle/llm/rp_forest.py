@@ -2,10 +2,13 @@
 
 Splits would part the vectors of a dense cluster, however close they are. So balls of the
 threshold's angle are laid over the sample first, wherever one holds about half a leaf of vectors
-or more. A vector in a ball (its core) links with nothing beyond twice that angle from the ball's
-centre (its shell), so cores are compared with their whole shells, in salted tiles of bounded size:
-no link of a core vector is missed. A ball whose shell holds over `broad` times its core is left
-to the forest, which takes all vectors without a core.
+or more. Vectors in a ball (its core) are compared with each other and with the ball's shell, in salted
+tiles of bounded size. A vector links with nothing beyond twice the threshold's angle from the centre of its
+ball; a shell that reaches so far is whole, and its core needs nothing else. Where vectors share a common
+direction, all of them can stand in that reach. A shell then ends nearer to the centre, where it holds `broad` times
+its core in the sample; such a ball is open, and its core's links with vectors beyond are left to the
+forest. So every link inside a core is found, of any size and density, and the tiles' work stays in proportion to the cores'.
+The forest takes all vectors without a core and the cores of open balls.
 
 Trees are fitted on a bounded sample (`sample` vectors, those with the smallest hash): a node
 projects its vectors on a random direction and splits them at the median; those within `spill`
@@ -22,7 +25,7 @@ never its pairs; a pair that shares several leaves is counted in the first of th
 (each row carries the leaves of its vector in all trees). Edges are united to components.
 
 A vector that is null, empty, zero or holds a null or non-finite component, or has a null label,
-links with nothing. Rows that share a vec_id are separate vectors; a component's id is its
+links with nothing; labels of any simple type are compared as they are. Rows that share a vec_id are separate vectors; a component's id is its
 smallest vec_id. An empty table gives an empty result; other columns are ignored.
 """
 
@@ -31,6 +34,7 @@ from __future__ import annotations
 import hashlib
 import math
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -179,7 +183,7 @@ def _routed(kind: str, forest: list[Node], dim: int, batches: Iterator[pa.Record
             taken = part.take(pa.array(own))
             yield pa.RecordBatch.from_arrays(
                 [pa.array(pairs[:, 0].astype(np.int32)), pa.array(pairs[:, 1].copy()), *taken.columns, pa.array([every[i] for i in own], pa.binary())],
-                ["tree", "leaf", "node", "label", "copies", "vector", "leaves"],
+                ["tree", "leaf", "node", "label", "copies", "vector", "core", "balls", "leaves"],
             )
 
 
@@ -213,6 +217,26 @@ class Earlier:
         return out
 
 
+class Counted:
+    """Which pairs of a leaf's vectors are compared in a ball: one has its core there, and the other is in that ball's core or shell."""
+
+    def __init__(self, core: np.ndarray, balls: list[list[int]]) -> None:
+        self.core = core
+        self.n = 1 + max([-1, *core.tolist(), *(b for own in balls for b in own)])
+        owner = np.repeat(np.arange(len(balls)), [len(own) for own in balls])
+        self.keys = np.sort(owner * self.n + np.array([b for own in balls for b in own], np.int64))
+
+    def _holds(self, a: np.ndarray, core: np.ndarray) -> np.ndarray:
+        key = a * self.n + core
+        at = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
+        return (core >= 0) & (self.keys[at] == key)
+
+    def pairs(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        if not len(self.keys):
+            return np.zeros(len(a), bool)
+        return self._holds(a, self.core[b]) | self._holds(b, self.core[a])
+
+
 def _joined(parent: np.ndarray, linked: np.ndarray, p: np.ndarray, q: np.ndarray) -> list[tuple[int, int]]:
     """Links between rows p and columns q that join what `parent` has apart, as far as it goes; `parent` has them joined then."""
 
@@ -242,9 +266,10 @@ def _joined(parent: np.ndarray, linked: np.ndarray, p: np.ndarray, q: np.ndarray
 def _compared(kind: str, least: float, rows: pa.Table) -> pa.Table:
     """One leaf: (a, b, n); b null: a has n links counted here; else an edge."""
     tree, leaf = rows["tree"][0].as_py(), rows["leaf"][0].as_py()
-    label, node = rows["label"].to_numpy(), rows["node"].to_numpy()
+    label, node = rows["label"].combine_chunks().dictionary_encode().indices.to_numpy(zero_copy_only=False), rows["node"].to_numpy()
     copies, raws = rows["copies"].to_numpy(), rows["vector"].to_pylist()
     earlier = Earlier(tree, leaf, rows["leaves"].to_pylist())
+    counted = Counted(rows["core"].combine_chunks().fill_null(-1).to_numpy(zero_copy_only=False).astype(np.int64), rows["balls"].to_pylist())
     dim = np.array([len(r) for r in raws])
     out: list[tuple] = []
     for key in {*zip(label.tolist(), dim.tolist(), strict=True)}:
@@ -265,7 +290,8 @@ def _compared(kind: str, least: float, rows: pa.Table) -> pa.Table:
                 a, b = np.nonzero(linked)
                 if not len(a):
                     continue
-                new = ~earlier.shared(at[p[a]], at[q[b]])
+                new = ~counted.pairs(at[p[a]], at[q[b]])
+                new[new] = ~earlier.shared(at[p[a[new]]], at[q[b[new]]])
                 np.add.at(count, p[a[new]], copies[at[q[b[new]]]])
                 np.add.at(count, q[b[new]], copies[at[p[a[new]]]])
                 linked[a[~new], b[~new]] = False  # what joins these is put out by the leaf that counts them
@@ -274,8 +300,9 @@ def _compared(kind: str, least: float, rows: pa.Table) -> pa.Table:
     return pa.table({k: pa.array([r[i] for r in out], pa.int64()) for i, k in enumerate(("a", "b", "n"))})
 
 
-def dense_balls(x: np.ndarray, least: float, most: float, leaf: int, broad: int) -> np.ndarray:
-    """Centres of balls that cover unit vectors with `most` or more of others in reach (cosine `least`).
+def dense_balls(x: np.ndarray, least: float, most: float, leaf: int, broad: int) -> tuple[np.ndarray, np.ndarray, int]:
+    """Balls that cover unit vectors with `most` or more of others in reach (cosine `least`): centres, the cosines at which
+    their shells end, and how many of them, which stand first, are open.
 
     Candidates are vectors with links enough in their leaf of one tree; each ball is then
     counted over the whole sample.
@@ -289,12 +316,12 @@ def dense_balls(x: np.ndarray, least: float, most: float, leaf: int, broad: int)
             near = (x[rows[i : i + 512]] @ x[rows].T >= least).sum(1)
             links[rows[i : i + 512]] = np.maximum(links[rows[i : i + 512]], near)
     free = np.ones(len(x), bool)
-    open_ = links >= max(4, most / 8)
-    out = []
+    todo = links >= max(4, most / 8)
+    out: list[tuple[float, np.ndarray]] = []
     for i in np.argsort(-links, kind="stable"):
-        if not open_[i]:
+        if not todo[i]:
             continue
-        open_[i] = False
+        todo[i] = False
         ball = x @ x[i] >= least
         if (ball & free).sum() < most:
             continue
@@ -304,11 +331,13 @@ def dense_balls(x: np.ndarray, least: float, most: float, leaf: int, broad: int)
         if ((cosine >= least) & free).sum() < (ball & free).sum():
             centre, cosine = x[i], x @ x[i]
         core = cosine >= least
-        open_ &= ~core
-        if (cosine >= shell).sum() <= broad * (core & free).sum():
-            out.append(centre)
-            free &= ~core
-    return np.array(out).reshape(-1, x.shape[1])
+        todo &= ~core
+        held = broad * int((core & free).sum())
+        free &= ~core
+        end = shell if held >= len(x) else max(shell, float(np.partition(cosine, len(x) - held - 1)[len(x) - held - 1]))
+        out.append((min(end, least), centre))
+    out.sort(key=lambda ball: ball[0] <= shell)
+    return np.array([v for _, v in out]).reshape(-1, x.shape[1]), np.array([e for e, _ in out]), sum(e > shell for e, _ in out)
 
 
 def _shell(least: float) -> float:
@@ -316,30 +345,46 @@ def _shell(least: float) -> float:
     return 2 * least * least - 1 - 1e-9 if least > 0 else -2.0
 
 
-def _placed(kind: str, balls: dict[int, tuple[int, np.ndarray]], least: float, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Each vector's core (null: none) and the balls whose cores it is to be compared with.
+@dataclass
+class Balls:
+    """All balls of one dimension, numbered from `first`; the first `n_open` of them are open."""
+
+    first: int
+    centres: np.ndarray
+    shells: np.ndarray
+    n_open: int
+
+    def core(self, units: np.ndarray, least: float) -> tuple[np.ndarray, np.ndarray]:
+        """Each vector's cosines with the centres, and its own ball, counted from 0 (-1: none)."""
+        cosine = units @ self.centres.T
+        inside = cosine >= least
+        return cosine, np.where(inside.any(1), inside.argmax(1), -1)
+
+
+def _placed(kind: str, balls: dict[int, Balls], least: float, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Each vector's core (null: none), the balls whose cores it is to be compared with, and whether it goes to the forest.
 
-    Of two vectors with different cores the pair is compared in the earlier ball alone: the
-    later one's vector is in its shell.
+    Of two vectors with different cores the pair is compared in the later ball alone, if the
+    other vector is in its shell. Open balls stand first, so where that one is whole, no link is missed; where it isn't,
+    both are open, and both vectors go to the forest.
     """
     for batch in batches:
         for k in range(0, batch.num_rows, 2000):
             part = batch.slice(k, 2000)
             raws = part.column(3).to_pylist()
             dims = np.array([len(r) // int(kind[2]) for r in raws])
-            core, shells = np.full(len(raws), -1), [[] for _ in raws]
-            for dim, (first, centres) in balls.items():
+            core, shells, forest = np.full(len(raws), -1), [[] for _ in raws], np.ones(len(raws), bool)
+            for dim, own_balls in balls.items():
                 at = np.flatnonzero(dims == dim)
                 if not len(at):
                     continue
-                cosine = _units(kind, [raws[i] for i in at], dim) @ centres.T
-                inside = cosine >= least
-                own = np.where(inside.any(1), inside.argmax(1), -1)
-                core[at[own >= 0]] = first + own[own >= 0]
-                reach = (cosine >= _shell(least)) & (np.arange(len(centres)) >= own[:, None])
+                cosine, own = own_balls.core(_units(kind, [raws[i] for i in at], dim), least)
+                core[at[own >= 0]] = own_balls.first + own[own >= 0]
+                forest[at] = own < own_balls.n_open
+                reach = (cosine >= own_balls.shells) & (np.arange(len(own_balls.shells)) >= own[:, None])
                 for i, b in zip(*np.nonzero(reach), strict=True):
-                    shells[at[i]].append(first + int(b))
-            yield pa.RecordBatch.from_arrays([*part.columns, pa.array(core, pa.int32(), mask=core < 0), pa.array(shells, pa.list_(pa.int32()))], ["node", "label", "copies", "vector", "core", "balls"])
+                    shells[at[i]].append(own_balls.first + int(b))
+            yield pa.RecordBatch.from_arrays([*part.columns, pa.array(core, pa.int32(), mask=core < 0), pa.array(shells, pa.list_(pa.int32())), pa.array(forest)], ["node", "label", "copies", "vector", "core", "balls", "forest"])
 
 
 def _tile(kind: str, least: float, rows: pa.Table) -> pa.Table:
@@ -368,9 +413,10 @@ def _tile(kind: str, least: float, rows: pa.Table) -> pa.Table:
     return pa.table({k: pa.array([r[i] for r in out], pa.int64()) for i, k in enumerate(("a", "b", "n"))})
 
 
-def _in_core(kind: str, balls: dict[int, tuple[int, np.ndarray]], least: float, raw: bytes) -> bool:
+def _leaves_forest(kind: str, balls: dict[int, Balls], least: float, raw: bytes) -> bool:
+    """Whether a vector's core is in a whole ball."""
     dim = len(raw) // int(kind[2])
-    return dim in balls and bool((_units(kind, [raw], dim) @ balls[dim][1].T >= least).any())
+    return dim in balls and bool(balls[dim].core(_units(kind, [raw], dim), least)[1][0] >= balls[dim].n_open)
 
 
 def _ball_links(placed: DataFrame, kind: str, cosine: float) -> DataFrame:
@@ -389,28 +435,28 @@ def _ball_links(placed: DataFrame, kind: str, cosine: float) -> DataFrame:
 
 def near_duplicates(vectors: DataFrame, cosine: float = 0.93, trees: int = 12, leaf: int = 400, spill: float = 0.05, sample: int = 50_000, broad: int = 64, most: int = 20_000, id_col: str = "vec_id", vector_col: str = "embedding", label_col: str = "label") -> DataFrame:
     """One row for each row of vectors: vec_id, n_links, component_id, kept."""
-    rows = vectors.select(F.col(id_col).cast("long").alias("vec_id"), F.col(vector_col).alias("v"), F.col(label_col).cast("long").alias("label"))
+    rows = vectors.select(F.col(id_col).cast("long").alias("vec_id"), F.col(vector_col).alias("v"), F.col(label_col).cast("string").alias("label"))
     kind = "<f4" if dict(vectors.dtypes)[vector_col] == "array<float>" else "<f8"
-    named = c.checkpointed(c.bounded(rows).mapInArrow(lambda b: _classes(kind, b), "vec_id long, node long, sign int, label long, vector binary"))
+    named = c.checkpointed(c.bounded(rows).mapInArrow(lambda b: _classes(kind, b), "vec_id long, node long, sign int, label string, vector binary"))
     named = c.told_apart(named)(named)
     nodes = named.where("node is not null").groupBy("node").agg(F.any_value("label").alias("label"), F.count("*").alias("copies"), F.any_value("vector").alias("vector"), F.min("vec_id").alias("first"))
     nodes = c.checkpointed(nodes)
     n = nodes.count()
     taken = [r[0] for r in nodes.select("vector", "node").orderBy(F.xxhash64("node"), "node").limit(sample).select("vector").collect()]  # at most `sample` vectors
-    balls: dict[int, tuple[int, np.ndarray]] = {}
+    balls: dict[int, Balls] = {}
     for size in sorted({len(r) for r in taken}) if n > leaf else ():
         own = _units(kind, [r for r in taken if len(r) == size], size // int(kind[2]))
-        centres = dense_balls(own, cosine, max(8, leaf / 2 * len(taken) / n), leaf, broad)
+        centres, shells, n_open = dense_balls(own, cosine, max(8, leaf / 2 * len(taken) / n), leaf, broad)
         if len(centres):
-            balls[size // int(kind[2])] = (sum(len(x) for _, x in balls.values()), centres)
-    rest, near = nodes, None
+            balls[size // int(kind[2])] = Balls(sum(len(x.centres) for x in balls.values()), centres, shells, n_open)
+    rest, near = nodes.withColumns({"core": F.lit(None).cast("int"), "balls": F.array().cast("array<int>")}), None
     if balls:
         centres = vectors.sparkSession.sparkContext.broadcast(balls)  # at most sample / 8 of them
-        placed = c.checkpointed(nodes.select("node", "label", "copies", "vector").mapInArrow(lambda b: _placed(kind, centres.value, cosine, b), "node long, label long, copies long, vector binary, core int, balls array<int>"))
+        placed = c.checkpointed(nodes.select("node", "label", "copies", "vector").mapInArrow(lambda b: _placed(kind, centres.value, cosine, b), "node long, label string, copies long, vector binary, core int, balls array<int>, forest boolean"))
         near = _ball_links(placed, kind, cosine)
-        rest = placed.where("core is null")
+        rest = placed.where("forest")
         n = rest.count()
-        taken = [r for r in taken if not _in_core(kind, balls, cosine, r)]
+        taken = [r for r in taken if not _leaves_forest(kind, balls, cosine, r)]
     dim = max({len(r) for r in taken}, key=lambda d: sum(len(r) == d for r in taken)) // int(kind[2]) if taken else 1
     depth = max(0, math.ceil(math.log2(max(1, n) / leaf)))
     forest = fit(_units(kind, taken, dim), trees, depth, spill)
@@ -418,8 +464,8 @@ def near_duplicates(vectors: DataFrame, cosine: float = 0.93, trees: int = 12, l
         forest = _refined(rest, forest, kind, dim, spill, most)
     held = vectors.sparkSession.sparkContext.broadcast(forest)  # at most 2 * (sample / 8 + 2 * n / most) nodes a tree, of two figures
     del taken
-    schema = "tree int, leaf long, node long, label long, copies long, vector binary, leaves binary"
-    routed = rest.select("node", "label", "copies", "vector").mapInArrow(lambda b: _routed(kind, held.value, dim, b), schema)
+    schema = "tree int, leaf long, node long, label string, copies long, vector binary, core int, balls array<int>, leaves binary"
+    routed = rest.select("node", "label", "copies", "vector", "core", "balls").mapInArrow(lambda b: _routed(kind, held.value, dim, b), schema)
     found = routed.groupBy("tree", "leaf").applyInArrow(lambda t: _compared(kind, cosine, t), "a long, b long, n long")
     found = c.checkpointed(found if near is None else found.union(near))
     links = found.where("b is null").groupBy(F.col("a").alias("node")).agg(F.sum("n").alias("links"))

@@ -348,6 +348,39 @@ def test_embeddings_dense_cluster(spark):
     assert all(y[1] <= w[1] for y, w in zip(got, want, strict=True))
 
 
+def common_direction(r, n, m, dim=64):
+    """Unit vectors with cosines of about 0.8 between any two, and a cluster of m of them with cosines of about 0.95."""
+
+    def units(x):
+        return x / np.linalg.norm(x, axis=1, keepdims=True)
+
+    shared = units(r.standard_normal((1, dim)))
+    x = units(np.sqrt(0.8) * shared + np.sqrt(0.2) * units(r.standard_normal((n, dim))))
+    x[:m] = units(np.sqrt(0.95) * x[:1] + np.sqrt(0.05) * units(r.standard_normal((m, dim))))
+    return x
+
+
+def test_embeddings_with_a_common_direction(spark):
+    """All vectors stand in the reach of a dense cluster; its links, with each other and with looser ones, are found."""
+    r = np.random.default_rng(12)
+    x = common_direction(r, 9000, 700)
+    x[700:760] = x[:60] + 0.35 * r.standard_normal((60, 64)) / 8
+    x = x[r.permutation(len(x))].astype(np.float32)
+    u = x.astype(np.float64) / np.linalg.norm(x.astype(np.float64), axis=1, keepdims=True)
+    linked = (u @ u.T >= 0.93).sum(1) - 1
+    df = spark.createDataFrame([(i, v.tolist(), "a") for i, v in enumerate(x)], "vec_id long, embedding array<float>, label string")
+    for options in ({"leaf": 50, "broad": 4}, {"leaf": 50, "sample": 1500}):
+        got = {y["vec_id"]: y["n_links"] for y in rp_forest.near_duplicates(df, **options).collect()}
+        assert all(got[i] <= linked[i] for i in got)
+        assert sum(got.values()) >= 0.99 * linked.sum() > 400_000
+
+
+def test_embeddings_labels_of_any_type(spark):
+    rows = [(1, [1.0, 0.0], "a"), (2, [1.0, 0.01], "a"), (3, [1.0, 0.0], "b"), (4, [1.0, 0.0], None)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label string")
+    assert sorted(tuple(x)[:3] for x in rp_forest.near_duplicates(df).collect()) == [(1, 1, 1), (2, 1, 1), (3, 0, 3), (4, 0, 4)]
+
+
 def test_embeddings_leaves_are_split_on(spark):
     """Leaves beyond what the sample can split are split by all vectors; links are still found and counted once."""
     r = np.random.default_rng(6)
