@@ -5,7 +5,8 @@ field name can pass for a path. It selects a declarative mapping: which path hol
 the role, which the text; or which flat fields stand for which role; or which fields of a record that
 is one turn name its conversation and place. A new layout is one more entry in `MAPPINGS`. A record
 with further fields goes to the mapping of most paths among those whose paths it has, unless two fit
-alike. Canonical turns are rows (conv_id, turn, role, text).
+alike. A table with one turn in each row gets its mapping once, from its columns or by name (its fields), so further columns
+never change how its rows are read; a table that no mapping or more than one fits is refused. Canonical turns are rows (conv_id, turn, role, text).
 
 The template writes a turn as START role NEWLINE text STOP NEWLINE. A backslash in a role or
 text is doubled, a `<|` becomes `<\\|` and a role's line break `\\n`, so no control string of the template can come from a
@@ -18,7 +19,7 @@ hash is one chain, so one task follows one conversation.
 Null texts and roles are empty. Turns that share a number are ordered by role and text; null
 turns come first; null conv_ids are one conversation. A record without turns that can be read is one
 row with a null turn, and `layout` says why: `unknown` (no mapping, or two), `unreadable` (no JSON object, or
-nested deeper than the parser goes), `empty` (a known layout whose list of turns is empty). Further
+nested deeper than the parser goes), `empty` (a known layout whose list of turns is empty). `certain` makes the first two an error. Further
 columns are further fields of the record. An empty table gives an empty result.
 """
 
@@ -122,8 +123,10 @@ def _matched(mapping: dict, found: set[str]) -> int:
     return len(needed)
 
 
-def _mapping(found: set[str]) -> dict | None:
-    """The mapping of these paths; else the one of most paths that all occur beside further fields."""
+def _mapping(found: set[str], named: dict | None = None) -> dict | None:
+    """The mapping of these paths; else the one of most paths that all occur beside further fields. A named one goes first, where it fits."""
+    if named is not None and _matched(named, found) >= 0:
+        return named
     exact = MAPPINGS.get(fingerprint(found))
     if exact is not None:
         return exact
@@ -148,7 +151,8 @@ Turn = tuple[int | None, int | None, str, str]  # conversation (None: the record
 class Converter:
     """Records to canonical turns; remembers the mapping of each set of paths."""
 
-    def __init__(self) -> None:
+    def __init__(self, named: dict | None = None) -> None:
+        self.named = named
         self.known: dict[frozenset[str], tuple[dict | None, str]] = {}
 
     def layout(self, record: dict) -> tuple[dict | None, str]:
@@ -157,7 +161,7 @@ class Converter:
         if found not in self.known:
             if len(self.known) >= KNOWN_LAYOUTS:
                 self.known.clear()
-            self.known[found] = (_mapping(set(found)), fingerprint(set(found)))
+            self.known[found] = (_mapping(set(found), self.named), fingerprint(set(found)))
         return self.known[found]
 
     def turns(self, record: Any) -> tuple[list[Turn] | None, str, str]:
@@ -213,11 +217,11 @@ def _parsed(raw: str | None) -> Any:
         return None
 
 
-def canonical(records: DataFrame, id_col: str, json_col: str) -> DataFrame:
+def canonical(records: DataFrame, id_col: str, json_col: str, named: dict | None = None) -> DataFrame:
     """(conv_id, turn, role, text, layout, fingerprint) of JSON records; a record without turns is one row with a null turn, role and text."""
 
     def convert(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        converter = Converter()
+        converter = Converter(named)
         for batch in batches:
             rows: list[tuple] = []
             for key, raw in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
@@ -237,9 +241,28 @@ def row_records(table: DataFrame) -> DataFrame:
     return table.select(F.lit(None).cast("long").alias("id"), F.to_json(F.struct(*(F.col(f"`{x}`") for x in table.columns)), {"ignoreNullFields": "false"}).alias("record"))
 
 
-def canonical_rows(table: DataFrame) -> DataFrame:
-    """(conv_id, turn, role, text) of a table with one turn in each row, by the mapping that the rows' fingerprints select."""
-    found = canonical(row_records(table), "id", "record")
+def row_mapping(columns: list[str], fields: tuple[str, str, str, str] | None = None) -> dict:
+    """The mapping of a table with one turn in each row: that of the named fields (conversation, place, role, text), else the one that fits its columns."""
+    if fields is not None:
+        missing = [f for f in fields if f not in columns]
+        if missing:
+            raise ValueError(f"the table has no columns {missing}")
+        return _row(*map(_part, fields)) | {"row": fields}
+    fits = [m for m in MAPPINGS.values() if "row" in m and m["paths"] <= set(columns)]
+    if len(fits) != 1:
+        raise ValueError(f"name the fields of a turn: the columns fit {[m['row'] for m in fits] or 'no mapping'}")
+    return fits[0]
+
+
+def certain(found: DataFrame) -> DataFrame:
+    """Canonical turns as they are; a record that no mapping, or more than one, can read is an error when it is reached."""
+    said = F.concat(F.lit("no certain mapping for a record: "), "layout", F.lit(" "), "fingerprint")
+    return found.withColumn("layout", F.when(F.col("layout").isin("unknown", "unreadable"), F.raise_error(said)).otherwise(F.col("layout")))
+
+
+def canonical_rows(table: DataFrame, fields: tuple[str, str, str, str] | None = None) -> DataFrame:
+    """(conv_id, turn, role, text) of a table with one turn in each row."""
+    found = certain(canonical(row_records(table), "id", "record", row_mapping(table.columns, fields)))
     return found.where("layout = 'turn'").select("conv_id", "turn", "role", "text")
 
 

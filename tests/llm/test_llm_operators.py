@@ -427,6 +427,32 @@ def test_chat_round_trip(spark):
     assert chat.digests(chat.canonical_rows(df.limit(0))).count() == 0
 
 
+def test_chat_further_columns_change_nothing(spark, tmp_path):
+    """Columns that make other mappings fit too don't take rows away; what no mapping is certain for is an error."""
+    rows = [(1, 0, "user", "a"), (1, 1, "assistant", "b"), (2, 0, None, None)]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    more = {
+        "thread": {"thread_id": F.lit(1), "position": F.lit(2), "speaker": F.lit("x"), "message": F.lit("y")},
+        "flat": {"system": F.lit("s"), "instruction": F.lit("i"), "input": F.lit(None).cast("string"), "output": F.lit("o")},
+        "nested": {"messages": F.array(F.struct(F.lit("user").alias("role"), F.lit("c").alias("content")))},
+    }
+    df.write.parquet(str(tmp_path / "plain/conversations.parquet"))
+    want = sorted(map(tuple, queries.op9_chat(spark, str(tmp_path / "plain")).collect()))
+    assert [r[0] for r in want] == [-1, 1, 2]
+    for name, columns in more.items():
+        df.withColumns(columns).write.parquet(str(tmp_path / name / "conversations.parquet"))
+        assert sorted(map(tuple, queries.op9_chat(spark, str(tmp_path / name)).collect())) == want
+    both = df.withColumns(more["thread"])
+    with pytest.raises(ValueError, match="name the fields"):
+        chat.canonical_rows(both)
+    with pytest.raises(ValueError, match="no columns"):
+        chat.canonical_rows(df, ("a", "turn", "role", "text"))
+    assert chat.canonical_rows(both, ("thread_id", "position", "speaker", "message")).distinct().collect() == [(1, 2, "x", "y")]
+    assert chat.canonical_rows(df.withColumns(more["flat"])).count() == 3
+    with pytest.raises(Exception, match="no certain mapping"):
+        chat.canonical_rows(df.withColumn("conv_id", F.lit("text"))).collect()
+
+
 def test_chat_layouts(spark):
     records = [
         {"messages": [{"role": "user", "content": "a"}, {"role": "assistant", "content": "b"}]},
