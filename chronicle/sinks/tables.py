@@ -3,11 +3,14 @@
 from __future__ import annotations
 
 import json
+import re
 import shutil
+import time
 import uuid
 from collections.abc import Mapping
 from pathlib import Path
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -43,22 +46,22 @@ def swap(df: DataFrame, path: str) -> None:
         fs.delete(at(old), True)
 
 
-def _replace(spark: SparkSession, source, target) -> None:
-    """A file takes another's place in one step."""
+def _renamed(spark: SparkSession, source, target, overwrite: bool) -> None:
+    """A file gets another name in one step; if that is taken, it replaces what has it, or raises."""
     jvm = spark.sparkContext._jvm
     context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(target.toUri(), spark.sparkContext._jsc.hadoopConfiguration())
     rename = jvm.org.apache.hadoop.fs.Options.Rename
     options = spark.sparkContext._gateway.new_array(rename, 1)
-    options[0] = rename.OVERWRITE
+    options[0] = rename.OVERWRITE if overwrite else rename.NONE
     context.rename(source, target, options)
 
 
 class Store:
     """Tables below one folder, each a list of Parquet folders that a numbered manifest names.
 
-    New folders are written first and the next manifest last; making that file is the commit. So all tables of a
-    commit change at once or not at all, readers see whole commits only, and of two writers that
-    began with the same manifest one is refused.
+    New folders are written first and the next manifest last: its text is written under a name of its own and renamed to
+    its number, which is the commit. So all tables of a commit change at once or not at all, readers see whole
+    commits only, and of two writers that began with the same manifest one is refused. A manifest that can't be read is an error.
     """
 
     def __init__(self, spark: SparkSession, folder: str) -> None:
@@ -71,24 +74,20 @@ class Store:
         names = [f.getPath().getName() for f in fs.listStatus(at(f"{self.folder}/_commits"))]
         return sorted(int(n[:-5]) for n in names if n.endswith(".json") and n[:-5].isdigit())
 
-    def _manifest(self, number: int) -> dict[str, list[str]] | None:
+    def _manifest(self, number: int) -> dict[str, list[str]]:
         fs, at = _fs(self.spark, self.folder)
         stream = fs.open(at(f"{self.folder}/_commits/{number:010d}.json"))
         try:
-            said = json.loads(self.spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))
-        except ValueError:  # a writer stopped inside it: no commit
-            return None
+            return json.loads(self.spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))["tables"]
+        except (ValueError, KeyError) as e:
+            raise OSError(f"commit {number} of {self.folder} can't be read") from e
         finally:
             stream.close()
-        return said["tables"]
 
     def current(self) -> tuple[int, dict[str, list[str]]]:
         """The last commit's number and its tables; -1 and none before the first."""
-        for number in reversed(self._commits()):
-            said = self._manifest(number)
-            if said is not None:
-                return number, said
-        return -1, {}
+        numbers = self._commits()
+        return (numbers[-1], self._manifest(numbers[-1])) if numbers else (-1, {})
 
     def read(self, names: str | list[str], schema: str) -> DataFrame:
         """The rows of one or several tables; none yet: no rows."""
@@ -107,31 +106,59 @@ class Store:
         return part
 
     def commit(self, base: int, tables: Mapping[str, list[str]]) -> int:
-        """The tables of commit `base` with these folders in place of their own."""
+        """The tables of commit `base` with these folders in place of their own; refused if it isn't the last one any more."""
         fs, at = _fs(self.spark, self.folder)
-        held = (self._manifest(base) or {}) if base >= 0 else {}
-        number = max([base, *self._commits()]) + 1
-        if self.current()[0] != base:
+        last, held = self.current()
+        if last != base:
             raise OSError(f"commit {base} isn't the last one any more")
         text = json.dumps({"tables": held | dict(tables)}, indent=1, sort_keys=True)
-        out = fs.create(at(f"{self.folder}/_commits/{number:010d}.json"), False)
+        stage = at(f"{self.folder}/_commits/new-{uuid.uuid4().hex}")
+        out = fs.create(stage, False)
         out.write(bytearray(text.encode()))
         out.close()
-        return number
+        try:
+            _renamed(self.spark, stage, at(f"{self.folder}/_commits/{base + 1:010d}.json"), overwrite=False)
+        except Py4JJavaError as e:
+            fs.delete(stage, False)
+            raise OSError(f"commit {base + 1} was made by another writer") from e
+        return base + 1
 
-    def vacuum(self, keep: int = 2) -> list[str]:
-        """Removes folders that none of the last `keep` commits names, and older manifests."""
+    def vacuum(self, keep: int = 2, older: float = 7 * 86400) -> list[str]:
+        """Removes older manifests than the last `keep`, and all folders and unfinished manifests that these don't name.
+
+        What no manifest ever named may belong to a load that is under way: it goes if it is `older` seconds old. Returns the folders removed.
+        """
         fs, at = _fs(self.spark, self.folder)
         numbers = self._commits()
         kept, old = numbers[-keep:], numbers[:-keep]
-        wanted = {p for n in kept for ps in (self._manifest(n) or {}).values() for p in ps}
-        gone = sorted({p for n in old for ps in (self._manifest(n) or {}).values() for p in ps} - wanted)
+        wanted = {p for n in kept for ps in self._manifest(n).values() for p in ps}
+        named = {p for n in old for ps in self._manifest(n).values() for p in ps}
+        bound = 1000 * (time.time() - older)
+        parts = self._parts(fs, at)
+        gone = sorted(p for p, changed in parts.items() if p not in wanted and (p in named or changed < bound))
         for p in gone:
             fs.delete(at(f"{self.folder}/{p}"), True)
         for n in old:
             fs.delete(at(f"{self.folder}/_commits/{n:010d}.json"), False)
+        for f in fs.listStatus(at(f"{self.folder}/_commits")) if numbers else ():
+            if f.getPath().getName().startswith("new-") and f.getModificationTime() < bound:
+                fs.delete(f.getPath(), False)
         return gone
 
+    def _parts(self, fs, at) -> dict[str, int]:
+        """All folders that `write` made, whether committed or not, and when they last changed."""
+        found, todo = {}, [""] if fs.exists(at(self.folder)) else []
+        while todo:
+            below = todo.pop()
+            for f in fs.listStatus(at(f"{self.folder}/{below}".rstrip("/"))):
+                name = f.getPath().getName()
+                path = f"{below}/{name}".lstrip("/")
+                if f.isDirectory() and re.fullmatch("[0-9a-f]{32}", name):
+                    found[path] = f.getModificationTime()
+                elif f.isDirectory() and path != "_commits":
+                    todo.append(path)
+        return found
+
 
 def write_csv(df: DataFrame, path: str, order: list[str]) -> None:
     """One CSV file in a total order, staged and put in its place in one step; quotes doubled, empty text and null alike empty.
@@ -142,7 +169,7 @@ def write_csv(df: DataFrame, path: str, order: list[str]) -> None:
     stage = f"{path}.stage-{uuid.uuid4().hex}"
     cells(df).orderBy(*order).coalesce(1).write.csv(stage, header=True, escape='"', emptyValue="")
     part = next(f.getPath() for f in fs.listStatus(at(stage)) if f.getPath().getName().startswith("part-"))
-    _replace(df.sparkSession, part, at(path))
+    _renamed(df.sparkSession, part, at(path), overwrite=True)
     fs.delete(at(stage), True)
 
 

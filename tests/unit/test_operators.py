@@ -252,9 +252,33 @@ def test_store(spark, tmp_path):
     assert store.commit(base, {"t": [one, two], "u": [two]}) == 1 and store.read(["t", "u"], "id long").count() == 7
     with pytest.raises(OSError, match="isn't the last"):
         store.commit(base, {"t": []})
-    (tmp_path / "s/_commits/0000000002.json").write_text('{"tables"')  # a writer that stopped
-    assert store.current()[0] == 1 and store.commit(1, {"t": [two]}) == 3
+    assert store.commit(1, {"t": [two]}) == 2
     assert store.read("t", "id long").count() == 2 and store.vacuum(1) == [one] and store.read("t", "id long").count() == 2
+    orphan = store.write(spark.range(1), "t")  # of a load that stopped
+    (tmp_path / "s/_commits/new-x").write_text("{")
+    assert store.vacuum(1) == [] and store.vacuum(1, older=-60) == [orphan] and not list((tmp_path / "s/_commits").glob("new-*"))
+    (tmp_path / "s/_commits/0000000003.json").write_text('{"tables"')
+    with pytest.raises(OSError, match="can't be read"):
+        store.current()
+
+
+def test_of_two_writers_one_is_refused(spark, tmp_path, monkeypatch):
+    """The other one commits when this one has written its manifest, but not yet named it."""
+    store = tables.Store(spark, str(tmp_path / "s"))
+    store.commit(-1, {})
+    named, late = tables._renamed, []
+
+    def slow(*args, **kwargs):
+        if not late:
+            late.append(None)
+            late[0] = store.commit(0, {"b": ["of the other"]})
+        return named(*args, **kwargs)
+
+    monkeypatch.setattr(tables, "_renamed", slow)
+    with pytest.raises(OSError, match="another writer"):
+        store.commit(0, {"a": ["of this one"]})
+    assert late == [1] and store.current() == (1, {"b": ["of the other"]})
+    assert sorted(p.name for p in (tmp_path / "s/_commits").glob("[!.]*")) == ["0000000000.json", "0000000001.json"]
 
 
 def test_endpoint():
