@@ -6,12 +6,14 @@ some `length`-byte window (a minimizer). Equal windows choose equal places, so e
 `length` bytes meets itself in the arrays; about one suffix in fifty enters.
 
 1. Each chunk of documents makes the suffix array of its sampled suffixes, ordered by the
-   fingerprint of the first HALF bytes and then by that of the whole stretch whose windows
-   chose the suffix. Equal entries of a chunk count as one.
-2. The entries go to buckets, which are ranges of that order. In a bucket new batches are
+   fingerprint of the whole stretch whose windows chose the suffix. Equal entries of a chunk count as one. A second,
+   smaller array has the fingerprints of the suffixes' first HALF bytes, each with the least and greatest stretch it begins.
+2. The entries go to buckets, which are ranges of those orders. In a bucket of stretches new batches are
    merge-scanned against the levels of a `LevelFamily` for long matches, and levels of equal
-   size merge. A stretch found twice is a repeat as a whole. A prefix found in different
-   stretches goes on to step 3, one copy of each stretch.
+   size merge. A stretch found twice is a repeat as a whole. A bucket of prefixes only tells which of them begin several
+   stretches. One copy of each stretch with such a prefix goes on to step 3. A line that all documents have among
+   different texts is one prefix of as many stretches as documents; they are spread over all buckets, and each chunk sends the
+   prefix twice at most.
 3. The windows of those stretches are compared one by one (the exact check: matches end
    somewhere inside these).
 4. Each chunk removes the bytes that repeated windows cover.
@@ -37,8 +39,8 @@ from pyspark.sql import DataFrame
 from . import common as c
 
 REPEATED, SENT = 1, 2
-#: An entry: the prefix's fingerprint, and both of the whole stretch.
-ENTRY = np.dtype([("p", "<u8"), ("h", "<u8"), ("x", "<u4")])
+#: A prefix's fingerprint, and the first one of a stretch that it begins.
+PREFIX = np.dtype([("p", "<u8"), ("h", "<u8")])
 
 
 def _stretches(buf: np.ndarray, offsets: np.ndarray, length: int) -> Iterator[tuple[int, c.Twin, np.ndarray, np.ndarray, np.ndarray]]:
@@ -85,132 +87,112 @@ def _entries(buf: np.ndarray, offsets: np.ndarray, length: int) -> tuple[np.ndar
     return tuple(np.concatenate(x) for x in zip(*out, strict=True))
 
 
-def _array(prefix: np.ndarray, whole: np.ndarray, copies: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """The sparse suffix array without equal entries, their counts, and each input's entry."""
-    order, new = _sorted(prefix, whole)
-    heads = np.flatnonzero(new)
-    member = np.empty(len(order), np.int64)
-    member[order] = np.cumsum(new) - 1
-    out = np.empty(len(heads), ENTRY)
-    first = order[heads]
-    out["p"], out["h"], out["x"] = prefix[first], whole["h"][first], whole["x"][first]
-    return out, np.add.reduceat(copies[order], heads) if len(heads) else np.zeros(0, np.int64), member
+def _array(whole: np.ndarray, copies: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """The sparse suffix array without equal entries, their counts, each input's entry, and the first input of each."""
+    order, heads, _ = c.twin_order(whole)
+    return whole[order[heads]], np.add.reduceat(copies[order], heads) if len(heads) else np.zeros(0, np.int64), _member(order, heads), order[heads]
 
 
-def _sorted(prefix: np.ndarray, whole: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The order by prefix and stretch, and where an entry differs from the one before it. Runs that are in order are merged."""
-    order = np.argsort(prefix, kind="stable")
-    p = prefix[order]
+def _prefixes(prefix: np.ndarray, stretch: np.ndarray) -> np.ndarray:
+    """Each prefix once, if it begins one stretch only, and else twice: with the least and the greatest."""
+    order = np.lexsort((stretch, prefix))
+    p, h = prefix[order], stretch[order]
     heads = c.group_starts(p)
-    sizes = np.diff(np.append(heads, len(p)))
-    many = np.repeat(sizes > 1, sizes)  # only equal prefixes need their stretches sorted
-    if many.any():
-        where = np.flatnonzero(many)
-        own = order[where]
-        order[where] = own[np.lexsort((whole["x"][own], whole["h"][own], p[where]))]
-    h, x = whole["h"][order], whole["x"][order]
-    new = np.ones(len(p), bool)
-    new[1:] = (p[1:] != p[:-1]) | (h[1:] != h[:-1]) | (x[1:] != x[:-1])
-    return order, new
+    tails = np.append(heads[1:], len(p))[: len(heads)] - 1
+    several = h[heads] != h[tails]
+    at = np.sort(np.concatenate((heads, tails[several])))
+    out = np.empty(len(at), PREFIX)
+    out["p"], out["h"] = p[at], h[at]
+    return out
 
 
 class LevelFamily:
     """Sorted levels of sparse suffixes; sizes grow geometrically, as the digits of a binary counter."""
 
     def __init__(self, n: int) -> None:
-        self.levels: list[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]] = []
+        self.levels: list[tuple[np.ndarray, np.ndarray]] = []
         self.repeated = np.zeros(n, bool)
-        self.differs = np.zeros(n, bool)
         self.stands = np.zeros(n, bool)
 
-    def add(self, prefix: np.ndarray, whole: np.ndarray, ids: np.ndarray) -> None:
+    def add(self, whole: np.ndarray, ids: np.ndarray) -> None:
         """Takes a batch in: its suffix array, a merge-scan against each level, and merges."""
-        order, new = _sorted(prefix, whole)
-        prefix, whole, ids = prefix[order], whole[order], ids[order]
-        heads = np.flatnonzero(new)
-        sizes = np.diff(np.append(heads, len(ids)))
-        self.repeated[ids] |= np.repeat(sizes > 1, sizes)
-        prefix, whole, ids = prefix[heads], whole[heads], ids[heads]
-        alone = c.group_starts(prefix)
-        counts = np.diff(np.append(alone, len(ids)))
-        self.differs[ids] |= np.repeat(counts > 1, counts)
+        order, heads, sizes = c.twin_order(whole)
+        self.repeated[ids[order]] |= np.repeat(sizes > 1, sizes)
+        whole, ids = whole[order[heads]], ids[order[heads]]
         known = np.zeros(len(ids), bool)
-        marks = _marks(prefix, whole)
-        for p, w, d, by_mark in self.levels:
-            lo = np.searchsorted(p, prefix)
-            at = np.minimum(lo, len(p) - 1)
-            hit = np.flatnonzero((p[at] == prefix) & (lo < len(p)))
-            if not len(hit):
-                continue
-            lo = lo[hit]
-            hi = np.searchsorted(p, prefix[hit], "right")
-            m, of = by_mark
-            k = np.minimum(np.searchsorted(m, marks[hit]), len(m) - 1)
-            # Marks only find the twin. One that chance hides goes on as a different stretch, whose windows are compared.
-            same = (m[k] == marks[hit]) & (w["h"][of[k]] == whole["h"][hit]) & (w["x"][of[k]] == whole["x"][hit])
-            twin = d[of[k[same]]]
-            known[hit[same]] = True
-            self.repeated[ids[hit[same]]] = True
-            self.repeated[twin] = True
-            # All entries of a level with one prefix are marked together, so the first one tells.
-            other = ~same | (hi - lo > 1)
-            self.differs[ids[hit[other]]] = True
-            self.differs[d[lo[~same]]] = True
-        fresh = ~known
-        # A prefix known by one stretch and new by another: both stay marked through `differs`.
-        if fresh.any():
-            self.stands[ids[fresh]] = True
-            level = (prefix[fresh], whole[fresh], ids[fresh])
-            while self.levels and len(self.levels[-1][0]) <= 2 * len(level[0]):
-                p, w, d, _ = self.levels.pop()
-                p, w, d = (np.concatenate(x) for x in zip(level, (p, w, d), strict=True))
-                order, _ = _sorted(p, w)
-                level = (p[order], w[order], d[order])
-            marks = _marks(level[0], level[1])
-            order = np.argsort(marks)
-            self.levels.append((*level, (marks[order], order)))
-
-
-def _marks(prefix: np.ndarray, whole: np.ndarray) -> np.ndarray:
-    return c.mix(prefix ^ (whole["h"] * c.MULTIPLIER))
-
-
-def _parted(entries: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Prefixes and stretches of entries."""
-    whole = np.empty(len(entries), c.TWIN)
-    whole["h"], whole["x"] = entries["h"], entries["x"]
-    return entries["p"].copy(), whole
-
-
-def _scan_bucket(batch: int, rows: pa.Table) -> pa.Table:
-    """Step 2 for one bucket."""
-    held = c.Bucket(rows, ENTRY, np.uint8)
-    prefix, whole = _parted(held.keys)
-    family, cuts, start = LevelFamily(len(prefix)), held.cuts, 0
-    while start < len(prefix):  # whole chunks, until a batch is full
+        for level, own in self.levels:
+            at = np.searchsorted(level["h"], whole["h"])
+            todo = np.flatnonzero(at < len(level))
+            while len(todo):  # more than once round only for contents that share a first hash
+                todo = todo[level["h"][at[todo]] == whole["h"][todo]]
+                same = level["x"][at[todo]] == whole["x"][todo]
+                known[todo[same]] = True
+                self.repeated[own[at[todo[same]]]] = True
+                todo = todo[~same]
+                at[todo] += 1
+                todo = todo[at[todo] < len(level)]
+        self.repeated[ids[known]] = True
+        if not known.all():
+            self.stands[ids[~known]] = True
+            level, own = whole[~known], ids[~known]
+            while self.levels and len(self.levels[-1][0]) <= 2 * len(level):
+                other, others = self.levels.pop()
+                level, own = np.concatenate((level, other)), np.concatenate((own, others))
+                order = np.lexsort((level["x"], level["h"]))
+                level, own = level[order], own[order]
+            self.levels.append((level, own))
+
+
+def _scan_stretches(batch: int, rows: pa.Table) -> pa.Table:
+    """Step 2 for a bucket of stretches: which occur again, and which entry stands for its equals."""
+    held = c.Bucket(rows, c.TWIN, np.uint8)
+    family, cuts, start = LevelFamily(len(held.keys)), held.cuts, 0
+    while start < len(held.keys):  # whole chunks, until a batch is full
         stop = int(cuts[min(np.searchsorted(cuts, start + batch), len(cuts) - 1)])
-        family.add(prefix[start:stop], whole[start:stop], np.arange(start, stop))
+        family.add(held.keys[start:stop], np.arange(start, stop))
         start = stop
-    return held.answered((family.repeated | (held.beside > 1)) * REPEATED + (family.differs & family.stands) * SENT)
-
+    return held.answered((family.repeated | (held.beside > 1)) * REPEATED + family.stands * SENT)
 
-def _merge_bucket(part: int, rows: pa.Table) -> pa.Table:
-    held = c.Bucket(rows, ENTRY, np.uint8)
-    entries, n, _ = _array(*_parted(held.keys), held.beside.astype(np.int64))
-    return held.merged(part, entries, np.minimum(n, 2).astype(np.uint8))
 
-
-def _spread_bucket(rows: pa.Table, code: np.ndarray) -> pa.Table:
-    """A group's answers to its chunks: of equal entries the first one alone is sent on."""
-    held = c.Bucket(rows, ENTRY, np.uint8)
-    _, _, member = _array(*_parted(held.keys), held.beside.astype(np.int64))
+def _spread_stretches(rows: pa.Table, code: np.ndarray) -> pa.Table:
+    """A group's answers to its chunks: of equal entries the first one alone stands."""
+    held = c.Bucket(rows, c.TWIN, np.uint8)
+    _, _, member, first = _array(held.keys, held.beside.astype(np.int64))
     out = code[member]
-    first = np.zeros(len(member), bool)
-    first[np.unique(member, return_index=True)[1]] = True
-    out[~first] &= REPEATED
+    others = np.ones(len(member), bool)
+    others[first] = False
+    out[others] &= REPEATED
     return held.answered(out)
 
 
+def _several(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Of prefixes with stretches: each entry's prefix, by number, and whether that begins several."""
+    order = np.lexsort((keys["h"], keys["p"]))
+    p, h = keys["p"][order], keys["h"][order]
+    heads = c.group_starts(p)
+    tails = np.append(heads[1:], len(p))[: len(heads)] - 1
+    return _member(order, heads), h[heads] != h[tails]
+
+
+def _scan_prefixes(rows: pa.Table) -> pa.Table:
+    held = c.Bucket(rows, PREFIX, np.uint8)
+    member, several = _several(held.keys)
+    return held.answered(several[member] * SENT)
+
+
+def _merge_prefixes(part: int, rows: pa.Table) -> pa.Table:
+    held = c.Bucket(rows, PREFIX, np.uint8)
+    keys = _prefixes(held.keys["p"], held.keys["h"])
+    return held.merged(part, keys, np.ones(len(keys), np.uint8))
+
+
+def _spread_prefixes(rows: pa.Table, code: np.ndarray) -> pa.Table:
+    """The merged entries stand in the order of the prefixes, one or two for each."""
+    held = c.Bucket(rows, PREFIX, np.uint8)
+    merged = _prefixes(held.keys["p"], held.keys["h"])
+    return held.answered(code[np.searchsorted(merged["p"], held.keys["p"])])
+
+
 def _counted(held: c.Bucket) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Order and heads of the windows of a bucket, and how often each occurs."""
     order, heads, _ = c.twin_order(held.keys)
@@ -268,18 +250,33 @@ def repeats(docs: DataFrame, length: int = 200, id_col: str = "doc_id", text_col
     rows, total, n_chunks = c.chunked(docs, id_col, text_col, chunk_bytes, most_copies)
     bits = c.bucket_bits(total // 50 + 1, bucket_keys)
     window_bits = c.bucket_bits(total // 8 + 1, 8 * bucket_keys)
+    above = 1 << bits  # buckets of prefixes come after those of stretches
 
     def read(chunk: pa.Table) -> tuple:
-        """A chunk's documents, bytes, where each begins, the sampled suffixes, their array, counts, and each suffix's entry."""
+        """A chunk's documents, bytes, where each begins, the sampled suffixes, their array, counts, each suffix's entry, and the prefixes."""
         texts = c.in_order(chunk)
         buf, offsets = c.joined(texts["text"])
         found = _entries(buf, offsets, length)
         copies = np.minimum(texts["copies"].to_numpy(), 2)
-        return texts, buf, offsets, found, copies, *_array(found[0], found[1], copies[np.searchsorted(offsets, found[2], "right") - 1])
+        entries, n, member, first = _array(found[1], copies[np.searchsorted(offsets, found[2], "right") - 1])
+        return texts, buf, offsets, found, copies, entries, n, member, found[0][first]
 
     def arrays(chunk: pa.Table) -> pa.Table:
-        *_, entries, n, _ = read(chunk)
-        return c.slices(chunk["chunk"][0].as_py(), entries["p"].copy(), bits, entries, np.minimum(n, 2).astype(np.uint8))
+        *_, entries, n, _, prefix = read(chunk)
+        number, keys = chunk["chunk"][0].as_py(), _prefixes(prefix, entries["h"])
+        stretches = c.slices(number, entries["h"].copy(), bits, entries, np.minimum(n, 2).astype(np.uint8))
+        prefixes = c.slices(number, keys["p"].copy(), bits, keys, np.ones(len(keys), np.uint8))
+        moved = pa.array(prefixes["bucket"].to_numpy() + np.int32(above), pa.int32())
+        return pa.concat_tables([stretches, prefixes.set_column(1, "bucket", moved)])
+
+    def scan(rows: pa.Table) -> pa.Table:
+        return _scan_prefixes(rows) if rows["bucket"][0].as_py() >= above else _scan_stretches(batch, rows)
+
+    def merge(part: int, rows: pa.Table) -> pa.Table:
+        return (_merge_prefixes if rows["bucket"][0].as_py() >= above else _merge_windows)(part, rows)
+
+    def spread(rows: pa.Table, code: np.ndarray) -> pa.Table:
+        return (_spread_prefixes if rows["bucket"][0].as_py() >= above else _spread_stretches)(rows, code)
 
     def told(flags: pa.Table) -> list[tuple[int, bytes]]:
         return list(zip(flags["bucket"].to_pylist(), flags["a"].to_pylist(), strict=True))
@@ -288,8 +285,12 @@ def repeats(docs: DataFrame, length: int = 200, id_col: str = "doc_id", text_col
         if not len(texts) or not len(flags):
             return c.slices(0, np.zeros(0, np.uint64), 0, np.zeros(0, c.TWIN))
         chunk = texts["chunk"][0].as_py()
-        _, buf, offsets, found, _, entries, _, member = read(texts)
-        code = c.answers(entries["p"].copy(), bits, told(flags))
+        _, buf, offsets, found, _, entries, _, member, prefix = read(texts)
+        own = told(flags)
+        code = c.answers(entries["h"].copy(), bits, ((b, r) for b, r in own if b < above))
+        keys = _prefixes(prefix, entries["h"])
+        several = c.answers(keys["p"].copy(), bits, ((b - above, r) for b, r in own if b >= above))
+        code[several[np.searchsorted(keys["p"], prefix)] == 0] &= REPEATED
         _, hashes = _windows(found, member, code, buf, offsets, length)
         order, heads, _ = c.twin_order(hashes)
         hashes = hashes[order[heads]]
@@ -298,7 +299,7 @@ def repeats(docs: DataFrame, length: int = 200, id_col: str = "doc_id", text_col
     schema = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, copies long" + ", kept binary" * with_text
 
     def removed(texts: pa.Table, flags: pa.Table) -> pa.Table:
-        texts, buf, offsets, found, copies, entries, _, member = read(texts)
+        texts, buf, offsets, found, copies, entries, _, member, _ = read(texts)
         own = told(flags)
         code = next((np.frombuffer(r, np.uint8) for b, r in own if b < 0), np.zeros(len(entries), np.uint8))
         whole = (code[member] & REPEATED) > 0
@@ -324,6 +325,6 @@ def repeats(docs: DataFrame, length: int = 200, id_col: str = "doc_id", text_col
         return pa.Table.from_arrays(cols + [pa.array(out["kept"], pa.binary())] * with_text, names + ["kept"] * with_text)
 
     by_chunk = rows.groupBy("chunk")
-    first = c.scanned(by_chunk.applyInArrow(arrays, c.CHUNKS), n_chunks, lambda t: _scan_bucket(batch, t), _merge_bucket, _spread_bucket, fan)
+    first = c.scanned(by_chunk.applyInArrow(arrays, c.CHUNKS), n_chunks, scan, merge, spread, fan)
     second = c.scanned(by_chunk.cogroup(first.groupBy("chunk")).applyInArrow(windows, c.CHUNKS), n_chunks, _scan_windows, _merge_windows, _spread_windows, fan)
     return c.each_copy(by_chunk.cogroup(second.groupBy("chunk")).applyInArrow(removed, schema))

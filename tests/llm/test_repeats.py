@@ -128,6 +128,42 @@ def test_many_equal_rows(spark):
     assert sorted(map(tuple, later_copies(df, most_copies=4).collect()), key=repr) == sorted(want, key=repr)
 
 
+def test_a_line_among_different_texts(spark):
+    """One line of 150 bytes in all documents, among different texts, is one prefix of as many stretches; no bucket gets them all."""
+    import pyarrow as pa
+
+    from chronicle.llm import suffix_dedup
+
+    r = random.Random(21)
+    line = "".join(r.choices("abcdefghij klmnop", k=150))
+    some = lambda n: "".join(r.choices("qrstuvwxyz 0123456789", k=n))
+    docs = [(i, some(r.randint(100, 300)) + line + some(r.randint(100, 300))) for i in range(1200)]
+    docs += [(2000 + i, some(60) + t[80:420] + some(60)) for i, t in docs[:40]]  # passages that do repeat
+    docs = [(i, t) for i, t in docs]
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    sizes, scanned = [], common.scanned
+
+    def measured(entries, *args):
+        held = common.checkpointed(entries)
+        sizes.append([(x["bucket"], x["n"]) for x in held.groupBy("bucket").agg({"a": "count"}).join(held.selectExpr("bucket", "octet_length(a) AS n").groupBy("bucket").sum("n").withColumnRenamed("sum(n)", "n"), "bucket").select("bucket", "n").collect()])
+        return scanned(held, *args)
+
+    suffix_dedup.c.scanned = measured
+    try:
+        got = sorted(map(tuple, repeats(df, chunk_bytes=20_000).collect()), key=repr)
+    finally:
+        suffix_dedup.c.scanned = scanned
+    assert got == brute_bytes(docs, 200)
+    entries = sum(n for b, n in sizes[0] if b < 512) // common.TWIN.itemsize
+    prefixes = {b: n // suffix_dedup.PREFIX.itemsize for b, n in sizes[0] if b >= 512}
+    assert entries > 1200 and max(n for b, n in sizes[0] if b < 512) // common.TWIN.itemsize < entries / 20
+    assert 0 < max(prefixes.values()) <= 2 * -(-sum(len(t) for _, t in docs) // 20_000) + 60
+    buf, offsets = common.joined(pa.array([t for _, t in docs]))
+    prefix, whole, *_ = suffix_dedup._entries(buf, offsets, 200)
+    hot = max(defaultdict(int, {int(k): int((prefix == k).sum()) for k in set(prefix.tolist())}).values())
+    assert hot > 1000  # what one bucket would get by prefix
+
+
 def test_first_hashes_that_agree():
     """Contents that only the second hash tells apart are not taken for each other."""
     import numpy as np
