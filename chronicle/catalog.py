@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from chronicle.functions import arrays, text, timeops
-from chronicle.operators import analytics, codelists, contract, history, linkage, sampling, segment, shape
+from chronicle.operators import analytics, codelists, contract, history, linkage, sampling, segment, shape, tagger
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -614,6 +614,42 @@ def uncertain_gaps(spark, sf_dir):
     return _keywords(spark, sf_dir).select("p_partkey", F.array_join(F.transform(segment.uncertain_gaps(F.col("probs")), lambda i: i.cast("string")), ",").alias("gaps"))
 
 
+def _order_keywords(spark, sf_dir) -> DataFrame:
+    """An order's parts as a keyword text whose author set commas: seven names at most."""
+    names = table(spark, sf_dir, "lineitem").join(table(spark, sf_dir, "part"), F.col("l_partkey") == F.col("p_partkey"))
+    lines = names.groupBy("l_orderkey").agg(F.array_sort(F.collect_list(F.struct("l_linenumber", "p_name"))).alias("lines"))
+    return lines.select("l_orderkey", F.array_join(F.transform("lines", lambda x: x["p_name"]), ", ").alias("value"))
+
+
+#: Steps between labels, and scores of words, in quarters: sums are exact in both engines.
+STEPS = [[0.25, -0.5], [-0.25, -0.75]]
+
+
+@query(f"""
+WITH RECURSIVE v AS (SELECT l_orderkey AS k, string_agg(p_name, ' ' ORDER BY l_linenumber, p_name) AS value FROM lineitem JOIN part ON l_partkey = p_partkey GROUP BY 1),
+t AS (SELECT k, list_filter(string_split(value, ' '), lambda x: x <> '') AS w FROM v),
+e AS (SELECT k, i, CASE WHEN ends_with(w[i - 1], 'e') THEN 1.5 ELSE -1.0 END + (ascii(w[i]) % 3 - 1) * 0.5 AS e FROM t, unnest(range(2, len(w) + 1)) AS x(i)),
+r AS (SELECT k, 1::BIGINT AS i, 0.0::DOUBLE AS s0, -1e30::DOUBLE AS s1, '0' AS p0, '' AS p1 FROM t
+  UNION ALL SELECT r.k, r.i + 1, greatest(s0 + {STEPS[0][0]}, s1 + {STEPS[1][0]}), greatest(s0 + {STEPS[0][1]}, s1 + {STEPS[1][1]}) + e,
+    CASE WHEN s1 + {STEPS[1][0]} > s0 + {STEPS[0][0]} THEN p1 ELSE p0 END || '0', CASE WHEN s1 + {STEPS[1][1]} > s0 + {STEPS[0][1]} THEN p1 ELSE p0 END || '1'
+    FROM r JOIN e ON e.k = r.k AND e.i = r.i + 1)
+SELECT k AS l_orderkey, CASE WHEN s1 > s0 THEN p1 ELSE p0 END AS labels FROM r JOIN t USING (k) WHERE i = len(w)""")
+def best_labels(spark, sf_dir):
+    """The best labelling of each order's words in a chain with given weights."""
+    words = _order_keywords(spark, sf_dir).select("l_orderkey", text.tokens(F.replace("value", F.lit(","), F.lit(""))).alias("w"))
+    score = lambda w, i: F.when(F.get("w", i).endswith("e"), 1.5).otherwise(-1.0) + (F.ascii(w) % 3 - 1) * 0.5
+    scores = F.transform(F.slice("w", 2, F.size("w") - 1), score)
+    return words.select("l_orderkey", F.array_join(F.transform(tagger.viterbi(scores, STEPS), lambda x: x.cast("string")), "").alias("labels"))
+
+
+@query()
+def tagger_quality(spark, sf_dir):
+    """A tagger fitted on distant labels of seven orders in eight, held against the eighth's. Weights are learned, so there is no SQL."""
+    labelled = segment.distant(_order_keywords(spark, sf_dir).select("value").distinct(), "value").withColumn("held", F.pmod(F.xxhash64("value"), F.lit(8)) == 0)
+    made, _ = tagger.fit(labelled.where("not held"), bits=14, rounds=10)
+    return _rounded(tagger.quality(labelled.where("held"), made))
+
+
 # ---------------------------------------------------------------- code lists
 
 CODELIST = [("geo", "10", "Africa"), ("geo", "2", "AFRICA"), ("geo", "3", "Asia & Pacific"), ("geo", "4", "Middle-East"), ("geo", "5", "Europe")]

@@ -58,3 +58,8 @@ def test_same_as_sql(spark, duck, name):
 def test_entry(spark):
     assert entry.entry(spark).count() > 0
     assert set(SQL) <= set(QUERIES)
+
+
+def test_the_tagger_beats_never_joining(spark):
+    got = {r["by"]: r for r in QUERIES["tagger_quality"](spark, DATA).collect()}
+    assert got["tagger"]["f1"] > got["never join"]["f1"] and got["tagger"]["support"] == got["never join"]["support"] > 100
