@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from chronicle.functions import arrays, text, timeops
-from chronicle.operators import analytics, codelists, contract, history, linkage, sampling, segment, shape, tagger
+from chronicle.operators import analytics, codelists, contract, history, linkage, maintained, sampling, segment, shape, tagger
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -195,6 +195,20 @@ def history_absent(spark, sf_dir):
     return _flat(_folded(spark, sf_dir, retired=True))
 
 
+@query(f"WITH {RETIRED_SQL}, {GRID_SQL} SELECT * FROM folded")
+def history_maintained(spark, sf_dir):
+    """The same by maintenance: folded as of the 12th, taken on to the 20th, and then to the end; each step folds what was touched since."""
+    versions = _versions(spark, sf_dir, retired=True)
+    state, old = None, []
+    for day in ("2024-01-12", "2024-01-20", None):
+        at = F.lit(day).cast("timestamp")
+        known = versions if day is None else versions.where(F.col(history.FROM) <= at).withColumn(history.TO, F.when(F.col(history.TO) <= at, F.col(history.TO)))
+        new = maintained.grid(history.weekly_checkpoints(history.load_times(known)))
+        state = maintained.merged(state, maintained.changed(known, "user_id", old, new, state), "user_id")
+        old = new
+    return _flat(maintained.folded(state, "user_id", new))
+
+
 @query(f"""WITH {RETIRED_SQL}, {GRID_SQL},
 ch AS (SELECT unnest(string_split(previous_update_dates, '|')) AS week FROM folded WHERE previous_update_dates <> ''),
 c AS (SELECT week, count(*) AS n FROM ch GROUP BY 1), d AS (SELECT on_website_to AS week, count(*) AS n FROM folded WHERE absent GROUP BY 1),

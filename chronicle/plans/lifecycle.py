@@ -2,7 +2,8 @@
 
 Tables are Parquet below one folder, committed together (`sinks.tables.Store`): `versions` and `documents`, each
 with its open windows apart from the closed ones, `loads`, `segments` and the scorer's `cache`. A load rewrites open
-windows and appends those that close; closed ones are never read or written again.
+windows and appends those that close; closed ones are never read or written again. `folded` is the history as it was last
+folded: a `base`, a `delta` of the entities folded since, and the checkpoints (`grid`) that it knows.
 """
 
 from __future__ import annotations
@@ -18,7 +19,7 @@ from pyspark.sql import types as T
 
 from chronicle.functions.timeops import from_unix
 from chronicle.model import Field, Model
-from chronicle.operators import contract, history, linkage, segment, shape
+from chronicle.operators import contract, history, linkage, maintained, segment, shape
 from chronicle.sinks import metadata, tables
 from chronicle.sources import xml
 
@@ -164,12 +165,59 @@ class Plans:
         times = attested if ledger.isEmpty() else history.ledger_times(ledger, attested)
         return history.weekly_checkpoints(times)
 
+    def _state(self) -> tuple[DataFrame | None, DataFrame | None, list]:
+        """The folded state as it is stored: its base, its delta, and the checkpoints that it knows."""
+        _, held = self.store.current()
+        base, delta, grid = (held.get(f"folded/{x}", []) for x in ("base", "delta", "grid"))
+        if not base:
+            return None, None, []
+        found = self.store.part(base[0])
+        if [f.name for f in found.schema[maintained.ROW].dataType.fields] != [*self.model.raw_schema().names, "row_hash"]:
+            return None, None, []  # of another model
+        known = [r[0] for r in self.store.part(grid[0]).orderBy("checkpoint").collect()]  # one a week
+        return found, self.store.part(delta[0]) if delta else None, known
+
+    def _changed(self, base: DataFrame | None, delta: DataFrame | None, old: list, new: list) -> DataFrame:
+        state = base if base is None or delta is None else maintained.merged(base, delta, "path")
+        return maintained.changed(self.versions(), "path", old, new, state)
+
+    def advance(self) -> int:
+        """Folds what loads have touched since the last time; returns the number of entities. The base is written anew once the delta is a quarter of it."""
+        number, _ = self.store.current()
+        base, delta, old = self._state()
+        new = maintained.grid(self.checkpoints())
+        part = self.store.write(self._changed(base, delta, old, new), "folded/delta")
+        news = self.store.part(part)
+        n = news.count()
+        if n == 0 and old == new:
+            return 0
+        grid = self.store.write(self.spark.createDataFrame([(x,) for x in new], "checkpoint timestamp").coalesce(1), "folded/grid")
+        changes = {"folded/grid": [grid]}
+        if base is None or not maintained.advances(old, new):
+            changes |= {"folded/base": [self.store.write(news, "folded/base")], "folded/delta": []}
+        else:
+            together = news if delta is None else maintained.merged(delta, news, "path")
+            if 4 * together.count() > base.count():
+                changes |= {"folded/base": [self.store.write(maintained.merged(base, together, "path"), "folded/base")], "folded/delta": []}
+            else:
+                changes["folded/delta"] = [part if delta is None else self.store.write(together, "folded/delta")]
+        self.store.commit(number, changes)
+        return n
+
     def snapshot(self) -> DataFrame:
-        """The last content of each document that a checkpoint saw, with its history."""
-        return history.fold(self.versions(), "path", self.checkpoints()).drop("row_hash")
+        """The last content of each document that a checkpoint saw, with its history; loads that weren't folded yet are, on the way."""
+        base, delta, old = self._state()
+        new = maintained.grid(self.checkpoints())
+        news = self._changed(base, delta, old, new)
+        if base is None or not maintained.advances(old, new):
+            state = news
+        else:
+            state = maintained.merged(base if delta is None else maintained.merged(base, delta, "path"), news, "path")
+        return maintained.folded(state, "path", new).drop("row_hash")
 
     def publish(self) -> DataFrame:
         """The published table: snapshot, link index, segments, export shape."""
+        self.advance()
         raw = self.snapshot()
         own = [history.FROM, history.TO, "previous_update_dates", "last_updated", "absent"]
         index = None

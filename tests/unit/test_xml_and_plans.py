@@ -220,6 +220,29 @@ def test_loads_are_whole(spark, tree, tmp_path, monkeypatch):
         p.load(root, MONDAY + 3 * WEEK)
 
 
+def test_the_folded_history_is_maintained(spark, tree, tmp_path):
+    """After each load the publication equals a full fold, of loads that were published and ones that weren't."""
+    root, write = tree
+    p = plans(spark, tmp_path)
+    for i in range(40):
+        write(f"s/n{i}", scheme(f"/Schemes/N{i}", "n"))
+    folded = []
+    for k, at in enumerate([0, WEEK, WEEK + 3600, 2 * WEEK + 900, 4 * WEEK]):
+        write("s/three", scheme("/Schemes/Three", f"title {k}"))
+        if k == 2:
+            Path(root, "s/two.xml").unlink()
+        p.load(root, MONDAY + at)
+        want = history.fold(p.versions(), "path", p.checkpoints()).drop("row_hash")
+        got = p.snapshot()
+        assert got.columns == want.columns and sorted(map(repr, got.collect())) == sorted(map(repr, want.collect()))
+        if k != 3:
+            folded.append(p.advance())
+            assert sorted(map(repr, p.snapshot().collect())) == sorted(map(repr, want.collect()))
+    assert folded[0] == 43 and max(folded[1:]) <= 2 and p.advance() == 0
+    held = p.store.current()[1]
+    assert len(held["folded/base"]) == 1 and len(held["folded/delta"]) == 1
+
+
 def test_cache_answers(spark, tree, tmp_path):
     """What the cache has isn't asked for again; another revision is another answer."""
     root, write = tree
