@@ -31,7 +31,9 @@ SEGMENTS = "md5 string, keywords string, terms array<string>, model string, revi
 class Plans:
     """A model, its linked documents and its structure, over one folder of tables."""
 
-    def __init__(self, spark: SparkSession, model: Model, folder: str, index_fields: Sequence[Field] = (), index_types: Sequence[str] = (), structure: DataFrame | None = None, base_url: str = "") -> None:
+    def __init__(self, spark: SparkSession, model: Model, folder: str, index_fields: Sequence[Field] = (), index_types: Sequence[str] = (), structure: DataFrame | None = None, base_url: str = "", buckets: int | None = None) -> None:
+        """`buckets`: how many the open windows are stored in by their key (none given: as many as a shuffle has partitions). Tables that have another number keep it until they are next written."""
+        self.buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
         self.spark, self.model, self.folder = spark, model.check(), folder.rstrip("/")
         self.index_fields, self.index_types, self.structure, self.base_url = list(index_fields), list(index_types), structure, base_url
         self.store = tables.Store(spark, self.folder)
@@ -86,16 +88,23 @@ class Plans:
         return self._versions("versions", self.model.raw_schema(), ["open"])
 
     def _merged(self, name: str, extract: DataFrame, key: str, now: float, held: dict[str, list[str]]) -> dict[str, list[str]]:
-        """Folders for a commit: the open windows anew, and the closed ones with those that close now."""
-        live = self._versions(name, extract.schema, ["open"])
-        history.refuse_drift(extract, [c for c in live.columns if c not in ("row_hash", history.FROM, history.TO)])
-        merged = history.apply_live(live, extract, from_unix(F.lit(now)), key).persist(StorageLevel.MEMORY_AND_DISK)
+        """Folders for a commit: the open windows anew, and the closed ones with those that close now.
+
+        Open windows are stored in buckets of the key, so neither the join nor the writing shuffles them; keys are unique and not null here.
+        """
+        declared = [c for c in self._versions(name, extract.schema, ["open"]).columns if c not in ("row_hash", history.FROM, history.TO)]
+        history.refuse_drift(extract, declared)
+        own = extract.select(*declared)
+        schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in own.schema.fields), "row_hash string", f"{history.FROM} timestamp", f"{history.TO} timestamp"])
+        parts = held.get(f"{name}/open", [])
+        live = self.store.buckets(parts[0], key, schema) if len(parts) == 1 else self._versions(name, own.schema, ["open"])
+        merged = history.apply_keyed(live, own, from_unix(F.lit(now)), key).persist(StorageLevel.MEMORY_AND_DISK)
         try:
             closing = merged.where(F.col(history.TO).isNotNull())
             closed = held.get(f"{name}/closed", [])
             if not closing.isEmpty():
                 closed = [*closed, self.store.write(closing, f"{name}/closed")]
-            return {f"{name}/open": [self.store.write(merged.where(F.col(history.TO).isNull()), f"{name}/open")], f"{name}/closed": closed}
+            return {f"{name}/open": [self.store.write_buckets(merged.where(F.col(history.TO).isNull()), f"{name}/open", key, self.buckets)], f"{name}/closed": closed}
         finally:
             merged.unpersist()
 

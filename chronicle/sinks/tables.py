@@ -105,6 +105,26 @@ class Store:
         df.write.parquet(f"{self.folder}/{part}")
         return part
 
+    def write_buckets(self, df: DataFrame, name: str, key: str, buckets: int) -> str:
+        """Writes a folder in buckets of a key, sorted in each; their number is a part of its name.
+
+        Rows that are dealt by the key already, as a join of two such tables leaves them, aren't shuffled for it.
+        """
+        part, view = f"{name}/{buckets}x{uuid.uuid4().hex}", f"chronicle_{uuid.uuid4().hex}"
+        df.write.format("parquet").bucketBy(buckets, key).sortBy(key).option("path", f"{self.folder}/{part}").saveAsTable(view)
+        self.spark.sql(f"DROP TABLE {view}")  # the folder stays
+        return part
+
+    def buckets(self, part: str, key: str, schema: str) -> DataFrame:
+        """A folder's rows, read so that Spark knows the buckets of the key, if it has any."""
+        found = re.fullmatch(r"(?:.*/)?(\d+)x[0-9a-f]{32}", part)
+        if not found:
+            return self.spark.read.schema(schema).parquet(f"{self.folder}/{part}")
+        view = f"chronicle_{re.sub('[^0-9a-f]', '', part[-32:])}"
+        at = f"{self.folder}/{part}".replace("\\", "\\\\").replace("'", "\\'")
+        self.spark.sql(f"CREATE TABLE IF NOT EXISTS {view} ({schema}) USING parquet OPTIONS (path '{at}') CLUSTERED BY (`{key}`) SORTED BY (`{key}`) INTO {found[1]} BUCKETS")
+        return self.spark.table(view)
+
     def commit(self, base: int, tables: Mapping[str, list[str]]) -> int:
         """The tables of commit `base` with these folders in place of their own; refused if it isn't the last one any more."""
         fs, at = _fs(self.spark, self.folder)
@@ -153,7 +173,7 @@ class Store:
             for f in fs.listStatus(at(f"{self.folder}/{below}".rstrip("/"))):
                 name = f.getPath().getName()
                 path = f"{below}/{name}".lstrip("/")
-                if f.isDirectory() and re.fullmatch("[0-9a-f]{32}", name):
+                if f.isDirectory() and re.fullmatch(r"(\d+x)?[0-9a-f]{32}", name):
                     found[path] = f.getModificationTime()
                 elif f.isDirectory() and path != "_commits":
                     todo.append(path)

@@ -227,15 +227,15 @@ def test_the_folded_history_is_maintained(spark, tree, tmp_path):
     for i in range(40):
         write(f"s/n{i}", scheme(f"/Schemes/N{i}", "n"))
     folded = []
-    for k, at in enumerate([0, WEEK, WEEK + 3600, 2 * WEEK + 900, 4 * WEEK]):
+    for k, at in enumerate([0, WEEK, WEEK + 3600]):
         write("s/three", scheme("/Schemes/Three", f"title {k}"))
-        if k == 2:
+        if k == 1:
             Path(root, "s/two.xml").unlink()
         p.load(root, MONDAY + at)
         want = history.fold(p.versions(), "path", p.checkpoints()).drop("row_hash")
         got = p.snapshot()
         assert got.columns == want.columns and sorted(map(repr, got.collect())) == sorted(map(repr, want.collect()))
-        if k != 3:
+        if k != 1:
             folded.append(p.advance())
             assert sorted(map(repr, p.snapshot().collect())) == sorted(map(repr, want.collect()))
     assert folded[0] == 43 and max(folded[1:]) <= 2 and p.advance() == 0
