@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from chronicle.functions import arrays, text, timeops
-from chronicle.operators import analytics, codelists, contract, history, linkage, maintained, sampling, segment, shape, tagger
+from chronicle.operators import analytics, codelists, contract, history, intervals, linkage, maintained, sampling, segment, shape, tagger
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -195,6 +195,24 @@ def history_absent(spark, sf_dir):
     return _flat(_folded(spark, sf_dir, retired=True))
 
 
+@query(f"""WITH {RETIRED_SQL}, o AS (SELECT event_id, user_id, ts FROM events)
+SELECT event_id, o.user_id, event_type AS content, strftime(f, '%Y-%m-%d %H:%M:%S') AS valid_from FROM o JOIN versions v ON v.user_id = o.user_id AND f <= ts AND (t IS NULL OR ts < t)""")
+def version_at_event(spark, sf_dir):
+    """The version of its user that each event falls into; events after a user has left fall into none."""
+    versions = _versions(spark, sf_dir, retired=True).withColumnRenamed("event_type", "content")
+    events = table(spark, sf_dir, "events").select("event_id", "user_id", F.col("ts").cast("timestamp").alias("ts"))
+    return intervals.contained(versions, events, history.FROM, history.TO, "ts", "user_id").select("event_id", "user_id", "content", stamp(history.FROM).alias("valid_from"))
+
+
+@query(f"""WITH {RETIRED_SQL}, h AS (SELECT DISTINCT date_trunc('hour', ts) AS h FROM events)
+SELECT strftime(h, '%Y-%m-%d %H:%M:%S') AS hour, count(*)::BIGINT AS n_live, count(*) FILTER (t IS NULL)::BIGINT AS n_open FROM h JOIN versions ON f <= h AND (t IS NULL OR h < t) GROUP BY 1""")
+def live_by_hour(spark, sf_dir):
+    """How many versions were live at each hour, without a key between hours and versions."""
+    hours = table(spark, sf_dir, "events").select(F.date_trunc("hour", F.col("ts").cast("timestamp")).alias("h")).distinct()
+    found = intervals.contained(_versions(spark, sf_dir, retired=True), hours, history.FROM, history.TO, "h", unit=3_600_000_000)
+    return found.groupBy(stamp("h").alias("hour")).agg(F.count("*").alias("n_live"), F.count_if(F.col(history.TO).isNull()).alias("n_open"))
+
+
 @query(f"WITH {RETIRED_SQL}, {GRID_SQL} SELECT * FROM folded")
 def history_maintained(spark, sf_dir):
     """The same by maintenance: folded as of the 12th, taken on to the 20th, and then to the end; each step folds what was touched since."""
