@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from chronicle import model as m
-from chronicle.catalog import QUERIES, SQL, query, stamp, table
+from chronicle.catalog import EVENTS_SQL, QUERIES, SQL, VERSIONS_SQL, query, stamp, table
 from chronicle.functions import arrays, text
 from chronicle.operators import analytics, codelists, contract, history, linkage, sampling, segment, shape
 from chronicle.plans.lifecycle import Plans
@@ -340,6 +340,20 @@ def endpoint_answers(spark, sf_dir):
 
 
 
+@query(f"WITH {VERSIONS_SQL.format(events=EVENTS_SQL)} SELECT user_id, event_type, strftime(f, '%Y-%m-%d %H:%M:%S') AS valid_from, strftime(t, '%Y-%m-%d %H:%M:%S') AS valid_to FROM versions")
+def late_history(spark, sf_dir):
+    """Versions of a stream of all events in shuffled micro-batches, where windows close and split afterwards: those of the events in order."""
+    from chronicle.streaming import late
+
+    folder, events = shared_folder(spark), table(spark, sf_dir, "events").select("user_id", "event_type", "ts")
+    events.repartition(3).write.parquet(f"{folder}/in")  # each file has events of the whole time
+    stream = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(f"{folder}/in")
+    said = late.changes(stream, "user_id", "event_type", "ts", "60 days").writeStream.format("parquet").option("path", f"{folder}/out").option("checkpointLocation", f"{folder}/state").outputMode("append").trigger(availableNow=True).start()
+    said.awaitTermination()
+    got = late.settled(spark.read.parquet(f"{folder}/out"), "user_id", "event_type")
+    return got.select("user_id", "event_type", stamp(history.FROM).alias("valid_from"), stamp(history.TO).alias("valid_to"))
+
+
 @query("SELECT n_nationkey, CASE WHEN n_nationkey % 3 = 0 THEN 'a \"q\", ' || n_name || chr(10) || 'z' WHEN n_nationkey % 3 = 1 THEN n_name END AS said, '[' || n_regionkey || ',null]' AS cells FROM nation")
 def csv_round_trip(spark, sf_dir):
     """One CSV file with quotes, line breaks, nulls and nested cells, written and read back."""
