@@ -330,7 +330,7 @@ def endpoint_answers(spark, sf_dir):
     from chronicle.sources import endpoint
 
     part = table(spark, sf_dir, "part").select("p_name")
-    scorer = endpoint.configured("http://model", "token", chunk=16, post=_answers, pause=lambda _: None)
+    scorer = endpoint.configured("http://model", "token", chunk=64, post=_answers, pause=lambda _: None)
     assert endpoint.configured("http://model", None) is None
     first = segment.scored(part.where(F.md5("p_name") < "8"), "p_name", scorer)
     cache = first.select(segment.cache_key(F.col("p_name"), "r").alias("key"), "probabilities")

@@ -223,24 +223,40 @@ def rule_scorer(batch: list[list[str]]) -> list[list[float]]:
     return [[0.95 if re.search(INFLECTED, a) and a.isalpha() and b[:1].isupper() else 0.05 for a, b in zip(w, w[1:], strict=False)] for w in batch]
 
 
-def scored(values: DataFrame, column: str, scorer: Scorer, batch: int = 32) -> DataFrame:
-    """(column, tokens, probabilities) of distinct values; those with fewer than two tokens never reach the scorer."""
+#: Values that a scorer without a `chunk` of its own is asked for at a time.
+BATCH = 32
+
+
+def answered(values: DataFrame, column: str, scorer: Scorer) -> DataFrame:
+    """(column, tokens, probabilities, revision) of distinct values; those with fewer than two tokens never reach the scorer.
+
+    A scorer is asked for as many values at a time as its `chunk` says. One with `answers` says with each which
+    revision gave it; else that is null.
+    """
     given = values.select(column).where(F.col(column).isNotNull()).distinct().withColumn("tokens", tokens(F.col(column)))
     none = F.array().cast("array<double>")
+    batch = getattr(scorer, "chunk", BATCH)
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
             words = [list(w) for w in frame["tokens"]]
-            found: list[list[float]] = []
+            found: list[tuple[list[float], str | None]] = []
             for i in range(0, len(words), batch):
-                got = scorer(words[i : i + batch])
-                if len(got) != len(words[i : i + batch]):
-                    raise ValueError(f"the scorer gave {len(got)} answers to {len(words[i : i + batch])} values")
+                part = words[i : i + batch]
+                got = [(p, revision) for p, revision, _ in scorer.answers(part)] if hasattr(scorer, "answers") else [(p, None) for p in scorer(part)]
+                if len(got) != len(part):
+                    raise ValueError(f"the scorer gave {len(got)} answers to {len(part)} values")
                 found += got
-            yield frame.assign(probabilities=found)
+            yield frame.assign(probabilities=[p for p, _ in found], revision=pd.Series([r for _, r in found], dtype=object, index=frame.index))
+
+    schema = f"{column} string, tokens array<string>, probabilities array<double>, revision string"
+    short = given.where("size(tokens) < 2").withColumns({"probabilities": none, "revision": F.lit(None).cast("string")})
+    return given.where("size(tokens) > 1").mapInPandas(run, schema).unionByName(short)
+
 
-    schema = f"{column} string, tokens array<string>, probabilities array<double>"
-    return given.where("size(tokens) > 1").mapInPandas(run, schema).unionByName(given.where("size(tokens) < 2").withColumn("probabilities", none))
+def scored(values: DataFrame, column: str, scorer: Scorer) -> DataFrame:
+    """(column, tokens, probabilities), as `answered` has them."""
+    return answered(values, column, scorer).drop("revision")
 
 
 def stale(values: DataFrame, stored: DataFrame, column: str, revision: str) -> DataFrame:
@@ -250,15 +266,19 @@ def stale(values: DataFrame, stored: DataFrame, column: str, revision: str) -> D
     return wanted.join(known, F.col(column) == F.col("__value"), "left").where(~F.col("__revision").eqNullSafe(F.lit(revision))).select(column)
 
 
-def cache_key(value: Column, revision: str) -> Column:
+def cache_key(value: Column, revision: str | Column) -> Column:
     """One answer for each value and producer."""
-    return F.md5(F.concat(F.lit(f"{revision}\n"), value))
+    return F.md5(F.concat(F.lit(revision) if isinstance(revision, str) else revision, F.lit("\n"), value))
 
 
 def cached(values: DataFrame, cache: DataFrame, column: str, revision: str) -> tuple[DataFrame, DataFrame]:
-    """Distinct values with their answer from the cache (key, probabilities), and those without one."""
+    """Distinct values with their answer from the cache (key, probabilities), and those without one. Of several answers to one
+    key the last one loaded counts, if the cache says when (`loaded`)."""
     wanted = values.select(column).where(F.col(column).isNotNull()).distinct().withColumn("key", cache_key(F.col(column), revision))
-    return wanted.join(cache, "key"), wanted.join(cache, "key", "left_anti")
+    known = wanted.join(cache, "key")
+    if "loaded" in cache.columns:
+        known = known.groupBy("key", column).agg(F.max_by("probabilities", "loaded").alias("probabilities"))
+    return known, wanted.join(cache, "key", "left_anti")
 
 
 def revision_of(code: bytes, weights: bytes) -> str:

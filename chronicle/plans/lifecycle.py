@@ -25,6 +25,8 @@ from chronicle.sources import xml
 
 LOADS = "load_id double, status int, kind string"
 CACHE = "key string, keywords string, probabilities array<double>, model string, revision string, loaded double"
+#: Folders that a table of appended rows has at most before they are made into one.
+MOST_PARTS = 16
 SEGMENTS = "md5 string, keywords string, terms array<string>, model string, revision string, loaded double"
 
 
@@ -138,28 +140,44 @@ class Plans:
         return {"loads": [self.store.write(self.store.read("loads", LOADS).unionByName(row).coalesce(1), "loads")]}
 
     def segments(self) -> DataFrame:
-        return self.store.read("segments", SEGMENTS)
+        """The last segment of each text: runs append theirs."""
+        return self._last(self.store.read("segments", SEGMENTS), "md5")
+
+    @staticmethod
+    def _last(rows: DataFrame, key: str) -> DataFrame:
+        rest = [c for c in rows.columns if c != key]
+        last = rows.groupBy(key).agg(F.max_by(F.struct(*rest), F.struct("loaded", F.xxhash64(*rest))).alias("last"))
+        return last.select(key, "last.*").select(*rows.columns)
+
+    def _appended(self, held: dict[str, list[str]], name: str, key: str, schema: str, part: str) -> list[str]:
+        """The table's folders with one more; when there are many, one of them all."""
+        parts = [*held.get(name, []), part]
+        if len(parts) <= MOST_PARTS:
+            return parts
+        every = self.store.read(name, schema).unionByName(self.store.part(part))
+        return [self.store.write(self._last(every, key), name)]
 
     def segment(self, scorer: segment.Scorer, revision: str, now: float, producer: str = "scorer") -> int:
         """Terms of all keyword texts, of any version, that this revision has not seen yet. Answers that the cache
-        has are not asked for again."""
+        has are not asked for again. An answer is kept under the revision that it names itself, if it names one.
+        A run appends what is new to the cache and to the segments."""
         if "keywords" not in self.model.names():
             return 0
-        base, _ = self.store.current()
+        base, held = self.store.current()
         cache = self.store.read("cache", CACHE)
         todo = segment.stale(self.versions(), self.segments(), "keywords", revision).persist(StorageLevel.MEMORY_AND_DISK)
         try:
             n = todo.count()
             if not n:
                 return 0
-            _, asked = segment.cached(todo, cache.select("key", "probabilities"), "keywords", revision)
-            answers = segment.scored(asked, "keywords", scorer)
-            put = answers.select(segment.cache_key(F.col("keywords"), revision).alias("key"), "keywords", "probabilities", F.lit(producer).alias("model"), F.lit(revision).alias("revision"), F.lit(float(now)).alias("loaded"))
-            part = self.store.write(history.upsert(cache, put, "key", "loaded"), "cache")
-            known, _ = segment.cached(todo, self.store.part(part).select("key", "probabilities"), "keywords", revision)  # answers are asked for once and read from here
-            decided = known.withColumn("d", segment.decoded(segment.tokens(F.col("keywords")), F.col("probabilities")))
-            fresh = decided.select(F.md5("keywords").alias("md5"), "keywords", F.col("d.terms").alias("terms"), F.lit(producer).alias("model"), F.lit(revision).alias("revision"), F.lit(float(now)).alias("loaded"))
-            changes = {"cache": [part], "segments": [self.store.write(history.upsert(self.segments(), fresh, "md5", "loaded"), "segments")]}
+            known, asked = segment.cached(todo, cache.select("key", "probabilities", "loaded"), "keywords", revision)
+            by = F.coalesce("revision", F.lit(revision))
+            put = segment.answered(asked, "keywords", scorer).select(segment.cache_key(F.col("keywords"), by).alias("key"), "keywords", "probabilities", F.lit(producer).alias("model"), by.alias("revision"), F.lit(float(now)).alias("loaded"))
+            part = self.store.write(put, "cache")  # answers are asked for once and read from here
+            told = known.select("keywords", "probabilities", F.lit(revision).alias("revision")).unionByName(self.store.part(part).select("keywords", "probabilities", "revision"))
+            decided = told.withColumn("d", segment.decoded(segment.tokens(F.col("keywords")), F.col("probabilities")))
+            fresh = decided.select(F.md5("keywords").alias("md5"), "keywords", F.col("d.terms").alias("terms"), F.lit(producer).alias("model"), "revision", F.lit(float(now)).alias("loaded"))
+            changes = {"cache": self._appended(held, "cache", "key", CACHE, part), "segments": self._appended(held, "segments", "md5", SEGMENTS, self.store.write(fresh, "segments"))}
             self.store.commit(base, changes | self._recorded(now, "segments"))
             return n
         finally:

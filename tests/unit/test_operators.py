@@ -281,6 +281,24 @@ def test_of_two_writers_one_is_refused(spark, tmp_path, monkeypatch):
     assert sorted(p.name for p in (tmp_path / "s/_commits").glob("[!.]*")) == ["0000000000.json", "0000000001.json"]
 
 
+def test_a_service_that_segments(spark):
+    """Whole texts are sent, in chunks of the service's own size; each row says who gave it."""
+
+    def texts(url, body, headers, timeout):
+        values = json.loads(body)["keywords"]
+        assert 0 < len(values) <= 40
+        return json.dumps({"results": [{"terms": v.split("|"), "group_sizes": [1] * len(v.split("|"))} for v in values], "model": f"m{len(values)}", "revision": "r"}).encode()
+
+    df = spark.range(100).selectExpr("IF(id = 3, NULL, concat('a|b', id % 90)) AS kw").coalesce(1)
+    got = endpoint.segmented(df, "kw", endpoint.Segmenter("http://x", "t", chunk=40, post=texts)).collect()
+    assert len(got) == 90 and all(r["terms"] == r["kw"].split("|") and r["sizes"] == [1, 1] and r["revision"] == "r" for r in got)
+    assert max(int(r["model"][1:]) for r in got) > 32  # more than another scorer is asked for
+    asked = []
+    big = type("Big", (), {"chunk": 64, "__call__": lambda self, batch: asked.append(len(batch)) or [[0.5] * (len(w) - 1) for w in batch]})()
+    rows = spark.range(100).selectExpr("concat('a b', id) AS kw").coalesce(1)
+    assert segment.answered(rows, "kw", big).where("revision IS NULL").count() == 100
+
+
 def test_endpoint():
     import urllib.error
 
@@ -293,6 +311,15 @@ def test_endpoint():
             raise urllib.error.HTTPError(url, 503, "busy", None, None) if len(asked) == 1 else urllib.error.URLError("gone")
         return json.dumps({"results": [[0.5] * (len(v) - 1) for v in values], "revision": "r7"}).encode()
 
+    def texts(url, body, headers, timeout):
+        values = json.loads(body)["keywords"]
+        texts.asked.append((len(values), headers["x-tagger-token"]))
+        return json.dumps({"results": [{"terms": v.split(), "group_sizes": [1] * len(v.split())} for v in values], "model": "m", "revision": f"r{len(texts.asked)}"}).encode()
+
+    texts.asked = []
+    s = endpoint.Segmenter("http://x", "t", chunk=2, post=texts)
+    assert [(x["terms"], r) for x, r, m in s.answers(["a b", "c", "d"])] == [(["a", "b"], "r1"), (["c"], "r1"), (["d"], "r2")]
+    assert texts.asked == [(2, "t"), (1, "t")] and s.revision() == "r3"
     e = endpoint.Endpoint("http://x", "t", chunk=2, post=post, pause=paused.append)
     assert e([["a", "b"], ["c", "d", "e"], ["f", "g"]]) == [[0.5], [0.5, 0.5], [0.5]]
     assert [n for n, _ in asked] == [2, 2, 2, 1] and paused == [1, 2] and e.revision() == "r7"

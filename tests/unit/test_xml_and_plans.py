@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from chronicle import model as m
 from chronicle.operators import contract, history, linkage, segment
+from chronicle.plans import lifecycle
 from chronicle.plans.lifecycle import Plans
 from chronicle.sinks import metadata
 from chronicle.sources import files, xml
@@ -243,7 +244,7 @@ def test_the_folded_history_is_maintained(spark, tree, tmp_path):
     assert len(held["folded/base"]) == 1 and len(held["folded/delta"]) == 1
 
 
-def test_cache_answers(spark, tree, tmp_path):
+def test_cache_answers(spark, tree, tmp_path, monkeypatch):
     """What the cache has isn't asked for again; another revision is another answer."""
     root, write = tree
     asked = spark.sparkContext.accumulator(0)
@@ -259,7 +260,22 @@ def test_cache_answers(spark, tree, tmp_path):
     base, _ = p.store.current()
     p.store.commit(base, {"segments": []})  # lost segments come back from the cache
     assert p.segment(scorer, "r1", MONDAY + 1) == 1 and asked.value == n and p.segments().first()["terms"] == ["kleine Bäume und Wege", "Test"]
+    before = p.store.current()[1]
     assert p.segment(scorer, "r2", MONDAY + 2) == 1 and asked.value == n + 1
+    after = p.store.current()[1]
+    assert all(after[t][:-1] == before[t] for t in ("cache", "segments")) and p.segments().count() == 1  # appended
+    monkeypatch.setattr(lifecycle, "MOST_PARTS", 1)
+
+    class Redeployed:
+        """A service that is another one by the time it answers."""
+
+        def answers(self, batch):
+            return [(p, "r4", "m") for p in segment.rule_scorer(batch)]
+
+    assert p.segment(Redeployed(), "r3", MONDAY + 3) == 1 and p.segments().first()["revision"] == "r4"
+    assert {r["revision"] for r in p.store.read("cache", lifecycle.CACHE).collect()} == {"r1", "r2", "r4"}
+    assert [len(p.store.current()[1][t]) for t in ("cache", "segments")] == [1, 1]  # made into one
+    assert p.segment(scorer, "r4", MONDAY + 4) == 0
 
 
 def test_a_load_parses_once(spark, tree, tmp_path):
