@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from chronicle.functions import arrays, text, timeops
-from chronicle.operators import analytics, codelists, contract, history, intervals, linkage, maintained, sampling, segment, shape, tagger
+from chronicle.operators import analytics, codelists, contract, history, intervals, linkage, maintained, sampling, segment, selection, shape, tagger
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -812,6 +812,15 @@ def median_len(spark, sf_dir):
     return n.agg(F.min("n").alias("least"), F.max("n").alias("most"), F.median("n").alias("middle"))
 
 
+@query("""
+WITH g AS (SELECT l_returnflag, count(*)::BIGINT AS n, unnest([0.0, 0.5, 0.9]) AS fraction, unnest(quantile_cont(l_extendedprice, [0.0, 0.5, 0.9])) AS value FROM lineitem GROUP BY 1)
+SELECT l_returnflag, fraction::DOUBLE AS fraction, n, round(value, 4) AS value FROM g""")
+def price_quantiles(spark, sf_dir):
+    """Exact quantiles of three large groups, found by histograms."""
+    found = selection.quantiles(table(spark, sf_dir, "lineitem"), "l_extendedprice", [0.0, 0.5, 0.9], ["l_returnflag"])
+    return found.withColumn("value", F.round("value", 4))
+
+
 @query("SELECT count(o_orderdate)::BIGINT AS n, count(*) FILTER (year(o_orderdate) NOT BETWEEN 1996 AND 2000)::BIGINT AS n_implausible, min(year(o_orderdate))::INTEGER AS first_year, max(year(o_orderdate))::INTEGER AS last_year, round(avg(CASE WHEN year(o_orderdate) NOT BETWEEN 1996 AND 2000 THEN 1.0 ELSE 0.0 END), 4) AS share FROM orders")
 def implausible_dates(spark, sf_dir):
     return analytics.implausible_dates(table(spark, sf_dir, "orders"), "o_orderdate", 1996, 2000)
