@@ -723,6 +723,19 @@ def dataset_turtle(spark, sf_dir):
     return spark.createDataFrame([(metadata.turtle(metadata.as_frame(spark, said[::-1])),)], "turtle string")
 
 
+@query("""
+WITH t AS (SELECT unnest(['<https://x/part/' || p_partkey || '>', '    <http://www.w3.org/1999/02/22-rdf-syntax-ns#type> <http://www.w3.org/2004/02/skos/core#Concept> ;', '    <http://www.w3.org/2004/02/skos/core#prefLabel> "' || p_name || '"@en .']) AS line FROM part)
+SELECT line, count(*)::BIGINT AS n FROM t GROUP BY 1 UNION ALL SELECT '', count(*) - 1 FROM part""")
+def concepts_turtle(spark, sf_dir):
+    """A concept for each part, written by executors as one file and read back line by line."""
+    part, path = table(spark, sf_dir, "part"), f"{shared_folder(spark)}/parts.ttl"
+    subject, none = F.concat(F.lit("https://x/part/"), F.col("p_partkey").cast("string")), F.lit(None).cast("string")
+    said = lambda p, o, kind, lang: F.struct(subject.alias("s"), F.lit(metadata.expand(p)).alias("p"), o.alias("o"), F.lit(kind).alias("kind"), lang.alias("lang"), none.alias("datatype"))
+    triples = part.select(F.explode(F.array(said("rdf:type", F.lit(metadata.expand("skos:Concept")), "iri", none), said("skos:prefLabel", F.col("p_name"), "literal", F.lit("en")))).alias("t")).select("t.*")
+    metadata.write_turtle(triples, path)
+    return spark.read.text(path).groupBy(F.col("value").alias("line")).agg(F.count("*").alias("n"))
+
+
 @query(f"""
 WITH t AS ({TRIPLES_SQL}) SELECT s AS node, replace(p, '{NS["rdf"]}type', '@type') AS p, o FROM t""")
 def dataset_json_ld(spark, sf_dir):

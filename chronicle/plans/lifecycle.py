@@ -10,7 +10,6 @@ from __future__ import annotations
 
 import time
 from collections.abc import Mapping, Sequence
-from pathlib import Path
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
@@ -262,30 +261,29 @@ class Plans:
         about = about or metadata.About({"en": self.model.document_type}, publisher=self.model.publisher, licence=self.model.licence)
         labels = vocabularies or {v: {c: c for c in codes} for v, codes in self.model.vocabularies.items()}
         table, base = self.publish(), self.base_url or "urn:dataset"
-        csv = f"{target.rstrip('/')}/table.csv"
-        Path(target).mkdir(parents=True, exist_ok=True)
+        target = target.rstrip("/")
+        csv = f"{target}/table.csv"
         tables.write_csv(table, csv, [order])
         columns = metadata.contract(table.schema, self.model, unique=[order], required=[order])
-        tables.write_json(f"{target}/table-schema.json", metadata.table_schema(columns, self.base_url, order, labels))
+        tables.write_json(self.spark, f"{target}/table-schema.json", metadata.table_schema(columns, self.base_url, order, labels))
         media = {"table.csv": "text/csv", "table-schema.json": "application/csvm+json"}
         if licence_file is not None:
-            media[tables.copy_beside(licence_file, target).name] = "text/plain"
-        sizes = metadata.distribution_sizes(target, media)
+            media[tables.copy_beside(self.spark, licence_file, target)] = "text/plain"
+        sizes = tables.sizes(self.spark, target, media)
         said = metadata.dataset_triples(base, about, sizes) + metadata.vocabulary_triples(base, columns, labels)
         if faults := metadata.conformance(said):
             raise contract.ContractError("; ".join(faults))
         triples = metadata.as_frame(self.spark, said)
-        tables.write_text(f"{target}/dataset.ttl", metadata.turtle(triples))
-        tables.write_text(f"{target}/dataset.jsonld", metadata.json_ld(triples))
+        metadata.write_turtle(triples, f"{target}/dataset.ttl")
+        metadata.write_json_ld(triples, f"{target}/dataset.jsonld")
         pages = {
             "index.html": metadata.dataset_page(about, sizes, {"columns.html": "columns", "vocabularies.html": "vocabularies"}),
             "columns.html": metadata.columns_page(about, columns, labels),
             "vocabularies.html": metadata.vocabularies_page(about, labels),
         }
         for name, text in pages.items():
-            tables.write_text(f"{target}/{name}", text)
-        with open(csv, encoding="utf-8") as f:
-            faults = contract.header_faults(f.readline().rstrip("\r\n").split(","), table.columns)
+            tables.write_text(self.spark, f"{target}/{name}", text)
+        faults = contract.header_faults(tables.first_line(self.spark, csv).split(","), table.columns)
         if faults:
             raise contract.ContractError("; ".join(faults))
         return [*media, "dataset.ttl", "dataset.jsonld", *pages]

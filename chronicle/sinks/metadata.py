@@ -1,7 +1,7 @@
 """Metadata of a published table: column contract, CSVW schema, triples, Turtle, JSON-LD, pages.
 
-The contract is a handful of rows; serialisers run on the driver and write the same bytes for
-the same input.
+The contract is a handful of rows. Triples are written by executors in a total order, so the same input gives
+the same bytes; `turtle` and `json_ld` give the same texts for a few of them.
 """
 
 from __future__ import annotations
@@ -10,14 +10,15 @@ import html
 import json
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
-from pathlib import Path
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from chronicle.functions.text import camel
 from chronicle.model import Model
+from chronicle.sinks import tables
 
 # Namespaces, the authority's address and names of datatypes, as the standards have them.
 PREFIXES = {
@@ -139,11 +140,6 @@ def literal(s: str, p: str, o: str, lang: str | None = None, datatype: str | Non
     return (s, expand(p), o, "literal", lang, expand(datatype) if datatype else None)
 
 
-def distribution_sizes(folder: str | Path, media: Mapping[str, str]) -> dict[str, tuple[str, int]]:
-    """name -> (media type, bytes) of the published files that are there."""
-    return {n: (m, Path(folder, n).stat().st_size) for n, m in media.items() if Path(folder, n).exists()}
-
-
 @dataclass(frozen=True)
 class About:
     """What is said of a dataset; texts by language."""
@@ -244,13 +240,73 @@ def turtle(triples: DataFrame) -> str:
     return "".join(lines) + (" .\n" if lines else "")
 
 
+def _edges(triples: DataFrame, by: Sequence[str], order: Sequence[str], name: str) -> DataFrame:
+    """The rows with whether they are the first and the last of their group; groups are counted up before they are joined."""
+    least = triples.groupBy(*by).agg(F.min(F.struct(*order)).alias("__least"), F.max(F.struct(*order)).alias("__most"))
+    own = F.struct(*order)
+    joined = triples.join(least, list(by))
+    return joined.withColumns({f"first_{name}": own.eqNullSafe(F.col("__least")), f"last_{name}": own.eqNullSafe(F.col("__most"))}).drop("__least", "__most")
+
+
+def _ends(triples: DataFrame) -> tuple[str | None, str | None]:
+    return tuple(triples.agg(F.min("s"), F.max("s")).first())
+
+
+def write_turtle(triples: DataFrame, path: str) -> None:
+    """`turtle` as a file, of any number of triples: sorted by ranges, written by executors."""
+    if triples.isEmpty():
+        return tables.write_text(triples.sparkSession, path, "")
+
+    @F.pandas_udf("string")
+    def term(o: pd.Series, kind: pd.Series, lang: pd.Series, datatype: pd.Series) -> pd.Series:
+        none = lambda x: None if pd.isna(x) else x
+        return pd.Series([_term(a, b, none(c), none(d)) for a, b, c, d in zip(o, kind, lang, datatype, strict=True)], dtype=object)
+
+    order = ["s", "p", "o", "kind", "lang", "datatype"]
+    rows = _edges(triples, ["s"], order[1:], "s")
+    blank = F.when(F.col("s") == F.lit(_ends(triples)[0]), "").otherwise("\n")
+    head = F.when(F.col("first_s"), F.concat(blank, F.lit("<"), "s", F.lit(">\n"))).otherwise("")
+    line = F.concat(head, F.lit("    <"), "p", F.lit("> "), term("o", "kind", "lang", "datatype"), F.when(F.col("last_s"), " .").otherwise(" ;"))
+    tables.write_lines(rows.withColumn("line", line).orderBy(*(F.asc_nulls_first(c) for c in order)).select("line"), path)
+
+
+def write_json_ld(triples: DataFrame, path: str) -> None:
+    """`json_ld` as a file, of any number of triples."""
+    if triples.isEmpty():
+        return tables.write_text(triples.sparkSession, path, "[]\n")
+
+    def said(row) -> dict:
+        return _node_value(row.o, row.kind, None if pd.isna(row.lang) else row.lang, None if pd.isna(row.datatype) else row.datatype)
+
+    @F.pandas_udf("mark string, shown string, subject string, property string")
+    def texts(s: pd.Series, p: pd.Series, o: pd.Series, kind: pd.Series, lang: pd.Series, datatype: pd.Series) -> pd.DataFrame:
+        rows = pd.DataFrame({"s": s, "p": p, "o": o, "kind": kind, "lang": lang, "datatype": datatype})
+        values = [said(r) for r in rows.itertuples()]
+        shown = ["\n".join("      " + x for x in json.dumps(v, ensure_ascii=False, indent=2, sort_keys=True).split("\n")) for v in values]
+        return pd.DataFrame({"mark": [json.dumps(v, sort_keys=True) for v in values], "shown": shown, "subject": [json.dumps(x, ensure_ascii=False) for x in s], "property": [json.dumps(x, ensure_ascii=False) for x in p]})
+
+    first, last = _ends(triples)
+    order = ["mark", "o", "kind", "lang", "datatype"]
+    rows = triples.withColumn("t", texts("s", "p", "o", "kind", "lang", "datatype")).select("*", "t.*").drop("t")
+    rows = _edges(_edges(rows, ["s"], ["p", *order], "s"), ["s", "p"], order, "p")
+    head = F.when(F.col("first_s"), F.concat(F.when(F.col("s") == F.lit(first), "[\n").otherwise(""), F.lit('  {\n    "@id": '), "subject", F.lit(",\n"))).otherwise("")
+    opened = F.when(F.col("first_p"), F.concat(F.lit("    "), "property", F.lit(": [\n"))).otherwise("")
+    closed = F.when(F.col("last_p"), F.concat(F.lit("\n    ]"), F.when(F.col("last_s"), "").otherwise(","))).otherwise(",")
+    tail = F.when(F.col("last_s"), F.when(F.col("s") == F.lit(last), "\n  }\n]").otherwise("\n  },")).otherwise("")
+    line = F.concat(head, opened, "shown", closed, tail)
+    tables.write_lines(rows.withColumn("line", line).orderBy(*(F.asc_nulls_first(c) for c in ("s", "p", *order))).select("line"), path)
+
+
+def _node_value(o: str, kind: str, lang: str | None, datatype: str | None) -> dict:
+    return {"@id": o} if kind == "iri" else {"@value": o} | ({"@language": lang} if lang else {}) | ({"@type": datatype} if datatype else {})
+
+
 def json_ld(triples: DataFrame) -> str:
     """Nodes, properties and values sorted."""
     nodes: dict[str, dict] = {}
     for r in triples.collect():
         node = nodes.setdefault(r.s, {"@id": r.s})
-        value = {"@id": r.o} if r.kind == "iri" else {"@value": r.o} | ({"@language": r.lang} if r.lang else {}) | ({"@type": r.datatype} if r.datatype else {})
-        node.setdefault(r.p, []).append(value)
+        node.setdefault(r.p, []).append(_node_value(r.o, r.kind, r.lang, r.datatype))
     for node in nodes.values():
         for k, v in node.items():
             if k != "@id":

@@ -4,11 +4,9 @@ from __future__ import annotations
 
 import json
 import re
-import shutil
 import time
 import uuid
 from collections.abc import Mapping
-from pathlib import Path
 
 from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
@@ -193,17 +191,63 @@ def write_csv(df: DataFrame, path: str, order: list[str]) -> None:
     fs.delete(at(stage), True)
 
 
-def write_text(path: str | Path, text: str) -> None:
-    """A small file, staged and renamed."""
-    target = Path(path)
-    target.parent.mkdir(parents=True, exist_ok=True)
-    stage = target.with_name(f".{target.name}.{uuid.uuid4().hex}")
-    stage.write_text(text, encoding="utf-8")
-    stage.replace(target)
+def _put(spark: SparkSession, path: str, write) -> None:
+    """A file that `write` fills through a stream, staged and renamed; on the file system that its path names."""
+    fs, at = _fs(spark, path)
+    stage = f"{path}.stage-{uuid.uuid4().hex}"
+    out = fs.create(at(stage), True)
+    try:
+        write(out)
+    finally:
+        out.close()
+    _renamed(spark, at(stage), at(path), overwrite=True)
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """A small file."""
+    _put(spark, path, lambda out: out.write(bytearray(text.encode())))
+
+
+def write_json(spark: SparkSession, path: str, value) -> None:
+    write_text(spark, path, json.dumps(value, ensure_ascii=False, indent=2, sort_keys=True) + "\n")
+
+
+def write_lines(lines: DataFrame, path: str) -> None:
+    """One file of a sorted frame's only column, a line for each row: executors write its parts, which the file system's streams join in order."""
+    spark = lines.sparkSession
+    fs, at = _fs(spark, path)
+    parts = f"{path}.parts-{uuid.uuid4().hex}"
+    lines.write.text(parts)
+    copy, conf = spark.sparkContext._jvm.org.apache.hadoop.io.IOUtils.copyBytes, spark.sparkContext._jsc.hadoopConfiguration()
+
+    def joined(out) -> None:
+        for part in sorted(f.getPath().toString() for f in fs.listStatus(at(parts)) if f.getPath().getName().startswith("part-")):
+            source = fs.open(at(part))
+            try:
+                copy(source, out, conf, False)
+            finally:
+                source.close()
+
+    try:
+        _put(spark, path, joined)
+    finally:
+        fs.delete(at(parts), True)
+
+
+def first_line(spark: SparkSession, path: str) -> str:
+    fs, at = _fs(spark, path)
+    jvm = spark.sparkContext._jvm
+    reader = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(fs.open(at(path)), "UTF-8"))
+    try:
+        return reader.readLine() or ""
+    finally:
+        reader.close()
 
 
-def write_json(path: str | Path, value) -> None:
-    write_text(path, json.dumps(value, ensure_ascii=False, indent=2, sort_keys=True) + "\n")
+def sizes(spark: SparkSession, folder: str, media: Mapping[str, str]) -> dict[str, tuple[str, int]]:
+    """name -> (media type, bytes) of the files that are there."""
+    fs, at = _fs(spark, folder)
+    return {n: (m, fs.getFileStatus(at(f"{folder}/{n}")).getLen()) for n, m in media.items() if fs.exists(at(f"{folder}/{n}"))}
 
 
 def write_jsonl(df: DataFrame, path: str) -> None:
@@ -211,9 +255,13 @@ def write_jsonl(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").option("ignoreNullFields", "false").json(path)
 
 
-def copy_beside(source: str | Path, folder: str | Path) -> Path:
-    """Puts a file, such as a licence, beside the data."""
-    return Path(shutil.copy(source, folder))
+def copy_beside(spark: SparkSession, source: str, folder: str) -> str:
+    """Puts a file, such as a licence, beside the data, from one file system to another if need be. Returns its name."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    (fs, at), (other, _) = _fs(spark, source), _fs(spark, folder)
+    name = at(source).getName()
+    jvm.org.apache.hadoop.fs.FileUtil.copy(fs, at(source), other, at(f"{folder}/{name}"), False, True, conf)
+    return name
 
 
 def write_dimension(df: DataFrame, path: str) -> None:

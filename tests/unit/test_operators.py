@@ -215,11 +215,12 @@ def test_cells_and_swap(spark, tmp_path):
     assert spark.read.parquet(path).count() == 2 and [p.name for p in tmp_path.iterdir()] == ["t"]
     tables.write_jsonl(spark.createDataFrame([(1, None)], "a int, b string"), str(tmp_path / "j"))
     assert "".join(p.read_text() for p in (tmp_path / "j").glob("part-*")) == '{"a":1,"b":null}\n'
-    tables.write_text(tmp_path / "LICENCE", "L")
-    assert tables.copy_beside(tmp_path / "LICENCE", tmp_path / "j").read_text() == "L" and metadata.distribution_sizes(tmp_path, {"LICENCE": "text/plain", "none": "x"}) == {"LICENCE": ("text/plain", 1)}
+    tables.write_text(spark, str(tmp_path / "LICENCE"), "L")
+    assert tables.copy_beside(spark, str(tmp_path / "LICENCE"), str(tmp_path / "j")) == "LICENCE" and (tmp_path / "j/LICENCE").read_text() == "L"
+    assert tables.sizes(spark, str(tmp_path), {"LICENCE": "text/plain", "none": "x"}) == {"LICENCE": ("text/plain", 1)}
 
 
-def test_metadata(spark):
+def test_metadata(spark, tmp_path):
     model = Model("T", [Field("raw_a", "a", description="it's <a>")], renames={"raw_a": "the_a"}, vocabularies={"the_a": ["x"]})
     columns = metadata.contract(T.StructType([T.StructField("the_a", T.StringType()), T.StructField("l", T.ArrayType(T.StringType())), T.StructField("m", T.LongType())]), model, inferred=["m"], required=["the_a"])
     assert [c.origin for c in columns] == ["upstream", "derived", "inferred"] and metadata.export_field("the_a", model) == "raw_a"
@@ -230,6 +231,13 @@ def test_metadata(spark):
     about = metadata.About({"en": 'T "q" <b>', "de": "Titel"}, {"en": "d"}, {"en": ["k"], "de": ["w"]}, "p", "https://l")
     triples = metadata.dataset_triples("https://d", about, {"b.csv": ("text/csv", 5), "a.csv": ("text/csv", 6)}) + metadata.vocabulary_triples("https://b", columns, {"v": {"x": "X"}})
     ttl, ld = metadata.turtle(metadata.as_frame(spark, triples)), metadata.json_ld(metadata.as_frame(spark, triples))
+    for rows, name in ((triples, "some"), (triples + [metadata.literal("https://a/\u00e9\n\"", "dct:title", x, lang) for x in ('"q"\\', "a\nb", "\u00fc") for lang in ("de", "")], "odd"), ([], "none")):
+        frame = metadata.as_frame(spark, rows).repartition(3)
+        metadata.write_turtle(frame, str(tmp_path / f"{name}.ttl"))
+        metadata.write_json_ld(frame, str(tmp_path / f"{name}.jsonld"))
+        assert (tmp_path / f"{name}.ttl").read_text(encoding="utf-8") == metadata.turtle(frame)
+        assert (tmp_path / f"{name}.jsonld").read_text(encoding="utf-8") == metadata.json_ld(frame)
+    assert sorted(p.name for p in tmp_path.glob("[!.]*")) == sorted(f"{n}.{e}" for n in ("some", "odd", "none") for e in ("ttl", "jsonld"))
     assert ttl == metadata.turtle(metadata.as_frame(spark, triples[::-1])) and ld == metadata.json_ld(metadata.as_frame(spark, triples[::-1]))
     assert '"T \\"q\\" <b>"@en' in ttl and ttl.count(" .\n") == len({t[0] for t in triples}) == len(json.loads(ld))
     assert metadata.conformance(triples) == [] and metadata.german_number(1234.5, 1) == "1.234,5"
