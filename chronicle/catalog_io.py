@@ -393,18 +393,14 @@ def label_bundles(spark, sf_dir):
     return files.with_fallback(n.select(F.col("n_nationkey").cast("string").alias("key")), one, two)
 
 
-@query(f"SELECT * FROM (VALUES {values(('a', '2023-1', '2024-1'), ('c', '1', '2'))}) AS t(list, pinned, now)")
+@query("""
+WITH c AS (SELECT p_name AS list, min(p_brand) FILTER (p_size < 25) AS pinned, max(p_brand) AS now FROM part GROUP BY 1)
+SELECT list, pinned, now FROM c WHERE now > pinned""")
 def registry_drift(spark, sf_dir):
-    """Pinned versions that a registry has moved on from."""
-    import tempfile
-    from pathlib import Path
-
-    said = [{"identifier": "a", "version": "2022-9"}, {"identifier": "a", "version": "2024-1"}, {"identifier": "b", "version": "7"}, {"identifier": "c", "version": "2"}]
-    with tempfile.TemporaryDirectory() as d:  # the driver alone reads it
-        Path(d, "registry.json").write_text(json.dumps(said), encoding="utf-8")
-        current = files.registry(Path(d, "registry.json").as_uri())
-    found = files.drifted({"a": "2023-1", "b": "7", "c": "1", "gone": "5"}, current)
-    return spark.createDataFrame([(k, *v) for k, v in found.items()], "list string, pinned string, now string")
+    """Pinned versions that a registry has moved on from: a part's brands are its versions."""
+    part = table(spark, sf_dir, "part").select(F.col("p_name").alias("list"), F.col("p_brand").alias("version"), "p_size")
+    pinned = part.where("p_size < 25").groupBy("list").agg(F.min("version").alias("version"))
+    return files.drifted_rows(pinned, part.drop("p_size"))
 
 
 # ---------------------------------------------------------------- shape and order
@@ -461,13 +457,17 @@ def classifier_names(spark, sf_dir):
     return table(spark, sf_dir, "pages").select("page_id", text.classifier(F.concat(F.lit("/x/Common/"), text.leaf(F.col("url")))).alias("name"))
 
 
-@query(f"SELECT * FROM (VALUES {values(('ABC', 'abc', 'aBC'), ('XYNewArea', 'xy_new_area', 'xyNewArea'), ('AreaKind', 'area_kind', 'areaKind'), ('someURLName', 'some_u_r_l_name', 'someURLName'))}) AS t(name, col, back)")
+@query("""
+WITH w AS (SELECT DISTINCT split_part(p_name, ' ', 1) AS a, split_part(p_name, ' ', 2) AS b, p_size % 3 = 0 AS marked FROM part),
+n AS (SELECT *, CASE WHEN marked THEN 'XY' ELSE '' END || upper(a[1]) || a[2:] || upper(b[1]) || b[2:] AS name, a = 'small' AND b IN ('bolt', 'gear', 'ring') AND NOT marked AS whole FROM w)
+SELECT name, CASE WHEN whole THEN lower(name) WHEN marked THEN 'xy_' || a || '_' || b ELSE a || '_' || b END AS col,
+  CASE WHEN whole THEN lower(name) WHEN marked THEN 'xy' || upper(a[1]) || a[2:] || upper(b[1]) || b[2:] ELSE a || upper(b[1]) || b[2:] END AS back FROM n""")
 def classifier_columns(spark, sf_dir):
-    """Column names of classifiers, and camelCase names of columns."""
-    names = ["ABC", "XYNewArea", "AreaKind", "someURLName"]
-    snake = [text.classifier_column(n, ("ABC",), ("XY",)) for n in names]
-    back = ["aBC" if s == "abc" else text.camel(s) for s in snake]
-    return spark.createDataFrame(list(zip(names, snake, back, strict=True)), "name string, col string, back string")
+    """Column names of classifiers, and camelCase names of columns; some are one word."""
+    words = F.array_join(F.transform(F.split("p_name", " "), lambda w: F.concat(F.upper(F.substring(w, 1, 1)), F.substring(w, 2, 99))), "")
+    part = table(spark, sf_dir, "part").select(F.concat(F.when(F.col("p_size") % 3 == 0, "XY").otherwise(""), words).alias("name")).distinct()
+    out = part.withColumn("col", text.classifier_case(F.col("name"), ("SmallBolt", "SmallGear", "SmallRing"), ("XY",)))
+    return out.withColumn("back", text.camel_case(F.col("col")))
 
 
 # ---------------------------------------------------------------- contract and guards
@@ -621,11 +621,10 @@ def sizes_of_spans(spark, sf_dir):
     return lists.select("l_orderkey", F.array_join(F.transform(back, lambda x: x.cast("string")), "|").alias("sizes"))
 
 
-@query("SELECT r_name, substr(sha256(r_name), 1, 12) || '.' || substr(sha256('w' || r_name), 1, 12) AS revision FROM region")
+@query("SELECT p_partkey, substr(sha256(p_name), 1, 12) || '.' || substr(sha256('w' || p_partkey), 1, 12) AS revision FROM part")
 def revisions(spark, sf_dir):
     """Names of producers, by code and weights."""
-    rows = [(r.r_name, segment.revision_of(r.r_name.encode(), f"w{r.r_name}".encode())) for r in table(spark, sf_dir, "region").collect()]
-    return spark.createDataFrame(rows, "r_name string, revision string")
+    return table(spark, sf_dir, "part").select("p_partkey", segment.revision(F.col("p_name"), F.concat(F.lit("w"), "p_partkey")).alias("revision"))
 
 
 # ---------------------------------------------------------------- metadata
@@ -643,19 +642,16 @@ def _columns(spark: SparkSession, sf_dir: str) -> list[metadata.Column]:
     return metadata.contract(schema, MODEL, inferred=["guess"], unique=["id_hash"], required=["id_hash"])
 
 
-DESCRIBED = [
-    (0, "id_hash", "string", False, True, None, "derived", ""),
-    (1, "title", "string", True, False, None, "upstream", "The name"),
-    (2, "segment", "array<string>", True, False, "segment", "upstream", ""),
-    (3, "updated_at", "timestamp", True, False, None, "upstream", ""),
-    (4, "guess", "double", True, False, None, "inferred", ""),
-]
-
-
-@query(f"SELECT * FROM (VALUES {values(*DESCRIBED)}) AS t(position, name, dtype, nullable, is_unique, vocabulary, origin, description)")
+@query(f"""
+WITH p AS (SELECT *, CASE WHEN p_size % 7 <> 0 THEN p_type END AS kind FROM part), n AS (SELECT count(*) AS n FROM p)
+{" UNION ALL ".join(f"SELECT {i} AS position, '{c}' AS name, '{t}' AS dtype, count({c}) < any_value(n) AS nullable, count(DISTINCT {c}) = any_value(n) AS is_unique, {v} AS vocabulary, '{o}' AS origin, '{d}' AS description FROM p, n" for i, (c, t, v, o, d) in enumerate((("p_partkey", "bigint", "NULL", "derived", ""), ("p_name", "string", "NULL", "upstream", "The name"), ("kind", "string", "'kind'", "derived", ""), ("p_size", "int", "NULL", "inferred", ""))))}""")
 def contract_described(spark, sf_dir):
-    """The contract as a table; a renamed column is known by its raw name."""
-    return metadata.describe(spark, _columns(spark, sf_dir))
+    """A table's contract: its types, and what of its columns its rows show to be unique and filled."""
+    part = table(spark, sf_dir, "part").select("p_partkey", "p_name", F.when(F.col("p_size") % 7 != 0, F.col("p_type")).alias("kind"), "p_size")
+    codes = [r[0] for r in part.where("kind is not null").select("kind").distinct().orderBy("kind").collect()]
+    model = m.Model("Part", [m.Field("p_name", "t:name", description="The name")], vocabularies={"kind": codes})
+    unique, full = metadata.measured(part)
+    return metadata.describe(spark, metadata.contract(part.schema, model, inferred=["p_size"], unique=unique, required=full))
 
 
 @query("SELECT * FROM (VALUES ('id_hash', 'string', true, 'https://b#idHash', NULL), ('title', 'string', false, 'https://b#title', 'The name'), ('segment', 'json', false, 'https://b#segment', 'A JSON array of values; an empty array if there are none. One of 5 codes: ' || (SELECT string_agg(DISTINCT c_mktsegment, ', ' ORDER BY c_mktsegment) FROM customer) || '.'), ('updated_at', 'dateTime', false, 'https://b#updatedAt', NULL), ('guess', 'double', false, 'https://b#guess', NULL)) AS t(name, datatype, required, property, said)")
@@ -745,11 +741,14 @@ def dataset_json_ld(spark, sf_dir):
     return spark.createDataFrame(rows, "node string, p string, o string")
 
 
-@query(f"SELECT n_nationkey, '{NS['eu']}country/' || n_name AS authority, '{NS['skos']}' || n_name AS expanded, 'https://b#' || lower(substr(n_name, 1, 1)) || 'OfNation' AS property FROM nation")
+@query(f"""
+SELECT p_partkey, '{NS['eu']}country/' || p_type AS authority, CASE WHEN p_partkey % 2 = 0 THEN '{NS['skos']}' || p_name ELSE 'zz:' || p_name END AS expanded,
+  'https://b#' || split_part(p_name, ' ', 1) || upper(split_part(p_name, ' ', 2)[1]) || split_part(p_name, ' ', 2)[2:] AS property FROM part""")
 def curie_terms(spark, sf_dir):
-    """IRIs of codes, prefixed names and columns."""
-    rows = [(r.n_nationkey, metadata.authority("country", r.n_name), metadata.expand(f"skos:{r.n_name}"), metadata.predicate("https://b", f"{r.n_name[0].lower()}_of_nation")) for r in table(spark, sf_dir, "nation").collect()]
-    return spark.createDataFrame(rows, "n_nationkey int, authority string, expanded string, property string")
+    """IRIs of codes, prefixed names (unknown prefixes stay) and columns."""
+    part = table(spark, sf_dir, "part")
+    curie = F.concat(F.when(F.col("p_partkey") % 2 == 0, "skos:").otherwise("zz:"), "p_name")
+    return part.select("p_partkey", metadata.authorities("country", F.col("p_type")).alias("authority"), metadata.expanded(curie).alias("expanded"), metadata.predicates("https://b", F.replace("p_name", F.lit(" "), F.lit("_"))).alias("property"))
 
 
 FAULTS = [
@@ -773,10 +772,9 @@ def metadata_conformance(spark, sf_dir):
     return spark.createDataFrame([(x,) for x in metadata.conformance(broken)], "fault string")
 
 
-@query("SELECT c_custkey, replace(replace(replace(format('{:,.2f}', c_acctbal), ',', '_'), '.', ','), '_', '.') AS said FROM customer WHERE c_custkey <= 200")
+@query("SELECT c_custkey, replace(replace(replace(format('{:,.2f}', c_acctbal), ',', '_'), '.', ','), '_', '.') AS said FROM customer")
 def german_numbers(spark, sf_dir):
-    rows = table(spark, sf_dir, "customer").where("c_custkey <= 200").select("c_custkey", "c_acctbal").collect()
-    return spark.createDataFrame([(r.c_custkey, metadata.german_number(r.c_acctbal, 2)) for r in rows], "c_custkey long, said string")
+    return table(spark, sf_dir, "customer").select("c_custkey", metadata.german(F.col("c_acctbal"), 2).alias("said"))
 
 
 @query("""

@@ -161,3 +161,23 @@ def classifier_column(name: str, whole: tuple[str, ...] = (), prefixes: tuple[st
 def camel(name: str) -> str:
     first, *rest = name.split("_")
     return first + "".join(x.capitalize() for x in rest)
+
+
+def snake_case(x: Column) -> Column:
+    """`snake` of a column's values."""
+    return F.lower(F.regexp_replace(x, "(?<!^)(?=[A-Z])", "_"))
+
+
+def classifier_case(x: Column, whole: tuple[str, ...] = (), prefixes: tuple[str, ...] = ()) -> Column:
+    """`classifier_column` of a column's values."""
+    out = snake_case(x)
+    for p in reversed(prefixes):
+        out = F.when(x.startswith(p), F.concat(F.lit(f"{p.lower()}_"), snake_case(F.substring(x, len(p) + 1, 1 << 30)))).otherwise(out)
+    return F.when(x.isin(*whole), F.lower(x)).otherwise(out) if whole else out
+
+
+def camel_case(x: Column) -> Column:
+    """`camel` of a column's values."""
+    parts = F.split(x, "_")
+    rest = F.transform(F.slice(parts, 2, F.greatest(F.size(parts) - 1, F.lit(0))), lambda w: F.concat(F.upper(F.substring(w, 1, 1)), F.lower(F.substring(w, 2, 1 << 30))))
+    return F.concat(F.get(parts, F.lit(0)), F.array_join(rest, ""))

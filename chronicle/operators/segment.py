@@ -286,3 +286,8 @@ def revision_of(code: bytes, weights: bytes) -> str:
     import hashlib
 
     return ".".join(hashlib.sha256(x).hexdigest()[:12] for x in (code, weights))
+
+
+def revision(code: Column, weights: Column) -> Column:
+    """`revision_of` of two columns of texts."""
+    return F.concat_ws(".", *(F.substring(F.sha2(x.cast("binary"), 256), 1, 12) for x in (code, weights)))

@@ -12,11 +12,12 @@ from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
 
 import pandas as pd
+from pyspark.sql import Column as SparkColumn
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from chronicle.functions.text import camel
+from chronicle.functions.text import camel, camel_case
 from chronicle.model import Model
 from chronicle.sinks import tables
 
@@ -78,6 +79,22 @@ def expand(curie: str) -> str:
     return PREFIXES[prefix] + local if prefix in PREFIXES else curie
 
 
+def expanded(curie: SparkColumn) -> SparkColumn:
+    """`expand` of a column's values."""
+    known = F.create_map(*(F.lit(x) for pair in PREFIXES.items() for x in pair))
+    return F.coalesce(F.concat(F.element_at(known, F.substring_index(curie, ":", 1)), F.regexp_extract(curie, "(?s)^[^:]*:(.*)$", 1)), curie)
+
+
+def predicates(base: str, name: SparkColumn) -> SparkColumn:
+    """`predicate` of a column's values, for names that aren't known."""
+    return F.concat(F.lit(f"{base}#"), camel_case(name))
+
+
+def authorities(scheme: str, code: SparkColumn) -> SparkColumn:
+    """`authority` of a column's values."""
+    return F.concat(F.lit(f"{AUTHORITY}{scheme}/"), code)
+
+
 def predicate(base: str, name: str, known: Mapping[str, str] | None = None) -> str:
     """The property of a column: a known one, or else the table's own in camelCase."""
     return expand((known or {}).get(name, f"{base}#{camel(name)}"))
@@ -318,6 +335,19 @@ def german_number(n: float, digits: int = 0) -> str:
     return f"{n:,.{digits}f}".translate(str.maketrans(",.", ".,"))
 
 
+def german(x: SparkColumn, digits: int = 0) -> SparkColumn:
+    """`german_number` of a column's values."""
+    return F.translate(F.format_number(x, digits), ",.", ".,")
+
+
+def measured(df: DataFrame) -> tuple[list[str], list[str]]:
+    """The columns whose values are all different, and those without nulls: one row of counts for each column."""
+    counts = [x for c in df.columns for x in (F.countDistinct(F.col(f"`{c}`")), F.count(F.col(f"`{c}`")))]
+    n, *found = df.agg(F.count("*"), *counts).first()
+    full = [c for i, c in enumerate(df.columns) if found[2 * i + 1] == n]
+    return [c for i, c in enumerate(df.columns) if found[2 * i] == n], full
+
+
 #: The pages' own words.
 WORDS = {
     "en": {"downloads": "Downloads", "file": "File", "kind": "Type", "size": "Size", "licence": "Licence", "publisher": "Publisher", "keywords": "Keywords", "columns": "Columns", "vocabularies": "Vocabularies", "name": "Name", "type": "Type", "required": "Required", "origin": "Origin", "description": "Description", "code": "Code", "label": "Label", "yes": "yes", "no": "no", "bytes": "bytes"},

@@ -110,3 +110,9 @@ def registry(location: str, name: str = "identifier", version: str = "version",
 def drifted(pinned: dict[str, str], current: dict[str, str]) -> dict[str, tuple[str, str]]:
     """Versions that a registry has moved on from."""
     return {k: (v, current[k]) for k, v in sorted(pinned.items()) if current.get(k, v) > v}
+
+
+def drifted_rows(pinned: DataFrame, registry: DataFrame) -> DataFrame:
+    """(list, pinned, now) of lists whose latest version in a registry is past the pinned one; both have (list, version), a registry any number of each."""
+    latest = registry.groupBy("list").agg(F.max("version").alias("now"))
+    return pinned.withColumnRenamed("version", "pinned").join(latest, "list").where("now > pinned").select("list", "pinned", "now")
