@@ -175,7 +175,7 @@ def xml_violations(spark, sf_dir):
         .when(k == 2, F.concat(value, F.lit("<document/>")))
         .when(k == 3, F.replace(value, F.lit("</document>"), F.lit("&nope;</document>")))
         .when(k == 4, F.replace(F.replace(value, F.lit("<document "), F.lit("<other ")), F.lit("</document>"), F.lit("</other>")))
-        .when(k == 5, F.replace(value, F.lit("</document>"), F.lit('<property name="t:new" type="String"><value/></property></document>')))
+        .when(k == 5, F.replace(value, F.lit("</document>"), F.lit('<property note="type=\'Long\' > name=\'t:note\'" name="t:new" type="String"><value><value>nested</value></value></property></document>')))
         .otherwise(value)
     )
     allowed = xml.derive_contract(xml.parsed(sound))

@@ -45,8 +45,8 @@ def parsed(rows: DataFrame) -> DataFrame:
 
 def well_formed() -> Column:
     """Whether a parsed row's text is XML: the parser reads all of it, and nothing but comments stands after the root."""
-    ended = F.col("value").rlike(r"(?s)>\s*$") & (_balance(F.col("value")) == 0)
-    return F.col("doc._corrupt_record").isNull() & F.col("doc").isNotNull() & ended & (_roots(F.col("value")) == 1)
+    ended = F.col("value").rlike(r"(?s)>\s*$")
+    return F.col("doc._corrupt_record").isNull() & F.col("doc").isNotNull() & ended & walked(F.col("value"))["sound"]
 
 
 def _hrefs(links: Column) -> Column:
@@ -118,24 +118,48 @@ def linked(scanned: DataFrame, fields: Sequence[m.Field], types: Sequence[str])
 CONTAINERS = {"RichText": "text", "String": "value", "Date": "value", "Long": "value", "LinkList": "links", "ClassifiedLinkLists": "classifiedLinkLists", "Blob": "blob"}
 
 
-def _children(value: Column) -> Column:
-    """(name, type, child tags) of each property, read from the text itself, so that unforeseen tags show."""
-    return F.transform(
-        F.regexp_extract_all(value, F.lit(r"(?s)(<property\b[^>]*?/>|<property\b.*?</property>)"), F.lit(1)),
-        lambda p: F.struct(
-            F.nullif(F.regexp_extract(p, r"""^<property\b[^>]*?\sname\s*=\s*["']([^"']*)""", 1), F.lit("")).alias("name"),
-            F.nullif(F.regexp_extract(p, r"""^<property\b[^>]*?\stype\s*=\s*["']([^"']*)""", 1), F.lit("")).alias("type"),
-            F.regexp_replace(F.regexp_replace(p, r"(?s)^<property\b[^>]*>|</property>$", ""), r"(?s)<!\[CDATA\[.*?\]\]>|<!--.*?-->", "").alias("body"),
-        ),
-    )
+NAME = r"""[^\s<>/="'!?&]+"""
+ATTRIBUTE = rf"""\s+{NAME}\s*=\s*(?:"[^"<]*"|'[^'<]*')"""
+#: What holds no elements, and the elements' tags; a `>` may stand in an attribute.
+MARKUP = rf"(?s)<(?:!--.*?-->|!\[CDATA\[.*?\]\]>|\?.*?\?>|![A-Z][^>]*>|/{NAME}\s*>|{NAME}(?:{ATTRIBUTE})*+\s*/?>)"
+
+
+def _attribute(tag: Column, name: str) -> Column:
+    """An attribute's text, null if the tag has none; what other attributes say doesn't matter."""
+    found = rf"""(?s)^<{NAME}(?:{ATTRIBUTE})*?\s+{name}\s*=\s*(?:"([^"<]*)"|'([^'<]*)')"""
+    return F.coalesce(*(F.nullif(F.regexp_extract(tag, found, k), F.lit("")) for k in (1, 2)))
 
 
-def _top_tags(body: Column) -> Column:
-    """Tags of the topmost elements: nested ones of the containers are taken out first."""
-    flat = body
-    for tag in sorted(set(CONTAINERS.values())):
-        flat = F.regexp_replace(flat, rf"(?s)<{tag}\b[^>]*(?<!/)>.*?</{tag}>", f"<{tag}/>")
-    return F.array_sort(F.array_distinct(F.regexp_extract_all(flat, F.lit(r"<([A-Za-z][\w.-]*)"), F.lit(1))))
+def walked(value: Column) -> Column:
+    """(sound, props) of a text, by one walk over its tags with a stack of open elements.
+
+    sound: each tag closes what was opened last, nothing stays open, there is one root, and no `<` stands outside of markup.
+    props: (name, type, children) of each property right below the root, with the tags of its own children in order.
+    """
+    every = F.regexp_extract_all(value, F.lit(MARKUP), F.lit(0))
+    tags = F.filter(every, lambda x: ~x.rlike("^<[!?]"))
+    prop = "struct<name:string,type:string,children:array<string>>"
+    start = F.struct(F.array().cast("array<string>").alias("open"), F.lit(True).alias("sound"), F.lit(0).alias("roots"), F.array().cast(f"array<{prop}>").alias("props"))
+
+    def step(a: Column, tag: Column) -> Column:
+        name = F.regexp_extract(tag, rf"^</?({NAME})", 1)
+        closes, alone = tag.startswith("</"), tag.endswith("/>")
+        depth = F.size(a["open"])
+        left = F.when(closes, F.slice(a["open"], 1, F.greatest(depth - 1, F.lit(0)))).when(alone, a["open"]).otherwise(F.concat(a["open"], F.array(name)))
+        fits = ~closes | F.coalesce(F.try_element_at(a["open"], F.lit(-1)) == name, F.lit(False))
+        begun = F.struct(_attribute(tag, "name").alias("name"), _attribute(tag, "type").alias("type"), F.array().cast("array<string>").alias("children"))
+        last = F.try_element_at(a["props"], F.lit(-1))
+        grown = F.struct(last["name"].alias("name"), last["type"].alias("type"), F.concat(last["children"], F.array(name)).alias("children"))
+        child = ~closes & (depth == 2) & F.coalesce(F.try_element_at(a["open"], F.lit(2)) == "property", F.lit(False))
+        props = (
+            F.when(~closes & (depth == 1) & (name == "property"), F.concat(a["props"], F.array(begun)))
+            .when(child, F.concat(F.slice(a["props"], 1, F.greatest(F.size(a["props"]) - 1, F.lit(0))), F.array(grown)))
+            .otherwise(a["props"])
+        )
+        return F.struct(left.alias("open"), (a["sound"] & fits).alias("sound"), (a["roots"] + (~closes & (depth == 0)).cast("int")).alias("roots"), props.alias("props"))
+
+    stray = F.contains(F.regexp_replace(value, MARKUP, ""), F.lit("<"))
+    return F.aggregate(tags, start, step, lambda a: F.struct((a["sound"] & (F.size(a["open"]) == 0) & (a["roots"] == 1) & ~stray).alias("sound"), a["props"].alias("props")))
 
 
 def violations(scanned: DataFrame, contract: DataFrame) -> DataFrame:
@@ -146,8 +170,9 @@ def violations(scanned: DataFrame, contract: DataFrame) -> DataFrame:
     """
     types = [r[0] for r in contract.select("document_type").distinct().collect()]  # a handful, by contract
     root = F.regexp_extract("value", r"(?s)^\s*(?:<\?.*?\?>|<!--.*?-->|<!DOCTYPE[^>]*>|\s)*<([A-Za-z][\w.:-]*)", 1)
-    doc = scanned.withColumn("root", root)
-    readable = (F.col("root") != "") & well_formed()
+    doc = scanned.withColumn("root", root).withColumn("walked", walked(F.col("value")))
+    whole_text = F.col("doc._corrupt_record").isNull() & F.col("doc").isNotNull() & F.col("value").rlike(r"(?s)>\s*$")
+    readable = (F.col("root") != "") & whole_text & F.col("walked.sound")
     missing = F.array_compact(F.array(*(F.when(F.col(f"doc._{a}").isNull(), F.lit(a)) for a in ("name", "path", "type"))))
     first = (
         F.when(~readable, F.lit("document is not parseable as XML"))
@@ -155,13 +180,13 @@ def violations(scanned: DataFrame, contract: DataFrame) -> DataFrame:
         .when(F.size(missing) > 0, F.concat(F.lit("root lacks attributes "), F.array_join(missing, ", ")))
         .when(~F.col("doc._type").isin(*types), F.concat(F.lit("unknown document type "), F.col("doc._type")))
     )
-    judged = doc.select("file", F.col("doc._type").alias("document_type"), first.alias("message"), _children(F.col("value")).alias("props"))
+    judged = doc.select("file", F.col("doc._type").alias("document_type"), first.alias("message"), F.col("walked.props").alias("props"))
     whole = judged.where("message is not null").select("file", "message")
     props = judged.where("message is null").select("file", "document_type", F.explode("props").alias("p")).select("file", "document_type", "p.*")
     known = contract.select("document_type", F.col("property").alias("name"), F.col("type").alias("expected"))
     props = props.join(F.broadcast(known), ["document_type", "name"], "left")
     box = reduce(lambda acc, kv: acc.when(F.col("type") == kv[0], F.lit(kv[1])), CONTAINERS.items(), F.when(F.lit(False), F.lit(None)))
-    tags = _top_tags(F.col("body"))
+    tags = F.array_sort(F.array_distinct("children"))
     message = (
         F.when(F.col("expected").isNull(), F.format_string("%s: unknown property %s of type %s", "document_type", "name", "type"))
         .when(F.col("expected") != F.col("type"), F.format_string("%s: property %s is %s, expected %s", "document_type", "name", "type", "expected"))
@@ -170,24 +195,6 @@ def violations(scanned: DataFrame, contract: DataFrame) -> DataFrame:
     return whole.union(props.select("file", message.alias("message")).where("message is not null"))
 
 
-def _bare(value: Column) -> Column:
-    """Without what holds no elements."""
-    return F.regexp_replace(value, r"(?s)<!\[CDATA\[.*?\]\]>|<!--.*?-->|<\?.*?\?>|<![A-Z][^>]*>", "")
-
-
-def _balance(value: Column) -> Column:
-    """Opened less closed elements: a truncated document has some left."""
-    opened = F.regexp_count(_bare(value), F.lit(r"<[A-Za-z][^<>]*(?<!/)>"))
-    return opened - F.regexp_count(_bare(value), F.lit(r"</[^<>]*>"))
-
-
-def _roots(value: Column) -> Column:
-    """Topmost elements, if each is closed where the first one's name is closed last: what follows that must hold none."""
-    name = F.regexp_extract(_bare(value), r"(?s)^\s*<([A-Za-z][\w.:-]*)", 1)
-    after = F.when(_bare(value).rlike(r"(?s)^\s*<[^<>]*/>\s*$"), F.lit("")).otherwise(F.call_function("substring_index", _bare(value), F.concat(F.lit("</"), name), F.lit(-1)))
-    return F.when(F.trim(F.regexp_replace(after, r"(?s)^\s*>|\s", "")) == "", 1).otherwise(2)
-
-
 def derive_contract(scanned: DataFrame) -> DataFrame:
     """(document_type, property, type) as an export has them; a property of two types is an error."""
     props = scanned.select(F.col("doc._type").alias("document_type"), F.explode("doc.property").alias("p"))

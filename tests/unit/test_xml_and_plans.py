@@ -167,6 +167,33 @@ def test_structure(spark, tree):
         contract.refuse(xml.violations(xml.scan(spark, root), derived))
 
 
+def test_walk_over_tags(spark):
+    """Crossing, nesting and children in one fold: equal names nested, tags in attributes, comments and character data."""
+    wrap = lambda body: f"<document name='n'>{body}</document>"
+    cases = {
+        wrap("<property name='a' type='String'><value>x</value></property>"): (True, [("a", "String", ["value"])]),
+        wrap("<property note=\"type='Odd' > name='b'\" type='RichText' name=\"it's\"><text><text><value/></text></text></property>"): (True, [("it's", "RichText", ["text"])]),
+        wrap("<property name='a' type='X'><![CDATA[</property><b>]]><!-- <value> --><text/><text>&lt;p&gt;</text><other/></property><property/>"): (True, [("a", "X", ["text", "text", "other"]), (None, None, [])]),
+        wrap("<x><property name='deep'/></x>"): (True, []),
+        wrap("<größe a='1'>ü</größe>"): (True, []),
+        wrap("<a><b></a></b>"): (False, None),
+        wrap("<a>"): (False, None),
+        wrap("</a>"): (False, None),
+        wrap("1 < 2"): (False, None),
+        wrap("<a b=c/>"): (False, None),
+        wrap("") + "<more/>": (False, None),
+        wrap("") + "<!-- <more> -->": (True, []),
+        "<document/>": (True, []),
+        "no tags": (False, []),
+        "": (False, []),
+    }
+    rows = spark.createDataFrame([(k,) for k in cases], "value string").select("value", xml.walked(F.col("value")).alias("w")).collect()
+    for r in rows:
+        sound, props = cases[r["value"]]
+        assert r["w"]["sound"] == sound, r["value"]
+        assert props is None or [(p["name"], p["type"], p["children"]) for p in r["w"]["props"]] == props, r["value"]
+
+
 MONDAY = 1704682800.0  # 2024-01-08 03:00 UTC
 WEEK = 7 * 86400
 
