@@ -273,19 +273,15 @@ def linked_history(spark, sf_dir):
 @query(f"SELECT * FROM (VALUES {values(*((n, True) for n in ('LICENCE', 'columns.html', 'dataset.jsonld', 'dataset.ttl', 'index.html', 'table-schema.json', 'table.csv', 'vocabularies.html')))}) AS t(name, written) UNION ALL SELECT 'rows of table.csv: ' || count(*), true FROM nation")
 def built_files(spark, sf_dir):
     """What a publication writes: table, contract, metadata that keeps its shapes, pages, licence."""
-    import tempfile
-    from pathlib import Path
-
     folder = shared_folder(spark)
     for r in table(spark, sf_dir, "nation").collect():
         put(spark, f"{folder}/in/n{r.n_nationkey}.xml", f'<document {XLINK} name="n" path="/n/{r.n_nationkey}" type="Nation"><property name="t:title" type="RichText"><text>{r.n_name}</text></property></document>')
+    put(spark, f"{folder}/LICENCE", "L")
     plans = Plans(spark, NATIONS, f"{folder}/store", base_url="https://site")
     plans.load(f"{folder}/in", MONDAY)
-    with tempfile.TemporaryDirectory() as d:  # the driver publishes on its own machine
-        Path(d, "LICENCE").write_text("L")
-        names = plans.build(f"{d}/out", about=metadata.About({"en": "Nations", "de": "Länder"}, publisher="P", licence="https://licence/L"), licence_file=f"{d}/LICENCE")
-        rows = [(n, Path(d, "out", n).stat().st_size > 0) for n in names]
-        rows.append((f"rows of table.csv: {Path(d, 'out/table.csv').read_text(encoding='utf-8').count(chr(10)) - 1}", True))
+    names = plans.build(f"{folder}/out", about=metadata.About({"en": "Nations", "de": "Länder"}, publisher="P", licence="https://licence/L"), licence_file=f"{folder}/LICENCE")
+    rows = [(n, size > 0) for n, (_, size) in tables.sizes(spark, f"{folder}/out", dict.fromkeys(names, "")).items()]
+    rows.append((f"rows of table.csv: {spark.read.text(f'{folder}/out/table.csv').count() - 1}", True))
     return spark.createDataFrame(rows, "name string, written boolean")
 
 
