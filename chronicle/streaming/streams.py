@@ -43,6 +43,8 @@ def content_runs(events: DataFrame, key: str, content: str, at: str, idle: int =
 
     A run ends when the content changes. With `idle` (milliseconds of event time; the stream needs a watermark) it
     also ends, at its last event, when the watermark has left that event so far behind; the key's state goes then.
+    Runs are put out once: an event older than the last one that its key has seen in an earlier batch is left out. Where
+    late events count, see `late.changes`.
     """
     schema = f"{key} long, {content} string, since timestamp, until timestamp"
 
@@ -56,8 +58,14 @@ def content_runs(events: DataFrame, key: str, content: str, at: str, idle: int =
         said = rows[content].astype(object).where(rows[content].notna(), None).tolist()
         micros = rows[at].to_numpy("datetime64[us]").astype("int64")
         if state.exists:
-            now, since, _ = state.get
-            said, micros = [now, *said], np.concatenate(([since], micros))
+            now, since, last = state.get
+            new = micros >= last
+            if not new.any():
+                if idle:
+                    state.setTimeoutTimestamp(max(last // 1000 + idle, state.getCurrentWatermarkMs() + 1))
+                return
+            said = [now, *(c for c, keep in zip(said, new, strict=True) if keep)]
+            micros = np.concatenate(([since], micros[new]))
         codes, _ = pd.factorize(pd.Series(said, dtype=object), use_na_sentinel=False)
         first = np.flatnonzero(np.concatenate(([True], codes[1:] != codes[:-1])))
         times = pd.to_datetime(micros[first], unit="us")

@@ -381,6 +381,20 @@ def test_stream_runs_end_when_idle(spark, tmp_path):
     assert run() == {(1, "a", t, t + hour), (1, None, t + hour, t + 2 * hour), (2, "z", t, t)}
 
 
+def test_stream_runs_leave_late_events_out(spark, tmp_path):
+    """Events before what a key has seen don't turn a run's ends round."""
+    t, hour = datetime(2024, 1, 1), timedelta(hours=1)
+    src, schema = str(tmp_path / "in"), "user_id long, event_type string, ts timestamp_ntz"
+    batches = [[(1, "a", t + 5 * hour), (1, "a", t + 6 * hour)], [(1, "b", t)], [(1, "b", t + hour), (1, "c", t + 8 * hour), (1, "d", t + 9 * hour)]]
+    for rows in batches:
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(src)
+        stream = spark.readStream.schema(schema).parquet(src)
+        q = streams.content_runs(streams.timed(stream, "ts", "10 days"), "user_id", "event_type", "ts").writeStream.format("parquet").option("path", str(tmp_path / "out")).outputMode("append").option("checkpointLocation", str(tmp_path / "c")).trigger(availableNow=True).start()
+        assert q.awaitTermination(120)
+    got = sorted((r["event_type"], r["since"], r["until"]) for r in spark.read.parquet(str(tmp_path / "out")).collect())
+    assert got == [("a", t + 5 * hour, t + 8 * hour), ("c", t + 8 * hour, t + 9 * hour)]
+
+
 def test_stream_of_extracts(spark, tmp_path):
     got = []
     src = str(tmp_path / "in")
