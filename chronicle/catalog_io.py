@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from chronicle import model as m
-from chronicle.catalog import EVENTS_SQL, QUERIES, SQL, VERSIONS_SQL, query, stamp, table
+from chronicle.catalog import EVENTS_SQL, QUERIES, SQL, VERSIONS_SQL, dealt, query, stamp, table
 from chronicle.functions import arrays, text
 from chronicle.operators import analytics, codelists, contract, history, linkage, sampling, segment, shape
 from chronicle.plans.lifecycle import Plans
@@ -105,7 +105,7 @@ def customers_as_xml(spark: SparkSession, sf_dir: str) -> DataFrame:
         _prop("t:contact", "LinkList", F.lit("<links>"), _link(F.lit("target:/n/"), nation), F.when(F.col("c_custkey") % 2 == 0, F.lit("<link/>")).otherwise(""), F.lit("</links>")),
         _prop("t:class", "ClassifiedLinkLists", classes),
     )
-    return table(spark, sf_dir, "customer").select(F.concat(F.lit("c/"), k, F.lit(".xml")).alias("file"), F.regexp_replace(doc, text.FORBIDDEN_IN_XML, "").alias("value"))
+    return dealt(table(spark, sf_dir, "customer"), "c_custkey").select(F.concat(F.lit("c/"), k, F.lit(".xml")).alias("file"), F.regexp_replace(doc, text.FORBIDDEN_IN_XML, "").alias("value"))
 
 
 TITLE_SQL = "c_name || ' & ü x'"

@@ -130,16 +130,14 @@ def offenders(df: DataFrame, checks: Sequence[Check], key: str, most: int = 3) -
 
 def first_examples(rows: DataFrame, by: Sequence[str], example: str, most: int = 3) -> DataFrame:
     """By group the count and the smallest few examples. The rank is a filter, so that each task passes on no more
-    than `most` examples of a group, however many it has."""
+    than `most` examples of a group, however many it has. Counts and examples are grouped together, so the rows are made once."""
     from pyspark.sql import Window
 
-    each = rows.groupBy(*by, example).agg(F.count("*").alias("__n"))
-    w = Window.partitionBy(*by).orderBy(F.asc_nulls_last(example))
+    each = rows.groupingSets([[*by], [*by, example]], *by, example).agg(F.count("*").alias("__n"), F.grouping(example).alias("__whole"))
+    w = Window.partitionBy(*by, "__whole").orderBy(F.asc_nulls_last(example))
     few = each.withColumn("__rank", F.row_number().over(w)).where(F.col("__rank") <= most)
-    shown = few.groupBy(*(F.col(c).alias(f"__{c}") for c in by)).agg(F.array_sort(F.collect_list(example)).alias("examples"))
-    counts = rows.groupBy(*by).agg(F.count("*").alias("n"))
-    same = reduce(lambda a, b: a & b, (counts[c].eqNullSafe(shown[f"__{c}"]) for c in by))
-    return counts.join(shown, same).select(*by, "n", "examples")
+    whole = F.col("__whole") == 1
+    return few.groupBy(*by).agg(F.max(F.when(whole, F.col("__n"))).alias("n"), F.array_sort(F.collect_list(F.when(~whole, F.col(example)))).alias("examples"))
 
 
 def most_common(violations: DataFrame, message: str = "message", example: str = "file", most: int = 3) -> DataFrame:

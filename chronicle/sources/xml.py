@@ -137,13 +137,13 @@ def walked(value: Column) -> Column:
     props: (name, type, children) of each property right below the root, with the tags of its own children in order.
     """
     every = F.regexp_extract_all(value, F.lit(MARKUP), F.lit(0))
-    tags = F.filter(every, lambda x: ~x.rlike("^<[!?]"))
+    read = lambda x: F.struct(x.alias("tag"), F.regexp_extract(x, rf"^</?({NAME})", 1).alias("name"), x.startswith("</").alias("closes"), x.endswith("/>").alias("alone"))
+    tags = F.transform(F.filter(every, lambda x: ~(x.startswith("<!") | x.startswith("<?"))), read)
     prop = "struct<name:string,type:string,children:array<string>>"
     start = F.struct(F.array().cast("array<string>").alias("open"), F.lit(True).alias("sound"), F.lit(0).alias("roots"), F.array().cast(f"array<{prop}>").alias("props"))
 
-    def step(a: Column, tag: Column) -> Column:
-        name = F.regexp_extract(tag, rf"^</?({NAME})", 1)
-        closes, alone = tag.startswith("</"), tag.endswith("/>")
+    def step(a: Column, x: Column) -> Column:
+        tag, name, closes, alone = x["tag"], x["name"], x["closes"], x["alone"]
         depth = F.size(a["open"])
         left = F.when(closes, F.slice(a["open"], 1, F.greatest(depth - 1, F.lit(0)))).when(alone, a["open"]).otherwise(F.concat(a["open"], F.array(name)))
         fits = ~closes | F.coalesce(F.try_element_at(a["open"], F.lit(-1)) == name, F.lit(False))
@@ -162,6 +162,12 @@ def walked(value: Column) -> Column:
     return F.aggregate(tags, start, step, lambda a: F.struct((a["sound"] & (F.size(a["open"]) == 0) & (a["roots"] == 1) & ~stray).alias("sound"), a["props"].alias("props")))
 
 
+def _exploded(rows: DataFrame, structs: Column) -> DataFrame:
+    """A row for each struct, with nothing beside it: what else a row keeps is made again for each of its elements, so that a
+    document would be parsed as often as it has properties. `explode` would also make the array once more, for a filter on its size."""
+    return rows.select(F.explode_outer(structs).alias("__e")).where("__e is not null").select("__e.*")
+
+
 def violations(scanned: DataFrame, contract: DataFrame) -> DataFrame:
     """(file, message) of every structural assumption that a document breaks.
 
@@ -180,25 +186,30 @@ def violations(scanned: DataFrame, contract: DataFrame) -> DataFrame:
         .when(F.size(missing) > 0, F.concat(F.lit("root lacks attributes "), F.array_join(missing, ", ")))
         .when(~F.col("doc._type").isin(*types), F.concat(F.lit("unknown document type "), F.col("doc._type")))
     )
-    judged = doc.select("file", F.col("doc._type").alias("document_type"), first.alias("message"), F.col("walked.props").alias("props"))
-    whole = judged.where("message is not null").select("file", "message")
-    props = judged.where("message is null").select("file", "document_type", F.explode("props").alias("p")).select("file", "document_type", "p.*")
+    # One branch, so that a document is parsed and walked once: a faulty one is a row without a property, one without faults a row for each.
+    judged = doc.select("file", F.col("doc._type").alias("document_type"), first.alias("whole"), F.col("walked.props").alias("props"))
+    row = lambda whole, p: F.struct("file", "document_type", whole.alias("whole"), *(p(c).alias(c) for c in ("name", "type", "children")))
+    nothing = {"name": "string", "type": "string", "children": "array<string>"}
+    own = F.transform("props", lambda p: row(F.lit(None).cast("string"), lambda c: p[c]))
+    faulty = F.array(row(F.col("whole"), lambda c: F.lit(None).cast(nothing[c])))
+    props = _exploded(judged, F.when(F.col("whole").isNull(), own).otherwise(faulty))
     known = contract.select("document_type", F.col("property").alias("name"), F.col("type").alias("expected"))
     props = props.join(F.broadcast(known), ["document_type", "name"], "left")
     box = reduce(lambda acc, kv: acc.when(F.col("type") == kv[0], F.lit(kv[1])), CONTAINERS.items(), F.when(F.lit(False), F.lit(None)))
     tags = F.array_sort(F.array_distinct("children"))
     message = (
-        F.when(F.col("expected").isNull(), F.format_string("%s: unknown property %s of type %s", "document_type", "name", "type"))
+        F.when(F.col("whole").isNotNull(), F.col("whole"))
+        .when(F.col("expected").isNull(), F.format_string("%s: unknown property %s of type %s", "document_type", "name", "type"))
         .when(F.col("expected") != F.col("type"), F.format_string("%s: property %s is %s, expected %s", "document_type", "name", "type", "expected"))
         .when(box.isNotNull() & ~tags.eqNullSafe(F.array(box)), F.format_string("%s property %s has children [%s], expected exactly <%s>", "type", "name", F.array_join(tags, ", "), box))
     )
-    return whole.union(props.select("file", message.alias("message")).where("message is not null"))
+    return props.select("file", message.alias("message")).where("message is not null")
 
 
 def derive_contract(scanned: DataFrame) -> DataFrame:
     """(document_type, property, type) as an export has them; a property of two types is an error."""
-    props = scanned.select(F.col("doc._type").alias("document_type"), F.explode("doc.property").alias("p"))
-    found = props.groupBy("document_type", F.col("p._name").alias("property")).agg(F.array_sort(F.collect_set("p._type")).alias("types"))
+    props = _exploded(scanned, F.transform("doc.property", lambda p: F.struct(F.col("doc._type").alias("document_type"), p["_name"].alias("property"), p["_type"].alias("type"))))
+    found = props.groupBy("document_type", "property").agg(F.array_sort(F.collect_set("type")).alias("types")).persist()  # as many rows as the model has fields: documents are parsed once
     odd = found.where(F.size("types") != 1).limit(5).collect()
     if odd:
         raise ValueError("properties of several types: " + "; ".join(f"{r[0]}.{r[1]}: {r[2]}" for r in odd))

@@ -7,6 +7,7 @@ from pathlib import Path
 import pytest
 from pyspark.sql import functions as F
 
+from chronicle import catalog_io
 from chronicle import model as m
 from chronicle.operators import contract, history, linkage, segment
 from chronicle.plans import lifecycle
@@ -194,6 +195,29 @@ def test_walk_over_tags(spark):
         assert props is None or [(p["name"], p["type"], p["children"]) for p in r["w"]["props"]] == props, r["value"]
 
 
+def test_documents_are_made_and_parsed_once(spark):
+    """Structure, its most common faults and the contract: one branch of the plan each, with nothing beside the exploded rows."""
+    made = spark.sparkContext.accumulator(0)
+
+    @F.udf("string")
+    def seen(x):
+        made.add(1)
+        return x
+
+    rows = spark.createDataFrame([(f"f{i}", doc(f"/p/{i}", "Scheme", prop("t:a", "String", "<value/>"), prop("t:b", "Long", "<text/>" if i % 2 else "<value/>")).replace("</document>", "" if i == 0 else "</document>")) for i in range(20)], "file string, value string")
+    scanned = xml.parsed(rows.select("file", seen("value").alias("value")))
+    allowed = xml.derive_contract(scanned)
+    assert sorted(map(tuple, allowed.collect())) == [("Scheme", "t:a", "String"), ("Scheme", "t:b", "Long")] and made.value == 20
+    found = contract.most_common(xml.violations(scanned, allowed)).collect()
+    assert [(r["n"], r["examples"]) for r in found] == [(10, ["f1", "f11", "f13"]), (1, ["f0"])] and made.value == 40
+
+
+def test_documents_of_short_rows_are_dealt_out(spark):
+    """The customers' bytes fit one task, their documents don't."""
+    docs = catalog_io.customers_as_xml(spark, "/root/testdata/sf0.1")
+    assert docs.rdd.getNumPartitions() >= 6
+
+
 MONDAY = 1704682800.0  # 2024-01-08 03:00 UTC
 WEEK = 7 * 86400
 
