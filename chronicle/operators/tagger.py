@@ -15,6 +15,7 @@ from __future__ import annotations
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -29,6 +30,7 @@ ROWS = 512
 LOW = -1e30
 
 
+@lru_cache(1 << 16)
 def _shape(word: str) -> str:
     """Its kinds of characters, each run once."""
     out = ""
@@ -144,6 +146,13 @@ def _gradient(tagger: Tagger, ids: list[np.ndarray], labels: list[np.ndarray]) -
     return by_feature, by_step, likely
 
 
+def _views(lists: pa.ListArray, width: int) -> list[np.ndarray]:
+    """Each list's numbers, `width` in a row, as a part of the one array that holds them all: no number becomes an object."""
+    flat = lists.flatten().to_numpy(zero_copy_only=False)
+    ends = np.cumsum(lists.value_lengths().to_numpy(zero_copy_only=False))
+    return [x.reshape(-1, width) if width > 1 else x for x in np.split(flat, ends[:-1])] if len(lists) else []
+
+
 def fit(labelled: DataFrame, bits: int = 16, rounds: int = 25, ridge: float = 0.5, rate: float = 0.5) -> tuple[Tagger, list[float]]:
     """A tagger from rows (tokens, labels), and the likelihood before each round."""
     spark = labelled.sparkSession
@@ -165,8 +174,7 @@ def fit(labelled: DataFrame, bits: int = 16, rounds: int = 25, ridge: float = 0.
                 own = Tagger(bits, *sent.value)
                 total = np.zeros((1 << bits) + 5)
                 for batch in frames:
-                    ids = [np.array(x, np.int64).reshape(-1, PER_WORD) for x in batch.column(0).to_pylist()]
-                    labels = [np.array(x, np.int64) for x in batch.column(1).to_pylist()]
+                    ids, labels = _views(batch.column(0), PER_WORD), _views(batch.column(1), 1)
                     by_feature, by_step, likely = _gradient(own, ids, labels)
                     total += np.concatenate((by_feature, by_step.ravel(), [likely]))
                 at = np.flatnonzero(total)

@@ -4,6 +4,7 @@ import itertools
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -96,3 +97,11 @@ def test_edges(spark):
     for bad in ((["a", "b"], [0]), (["a", "b"], [1, 0])):
         with pytest.raises(Exception, match="labels that don't fit"):
             tagger.fit(spark.createDataFrame([bad], "tokens array<string>, labels array<int>"), bits=4, rounds=1)
+
+
+def test_rows_of_a_batch_are_views():
+    """Also of a slice, of lists without numbers and of no lists."""
+    lists = pa.array([[9, 9], [1, 2, 3, 4], [], [5, 6], [7, 8]], pa.list_(pa.int32()))
+    assert [x.tolist() for x in tagger._views(lists[1:4], 2)] == [[[1, 2], [3, 4]], [], [[5, 6]]]
+    assert [x.tolist() for x in tagger._views(lists[3:], 1)] == [[5, 6], [7, 8]] and tagger._views(lists[:0], 2) == []
+    assert all(x.base is not None for x in tagger._views(lists, 2))
