@@ -201,26 +201,24 @@ def fit(labelled: DataFrame, bits: int = 16, rounds: int = 25, ridge: float = 0.
 def viterbi(scores: Column, steps: np.ndarray | list[list[float]]) -> Column:
     """The best labelling of each row of scores, from the second word's on; of two that score alike, a word begins a term.
 
-    The first fold goes over the words with the best score of either label, and keeps from which label each came, as two bits; the
-    second goes back along them.
+    One fold over the words, with the best score and labels up to a word that begins a term and up to one that stands inside. Its result
+    is named once: Spark would make it anew in each place.
     """
     (t00, t01), (t10, t11) = [[float(x) for x in row] for row in steps]
-    start = F.struct(F.lit(0.0).alias("s0"), F.lit(LOW).alias("s1"), F.array().cast("array<int>").alias("back"))
+    start = F.struct(F.lit(0.0).alias("s0"), F.lit(LOW).alias("s1"), F.array(F.lit(0)).alias("p0"), F.array(F.lit(1)).alias("p1"))
 
     def step(a: Column, e: Column) -> Column:
         to0, from1to0 = a["s0"] + t00, a["s1"] + t10
         to1, from1to1 = a["s0"] + t01, a["s1"] + t11
-        came = (from1to0 > to0).cast("int") + 2 * (from1to1 > to1).cast("int")
-        return F.struct(F.greatest(to0, from1to0).alias("s0"), (F.greatest(to1, from1to1) + e).alias("s1"), F.concat(a["back"], F.array(came)).alias("back"))
-
-    ahead = F.aggregate(F.transform(scores, lambda x: x.cast("double")), start, step, lambda a: F.struct((a["s1"] > a["s0"]).cast("int").alias("last"), a["back"]))
-    begin = F.struct(ahead["last"].alias("now"), F.array(ahead["last"]).alias("labels"))
-
-    def back(a: Column, came: Column) -> Column:
-        before = F.when(a["now"] == 1, F.floor(came / 2)).otherwise(came % 2).cast("int")
-        return F.struct(before.alias("now"), F.concat(F.array(before), a["labels"]).alias("labels"))
-
-    return F.aggregate(F.reverse(ahead["back"]), begin, back, lambda a: a["labels"])
+        before = lambda better: F.when(better, a["p1"]).otherwise(a["p0"])
+        return F.struct(
+            F.greatest(to0, from1to0).alias("s0"),
+            (F.greatest(to1, from1to1) + e).alias("s1"),
+            F.concat(before(from1to0 > to0), F.array(F.lit(0))).alias("p0"),
+            F.concat(before(from1to1 > to1), F.array(F.lit(1))).alias("p1"),
+        )
+
+    return F.aggregate(F.transform(scores, lambda x: x.cast("double")), start, step, lambda a: F.when(a["s1"] > a["s0"], a["p1"]).otherwise(a["p0"]))
 
 
 def tagged(values: DataFrame, tokens: str, tagger: Tagger) -> DataFrame:

@@ -105,3 +105,9 @@ def test_rows_of_a_batch_are_views():
     assert [x.tolist() for x in tagger._views(lists[1:4], 2)] == [[[1, 2], [3, 4]], [], [[5, 6]]]
     assert [x.tolist() for x in tagger._views(lists[3:], 1)] == [[5, 6], [7, 8]] and tagger._views(lists[:0], 2) == []
     assert all(x.base is not None for x in tagger._views(lists, 2))
+
+
+def test_viterbi_folds_once(spark):
+    """One fold a row: a fold that another one names is made anew in each place."""
+    plan = spark.createDataFrame([([0.5],)], "s array<double>").select(tagger.viterbi(F.col("s"), [[0, 0], [0, 0]]).alias("y"))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("aggregate(") == 1
