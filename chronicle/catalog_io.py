@@ -342,8 +342,8 @@ def late_history(spark, sf_dir):
     from chronicle.streaming import late
 
     folder, events = shared_folder(spark), table(spark, sf_dir, "events").select("user_id", "event_type", "ts")
-    events.repartition(3).write.parquet(f"{folder}/in")  # each file has events of the whole time
-    stream = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(f"{folder}/in")
+    events.repartition(24).write.parquet(f"{folder}/in")  # each file has events of the whole time
+    stream = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 8).parquet(f"{folder}/in")
     said = late.changes(stream, "user_id", "event_type", "ts", "60 days").writeStream.format("parquet").option("path", f"{folder}/out").option("checkpointLocation", f"{folder}/state").outputMode("append").trigger(availableNow=True).start()
     said.awaitTermination()
     got = late.settled(spark.read.parquet(f"{folder}/out"), "user_id", "event_type")

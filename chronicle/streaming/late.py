@@ -16,8 +16,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
-import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
@@ -50,54 +49,52 @@ def pruned(events: list[Event], mark: int) -> list[Event]:
 
 
 class _Versions(StatefulProcessor):
-    """State of a key: its kept events, whether older ones were dropped from it, and how often it has put out rows."""
+    """State of a key: its kept events, whether older ones were dropped from it, how often it has put out rows, and when it is looked at again.
+
+    It is one value, read and written once a batch, and rows go through as they are: each call to the state store and each
+    frame of a key costs more than the key's work.
+    """
 
     def __init__(self, key: str, content: str) -> None:
-        self.key, self.content = key, content
+        self.names = (key, content, FROM, TO, "gone", "revision")
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.events = handle.getListState("events", "at long, content string")
-        self.known = handle.getValueState("known", "cut boolean, revision long")
+        self.known = handle.getValueState("known", "at array<long>, content array<string>, cut boolean, revision long, timer long")
 
-    def _held(self) -> tuple[list[Event], bool, int]:
-        cut, revision = self.known.get() if self.known.exists() else (False, 0)
-        return ([(e[0], e[1]) for e in self.events.get()] if self.events.exists() else []), cut, revision
+    def _held(self) -> tuple[list[Event], bool, int, int | None]:
+        said = self.known.get()
+        if said is None:
+            return [], False, 0, None
+        at, content, cut, revision, timer = said
+        return list(zip(at, content, strict=True)), cut, revision, timer
 
-    def _keep(self, events: list[Event], cut: bool, revision: int, mark: int) -> None:
+    def _keep(self, events: list[Event], cut: bool, revision: int, timer: int | None, mark: int) -> None:
         left = pruned(events, mark)
-        self.events.put([(a, c) for a, c in left])
-        self.known.update((cut or len(left) < len(events), revision))
-        for timer in list(self.handle.listTimers()):
-            self.handle.deleteTimer(timer)
-        if left and left[-1][0] > mark:
-            self.handle.registerTimer(left[-1][0] // 1000 + 1)
-
-    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        held, cut, revision = self._held()
-        new: list[Event] = []
-        for frame in rows:
-            micros = frame["at"].to_numpy("datetime64[us]").astype("int64").tolist()
-            new += zip(micros, frame["content"].astype(object).where(frame["content"].notna(), None).tolist(), strict=True)
+        wanted = left[-1][0] // 1000 + 1 if left and left[-1][0] > mark else None
+        if wanted != timer:
+            if timer is not None:
+                self.handle.deleteTimer(timer)
+            if wanted is not None:
+                self.handle.registerTimer(wanted)
+        self.known.update(([a for a, _ in left], [c for _, c in left], cut or len(left) < len(events), revision, wanted))
+
+    def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
+        held, cut, revision, timer = self._held()
+        new: list[Event] = [(row["micros"], row["content"]) for row in rows]
         merged = sorted([*held, *(e for e in new if not (cut and order(e) < order(held[0])))], key=order)
         before, after = versions(held), versions(merged)
         said = [(*v, until, False) for v, until in after.items() if v not in before or before[v] != until]
         said += [(*v, None, True) for v in before if v not in after]
-        mark = timerValues.getCurrentWatermarkInMs() * 1000
-        self._keep(merged, cut, revision + 1, mark)
-        yield pd.DataFrame({
-            self.key: [key[0]] * len(said),
-            self.content: pd.Series([c for _, c, _, _ in said], dtype=object),
-            FROM: pd.to_datetime([a for a, _, _, _ in said], unit="us"),
-            TO: pd.to_datetime(pd.Series([u for _, _, u, _ in said], dtype="Int64"), unit="us"),
-            "gone": [g for *_, g in said],
-            "revision": [revision + 1] * len(said),
-        })
-
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        held, cut, revision = self._held()
-        self._keep(held, cut, revision, timerValues.getCurrentWatermarkInMs() * 1000)
-        yield pd.DataFrame()
+        self._keep(merged, cut, revision + 1, timer, timerValues.getCurrentWatermarkInMs() * 1000)
+        row = Row(*self.names)
+        for start, content, until, gone in said:
+            yield row(key[0], content, start, until, gone, revision + 1)
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
+        held, cut, revision, _ = self._held()  # its timer is gone
+        self._keep(held, cut, revision, None, timerValues.getCurrentWatermarkInMs() * 1000)
+        return iter(())
 
     def close(self) -> None:
         pass
@@ -107,10 +104,11 @@ def changes(events: DataFrame, key: str, content: str, at: str, lateness: str) -
     """What a stream of events changes in the versions of its keys: (key, content, from, to, gone, revision), to be appended."""
     spark = events.sparkSession
     spark.conf.set("spark.sql.streaming.stateStore.providerClass", PROVIDER)
-    rows = events.where(F.col(key).isNotNull() & F.col(at).isNotNull()).select(F.col(key), F.col(content).cast("string").alias("content"), F.col(at).cast("timestamp").alias("at")).withWatermark("at", lateness)
+    rows = events.where(F.col(key).isNotNull() & F.col(at).isNotNull()).select(F.col(key), F.col(content).cast("string").alias("content"), F.col(at).cast("timestamp").alias("at")).withWatermark("at", lateness).withColumn("micros", F.unix_micros("at"))
     kind = events.schema[key].dataType
-    schema = T.StructType([T.StructField(key, kind), T.StructField(content, T.StringType()), T.StructField(FROM, T.TimestampType()), T.StructField(TO, T.TimestampType()), T.StructField("gone", T.BooleanType()), T.StructField("revision", T.LongType())])
-    return rows.groupBy(key).transformWithStateInPandas(statefulProcessor=_Versions(key, content), outputStructType=schema, outputMode="Append", timeMode="EventTime")
+    schema = T.StructType([T.StructField(key, kind), T.StructField(content, T.StringType()), T.StructField(FROM, T.LongType()), T.StructField(TO, T.LongType()), T.StructField("gone", T.BooleanType()), T.StructField("revision", T.LongType())])
+    said = rows.groupBy(key).transformWithState(statefulProcessor=_Versions(key, content), outputStructType=schema, outputMode="Append", timeMode="EventTime")
+    return said.select(key, content, *(F.timestamp_micros(c).alias(c) for c in (FROM, TO)), "gone", "revision")
 
 
 def settled(said: DataFrame, key: str, content: str) -> DataFrame:

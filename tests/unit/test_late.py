@@ -62,3 +62,34 @@ def test_pruning_keeps_what_later_versions_need(seed):
         left = late.pruned(events, mark)
         tail = late.versions(sorted(left + more, key=late.order))
         assert {v: u for v, u in whole.items() if u is None or u > mark}.items() <= tail.items() <= whole.items()
+
+
+def test_a_key_is_read_and_written_once_a_batch():
+    """One value of state, read and written once; a timer is set anew only if its time differs."""
+    calls, state = [], {}
+
+    class Known:
+        def get(self):
+            calls.append("get")
+            return state.get("x")
+
+        def update(self, x):
+            calls.append("update")
+            state["x"] = x
+
+    class Handle:
+        getValueState = staticmethod(lambda *_: Known())  # noqa: N815
+        registerTimer = staticmethod(lambda _: calls.append("register"))  # noqa: N815
+        deleteTimer = staticmethod(lambda _: calls.append("delete"))  # noqa: N815
+
+    class Clock:
+        getCurrentWatermarkInMs = staticmethod(lambda: 0)  # noqa: N815
+
+    own = late._Versions("k", "content")
+    own.init(Handle())
+    event = lambda a, c: {"micros": a * 1000, "content": c}
+    out = [r.asDict() for r in own.handleInputRows((7,), iter([event(9, "a"), event(5, "b")]), Clock())]
+    assert calls == ["get", "register", "update"] and [(r["k"], r["content"], r[history.FROM], r[history.TO], r["gone"]) for r in out] == [(7, "b", 5000, 9000, False), (7, "a", 9000, None, False)]
+    calls.clear()
+    out = [tuple(r) for r in own.handleInputRows((7,), iter([event(6, None)]), Clock())]
+    assert calls == ["get", "update"] and sorted(out, key=lambda r: r[2]) == [(7, "b", 5000, 6000, False, 2), (7, None, 6000, 9000, False, 2)]
