@@ -212,6 +212,20 @@ def test_documents_are_made_and_parsed_once(spark):
     assert [(r["n"], r["examples"]) for r in found] == [(10, ["f1", "f11", "f13"]), (1, ["f0"])] and made.value == 40
 
 
+def test_a_contract_reads_heads_of_properties_only(spark):
+    """One parse, of no more than types and names; what a property holds doesn't matter, and a document that can't be parsed says nothing."""
+    odd = ["<links>x</links>", "<value>a<b/></value><value/>", "text", "<classifiedLinkLists>t</classifiedLinkLists>", '<property name="t:inner" type="Blob"/>', "<!-- <property name='t:said' type='Long'/> -->"]
+    texts = [doc(f"/p/{i}", "Scheme", prop(f"t:{i}", "String", x)) for i, x in enumerate(odd)]
+    broken = doc("/p/b", "Scheme", prop("t:b", "Long", ""), prop("t:c", "ClassifiedLinkLists", "<classifiedLinkLists><classifiedLinkList>"))
+    halves = [doc("/p/h", "Scheme", prop("t:d", "Long", ""), prop("t:e", "Long", x)) for x in ("&nope;", "<value></x></value>")]  # the parser gives what stands before
+    rows = spark.createDataFrame([(str(i), x) for i, x in enumerate([*texts, broken, *halves, texts[0][:-20], "", None])], "file string, value string")
+    derived = xml.derive_contract(xml.parsed(rows))
+    assert sorted(map(tuple, derived.collect())) == [("Scheme", f"t:{i}", "String") for i in range(len(odd))]
+    plan = derived._jdf.queryExecution().optimizedPlan().toString()
+    plan = plan[: plan.index("== Initial Plan ==")] if "== Initial Plan ==" in plan else plan
+    assert plan.count("from_xml(") == 1 and "classifierLinks" not in plan
+
+
 def test_documents_of_short_rows_are_dealt_out(spark):
     """The customers' bytes fit one task, their documents don't."""
     docs = catalog_io.customers_as_xml(spark, "/root/testdata/sf0.1")
